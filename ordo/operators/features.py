@@ -103,11 +103,16 @@ def raw_tf(field: str, w: Column, m: Column) -> Column:
     raise ValueError(field)
 
 
-def anchor_counts(cands: DataFrame) -> DataFrame:
-    """P5: (query_id, doc_pos, token, count) — sum of anchor counts per token occurrence."""
-    return (cands.select("query_id", "doc_pos", F.explode("anchors").alias("text", "n"))
-            .select("query_id", "doc_pos", "n", F.explode(TX.jsplit(F.col("text"), " ")).alias("token"))
-            .groupBy("query_id", "doc_pos", "token").agg(F.sum("n").alias("count")))
+def anchor_counts(docs: DataFrame, keys=("query_id", "doc_pos")) -> DataFrame:
+    """P5: (keys..., token, count) — sum of anchor counts over token occurrences.
+
+    Rows of one document are adjacent after the explodes, so the map-side
+    partial aggregate leaves one row per (document, token) before the shuffle.
+    """
+    keys = list(keys)
+    return (docs.select(*keys, F.explode("anchors").alias("text", "n"))
+            .select(*keys, "n", F.explode(TX.jsplit(F.col("text"), " ")).alias("token"))
+            .groupBy(*keys, "token").agg(F.sum("n").alias("count")))
 
 
 def field_tf(cands: DataFrame, idf: DataFrame) -> DataFrame:

@@ -93,3 +93,297 @@ def q_ndcg_skewsafe(spark, sf_dir):
                          strategy="range")
     return out.select("query_id", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"),
                       r6("ndcg").alias("ndcg"))
+
+
+def rn(c, d: int = 9) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c.cast("double"), d) + F.lit(0.0)
+
+
+def r9(expr: str) -> str:
+    return f"(round({expr}, 9) + 0.0)"
+
+
+# ------------------------------------------------------------ V1 / V2 helpers
+
+def _docs(spark, sf_dir):
+    return V.page_docs(spark, sf_dir)
+
+
+def _v2(spark, sf_dir):
+    return V.page_ranking(spark, sf_dir)
+
+
+def _page_idf(spark, sf_dir):
+    from ordo.sources.idf import build_idf
+    n = V.table(spark, sf_dir, "pages").count()
+    return build_idf(_docs(spark, sf_dir), "body", n)
+
+
+def _doc_idf(spark, sf_dir):
+    n = V.table(spark, sf_dir, "documents").count()
+    dfs = V.doc_frequencies(spark, sf_dir)
+    return dfs.select(F.col("token").alias("term"), "df", F.ln(F.lit(float(n)) / F.col("df")).alias("idf"))
+
+
+def _explode_pos(df, key: str, arr: Column, name: str):
+    return df.select(key, F.posexplode(arr).alias("pos", name)).select(
+        key, F.col("pos").cast("long").alias("pos"), name)
+
+
+def _sql_explode_pos(key: str, arr_sql: str, name: str, src: str, where: str = "") -> str:
+    return (f"SELECT {key}, CAST(generate_subscripts(a, 1) - 1 AS BIGINT) AS pos, UNNEST(a) AS {name} "
+            f"FROM (SELECT {key}, {arr_sql} AS a FROM {src} {where})")
+
+
+# ------------------------------------------------------------ tokenisers (V1/V2)
+
+@register("query_tokens", O.with_ctes(O.V2_RANKING, select=_sql_explode_pos(
+    "query_id", O.words_sql(), "word", "q2", "WHERE query <> ''")))
+def q_query_tokens(spark, sf_dir):
+    from ordo.functions.text import query_words
+    q = V.page_queries(_docs(spark, sf_dir))
+    return _explode_pos(q, "query_id", query_words(F.col("query")), "word")
+
+
+@register("url_tokens", O.with_ctes(O.V1_DOCS, select=_sql_explode_pos(
+    "page_id", O.url_toks("url"), "token", "docs")))
+def q_url_tokens(spark, sf_dir):
+    from ordo.functions.text import url_tokens
+    return _explode_pos(_docs(spark, sf_dir), "page_id", url_tokens(F.col("url")), "token")
+
+
+@register("title_tokens", O.with_ctes(O.V1_DOCS, select=_sql_explode_pos(
+    "page_id", O.jsplit("title", " "), "token", "docs")))
+def q_title_tokens(spark, sf_dir):
+    from ordo.functions.text import title_tokens
+    return _explode_pos(_docs(spark, sf_dir), "page_id", title_tokens(F.col("title")), "token")
+
+
+@register("header_tokens", O.with_ctes(O.V1_DOCS, select=_sql_explode_pos(
+    "page_id", f"flatten(list_transform(headers, lambda h: {O.jsplit('h', ' ')}))", "token", "docs")))
+def q_header_tokens(spark, sf_dir):
+    from ordo.functions.text import header_tokens
+    return _explode_pos(_docs(spark, sf_dir), "page_id", header_tokens(F.col("headers")), "token")
+
+
+@register("anchor_counts", O.with_ctes(O.V1_DOCS, select=f"""
+SELECT page_id, token, sum(n) AS count FROM (
+  SELECT page_id, e.value AS n, UNNEST({O.jsplit('e.key', ' ')}) AS token
+  FROM (SELECT page_id, UNNEST(map_entries(anchors)) AS e FROM docs))
+GROUP BY page_id, token"""))
+def q_anchor_counts(spark, sf_dir):
+    from ordo.operators.features import anchor_counts
+    return anchor_counts(_docs(spark, sf_dir), ["page_id"])
+
+
+@register("is_pdf", O.with_ctes(O.V1_DOCS, select="""
+SELECT page_id, CAST(ends_with(lower(url), '.pdf') AS DOUBLE) AS is_pdf FROM docs"""))
+def q_is_pdf(spark, sf_dir):
+    from ordo.functions.text import is_pdf
+    return _docs(spark, sf_dir).select("page_id", is_pdf("url").alias("is_pdf"))
+
+
+@register("has_tilda", O.with_ctes(O.V1_DOCS, select="""
+SELECT page_id, CAST(contains(url, '~') AS DOUBLE) AS has_tilda FROM docs"""))
+def q_has_tilda(spark, sf_dir):
+    from ordo.functions.text import has_tilde
+    return _docs(spark, sf_dir).select("page_id", has_tilde("url").alias("has_tilda"))
+
+
+@register("strip_scheme", O.with_ctes(O.V1_DOCS, select="""
+SELECT page_id, coalesce(string_split(url, '://')[2], url) AS host_path FROM docs"""))
+def q_strip_scheme(spark, sf_dir):
+    from ordo.functions.text import strip_scheme
+    return _docs(spark, sf_dir).select("page_id", strip_scheme("url").alias("host_path"))
+
+
+@register("debug_string", O.with_ctes(O.V1_DOCS, select="""
+SELECT page_id, 'Pagerank: ' || CAST(page_rank AS VARCHAR) AS debug FROM docs"""))
+def q_debug_string(spark, sf_dir):
+    from ordo.functions.text import debug_string
+    return _docs(spark, sf_dir).select("page_id", debug_string("page_rank").alias("debug"))
+
+
+# ------------------------------------------------------------ idf / body (V3)
+
+@register("idf_table", O.with_ctes(O.V3_RETRIEVAL[:2], select=f"""
+SELECT token AS term, df, {r9('ln((SELECT count(*) FROM documents) / df)')} AS idf FROM dfs"""))
+def q_idf_table(spark, sf_dir):
+    i = _doc_idf(spark, sf_dir)
+    return i.select("term", "df", rn("idf").alias("idf"))
+
+
+@register("body_counts", O.with_ctes(O.V3_RETRIEVAL, select="""
+SELECT query_id, doc_pos, e.key AS term, CAST(len(e.value) AS INTEGER) AS n_hits
+FROM (SELECT query_id, doc_pos, UNNEST(map_entries(body_hits)) AS e FROM cands3)"""))
+def q_body_counts(spark, sf_dir):
+    from ordo.functions.text import body_counts
+    c, _ = V.doc_retrieval(spark, sf_dir)
+    return c.select("query_id", "doc_pos", F.explode(body_counts("body_hits")).alias("term", "n_hits"))
+
+
+# ------------------------------------------------------------ features (V2)
+
+def _v2_prepared(spark, sf_dir):
+    from ordo.operators.features import attach_query_terms, with_tokens
+    c, _ = _v2(spark, sf_dir)
+    return with_tokens(attach_query_terms(c, _page_idf(spark, sf_dir)))
+
+
+_V2F = O.page_idf() + O.V2_RANKING + O.feature_ctes("cands", "pidf")
+_V3F = O.V3_RETRIEVAL + [
+    """didf AS (SELECT token AS term, ln((SELECT count(*) FROM documents) / df) AS idf FROM dfs)"""
+] + O.feature_ctes("cands3", "didf")
+_TF_COLS = ", ".join(f"{r9(f + '_tf')} AS {f}_tf" for f in O.FIELDS)
+
+
+@register("field_tf", O.with_ctes(_V2F, select=f"SELECT query_id, doc_pos, word, m, {_TF_COLS} FROM tfw"))
+def q_field_tf(spark, sf_dir):
+    from ordo.operators.features import FIELDS, field_tf
+    c, _ = _v2(spark, sf_dir)
+    t = field_tf(c, _page_idf(spark, sf_dir))
+    return t.select("query_id", "doc_pos", "word", "m", *[rn(f"{f}_tf").alias(f"{f}_tf") for f in FIELDS])
+
+
+@register("query_tf", O.with_ctes(_V2F, select="SELECT query_id, word, m FROM qt"))
+def q_query_tf(spark, sf_dir):
+    from ordo.operators.features import query_table, query_terms
+    c, _ = _v2(spark, sf_dir)
+    return query_terms(query_table(c)).select("query_id", "word", F.col("m").cast("long").alias("m"))
+
+
+@register("query_vector", O.with_ctes(_V2F, select=f"""
+SELECT query_id, word, m, {r9('idf')} AS idf, {r9('qv')} AS qv FROM qv"""))
+def q_query_vector(spark, sf_dir):
+    from ordo.operators.features import query_table, query_terms, query_vector
+    c, _ = _v2(spark, sf_dir)
+    v = query_vector(query_terms(query_table(c)), _page_idf(spark, sf_dir))
+    return v.select("query_id", "word", F.col("m").cast("long").alias("m"), rn("idf").alias("idf"),
+                    rn("qv").alias("qv"))
+
+
+def _feature_sql(cte_list):
+    cols = ", ".join(
+        f"{r9(O.nsum(f'm * {f}_tf / pow(body_length + 2500.0, m) * qv'))} AS {f}_w" for f in O.FIELDS)
+    return O.with_ctes(cte_list, select=f"SELECT query_id, doc_pos, {cols} FROM tfw GROUP BY query_id, doc_pos")
+
+
+@register("feature_vector", _feature_sql(_V2F))
+def q_feature_vector(spark, sf_dir):
+    from ordo.operators.features import FEATURE_NAMES, feature_vector
+    c, _ = _v2(spark, sf_dir)
+    f = feature_vector(c, _page_idf(spark, sf_dir))
+    return f.select("query_id", "doc_pos", *[rn(n).alias(n) for n in FEATURE_NAMES])
+
+
+@register("feature_vector_docs", _feature_sql(_V3F))
+def q_feature_vector_docs(spark, sf_dir):
+    from ordo.operators.features import FEATURE_NAMES, feature_vector
+    c, _ = V.doc_retrieval(spark, sf_dir)
+    f = feature_vector(c, _doc_idf(spark, sf_dir))
+    return f.select("query_id", "doc_pos", *[rn(n).alias(n) for n in FEATURE_NAMES])
+
+
+# ------------------------------------------------------------ scorers (V2)
+
+@register("cosine_tf", O.with_ctes(_V2F, select="SELECT query_id, doc_pos, word, " + ", ".join(
+    f"{r9(O.cos_tf(f), )} AS {f}_ntf" for f in O.FIELDS) + " FROM tfw"))
+def q_cosine_tf(spark, sf_dir):
+    from ordo.operators.features import FIELDS
+    from ordo.operators.scorers import cosine_tf
+    p = _v2_prepared(spark, sf_dir).select("*", F.explode("qterms").alias("e"))
+    e = F.col("e")
+    return p.select("query_id", "doc_pos", e["word"].alias("word"),
+                    *[rn(cosine_tf(f, e["word"], e["m"])).alias(f"{f}_ntf") for f in FIELDS])
+
+
+@register("field_score", O.with_ctes(_V2F, select=f"""
+SELECT query_id, doc_pos, {r9(O.field_score_sql())} AS field_score FROM tfw GROUP BY query_id, doc_pos"""))
+def q_field_score(spark, sf_dir):
+    from ordo.operators.scorers import field_score_col
+    return _v2_prepared(spark, sf_dir).select("query_id", "doc_pos", rn(field_score_col()).alias("field_score"))
+
+
+@register("bm25_lengths", O.with_ctes(O.V2_RANKING, O.bm25_ctes("cands"), select="SELECT " + ", ".join(
+    f"{r9('avg_' + f)} AS avg_{f}" for f in O.FIELDS) + " FROM avgl"))
+def q_bm25_lengths(spark, sf_dir):
+    from ordo.operators.features import FIELDS
+    from ordo.operators.scorers import average_lengths
+    c, _ = _v2(spark, sf_dir)
+    return average_lengths(c).select(*[rn(f"avg_{f}").alias(f"avg_{f}") for f in FIELDS])
+
+
+_BM = _V2F + O.bm25_ctes("cands") + [
+    """tfl AS (SELECT t.*, l.len_body, l.len_url, l.len_title, l.len_header, l.len_anchor, a.*
+  FROM tfw t JOIN lens l ON t.query_id = l.query_id AND t.doc_pos = l.doc_pos CROSS JOIN avgl a)"""]
+
+
+@register("bm25_tf", O.with_ctes(_BM, select="SELECT query_id, doc_pos, word, " + ", ".join(
+    f"{r9(O.bm25_tf(f))} AS {f}_ftf" for f in O.FIELDS) + " FROM tfl"))
+def q_bm25_tf(spark, sf_dir):
+    from ordo.operators.features import FIELDS
+    from ordo.operators.scorers import bm25_tf, with_bm25_lengths
+    p = with_bm25_lengths(_v2_prepared(spark, sf_dir)).select("*", F.explode("qterms").alias("e"))
+    e = F.col("e")
+    return p.select("query_id", "doc_pos", e["word"].alias("word"),
+                    *[rn(bm25_tf(f, e["word"], e["m"])).alias(f"{f}_ftf") for f in FIELDS])
+
+
+@register("bm25_score", O.with_ctes(_BM, select=f"""
+SELECT query_id, doc_pos, {r9(O.bm25_score_sql())} AS bm25 FROM tfl GROUP BY query_id, doc_pos"""))
+def q_bm25_score(spark, sf_dir):
+    from ordo.operators.scorers import bm25_score_col, with_bm25_lengths
+    p = with_bm25_lengths(_v2_prepared(spark, sf_dir))
+    return p.select("query_id", "doc_pos", rn(bm25_score_col()).alias("bm25"))
+
+
+# ------------------------------------------------------------ windows (V2)
+
+_WORDS = O.words_sql()
+
+
+@register("window_field", O.with_ctes(O.V2_RANKING, select=f"""
+SELECT query_id, doc_pos, CAST({O.text_window('url', _WORDS)} AS BIGINT) AS url_window,
+       CAST({O.text_window('title', _WORDS)} AS BIGINT) AS title_window FROM cands"""))
+def q_window_field(spark, sf_dir):
+    from ordo.functions.window import text_window
+    from ordo.functions.text import query_words
+    c, _ = _v2(spark, sf_dir)
+    w = query_words(F.col("query"))
+    return c.select("query_id", "doc_pos", text_window(F.col("url"), w).cast("long").alias("url_window"),
+                    text_window(F.col("title"), w).cast("long").alias("title_window"))
+
+
+@register("window_doc", O.with_ctes(O.V2_RANKING, select=f"""
+SELECT query_id, doc_pos, CAST({O.doc_window(_WORDS)} AS BIGINT) AS window FROM cands"""))
+def q_window_doc(spark, sf_dir):
+    from ordo.operators.scorers import doc_window_col
+    c, _ = _v2(spark, sf_dir)
+    return c.select("query_id", "doc_pos", doc_window_col().cast("long").alias("window"))
+
+
+_K = f"len(list_distinct({_WORDS}))"
+
+
+@register("window_boost", O.with_ctes(O.V2_RANKING, select=f"""
+SELECT query_id, doc_pos, {r9(O.boost(O.doc_window(_WORDS), _K))} AS boost FROM cands"""))
+def q_window_boost(spark, sf_dir):
+    from ordo.operators.scorers import boost_col, doc_window_col
+    c, _ = _v2(spark, sf_dir)
+    return c.select("query_id", "doc_pos", rn(boost_col(doc_window_col())).alias("boost"))
+
+
+_WS_SQL = f"""{O.boost(O.doc_window('lower_query_words'), 'len(list_distinct(lower_query_words))')}"""
+
+
+@register("window_score", O.with_ctes(_V2F, f"""fs AS (
+  SELECT query_id, doc_pos, {O.field_score_sql()} AS field_score FROM tfw GROUP BY query_id, doc_pos)""",
+    select=f"""SELECT c.query_id, c.doc_pos,
+  {r9(O.boost(O.doc_window(_WORDS), _K) + ' * fs.field_score')} AS window_score
+FROM cands c JOIN fs ON c.query_id = fs.query_id AND c.doc_pos = fs.doc_pos"""))
+def q_window_score(spark, sf_dir):
+    from ordo.operators.scorers import boost_col, doc_window_col, field_score_col
+    p = _v2_prepared(spark, sf_dir)
+    return p.select("query_id", "doc_pos",
+                    rn(boost_col(doc_window_col()) * field_score_col()).alias("window_score"))

@@ -115,3 +115,131 @@ V4_GRADES = [
          row_number() OVER (PARTITION BY query_id ORDER BY rel DESC) AS ideal_pos
   FROM grades)""",
 ]
+
+
+# ------------------------------------------------------------ feature twins
+
+def nsum(expr: str) -> str:
+    """SUM that is NULL when any term is NULL (Spark's ``aggregate`` fold)."""
+    return f"(CASE WHEN count(*) = count({expr}) THEN sum({expr}) END)"
+
+
+def url_toks(u: str) -> str:
+    return (f"list_filter(string_split_regex(lower(replace(replace({u}, 'http:', '.'), '%20', '.')), "
+            f"'[^a-z0-9]+'), lambda t: t <> '')")
+
+
+def words_sql(q: str = "query") -> str:
+    return jsplit(f"lower({q})", " ")
+
+
+def page_idf() -> list[str]:
+    return V1_DOCS + [
+        """pidf AS (
+  SELECT term, count(*) AS df, ln((SELECT count(*) FROM pages) / count(*)) AS idf
+  FROM (SELECT page_id, UNNEST(list_distinct(body)) AS term FROM docs) GROUP BY term)"""]
+
+
+def feature_ctes(cands: str, idf: str) -> list[str]:
+    """Per (candidate, distinct query word) raw term frequencies (P7) in ``tfw``."""
+    hits = "c.body_hits[q.word]"
+    fold = (f"list_reduce(range(q.m), lambda t, x: CASE WHEN (t + len({hits})) / cardinality(c.body_hits) > 0 "
+            f"THEN ln((t + len({hits})) / cardinality(c.body_hits)) END, 0.0::DOUBLE)")
+    return [
+        f"""qt AS (
+  SELECT query_id, word, count(*) AS m
+  FROM (SELECT query_id, UNNEST({words_sql()}) AS word FROM (SELECT DISTINCT query_id, query FROM {cands}))
+  GROUP BY query_id, word)""",
+        f"""qv AS (
+  SELECT qt.query_id, qt.word, qt.m, i.idf, (1 + ln(qt.m)) * coalesce(i.idf, ln(98998)) AS qv
+  FROM qt LEFT JOIN {idf} i ON i.term = qt.word)""",
+        f"""ctok AS (
+  SELECT c.*, {url_toks('url')} AS url_toks,
+         coalesce({jsplit('title', ' ')}, []::VARCHAR[]) AS title_toks,
+         coalesce(flatten(list_transform(headers, lambda h: {jsplit('h', ' ')})), []::VARCHAR[]) AS header_toks,
+         coalesce(list_transform(map_entries(anchors), lambda kv: {{'toks': {jsplit('kv.key', ' ')}, 'n': kv.value}}), []) AS anchor_entries
+  FROM {cands} c)""",
+        f"""tfw AS (
+  SELECT c.query_id, c.doc_pos, c.query, c.url, c.title, c.headers, c.body_hits, c.anchors,
+         c.body_length, c.page_rank, q.word, q.m, q.idf, q.qv,
+         CAST(q.m * len(list_filter(c.url_toks, lambda t: t = q.word)) AS DOUBLE) AS url_tf,
+         CAST(q.m * len(list_filter(c.title_toks, lambda t: t = q.word)) AS DOUBLE) AS title_tf,
+         CAST(q.m * len(list_filter(c.header_toks, lambda t: t = q.word)) AS DOUBLE) AS header_tf,
+         CAST(q.m * coalesce(list_sum(list_transform(c.anchor_entries,
+              lambda e: len(list_filter(e.toks, lambda t: t = q.word)) * e.n)), 0) AS DOUBLE) AS anchor_tf,
+         CASE WHEN {hits} IS NOT NULL THEN {fold} ELSE 0.0 END AS body_tf
+  FROM ctok c JOIN qv q ON c.query_id = q.query_id)""",
+    ]
+
+
+FIELDS = ("url", "title", "body", "header", "anchor")
+COSINE_W = {"url": 10.0, "title": 10.0, "header": 7.0, "anchor": 8.0, "body": 0.6}
+BM25_W = {"url": 1.1, "title": 0.7, "header": 0.5, "body": 0.5, "anchor": 0.8}
+BM25_B = {"url": 1.1, "title": 0.6, "header": 0.4, "body": 0.1, "anchor": 1.0}
+
+
+def cos_tf(f: str) -> str:
+    return f"(CASE WHEN 1 + {f}_tf > 0 THEN log10(1 + {f}_tf) END / (body_length + 15000.0))"
+
+
+def section_sum() -> str:
+    return " + ".join(f"{COSINE_W[f]} * {cos_tf(f)}" for f in FIELDS)
+
+
+def field_score_sql() -> str:
+    return nsum(f"m * m * coalesce(idf, 1.0 / 98999) * ({section_sum()})")
+
+
+def length_cols() -> str:
+    return f"""CAST(body_length AS DOUBLE) AS len_body,
+    CAST(CASE WHEN url IS NOT NULL THEN len({jsplit('url', chr(92) + 'W+')}) ELSE 0 END AS DOUBLE) AS len_url,
+    CAST(CASE WHEN title IS NOT NULL THEN len({jsplit('title', chr(92) + 's+')}) ELSE 0 END AS DOUBLE) AS len_title,
+    CAST(coalesce(list_sum(list_transform(headers, lambda h: len({jsplit('h', chr(92) + 's+')}))), 0) AS DOUBLE) AS len_header,
+    CAST(coalesce(list_sum(list_transform(map_keys(anchors), lambda t: len({jsplit('t', chr(92) + 's+')}))), 0) AS DOUBLE) AS len_anchor,
+    1 AS n_body, CAST(url IS NOT NULL AS INTEGER) AS n_url, CAST(title IS NOT NULL AS INTEGER) AS n_title,
+    coalesce(len(headers), 0) AS n_header, coalesce(cardinality(anchors), 0) AS n_anchor"""
+
+
+def bm25_ctes(cands: str) -> list[str]:
+    avg = ", ".join(f"sum(len_{f}) / nullif(sum(n_{f}), 0) AS avg_{f}" for f in FIELDS)
+    return [f"""lens AS (SELECT query_id, doc_pos, {length_cols()} FROM {cands})""",
+            f"""avgl AS (SELECT {avg} FROM lens)"""]
+
+
+def bm25_tf(f: str) -> str:
+    den = f"(1 + {BM25_B[f]} * (len_{f} / nullif(avg_{f}, 0) - 1))"
+    return f"(CASE WHEN {f}_tf = 0 THEN 0.0 WHEN {den} > 0 THEN {f}_tf / {den} END)"
+
+
+def bm25_score_sql() -> str:
+    W = " + ".join(f"{BM25_W[f]} * {bm25_tf(f)}" for f in FIELDS)
+    return (f"({nsum(f'm * (({W}) / (({W}) + 1.7)) * coalesce(idf, 1.0 / 98999)')} "
+            f"+ 8.0 * ln(min(page_rank) + 9.5))")
+
+
+def lockstep(lists: str) -> str:
+    L = f"list_transform({lists}, lambda l: list_sort(list_distinct(l)))"
+    at = f"list_transform({L}, lambda l: l[least(r, len(l) - 1) + 1])"
+    return (f"(CASE WHEN len({lists}) > 0 THEN list_min(list_transform(range(0, list_max(list_transform({L}, "
+            f"lambda l: len(l)))), lambda r: list_max({at}) - list_min({at}) + 1)) END)")
+
+
+def text_window(text: str, words: str) -> str:
+    toks = jsplit(text, chr(92) + "W+")
+    lists = f"list_transform(list_distinct({toks}), lambda tk: list_filter(range(0, len({toks})), lambda i: {toks}[i + 1] = tk))"
+    return (f"(CASE WHEN {text} IS NOT NULL AND list_bool_and(list_transform({words}, lambda w: contains({text}, w))) "
+            f"THEN {lockstep(lists)} END)")
+
+
+def doc_window(words: str) -> str:
+    body = (f"(CASE WHEN body_hits IS NOT NULL AND cardinality(body_hits) = len({words}) "
+            f"THEN {lockstep('map_values(body_hits)')} END)")
+    return (f"list_min(list_filter(list_concat([{body}, {text_window('url', words)}, {text_window('title', words)}], "
+            f"coalesce(list_transform(headers, lambda hh: {text_window('hh', words)}), []), "
+            f"coalesce(list_transform(map_keys(anchors), lambda aa: {text_window('aa', words)}), [])), lambda x: x IS NOT NULL))")
+
+
+def boost(win: str, k: str) -> str:
+    x = f"({win} - {k})"
+    return (f"(CASE WHEN {k} = 1 THEN 1.0 WHEN {win} IS NULL THEN 1.0 WHEN {win} = {k} THEN 2.0 * {win} "
+            f"WHEN {x} > 9 THEN 1.0 ELSE sqrt(abs(10.0 + (1.0 - {x} * {x} / 9.0) * 2.0)) END)")
