@@ -387,3 +387,110 @@ def q_window_score(spark, sf_dir):
     p = _v2_prepared(spark, sf_dir)
     return p.select("query_id", "doc_pos",
                     rn(boost_col(doc_window_col()) * field_score_col()).alias("window_score"))
+
+
+# ------------------------------------------------------------ matrix, ranking, evaluation
+
+def _fm_sql_ctes(base, cands: str, rels: str | None):
+    feats = ", ".join(f"{O.nsum(f'm * {f}_tf / pow(body_length + 2500.0, m) * qv')} AS {f}_w" for f in O.FIELDS)
+    out = list(base) + [f"""fmx AS (
+  SELECT query_id, doc_pos, {feats}, {O.field_score_sql()} AS field_score
+  FROM tfw GROUP BY query_id, doc_pos)""",
+                        f"""fm AS (
+  SELECT c.query_id, c.doc_pos, f.url_w, f.title_w, f.body_w, f.header_w, f.anchor_w,
+         {O.boost(O.doc_window(_WORDS), _K)} * f.field_score AS smallest_window,
+         CAST(ends_with(lower(c.url), '.pdf') AS DOUBLE) AS is_pdf,
+         CAST(contains(c.url, '~') AS DOUBLE) AS has_tilda
+  FROM {cands} c JOIN fmx f ON c.query_id = f.query_id AND c.doc_pos = f.doc_pos)""",
+                        """sc AS (
+  SELECT *, round(url_w + title_w + body_w + header_w + anchor_w, 12) AS score FROM fm)""",
+                        """rk AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC NULLS LAST, doc_pos) AS rank FROM sc)"""]
+    if rels:
+        out.append(f"""jd AS (
+  SELECT r.*, j.rel, row_number() OVER (PARTITION BY r.query_id ORDER BY r.score DESC NULLS LAST, r.doc_pos) AS pos,
+         row_number() OVER (PARTITION BY r.query_id ORDER BY j.rel DESC) AS ideal_pos
+  FROM rk r JOIN {rels} j ON r.query_id = j.query_id AND r.doc_pos = j.doc_pos)""")
+        out.append("""nq AS (
+  SELECT query_id, count(*) AS n, sum((pow(2, rel) - 1) / log2(pos + 1)) AS dcg,
+         sum((pow(2, rel) - 1) / log2(ideal_pos + 1)) AS idcg FROM jd GROUP BY query_id)""")
+    return out
+
+
+_V2FM = _fm_sql_ctes(_V2F, "cands", "rels")
+_V3FM = _fm_sql_ctes(_V3F, "cands3", "rels3")
+_FM_COLS = ["url_w", "title_w", "body_w", "header_w", "anchor_w", "smallest_window", "is_pdf", "has_tilda"]
+
+
+def _scored(cands, idf):
+    from ordo.operators.matrix import feature_matrix
+    fm = feature_matrix(cands, idf)
+    s = F.col("url_w") + F.col("title_w") + F.col("body_w") + F.col("header_w") + F.col("anchor_w")
+    return fm.withColumn("score", F.round(s, 12))
+
+
+def _ndcg_of(ranked, rels):
+    from ordo.operators.metrics import judged_rows, ndcg_per_query
+    j = judged_rows(ranked, rels, ["query_id", "doc_pos"])
+    return ndcg_per_query(j, ["query_id"], [F.col("score").desc_nulls_last(), F.col("doc_pos")])
+
+
+@register("feature_matrix", O.with_ctes(_V2FM, select="SELECT f.query_id, f.doc_pos, " + ", ".join(
+    f"{r9('f.' + c)} AS {c}" for c in _FM_COLS) +
+    " , r.rel FROM fm f JOIN rels r ON f.query_id = r.query_id AND f.doc_pos = r.doc_pos"))
+def q_feature_matrix(spark, sf_dir):
+    from ordo.operators.matrix import feature_matrix
+    c, rels = _v2(spark, sf_dir)
+    fm = feature_matrix(c, _page_idf(spark, sf_dir))
+    fm = fm.join(rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"])
+    return fm.select("query_id", "doc_pos", *[rn(x).alias(x) for x in _FM_COLS], "rel")
+
+
+@register("rank_pointwise", O.with_ctes(_V2FM, select=f"""
+SELECT query_id, doc_pos, rank, {r9('score')} AS score FROM rk"""))
+def q_rank_pointwise(spark, sf_dir):
+    from ordo.operators.matrix import rank_pointwise
+    c, _ = _v2(spark, sf_dir)
+    r = rank_pointwise(_scored(c, _page_idf(spark, sf_dir)))
+    return r.select("query_id", "doc_pos", "rank", rn("score").alias("score"))
+
+
+_NDCG_SELECT = f"""SELECT query_id, n, {O.r6('dcg')} AS dcg, {O.r6('idcg')} AS idcg,
+  {O.r6('CASE WHEN idcg = 0 THEN 1.0 ELSE dcg / idcg END')} AS ndcg FROM nq"""
+
+
+@register("rank_and_evaluate", O.with_ctes(_V2FM, select=_NDCG_SELECT))
+def q_rank_and_evaluate(spark, sf_dir):
+    """Flagship: features -> fixed linear score -> rank -> NDCG per query (V2)."""
+    c, rels = _v2(spark, sf_dir)
+    out = _ndcg_of(_scored(c, _page_idf(spark, sf_dir)), rels)
+    return out.select("query_id", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"))
+
+
+@register("ndcg_docs", O.with_ctes(_V3FM, select=_NDCG_SELECT))
+def q_ndcg_docs(spark, sf_dir):
+    c, rels = V.doc_retrieval(spark, sf_dir)
+    out = _ndcg_of(_scored(c, _doc_idf(spark, sf_dir)), rels)
+    return out.select("query_id", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"))
+
+
+@register("mean_ndcg_docs", O.with_ctes(_V3FM, select=f"""
+SELECT count(*) AS n_queries,
+  {O.r6('avg(coalesce(CASE WHEN nq.idcg = 0 THEN 1.0 ELSE nq.dcg / nq.idcg END, 0.0))')} AS mean_ndcg
+FROM (SELECT DISTINCT query_id FROM rk) a LEFT JOIN nq ON a.query_id = nq.query_id"""))
+def q_mean_ndcg_docs(spark, sf_dir):
+    """A2 with queries that have no judged document counted as 0 (V3)."""
+    from ordo.operators.metrics import mean_ndcg
+    c, rels = V.doc_retrieval(spark, sf_dir)
+    scored = _scored(c, _doc_idf(spark, sf_dir))
+    m = mean_ndcg(_ndcg_of(scored, rels), ranked_queries=scored)
+    return m.select("n_queries", r6("mean_ndcg").alias("mean_ndcg"))
+
+
+@register("unjudged_urls", O.with_ctes(O.V3_RETRIEVAL, select="""
+SELECT c.query_id, c.doc_pos, c.url FROM cands3 c
+WHERE NOT EXISTS (SELECT 1 FROM rels3 r WHERE r.query_id = c.query_id AND r.doc_pos = c.doc_pos)"""))
+def q_unjudged_urls(spark, sf_dir):
+    from ordo.operators.metrics import unjudged_rows
+    c, rels = V.doc_retrieval(spark, sf_dir)
+    return unjudged_rows(c.select("query_id", "doc_pos", "url"), rels, ["query_id", "doc_pos"])
