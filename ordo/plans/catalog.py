@@ -494,3 +494,105 @@ def q_unjudged_urls(spark, sf_dir):
     from ordo.operators.metrics import unjudged_rows
     c, rels = V.doc_retrieval(spark, sf_dir)
     return unjudged_rows(c.select("query_id", "doc_pos", "url"), rels, ["query_id", "doc_pos"])
+
+
+# ------------------------------------------------------------ scaling (V2 feature matrix)
+
+def _v2_matrix(spark, sf_dir, with_rel=True):
+    from ordo.operators.matrix import feature_matrix
+    c, rels = _v2(spark, sf_dir)
+    fm = feature_matrix(c, _page_idf(spark, sf_dir))
+    if with_rel:
+        fm = fm.join(rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"])
+    return fm
+
+
+_FMR = _V2FM + ["""fmr AS (SELECT f.*, r.rel FROM fm f JOIN rels r ON f.query_id = r.query_id AND f.doc_pos = r.doc_pos)"""]
+
+
+def _stats_sql(fn_pairs):
+    return "st AS (SELECT " + ", ".join(
+        f"{fn}({c}) AS {p}_{c}" for c in _FM_COLS for fn, p in fn_pairs) + " FROM fmr)"
+
+
+@register("standardized", O.with_ctes(_FMR, _stats_sql([("avg", "m"), ("stddev_samp", "s")]), select=(
+    "SELECT query_id, doc_pos, " + ", ".join(
+        r9(f"CASE WHEN s_{c} IS NULL OR s_{c} = 0 OR isnan(s_{c}) THEN {c} - m_{c} ELSE ({c} - m_{c}) / s_{c} END")
+        + f" AS {c}" for c in _FM_COLS) + " FROM fmr, st")))
+def q_standardized(spark, sf_dir):
+    from ordo.operators.scale import standardize
+    fm = _v2_matrix(spark, sf_dir).cache()
+    return standardize(fm, _FM_COLS).select("query_id", "doc_pos", *[rn(c).alias(c) for c in _FM_COLS])
+
+
+@register("imputed", O.with_ctes(_FMR, _stats_sql([("avg", "m")]), select=(
+    "SELECT query_id, doc_pos, " + ", ".join(
+        r9(f"coalesce({c}, m_{c})") + f" AS {c}" for c in _FM_COLS) + " FROM fmr, st")))
+def q_imputed(spark, sf_dir):
+    from ordo.operators.scale import impute_mean
+    fm = _v2_matrix(spark, sf_dir).cache()
+    return impute_mean(fm, _FM_COLS).select("query_id", "doc_pos", *[rn(c).alias(c) for c in _FM_COLS])
+
+
+@register("minmax", O.with_ctes(_FMR, _stats_sql([("min", "lo"), ("max", "hi")]), select=(
+    "SELECT query_id, doc_pos, " + ", ".join(
+        r9(f"CASE WHEN {c} IS NULL THEN NULL WHEN hi_{c} = lo_{c} THEN 0.5 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END")
+        + f" AS {c}" for c in _FM_COLS) + " FROM fmr, st")))
+def q_minmax(spark, sf_dir):
+    from ordo.operators.scale import minmax
+    fm = _v2_matrix(spark, sf_dir).cache()
+    return minmax(fm, _FM_COLS).select("query_id", "doc_pos", *[rn(c).alias(c) for c in _FM_COLS])
+
+
+# ------------------------------------------------------------ pairs (V2)
+
+_F5 = ["url_w", "title_w", "body_w", "header_w", "anchor_w"]
+
+
+@register("train_pairs", O.with_ctes(_FMR, select=f"""
+SELECT a.query_id, count(DISTINCT a.doc_pos) AS n_docs, count(*) FILTER (WHERE a.rel <> b.rel) AS n_pairs,
+  {", ".join(r9(f"sum(CASE WHEN a.rel > b.rel THEN b.{c} - a.{c} ELSE 0 END)") + f" AS pos_diff_{c}" for c in _F5)}
+FROM fmr a JOIN fmr b ON a.query_id = b.query_id AND a.doc_pos <> b.doc_pos
+GROUP BY a.query_id"""))
+def q_train_pairs(spark, sf_dir):
+    """J5 summary per query (pair count and positive-pair difference sums), no pair rows."""
+    from ordo.operators.pairs import pair_stats
+    s = pair_stats(_v2_matrix(spark, sf_dir), _F5)
+    return s.select("query_id", "n_docs", "n_pairs", *[rn(f"pos_diff_{c}").alias(f"pos_diff_{c}") for c in _F5])
+
+
+_G_TERMS = [(a, b) for i, a in enumerate(_F5) for b in _F5[i:]]
+
+
+@register("pair_gram", O.with_ctes(_FMR, select="SELECT count(*) AS n_pos, " + ", ".join(
+    [r9(f"sum(a.{c} - b.{c})") + f" AS d_{c}" for c in _F5] +
+    [r9(f"sum((a.{x} - b.{x}) * (a.{y} - b.{y}))") + f" AS g_{x}__{y}" for x, y in _G_TERMS]) +
+    " FROM fmr a JOIN fmr b ON a.query_id = b.query_id AND a.rel > b.rel"))
+def q_pair_gram(spark, sf_dir):
+    """M3: sufficient statistics of the pairwise difference set from grade moments."""
+    from ordo.operators.pairs import pair_gram
+    g = pair_gram(_v2_matrix(spark, sf_dir), _F5)
+    return g.select(F.col("n_pos").cast("long").alias("n_pos"),
+                    *[rn(c).alias(c) for c in g.columns if c != "n_pos"])
+
+
+@register("pair_wins", O.with_ctes(_V2FM, select="""
+SELECT a.query_id, a.doc_pos,
+  count(b.doc_pos) FILTER (WHERE (b.score IS NULL AND a.score IS NOT NULL) OR b.score < a.score) AS wins
+FROM sc a JOIN sc b ON a.query_id = b.query_id GROUP BY a.query_id, a.doc_pos"""))
+def q_pair_wins(spark, sf_dir):
+    from ordo.operators.pairs import pair_wins
+    c, _ = _v2(spark, sf_dir)
+    return pair_wins(_scored(c, _page_idf(spark, sf_dir))).select("query_id", "doc_pos", "wins")
+
+
+@register("rank_pairwise", O.with_ctes(_V2FM, """w AS (
+  SELECT a.query_id, a.doc_pos, a.score,
+    count(b.doc_pos) FILTER (WHERE (b.score IS NULL AND a.score IS NOT NULL) OR b.score < a.score) AS wins
+  FROM sc a JOIN sc b ON a.query_id = b.query_id GROUP BY a.query_id, a.doc_pos, a.score)""", select="""
+SELECT query_id, doc_pos, wins,
+  row_number() OVER (PARTITION BY query_id ORDER BY wins DESC, score DESC NULLS LAST, doc_pos) AS rank FROM w"""))
+def q_rank_pairwise(spark, sf_dir):
+    from ordo.operators.pairs import rank_pairwise
+    c, _ = _v2(spark, sf_dir)
+    return rank_pairwise(_scored(c, _page_idf(spark, sf_dir))).select("query_id", "doc_pos", "wins", "rank")

@@ -67,7 +67,7 @@ V2_RANKING = V1_DOCS + [
   FROM ids i JOIN docs d ON i.doc_pos = d.page_id)""",
     """rels AS (
   SELECT i.query_id, i.query, CAST(i.doc_pos AS INTEGER) AS doc_pos, d.url,
-         CAST(((i.doc_pos * 7 + i.query_id * 3) % 7) * 0.5 AS DOUBLE) AS rel
+         CAST(((i.doc_pos * 3 + i.query_id * 7) % 7) * 0.5 AS DOUBLE) AS rel
   FROM ids i JOIN docs d ON i.doc_pos = d.page_id)""",
 ]
 

@@ -92,7 +92,7 @@ def page_ranking(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
                      F.size("body").alias("body_length"), "page_rank", "anchors"))
     rels = (ids.join(docs.select("page_id", "url"), ids.doc_pos == docs.page_id)
             .select("query_id", "query", F.col("doc_pos").cast("int").alias("doc_pos"), "url",
-                    (((F.col("doc_pos") * 7 + F.col("query_id") * 3) % 7) * 0.5)
+                    (((F.col("doc_pos") * 3 + F.col("query_id") * 7) % 7) * 0.5)
                     .cast("double").alias("rel")))
     return cands, rels
 
