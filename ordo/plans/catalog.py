@@ -596,3 +596,99 @@ def q_rank_pairwise(spark, sf_dir):
     from ordo.operators.pairs import rank_pairwise
     c, _ = _v2(spark, sf_dir)
     return rank_pairwise(_scored(c, _page_idf(spark, sf_dir))).select("query_id", "doc_pos", "wins", "rank")
+
+
+# ------------------------------------------------------------ experiment comparison (V2)
+
+_CMP = _V2FM + [
+    """rkb AS (
+  SELECT f.query_id, f.doc_pos, round(f.field_score, 12) AS score_b,
+         row_number() OVER (PARTITION BY f.query_id ORDER BY round(f.field_score, 12) DESC NULLS LAST, f.doc_pos) AS rank
+  FROM fmx f)""",
+    """jdb AS (
+  SELECT r.*, j.rel, j.url,
+         row_number() OVER (PARTITION BY r.query_id ORDER BY r.score_b DESC NULLS LAST, r.doc_pos) AS pos,
+         row_number() OVER (PARTITION BY r.query_id ORDER BY j.rel DESC) AS ideal_pos
+  FROM rkb r JOIN rels j ON r.query_id = j.query_id AND r.doc_pos = j.doc_pos)""",
+    """nqb AS (
+  SELECT query_id, sum((pow(2, rel) - 1) / log2(pos + 1)) AS dcg,
+         sum((pow(2, rel) - 1) / log2(ideal_pos + 1)) AS idcg FROM jdb GROUP BY query_id)""",
+    """na AS (SELECT query_id, CASE WHEN idcg = 0 THEN 1.0 ELSE dcg / idcg END AS ndcg FROM nq)""",
+    """nb AS (SELECT query_id, CASE WHEN idcg = 0 THEN 1.0 ELSE dcg / idcg END AS ndcg FROM nqb)""",
+    """la AS (SELECT r.query_id, r.rank, j.url, j.rel FROM rk r JOIN rels j ON r.query_id = j.query_id AND r.doc_pos = j.doc_pos)""",
+    """lb AS (SELECT query_id, rank, url, rel FROM jdb)""",
+]
+
+
+def _experiments(spark, sf_dir):
+    """Two experiments over V2: A ranks by the five-feature sum, B by the field score."""
+    from ordo.operators.matrix import rank_pointwise
+    from ordo.operators.scorers import field_score_col
+    c, rels = _v2(spark, sf_dir)
+    idf = _page_idf(spark, sf_dir)
+    ra = rank_pointwise(_scored(c, idf))
+    fs = _v2_prepared(spark, sf_dir).select("query_id", "doc_pos", F.round(field_score_col(), 12).alias("score"))
+    rb = rank_pointwise(fs)
+    rsel = rels.select("query_id", "doc_pos", "url", "rel")
+    la = ra.join(rsel, ["query_id", "doc_pos"]).select("query_id", "rank", "url", "rel")
+    lb = rb.join(rsel, ["query_id", "doc_pos"]).select("query_id", "rank", "url", "rel")
+    na = _ndcg_of(ra, rels).select("query_id", "ndcg")
+    nb = _ndcg_of(rb, rels).select("query_id", "ndcg")
+    return la, lb, na, nb
+
+
+@register("compare_mean", O.with_ctes(_CMP, select=f"""
+SELECT {O.r6('ma')} AS mean_a, {O.r6('mb')} AS mean_b, {O.r6('mb - ma')} AS diff,
+  CASE WHEN mb - ma > 0 THEN 'green' WHEN mb - ma = 0 THEN 'black' ELSE 'red' END AS color
+FROM (SELECT (SELECT avg(ndcg) FROM na) AS ma, (SELECT avg(ndcg) FROM nb) AS mb)"""))
+def q_compare_mean(spark, sf_dir):
+    from ordo.operators.compare import compare_mean
+    _, _, na, nb = _experiments(spark, sf_dir)
+    m = compare_mean(na, nb)
+    return m.select(r6("mean_a").alias("mean_a"), r6("mean_b").alias("mean_b"), r6("diff").alias("diff"), "color")
+
+
+@register("compare_by_query", O.with_ctes(_CMP, select=f"""
+SELECT a.query_id, {O.r6('a.ndcg')} AS ndcg_a, {O.r6('b.ndcg')} AS ndcg_b, {O.r6('b.ndcg - a.ndcg')} AS diff,
+  CASE WHEN b.ndcg - a.ndcg > 0 THEN 'green' WHEN b.ndcg - a.ndcg = 0 THEN 'black' ELSE 'red' END AS color,
+  row_number() OVER (ORDER BY b.ndcg - a.ndcg, a.query_id) AS position
+FROM na a JOIN nb b ON a.query_id = b.query_id"""))
+def q_compare_by_query(spark, sf_dir):
+    from ordo.operators.compare import compare_by_query
+    from ordo.operators.ranking import group_rank
+    _, _, na, nb = _experiments(spark, sf_dir)
+    j = compare_by_query(na, nb).withColumn("_all", F.lit(0))
+    # R5 position over all queries: a global order; the range plan keeps it
+    # off a single task when the query list is large.
+    j = group_rank(j, ["_all"], [F.col("diff"), F.col("query_id")], "position")
+    return j.select("query_id", r6("ndcg_a").alias("ndcg_a"), r6("ndcg_b").alias("ndcg_b"),
+                    r6("diff").alias("diff"), "color", "position")
+
+
+@register("compare_by_rank", O.with_ctes(_CMP, select="""
+SELECT a.query_id, a.rank, a.url AS url_a, b.url AS url_b, a.rel AS rating_a, b.rel AS rating_b
+FROM la a JOIN lb b ON a.query_id = b.query_id AND a.rank = b.rank"""))
+def q_compare_by_rank(spark, sf_dir):
+    from ordo.operators.compare import compare_by_rank
+    la, lb, _, _ = _experiments(spark, sf_dir)
+    return compare_by_rank(la, lb)
+
+
+@register("query_set_diff", O.with_ctes(_CMP, select="""
+SELECT query_id, 'a' AS side FROM (SELECT DISTINCT query_id FROM la EXCEPT SELECT DISTINCT query_id FROM lb)
+UNION ALL
+SELECT query_id, 'b' AS side FROM (SELECT DISTINCT query_id FROM lb EXCEPT SELECT DISTINCT query_id FROM la)"""))
+def q_query_set_diff(spark, sf_dir):
+    from ordo.operators.compare import query_set_diff
+    la, lb, _, _ = _experiments(spark, sf_dir)
+    return query_set_diff(la, lb)
+
+
+@register("url_set_diff", O.with_ctes(_CMP, select="""
+SELECT query_id, url, 'a' AS side FROM (SELECT DISTINCT query_id, url FROM la EXCEPT SELECT DISTINCT query_id, url FROM lb)
+UNION ALL
+SELECT query_id, url, 'b' AS side FROM (SELECT DISTINCT query_id, url FROM lb EXCEPT SELECT DISTINCT query_id, url FROM la)"""))
+def q_url_set_diff(spark, sf_dir):
+    from ordo.operators.compare import url_set_diff
+    la, lb, _, _ = _experiments(spark, sf_dir)
+    return url_set_diff(la, lb)
