@@ -692,3 +692,97 @@ def q_url_set_diff(spark, sf_dir):
     from ordo.operators.compare import url_set_diff
     la, lb, _, _ = _experiments(spark, sf_dir)
     return url_set_diff(la, lb)
+
+
+# ------------------------------------------------------------ models (V2 / V4)
+
+@register("regression_moments", O.with_ctes(_FMR, select="SELECT count(*) AS n, " + ", ".join(
+    [r9("sum(rel)") + " AS sy", r9("sum(rel * rel)") + " AS syy"] +
+    [x for i, a in enumerate(_F5) for x in
+     [r9(f"sum({a})") + f" AS s_{a}", r9(f"sum({a} * rel)") + f" AS sy_{a}"] +
+     [r9(f"sum({a} * {b})") + f" AS ss_{a}__{b}" for b in _F5[i:]]]) + " FROM fmr"))
+def q_regression_moments(spark, sf_dir):
+    from ordo.operators.models import regression_moments
+    m = regression_moments(_v2_matrix(spark, sf_dir), _F5, "rel")
+    return m.select(F.col("n").cast("long").alias("n"), *[rn(c).alias(c) for c in m.columns if c != "n"])
+
+
+_STZ = _FMR + [_stats_sql([("avg", "m"), ("stddev_samp", "s")]), "stz AS (SELECT query_id, doc_pos, rel, " + ", ".join(
+    f"CASE WHEN s_{c} IS NULL OR s_{c} = 0 OR isnan(s_{c}) THEN {c} - m_{c} ELSE ({c} - m_{c}) / s_{c} END AS {c}"
+    for c in _FM_COLS) + " FROM fmr, st)",
+    """sv AS (SELECT rel AS grade, CASE WHEN rel >= 1.5 THEN 1.0 ELSE -1.0 END AS coef,
+  [avg(url_w), avg(title_w), avg(body_w), avg(header_w), avg(anchor_w)] AS vec FROM stz GROUP BY rel)""",
+    """kx AS (SELECT z.query_id, z.doc_pos, [z.url_w, z.title_w, z.body_w, z.header_w, z.anchor_w] AS x, s.coef, s.vec FROM stz z, sv s)""",
+    """kd AS (SELECT query_id, doc_pos,
+  sum(coef * list_dot_product(x, vec)) AS dec_linear,
+  sum(coef * pow(0.125 * list_dot_product(x, vec) + 0.0, 3)) AS dec_poly,
+  sum(coef * exp(-0.125 * list_sum(list_transform(list_zip(x, vec), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))) AS dec_rbf,
+  sum(coef * tanh(0.125 * list_dot_product(x, vec) + 0.0)) AS dec_sigmoid
+  FROM kx GROUP BY query_id, doc_pos)"""]
+
+
+def _support_vectors(spark, sf_dir):
+    """Support-vector table derived from data: one centroid per grade of the
+    standardised five-feature matrix, coef +1 for grades >= 1.5, else -1."""
+    from ordo.operators.scale import standardize
+    fm = _v2_matrix(spark, sf_dir).cache()
+    z = standardize(fm, _FM_COLS)
+    sv = z.groupBy(F.col("rel").alias("grade")).agg(
+        F.array(*[F.avg(c) for c in _F5]).alias("vec")).withColumn(
+        "coef", F.when(F.col("grade") >= 1.5, 1.0).otherwise(-1.0))
+    return z.withColumn("x", F.array(*[F.col(c) for c in _F5])), sv
+
+
+@register("kernel_scores", O.with_ctes(_STZ, select="SELECT query_id, doc_pos, " + ", ".join(
+    r9(f"dec_{k}") + f" AS dec_{k}" for k in ("linear", "poly", "rbf", "sigmoid")) + " FROM kd"))
+def q_kernel_scores(spark, sf_dir):
+    from ordo.operators.models import SvmParams, decision_values
+    z, sv = _support_vectors(spark, sf_dir)
+    d = decision_values(z, "x", sv, 0.0, SvmParams().checked(len(_F5)))
+    return d.select("query_id", "doc_pos", *[rn(f"dec_{k}").alias(f"dec_{k}")
+                                             for k in ("linear", "poly", "rbf", "sigmoid")])
+
+
+@register("svm_votes", O.with_ctes(_STZ, select="""
+SELECT query_id, doc_pos, CASE WHEN round(dec_rbf, 12) > 0 THEN 1 ELSE 0 END AS predicted FROM kd"""))
+def q_svm_votes(spark, sf_dir):
+    from ordo.operators.models import SvmParams, decision_values, predict_class
+    z, sv = _support_vectors(spark, sf_dir)
+    d = decision_values(z, "x", sv, 0.0, SvmParams().checked(len(_F5)), kinds=("rbf",))
+    return d.select("query_id", "doc_pos", predict_class(F.round("dec_rbf", 12)).alias("predicted"))
+
+
+@register("linear_weights", O.with_ctes(_STZ, select=f"""
+SELECT j, {r9('w')} AS w FROM (
+  SELECT CAST(i - 1 AS INTEGER) AS j, sum(coef * vec[i]) AS w
+  FROM (SELECT coef, vec, UNNEST(range(1, len(vec) + 1)) AS i FROM sv) GROUP BY i
+  UNION ALL SELECT 5 AS j, -0.0 AS w)"""))
+def q_linear_weights(spark, sf_dir):
+    from ordo.operators.models import linear_weights
+    _, sv = _support_vectors(spark, sf_dir)
+    return linear_weights(sv, 0.0).select(F.col("j").cast("int").alias("j"), rn("w").alias("w"))
+
+
+@register("class_counts", O.with_ctes(O.V4_GRADES, select="""
+SELECT rel, count(*) AS n,
+  row_number() OVER (ORDER BY min((l_orderkey, l_linenumber, l_partkey, l_suppkey))) AS first_seen
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(least(floor(l_quantity / 17), 3) AS DOUBLE) AS rel
+      FROM lineitem) GROUP BY rel"""))
+def q_class_counts(spark, sf_dir):
+    from ordo.operators.models import class_counts
+    g = V.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.least(F.floor(F.col("l_quantity") / 17), F.lit(3)).cast("double").alias("rel"))
+    return class_counts(g, "rel", [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")])
+
+
+@register("fold_table", O.with_ctes(O.V4_GRADES, select="""
+SELECT query_id, l_linenumber, l_partkey, l_suppkey, rel,
+  CAST((row_number() OVER (PARTITION BY rel ORDER BY query_id, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1) % 5 AS INTEGER) AS fold
+FROM grades"""))
+def q_fold_table(spark, sf_dir):
+    from ordo.operators.models import stratified_folds
+    g = V.order_grades(spark, sf_dir)
+    f = stratified_folds(g, "rel", [F.col(c) for c in ("query_id", "l_linenumber", "l_partkey", "l_suppkey",
+                                                         "l_quantity", "l_extendedprice")])
+    return f.select("query_id", "l_linenumber", "l_partkey", "l_suppkey", "rel", "fold")
