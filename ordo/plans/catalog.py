@@ -786,3 +786,114 @@ def q_fold_table(spark, sf_dir):
     f = stratified_folds(g, "rel", [F.col(c) for c in ("query_id", "l_linenumber", "l_partkey", "l_suppkey",
                                                          "l_quantity", "l_extendedprice")])
     return f.select("query_id", "l_linenumber", "l_partkey", "l_suppkey", "rel", "fold")
+
+
+# ------------------------------------------------------------ fitted models and tasks (rows-only)
+
+@register("fit_linear_regression")
+def q_fit_linear_regression(spark, sf_dir):
+    """M2: pointwise least squares on the V2 features; one row per coefficient."""
+    from ordo.operators.models import fit_linear_regression
+    m = fit_linear_regression(_v2_matrix(spark, sf_dir), _F5, "rel")
+    rows = [(c, float(v)) for c, v in zip(_F5, m.coefficients)] + [("intercept", float(m.intercept))]
+    return spark.createDataFrame(rows, "feature string, coef double")
+
+
+@register("fit_pairwise_linear")
+def q_fit_pairwise_linear(spark, sf_dir):
+    """M3 + M4: pairwise linear ranker from the pair moments of standardised features."""
+    from ordo.operators.models import fit_pairwise
+    from ordo.operators.scale import standardize
+    z = standardize(_v2_matrix(spark, sf_dir).cache(), _F5)
+    w = fit_pairwise(z, _F5, "rel")
+    return spark.createDataFrame(list(w.items()), "feature string, coef double")
+
+
+def _split_tasks(spark, sf_dir):
+    c, rels = _v2(spark, sf_dir)
+    return c, rels, c, rels, _page_idf(spark, sf_dir)
+
+
+def _task_out(res):
+    return res.per_query.select("query_id", "n", r6("ndcg").alias("ndcg"))
+
+
+@register("rank_task1")
+def q_rank_task1(spark, sf_dir):
+    from ordo.plans.tasks import task1
+    return _task_out(task1(*_split_tasks(spark, sf_dir)))
+
+
+@register("rank_task2")
+def q_rank_task2(spark, sf_dir):
+    from ordo.plans.tasks import task2
+    return _task_out(task2(*_split_tasks(spark, sf_dir)))
+
+
+@register("rank_task3")
+def q_rank_task3(spark, sf_dir):
+    from ordo.plans.tasks import task3
+    return _task_out(task3(*_split_tasks(spark, sf_dir)))
+
+
+@register("fit_rff_ranker")
+def q_fit_rff_ranker(spark, sf_dir):
+    """M5: task 3 with the RBF kernel approximated by random Fourier features."""
+    from ordo.plans.tasks import task3
+    return _task_out(task3(*_split_tasks(spark, sf_dir), kernel=True))
+
+
+@register("platt")
+def q_platt(spark, sf_dir):
+    """M9: Platt sigmoid (A, B) on the RBF decision values of the grade-centroid SVs."""
+    from ordo.operators.models import SvmParams, decision_values, platt
+    z, sv = _support_vectors(spark, sf_dir)
+    d = decision_values(z, "x", sv, 0.0, SvmParams().checked(len(_F5)), kinds=("rbf",))
+    d = d.withColumn("y", F.when(F.col("rel") >= 1.5, 1).otherwise(0))
+    a, b = platt(d, "dec_rbf", "y")
+    return spark.createDataFrame([(a, b)], "A double, B double")
+
+
+@register("cross_validate")
+def q_cross_validate(spark, sf_dir):
+    """M8 + M2: 5-fold cross-validation by query; mean held-out NDCG per fold."""
+    from ordo.operators.matrix import linear_score, rank_pointwise
+    from ordo.operators.metrics import judged_rows, ndcg_per_query
+    from ordo.operators.models import fit_linear_regression, stratified_folds
+    fm = _v2_matrix(spark, sf_dir).cache()
+    folds = stratified_folds(fm.select("query_id").distinct().withColumn("_one", F.lit(0)), "_one",
+                             [F.col("query_id")], k=5).select("query_id", "fold")
+    fm = fm.join(folds, "query_id").cache()
+    out = []
+    _, rels = _v2(spark, sf_dir)
+    for k in range(5):
+        m = fit_linear_regression(fm.filter(F.col("fold") != k), _F5, "rel")
+        w = dict(zip(_F5, map(float, m.coefficients)))
+        scored = fm.filter(F.col("fold") == k).withColumn("score", linear_score(w))
+        per = ndcg_per_query(judged_rows(rank_pointwise(scored).drop("rel"), rels, ["query_id", "doc_pos"]),
+                             ["query_id"], [F.col("score").desc_nulls_last(), F.col("doc_pos")])
+        out.append(per.agg(F.lit(k).alias("fold"), F.count(F.lit(1)).alias("n_queries"),
+                           F.avg("ndcg").alias("mean_ndcg")))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res
+
+
+@register("report_blocks")
+def q_report_blocks(spark, sf_dir):
+    """S7 -> S8: write task 1's experiment report as text and read it back."""
+    import uuid
+    from ordo.plans.tasks import task1
+    from ordo.session import ensure_checkpoint_dir
+    from ordo.sources.textio import read_report, write_report
+    c, rels, _, _, idf = _split_tasks(spark, sf_dir)
+    res = task1(c, rels, c, rels, idf)
+    rep = (res.ranked.join(rels.select("query_id", "doc_pos", "query", "url", F.col("rel").alias("rating")),
+                           ["query_id", "doc_pos"])
+           .join(res.per_query.select("query_id", "ndcg"), "query_id")
+           .join(c.select("query_id", "doc_pos", "title", "page_rank"), ["query_id", "doc_pos"])
+           .withColumn("debug", F.concat(F.lit("Pagerank: "), F.col("page_rank").cast("string"))))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
+    write_report(rep, path)
+    return read_report(spark, path)
