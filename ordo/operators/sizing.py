@@ -32,3 +32,14 @@ def broadcast_if_small(df: DataFrame, bound_rows: int | None = None,
 def row_count(df: DataFrame) -> int:
     """Row count of a *scan* (parquet answers from footers); do not call on derived plans."""
     return df.count()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over all cores when it has fewer input partitions
+    than the default parallelism (few large row groups), before CPU-heavy
+    per-row work such as tokenising. On a cluster reading many files the
+    input splits already outnumber the cores and this is a no-op."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordo.functions.text import alnum_tokens
-from ordo.operators.sizing import broadcast_if_small
+from ordo.operators.sizing import broadcast_if_small, spread
 
 # Fixed view parameters.
 QUERY_EVERY = 5            # one query per page with page_id % 5 == 0
@@ -36,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
+    """A text-bearing table pruned to ``cols`` and spread over all cores."""
+    return spread(table(spark, sf_dir, name).select(*cols))
+
+
 def _count_map(arr):
     """Array of strings -> map string -> occurrences (per-row, no shuffle)."""
     return F.map_from_entries(F.transform(
@@ -48,7 +53,7 @@ def page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.col("html")
     anchors = F.regexp_extract_all(html, F.lit(r"(?is)<a [^>]*>(.*?)</a>"), F.lit(1))
     body = alnum_tokens(F.regexp_replace(html, "<[^>]*>", " "))
-    return (table(spark, sf_dir, "pages")
+    return (text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
             .select("page_id", "url",
                     F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1).alias("title"),
                     F.regexp_extract_all(html, F.lit(r"(?is)<h1>(.*?)</h1>"), F.lit(1)).alias("headers"),
@@ -98,9 +103,18 @@ def page_ranking(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, pos, token) for every token of every document."""
-    return (table(spark, sf_dir, "documents")
-            .select("doc_id", F.posexplode(alnum_tokens(F.col("text"))).alias("pos", "token")))
+    """(doc_id, source, body_length, pos, token) for every token of every document.
+
+    The document's length and source ride along each posting (same projection
+    as the tokeniser), so later steps need no second pass over the text.
+    """
+    # Length first, explode second: an expression listed beside a generator is
+    # evaluated after it, once per generated row, which would re-tokenise the
+    # document for every token.
+    return (text_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
+            .select("doc_id", "source", alnum_tokens(F.col("text")).alias("toks"))
+            .withColumn("body_length", F.size("toks"))
+            .select("doc_id", "source", "body_length", F.posexplode("toks").alias("pos", "token")))
 
 
 def doc_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +124,7 @@ def doc_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     with map-side partial aggregation, so a token present in every document
     costs one partial row per task, not one row per occurrence.
     """
-    return (table(spark, sf_dir, "documents")
+    return (text_table(spark, sf_dir, "documents", ["text"])
             .select(F.explode(F.array_distinct(alnum_tokens(F.col("text")))).alias("token"))
             .groupBy("token").agg(F.count(F.lit(1)).alias("df")))
 
@@ -145,14 +159,12 @@ def doc_retrieval(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     bound = QUERY_TERMS * table(spark, sf_dir, "benchmark").count()
     hits = (posts.join(broadcast_if_small(terms.select("query_id", "term"), bound),
                        posts.token == F.col("term"))
-            .groupBy("query_id", "doc_id", "term")
+            # source and body_length depend on doc_id only: grouping keys, not aggregates
+            .groupBy("query_id", "doc_id", "source", "body_length", "term")
             .agg(F.array_sort(F.collect_list("pos")).alias("positions"))
-            .groupBy("query_id", "doc_id")
+            .groupBy("query_id", "doc_id", "source", "body_length")
             .agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("body_hits")))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id", "source",
-        F.size(alnum_tokens(F.col("text"))).alias("body_length"))
-    cands = (hits.join(queries, "query_id").join(docs, "doc_id")
+    cands = (hits.join(queries, "query_id")
              .select("query_id", "query", F.col("doc_id").cast("int").alias("doc_pos"),
                      F.concat(F.lit("http://corpus/"), F.col("source"), F.lit("/"),
                               F.col("doc_id").cast("string")).alias("url"),
