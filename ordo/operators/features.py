@@ -52,9 +52,15 @@ def query_vector(terms: DataFrame, idf: DataFrame, sublinear: bool = True,
                     (tf * F.coalesce(F.col("idf"), F.lit(unseen))).alias("qv"))
 
 
-def attach_query_terms(cands: DataFrame, idf: DataFrame, sublinear: bool = True) -> DataFrame:
-    """Candidates + ``qterms`` array<struct<word, m, idf, qv>> (one join on query_id)."""
-    qv = query_vector(query_terms(query_table(cands)), idf, sublinear)
+def attach_query_terms(cands: DataFrame, idf: DataFrame, sublinear: bool = True,
+                       queries: DataFrame | None = None) -> DataFrame:
+    """Candidates + ``qterms`` array<struct<word, m, idf, qv>> (one join on query_id).
+
+    ``queries(query_id, query)`` should come from the source's own query list;
+    deriving it from ``cands`` (the fallback) re-evaluates the candidate plan.
+    """
+    q = queries if queries is not None else query_table(cands)
+    qv = query_vector(query_terms(q), idf, sublinear)
     per_query = qv.groupBy("query_id").agg(
         F.collect_list(F.struct("word", "m", "idf", "qv")).alias("qterms"))
     return cands.join(per_query, "query_id")
@@ -62,14 +68,14 @@ def attach_query_terms(cands: DataFrame, idf: DataFrame, sublinear: bool = True)
 
 def with_tokens(cands: DataFrame) -> DataFrame:
     """Materialise the field token arrays once per candidate row."""
-    return (cands
-            .withColumn("_url_toks", TX.url_tokens(F.col("url")))
-            .withColumn("_title_toks", TX.title_tokens(F.col("title")))
-            .withColumn("_header_toks", TX.header_tokens(F.col("headers")))
-            .withColumn("_anchor_entries", F.coalesce(
-                F.transform(F.map_entries(F.col("anchors")), lambda kv: F.struct(
-                    TX.jsplit(kv["key"], " ").alias("toks"), kv["value"].alias("n"))),
-                F.array().cast("array<struct<toks:array<string>,n:int>>"))))
+    return cands.withColumns({
+        "_url_toks": TX.url_tokens(F.col("url")),
+        "_title_toks": TX.title_tokens(F.col("title")),
+        "_header_toks": TX.header_tokens(F.col("headers")),
+        "_anchor_entries": F.coalesce(
+            F.transform(F.map_entries(F.col("anchors")), lambda kv: F.struct(
+                TX.jsplit(kv["key"], " ").alias("toks"), kv["value"].alias("n"))),
+            F.array().cast("array<struct<toks:array<string>,n:int>>"))})
 
 
 def _count(arr: Column, w: Column) -> Column:
@@ -115,9 +121,9 @@ def anchor_counts(docs: DataFrame, keys=("query_id", "doc_pos")) -> DataFrame:
             .groupBy(*keys, "token").agg(F.sum("n").alias("count")))
 
 
-def field_tf(cands: DataFrame, idf: DataFrame) -> DataFrame:
+def field_tf(cands: DataFrame, idf: DataFrame, queries: DataFrame | None = None) -> DataFrame:
     """P7 as a long table: (query_id, doc_pos, word, m, url_tf, title_tf, body_tf, header_tf, anchor_tf)."""
-    c = with_tokens(attach_query_terms(cands, idf))
+    c = with_tokens(attach_query_terms(cands, idf, queries=queries))
     c = c.select("*", F.explode("qterms").alias("e"))
     w, m = F.col("e.word"), F.col("e.m")
     return c.select("query_id", "doc_pos", w.alias("word"), m.cast("long").alias("m"),
@@ -125,13 +131,13 @@ def field_tf(cands: DataFrame, idf: DataFrame) -> DataFrame:
 
 
 def feature_vector(cands: DataFrame, idf: DataFrame, smoothing: float = TX.BODY_SMOOTHING_FEATURES,
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+                   keep: tuple[str, ...] = (), queries: DataFrame | None = None) -> DataFrame:
     """P10 + P11: five-field tf-idf vector per candidate.
 
     feature_f = sum over query words (with repeats) of tf_f / (len + 2500)^m * qv,
     i.e. sum over distinct words of m * tf_f / (len + 2500)^m * qv.
     """
-    c = with_tokens(attach_query_terms(cands, idf))
+    c = with_tokens(attach_query_terms(cands, idf, queries=queries))
     norm = F.col("body_length").cast("double") + smoothing
     def summand(f):
         return lambda acc, e: acc + e["m"] * raw_tf(f, e["word"], e["m"]) / F.pow(norm, e["m"]) * e["qv"]

@@ -32,15 +32,19 @@ def _feature_cols(smoothing: float = TX.BODY_SMOOTHING_FEATURES) -> list[Column]
 
 
 def feature_matrix(cands: DataFrame, idf: DataFrame, extras: Sequence[str] = DEFAULT_EXTRAS,
-                   keep: Sequence[str] = ()) -> DataFrame:
+                   keep: Sequence[str] = (), queries: DataFrame | None = None) -> DataFrame:
     """P25: (query_id, doc_pos, keep..., url_w..anchor_w, extras...)."""
-    p = SC.prepare(cands, idf)
+    p = SC.prepare(cands, idf, queries)
     if "bm25" in extras:
         p = SC.with_bm25_lengths(p)
+    if "smallest_window" in extras:
+        # window and field score once per row as columns; the boost refers to
+        # the window four times and lambdas are not de-duplicated by the optimizer
+        p = p.withColumns({"_win": SC.doc_window_col(), "_fs": SC.field_score_col()})
     cols = _feature_cols()
     extra_cols = {
         "bm25": lambda: SC.bm25_score_col(),
-        "smallest_window": lambda: SC.boost_col(SC.doc_window_col()) * SC.field_score_col(),
+        "smallest_window": lambda: SC.boost_col(F.col("_win")) * F.col("_fs"),
         "page_rank": lambda: F.col("page_rank").cast("double"),
         "is_pdf": lambda: TX.is_pdf(F.col("url")),
         "has_tilda": lambda: TX.has_tilde(F.col("url")),

@@ -48,8 +48,8 @@ def field_score_col() -> Column:
                        lambda acc, e: acc + e["m"] * e["m"] * scorer_idf(e) * _section_sum(e))
 
 
-def prepare(cands: DataFrame, idf: DataFrame) -> DataFrame:
-    return with_tokens(attach_query_terms(cands, idf))
+def prepare(cands: DataFrame, idf: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    return with_tokens(attach_query_terms(cands, idf, queries=queries))
 
 
 # ------------------------------------------------------------------ BM25F

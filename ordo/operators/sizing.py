@@ -40,6 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     per-row work such as tokenising. On a cluster reading many files the
     input splits already outnumber the cores and this is a no-op."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    key = (tuple(df.inputFiles()), want)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    if _SPLITS[key] < want:
         return df.repartition(want)
     return df
+
+
+_SPLITS: dict = {}   # input files -> number of scan partitions (planning probe, memoised)

@@ -228,7 +228,7 @@ def q_body_counts(spark, sf_dir):
 def _v2_prepared(spark, sf_dir):
     from ordo.operators.features import attach_query_terms, with_tokens
     c, _ = _v2(spark, sf_dir)
-    return with_tokens(attach_query_terms(c, _page_idf(spark, sf_dir)))
+    return with_tokens(attach_query_terms(c, _page_idf(spark, sf_dir), queries=V.page_query_table(spark, sf_dir)))
 
 
 _V2F = O.page_idf() + O.V2_RANKING + O.feature_ctes("cands", "pidf")
@@ -242,7 +242,7 @@ _TF_COLS = ", ".join(f"{r9(f + '_tf')} AS {f}_tf" for f in O.FIELDS)
 def q_field_tf(spark, sf_dir):
     from ordo.operators.features import FIELDS, field_tf
     c, _ = _v2(spark, sf_dir)
-    t = field_tf(c, _page_idf(spark, sf_dir))
+    t = field_tf(c, _page_idf(spark, sf_dir), queries=V.page_query_table(spark, sf_dir))
     return t.select("query_id", "doc_pos", "word", "m", *[rn(f"{f}_tf").alias(f"{f}_tf") for f in FIELDS])
 
 
@@ -273,7 +273,7 @@ def _feature_sql(cte_list):
 def q_feature_vector(spark, sf_dir):
     from ordo.operators.features import FEATURE_NAMES, feature_vector
     c, _ = _v2(spark, sf_dir)
-    f = feature_vector(c, _page_idf(spark, sf_dir))
+    f = feature_vector(c, _page_idf(spark, sf_dir), queries=V.page_query_table(spark, sf_dir))
     return f.select("query_id", "doc_pos", *[rn(n).alias(n) for n in FEATURE_NAMES])
 
 
@@ -281,7 +281,7 @@ def q_feature_vector(spark, sf_dir):
 def q_feature_vector_docs(spark, sf_dir):
     from ordo.operators.features import FEATURE_NAMES, feature_vector
     c, _ = V.doc_retrieval(spark, sf_dir)
-    f = feature_vector(c, _doc_idf(spark, sf_dir))
+    f = feature_vector(c, _doc_idf(spark, sf_dir), queries=V.doc_query_table(spark, sf_dir))
     return f.select("query_id", "doc_pos", *[rn(n).alias(n) for n in FEATURE_NAMES])
 
 
@@ -371,7 +371,8 @@ SELECT query_id, doc_pos, {r9(O.boost(O.doc_window(_WORDS), _K))} AS boost FROM
 def q_window_boost(spark, sf_dir):
     from ordo.operators.scorers import boost_col, doc_window_col
     c, _ = _v2(spark, sf_dir)
-    return c.select("query_id", "doc_pos", rn(boost_col(doc_window_col())).alias("boost"))
+    c = c.withColumn("_win", doc_window_col())
+    return c.select("query_id", "doc_pos", rn(boost_col(F.col("_win"))).alias("boost"))
 
 
 _WS_SQL = f"""{O.boost(O.doc_window('lower_query_words'), 'len(list_distinct(lower_query_words))')}"""
@@ -384,9 +385,9 @@ _WS_SQL = f"""{O.boost(O.doc_window('lower_query_words'), 'len(list_distinct(low
 FROM cands c JOIN fs ON c.query_id = fs.query_id AND c.doc_pos = fs.doc_pos"""))
 def q_window_score(spark, sf_dir):
     from ordo.operators.scorers import boost_col, doc_window_col, field_score_col
-    p = _v2_prepared(spark, sf_dir)
+    p = _v2_prepared(spark, sf_dir).withColumn("_win", doc_window_col())
     return p.select("query_id", "doc_pos",
-                    rn(boost_col(doc_window_col()) * field_score_col()).alias("window_score"))
+                    rn(boost_col(F.col("_win")) * field_score_col()).alias("window_score"))
 
 
 # ------------------------------------------------------------ matrix, ranking, evaluation
@@ -422,16 +423,19 @@ _V3FM = _fm_sql_ctes(_V3F, "cands3", "rels3")
 _FM_COLS = ["url_w", "title_w", "body_w", "header_w", "anchor_w", "smallest_window", "is_pdf", "has_tilda"]
 
 
-def _scored(cands, idf):
+def _scored(cands, idf, queries=None):
+    """Feature matrix + fixed linear score, materialised once: the group-size
+    check, the rank and the NDCG all read it instead of re-deriving features."""
     from ordo.operators.matrix import feature_matrix
-    fm = feature_matrix(cands, idf)
+    from ordo.session import materialize
+    fm = feature_matrix(cands, idf, queries=queries)
     s = F.col("url_w") + F.col("title_w") + F.col("body_w") + F.col("header_w") + F.col("anchor_w")
-    return fm.withColumn("score", F.round(s, 12))
+    return materialize(fm.withColumn("score", F.round(s, 12)))
 
 
-def _ndcg_of(ranked, rels):
+def _ndcg_of(ranked, rels, keys=("query_id", "doc_pos")):
     from ordo.operators.metrics import judged_rows, ndcg_per_query
-    j = judged_rows(ranked, rels, ["query_id", "doc_pos"])
+    j = judged_rows(ranked, rels, list(keys))
     return ndcg_per_query(j, ["query_id"], [F.col("score").desc_nulls_last(), F.col("doc_pos")])
 
 
@@ -441,7 +445,7 @@ def _ndcg_of(ranked, rels):
 def q_feature_matrix(spark, sf_dir):
     from ordo.operators.matrix import feature_matrix
     c, rels = _v2(spark, sf_dir)
-    fm = feature_matrix(c, _page_idf(spark, sf_dir))
+    fm = feature_matrix(c, _page_idf(spark, sf_dir), queries=V.page_query_table(spark, sf_dir))
     fm = fm.join(rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"])
     return fm.select("query_id", "doc_pos", *[rn(x).alias(x) for x in _FM_COLS], "rel")
 
@@ -451,7 +455,7 @@ SELECT query_id, doc_pos, rank, {r9('score')} AS score FROM rk"""))
 def q_rank_pointwise(spark, sf_dir):
     from ordo.operators.matrix import rank_pointwise
     c, _ = _v2(spark, sf_dir)
-    r = rank_pointwise(_scored(c, _page_idf(spark, sf_dir)))
+    r = rank_pointwise(_scored(c, _page_idf(spark, sf_dir), V.page_query_table(spark, sf_dir)))
     return r.select("query_id", "doc_pos", "rank", rn("score").alias("score"))
 
 
@@ -463,14 +467,14 @@ _NDCG_SELECT = f"""SELECT query_id, n, {O.r6('dcg')} AS dcg, {O.r6('idcg')} AS i
 def q_rank_and_evaluate(spark, sf_dir):
     """Flagship: features -> fixed linear score -> rank -> NDCG per query (V2)."""
     c, rels = _v2(spark, sf_dir)
-    out = _ndcg_of(_scored(c, _page_idf(spark, sf_dir)), rels)
+    out = _ndcg_of(_scored(c, _page_idf(spark, sf_dir), V.page_query_table(spark, sf_dir)), rels)
     return out.select("query_id", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"))
 
 
 @register("ndcg_docs", O.with_ctes(_V3FM, select=_NDCG_SELECT))
 def q_ndcg_docs(spark, sf_dir):
     c, rels = V.doc_retrieval(spark, sf_dir)
-    out = _ndcg_of(_scored(c, _doc_idf(spark, sf_dir)), rels)
+    out = _ndcg_of(_scored(c, _doc_idf(spark, sf_dir), V.doc_query_table(spark, sf_dir)), rels, ["doc_pos"])
     return out.select("query_id", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"))
 
 
@@ -482,8 +486,8 @@ def q_mean_ndcg_docs(spark, sf_dir):
     """A2 with queries that have no judged document counted as 0 (V3)."""
     from ordo.operators.metrics import mean_ndcg
     c, rels = V.doc_retrieval(spark, sf_dir)
-    scored = _scored(c, _doc_idf(spark, sf_dir))
-    m = mean_ndcg(_ndcg_of(scored, rels), ranked_queries=scored)
+    scored = _scored(c, _doc_idf(spark, sf_dir), V.doc_query_table(spark, sf_dir))
+    m = mean_ndcg(_ndcg_of(scored, rels, ["doc_pos"]), ranked_queries=scored)
     return m.select("n_queries", r6("mean_ndcg").alias("mean_ndcg"))
 
 
@@ -493,7 +497,7 @@ WHERE NOT EXISTS (SELECT 1 FROM rels3 r WHERE r.query_id = c.query_id AND r.doc_
 def q_unjudged_urls(spark, sf_dir):
     from ordo.operators.metrics import unjudged_rows
     c, rels = V.doc_retrieval(spark, sf_dir)
-    return unjudged_rows(c.select("query_id", "doc_pos", "url"), rels, ["query_id", "doc_pos"])
+    return unjudged_rows(c.select("query_id", "doc_pos", "url"), rels, ["doc_pos"])
 
 
 # ------------------------------------------------------------ scaling (V2 feature matrix)
@@ -501,10 +505,11 @@ def q_unjudged_urls(spark, sf_dir):
 def _v2_matrix(spark, sf_dir, with_rel=True):
     from ordo.operators.matrix import feature_matrix
     c, rels = _v2(spark, sf_dir)
-    fm = feature_matrix(c, _page_idf(spark, sf_dir))
+    from ordo.session import materialize
+    fm = feature_matrix(c, _page_idf(spark, sf_dir), queries=V.page_query_table(spark, sf_dir))
     if with_rel:
         fm = fm.join(rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"])
-    return fm
+    return materialize(fm)
 
 
 _FMR = _V2FM + ["""fmr AS (SELECT f.*, r.rel FROM fm f JOIN rels r ON f.query_id = r.query_id AND f.doc_pos = r.doc_pos)"""]
@@ -521,7 +526,7 @@ def _stats_sql(fn_pairs):
         + f" AS {c}" for c in _FM_COLS) + " FROM fmr, st")))
 def q_standardized(spark, sf_dir):
     from ordo.operators.scale import standardize
-    fm = _v2_matrix(spark, sf_dir).cache()
+    fm = _v2_matrix(spark, sf_dir)
     return standardize(fm, _FM_COLS).select("query_id", "doc_pos", *[rn(c).alias(c) for c in _FM_COLS])
 
 
@@ -530,7 +535,7 @@ def q_standardized(spark, sf_dir):
         r9(f"coalesce({c}, m_{c})") + f" AS {c}" for c in _FM_COLS) + " FROM fmr, st")))
 def q_imputed(spark, sf_dir):
     from ordo.operators.scale import impute_mean
-    fm = _v2_matrix(spark, sf_dir).cache()
+    fm = _v2_matrix(spark, sf_dir)
     return impute_mean(fm, _FM_COLS).select("query_id", "doc_pos", *[rn(c).alias(c) for c in _FM_COLS])
 
 
@@ -540,7 +545,7 @@ def q_imputed(spark, sf_dir):
         + f" AS {c}" for c in _FM_COLS) + " FROM fmr, st")))
 def q_minmax(spark, sf_dir):
     from ordo.operators.scale import minmax
-    fm = _v2_matrix(spark, sf_dir).cache()
+    fm = _v2_matrix(spark, sf_dir)
     return minmax(fm, _FM_COLS).select("query_id", "doc_pos", *[rn(c).alias(c) for c in _FM_COLS])
 
 
@@ -583,7 +588,7 @@ FROM sc a JOIN sc b ON a.query_id = b.query_id GROUP BY a.query_id, a.doc_pos"""
 def q_pair_wins(spark, sf_dir):
     from ordo.operators.pairs import pair_wins
     c, _ = _v2(spark, sf_dir)
-    return pair_wins(_scored(c, _page_idf(spark, sf_dir))).select("query_id", "doc_pos", "wins")
+    return pair_wins(_scored(c, _page_idf(spark, sf_dir), V.page_query_table(spark, sf_dir))).select("query_id", "doc_pos", "wins")
 
 
 @register("rank_pairwise", O.with_ctes(_V2FM, """w AS (
@@ -595,7 +600,7 @@ SELECT query_id, doc_pos, wins,
 def q_rank_pairwise(spark, sf_dir):
     from ordo.operators.pairs import rank_pairwise
     c, _ = _v2(spark, sf_dir)
-    return rank_pairwise(_scored(c, _page_idf(spark, sf_dir))).select("query_id", "doc_pos", "wins", "rank")
+    return rank_pairwise(_scored(c, _page_idf(spark, sf_dir), V.page_query_table(spark, sf_dir))).select("query_id", "doc_pos", "wins", "rank")
 
 
 # ------------------------------------------------------------ experiment comparison (V2)
@@ -626,7 +631,7 @@ def _experiments(spark, sf_dir):
     from ordo.operators.scorers import field_score_col
     c, rels = _v2(spark, sf_dir)
     idf = _page_idf(spark, sf_dir)
-    ra = rank_pointwise(_scored(c, idf))
+    ra = rank_pointwise(_scored(c, idf, V.page_query_table(spark, sf_dir)))
     fs = _v2_prepared(spark, sf_dir).select("query_id", "doc_pos", F.round(field_score_col(), 12).alias("score"))
     rb = rank_pointwise(fs)
     rsel = rels.select("query_id", "doc_pos", "url", "rel")
@@ -725,7 +730,7 @@ def _support_vectors(spark, sf_dir):
     """Support-vector table derived from data: one centroid per grade of the
     standardised five-feature matrix, coef +1 for grades >= 1.5, else -1."""
     from ordo.operators.scale import standardize
-    fm = _v2_matrix(spark, sf_dir).cache()
+    fm = _v2_matrix(spark, sf_dir)
     z = standardize(fm, _FM_COLS)
     sv = z.groupBy(F.col("rel").alias("grade")).agg(
         F.array(*[F.avg(c) for c in _F5]).alias("vec")).withColumn(
@@ -804,7 +809,7 @@ def q_fit_pairwise_linear(spark, sf_dir):
     """M3 + M4: pairwise linear ranker from the pair moments of standardised features."""
     from ordo.operators.models import fit_pairwise
     from ordo.operators.scale import standardize
-    z = standardize(_v2_matrix(spark, sf_dir).cache(), _F5)
+    z = standardize(_v2_matrix(spark, sf_dir), _F5)
     w = fit_pairwise(z, _F5, "rel")
     return spark.createDataFrame(list(w.items()), "feature string, coef double")
 
@@ -860,7 +865,7 @@ def q_cross_validate(spark, sf_dir):
     from ordo.operators.matrix import linear_score, rank_pointwise
     from ordo.operators.metrics import judged_rows, ndcg_per_query
     from ordo.operators.models import fit_linear_regression, stratified_folds
-    fm = _v2_matrix(spark, sf_dir).cache()
+    fm = _v2_matrix(spark, sf_dir)
     folds = stratified_folds(fm.select("query_id").distinct().withColumn("_one", F.lit(0)), "_one",
                              [F.col("query_id")], k=5).select("query_id", "fold")
     fm = fm.join(folds, "query_id").cache()

@@ -23,6 +23,7 @@ from ordo.operators import scale
 from ordo.operators.matrix import DEFAULT_EXTRAS, feature_matrix, feature_names, linear_score, rank_pointwise
 from ordo.operators.metrics import judged_rows, mean_ndcg, ndcg_per_query
 from ordo.operators.models import fit_linear_regression, fit_pairwise, rff_columns
+from ordo.session import materialize
 
 
 @dataclass
@@ -43,11 +44,11 @@ def _evaluate(scored: DataFrame, rels: DataFrame) -> tuple[DataFrame, DataFrame,
 def task1(train: DataFrame, train_rels: DataFrame, test: DataFrame, test_rels: DataFrame,
           idf: DataFrame) -> RankResult:
     cols = feature_names(())
-    fm_tr = feature_matrix(train, idf, extras=()).join(train_rels.select("query_id", "doc_pos", "rel"),
-                                                      ["query_id", "doc_pos"])
+    fm_tr = materialize(feature_matrix(train, idf, extras=()).join(
+        train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
     model = fit_linear_regression(fm_tr, cols, "rel")
     w = dict(zip(cols, map(float, model.coefficients)))
-    fm_te = feature_matrix(test, idf, extras=())
+    fm_te = materialize(feature_matrix(test, idf, extras=()))
     scored = fm_te.withColumn("score", linear_score(w) + F.lit(float(model.intercept)))
     ranked, per, mean = _evaluate(scored, test_rels)
     return RankResult(ranked, per, mean, {**w, "intercept": float(model.intercept)})
@@ -56,9 +57,9 @@ def task1(train: DataFrame, train_rels: DataFrame, test: DataFrame, test_rels: D
 def _pairwise(train, train_rels, test, test_rels, idf, extras, kernel: bool, n_components: int = 16,
               gamma: float = 0.125, seed: int = 1) -> RankResult:
     cols = feature_names(extras)
-    fm_tr = feature_matrix(train, idf, extras=extras).join(
-        train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]).cache()
-    fm_te = feature_matrix(test, idf, extras=extras)
+    fm_tr = materialize(feature_matrix(train, idf, extras=extras).join(
+        train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
+    fm_te = materialize(feature_matrix(test, idf, extras=extras))
     if extras:
         means = scale.fit_means(fm_tr, cols)
         fill = {c: (m if m is not None else 0.0) for c, m in means.items()}

@@ -56,3 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
     return cur
+
+
+def materialize(df):
+    """Cut lineage at an expensive intermediate that several consumers read
+    (e.g. the feature matrix: group-size check, rank, NDCG). Writes it once to
+    the shared ``spark.checkpoint.dir`` (reliable, survives executor loss;
+    never ``localCheckpoint``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

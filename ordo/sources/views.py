@@ -145,6 +145,19 @@ def benchmark_terms(spark: SparkSession, sf_dir: str, dfs: DataFrame | None = No
             .select("query_id", "term", "term_rank"))
 
 
+def page_query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 (query_id, query) straight from the pages (no candidate join)."""
+    return page_queries(page_docs(spark, sf_dir))
+
+
+def doc_query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V3 (query_id, query): the query terms of each benchmark item in rank order."""
+    terms = benchmark_terms(spark, sf_dir)
+    return (terms.groupBy("query_id")
+            .agg(F.array_sort(F.collect_list(F.struct("term_rank", "term"))).alias("t"))
+            .select("query_id", F.concat_ws(" ", F.col("t.term")).alias("query")))
+
+
 def doc_retrieval(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """V3: (candidates, rels) — documents holding any query term of a benchmark item."""
     dfs = doc_frequencies(spark, sf_dir)
@@ -173,10 +186,10 @@ def doc_retrieval(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
                      "body_hits", "body_length",
                      (F.col("doc_id") % 10).cast("int").alias("page_rank"),
                      F.lit(None).cast("map<string,int>").alias("anchors")))
-    labels = table(spark, sf_dir, "labels").select(
-        "doc_id", F.col("quality").cast("double").alias("rel"))
-    rels = (cands.select("query_id", "query", "doc_pos", "url")
-            .join(labels, F.col("doc_pos") == labels.doc_id).drop("doc_id"))
+    # A label grades the document for every query: judgements are keyed by
+    # the document alone and never re-derive the candidate plan.
+    rels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").cast("int").alias("doc_pos"), F.col("quality").cast("double").alias("rel"))
     return cands, rels
 
 
