@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordo.operators.ranking import group_rank
+
 
 def grade_moments(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel",
                   second_order: bool = False) -> DataFrame:
@@ -87,17 +89,25 @@ def pair_gram(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel") -> DataF
     return per.agg(*[F.sum(c).alias(c) for c in per.columns])
 
 
-def pair_wins(scored: DataFrame, score_col: str = "score") -> DataFrame:
+def pair_wins(scored: DataFrame, score_col: str = "score", strategy: str = "auto") -> DataFrame:
     """J6 + A11 for a linear model: wins(d) = documents of the query scored
-    strictly lower than d (the comparator's positive outcomes), via rank()."""
-    w = Window.partitionBy("query_id").orderBy(F.col(score_col).asc_nulls_first())
-    return scored.withColumn("wins", (F.rank().over(w) - 1).cast("long"))
+    strictly lower than d (the comparator's positive outcomes).
+
+    wins = (position by score ascending) - (position among equal scores):
+    two ``group_rank`` numberings, so a query holding a third of all rows —
+    or a score shared by most of them — is numbered by the skew-safe plan.
+    NULL scores sort first and tie with each other.
+    """
+    s = F.col(score_col)
+    r = group_rank(scored, ["query_id"], [s.asc_nulls_first(), F.col("doc_pos")], "_up", strategy)
+    r = r.withColumn("_score_key", s)
+    r = group_rank(r, ["query_id", "_score_key"], [F.col("doc_pos")], "_tie", strategy)
+    return r.withColumn("wins", (F.col("_up") - F.col("_tie")).cast("long")).drop("_up", "_tie", "_score_key")
 
 
-def rank_pairwise(scored: DataFrame, score_col: str = "score") -> DataFrame:
+def rank_pairwise(scored: DataFrame, score_col: str = "score", strategy: str = "auto") -> DataFrame:
     """R2: order by wins desc, then decision value desc, then doc_pos. A query
     with a single document keeps it at rank 1."""
-    won = pair_wins(scored, score_col)
-    w = Window.partitionBy("query_id").orderBy(F.col("wins").desc(), F.col(score_col).desc_nulls_last(),
-                                               F.col("doc_pos"))
-    return won.withColumn("rank", F.row_number().over(w).cast("long"))
+    won = pair_wins(scored, score_col, strategy)
+    return group_rank(won, ["query_id"], [F.col("wins").desc(), F.col(score_col).desc_nulls_last(),
+                                          F.col("doc_pos")], "rank", strategy)

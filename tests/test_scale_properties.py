@@ -61,3 +61,20 @@ def test_ndcg_invariant_to_partitioning(spark):
     for k in ra:
         assert ra[k] == pytest.approx(rb[k], abs=1e-12)
         assert 0.0 <= ra[k] <= 1.0 + 1e-12
+
+
+@pytest.mark.parametrize("strategy", ["window", "range"])
+def test_pair_wins_match_brute_force(spark, strategy):
+    from ordo.operators.pairs import pair_wins, rank_pairwise
+    random.seed(11)
+    rows = [(0, d, random.choice([0.0, 0.5, 1.0, None]) if d % 7 else 0.0) for d in range(500)]
+    rows += [(q, d, random.choice([0.1, 0.2, None])) for q in range(1, 40) for d in range(random.randint(1, 6))]
+    df = spark.createDataFrame(rows, "query_id long, doc_pos long, score double")
+    got = {(r["query_id"], r["doc_pos"]): r["wins"] for r in pair_wins(df, strategy=strategy).collect()}
+    for q, d, s in rows:
+        lower = sum(1 for q2, d2, s2 in rows if q2 == q and (
+            (s2 is None and s is not None) or (s2 is not None and s is not None and s2 < s)))
+        assert got[(q, d)] == lower
+    ranks = rank_pairwise(df, strategy=strategy).groupBy("query_id").agg(
+        F.countDistinct("rank").alias("k"), F.count("*").alias("n")).collect()
+    assert all(r["k"] == r["n"] for r in ranks)
