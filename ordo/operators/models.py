@@ -71,8 +71,9 @@ def fit_linear_regression(fm: DataFrame, cols: Sequence[str], label: str):
     """M2: least squares with intercept (normal equations, no regularisation)."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
-    data = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(
-        fm.select(*cols, F.col(label).cast("double").alias("label")))
+    # training rows without a target value are dropped
+    rows = fm.select(*cols, F.col(label).cast("double").alias("label")).dropna(subset=["label"])
+    data = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep").transform(rows)
     return LinearRegression(solver="normal", regParam=0.0, standardization=False).fit(data)
 
 

@@ -902,3 +902,72 @@ def q_report_blocks(spark, sf_dir):
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
     write_report(rep, path)
     return read_report(spark, path)
+
+
+# ------------------------------------------------------------ word vectors (embeddings + documents)
+
+def _embedding_vocab(spark, sf_dir):
+    """``embeddings`` rows as word vectors: vec_id 0 is ``*UNK*``, vec_id k >= 1
+    the k-th corpus term by document frequency (desc, then term)."""
+    from ordo.operators.ranking import group_rank
+    dfs = V.doc_frequencies(spark, sf_dir).withColumn("_all", F.lit(0))
+    voc = group_rank(dfs, ["_all"], [F.col("df").desc(), F.col("token")], "k").select(
+        F.col("token").alias("word"), "k")
+    e = V.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    j = e.join(voc, e.vec_id == voc.k, "left")
+    return j.select(F.when(F.col("vec_id") == 0, F.lit("*UNK*")).otherwise(F.col("word")).alias("word"), "vec") \
+        .filter(F.col("word").isNotNull())
+
+
+@register("embedding_lookup", O.with_ctes(O.V3_RETRIEVAL[:2], f"""vocab AS (
+  SELECT token AS word, row_number() OVER (ORDER BY df DESC, token) AS k FROM dfs)""",
+    """vecs AS (
+  SELECT CASE WHEN e.vec_id = 0 THEN '*UNK*' ELSE v.word END AS word,
+         list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)) AS vec
+  FROM embeddings e LEFT JOIN vocab v ON v.k = e.vec_id)""",
+    f"""bw AS (SELECT DISTINCT item_id AS query_id, UNNEST({O.alnum('text')}) AS term FROM benchmark)""",
+    select=f"""
+SELECT bw.query_id, bw.term, v.word IS NOT NULL AS in_vocab,
+  CAST(len(coalesce(v.vec, u.vec)) AS INTEGER) AS dim,
+  {r9("list_reduce(coalesce(v.vec, u.vec), lambda a, x: a + x, 0.0::DOUBLE)")} AS vec_sum
+FROM bw LEFT JOIN (SELECT * FROM vecs WHERE word IS NOT NULL) v ON v.word = bw.term
+CROSS JOIN (SELECT vec FROM vecs WHERE word = '*UNK*') u"""))
+def q_embedding_lookup(spark, sf_dir):
+    """P27 + J8: every distinct word of each benchmark item looked up, unknown -> *UNK*."""
+    from ordo.functions.text import alnum_tokens
+    from ordo.operators.vectors import lookup
+    words = V.table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.explode(F.array_distinct(alnum_tokens(F.col("text")))).alias("term"))
+    out = lookup(words, _embedding_vocab(spark, sf_dir), "term")
+    return out.select("query_id", "term", "in_vocab", F.size("vec").alias("dim"),
+                      rn(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)).alias("vec_sum"))
+
+
+@register("load_counters", O.with_ctes(O.V2_RANKING, select="""
+SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_documents FROM cands"""))
+def q_load_counters(spark, sf_dir):
+    """Number of queries and candidate documents of the V2 ranking set."""
+    from ordo.sources.textio import load_counters
+    c, _ = _v2(spark, sf_dir)
+    return load_counters(c)
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Fit the pairwise ranker and the grade-centroid SVM, save both under
+    the checkpoint folder, load them back and return the loaded weights."""
+    import uuid
+    from ordo.operators.models import fit_pairwise
+    from ordo.operators.scale import standardize
+    from ordo.session import ensure_checkpoint_dir
+    from ordo.sources.models_io import load_svm, load_weights, save_svm, save_weights
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    w = fit_pairwise(standardize(_v2_matrix(spark, sf_dir), _F5), _F5, "rel")
+    save_weights(spark, w, f"{base}/pairwise")
+    _, sv = _support_vectors(spark, sf_dir)
+    save_svm(sv, 0.0, f"{base}/svm")
+    back = load_weights(spark, f"{base}/pairwise")
+    sv2, rho = load_svm(spark, f"{base}/svm")
+    return (spark.createDataFrame(sorted(back.items()), "feature string, coef double")
+            .unionByName(sv2.select(F.lit("sv").alias("feature"), F.col("coef"))))
