@@ -1,9 +1,11 @@
 """Line-oriented text formats of the reference, read and written by Spark.
 
-Readers treat one ``query:`` block as one record: the text source is read
-with ``lineSep='\\nquery:'`` (a custom record delimiter keeps the file
-splittable, so a large file is read by many tasks), then each block is parsed
-with regex / array expressions — no driver-side loop, no UDF.
+Readers keep every line a row (``sources.lines``): each line learns its
+query and document from a skew-safe forward fill over the global line order,
+documents are assembled by aggregation per (query, document) — bounded by one
+document's own lines — and document positions come from ``group_rank``. A
+query with millions of results, or one continued in the next part file,
+is read by many tasks.
 
 S1 signal file, S2 relevance file (training: last duplicate wins), S2b
 evaluation judgements (negative grades clipped to 0), S5 ranked-list writer,
@@ -13,110 +15,91 @@ reader (malformed blocks flagged), S10 load counters.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordo.functions.text import jsplit
 
-BLOCK_SEP = "\nquery:"
-
-
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """(block_id, head, body_lines) — one row per ``query:`` block, in file order.
-
-    ``block_id`` is a stable per-file ordinal (partition index, row index):
-    queries keep identity semantics (the same text twice is two queries).
-    """
-    raw = spark.read.option("lineSep", BLOCK_SEP).text(path)
-    v = F.regexp_replace(F.col("value"), r"^\s*query:", "")
-    lines = F.split(v, "\n")
-    return (raw.filter(F.trim(F.col("value")) != "")
-            .select(F.monotonically_increasing_id().alias("block_id"),
-                    F.trim(F.get(lines, 0)).alias("head"),
-                    F.slice(lines, 2, 1 << 30).alias("lines")))
+def _last(arr: Column) -> Column:
+    return F.get(arr, F.size(arr) - 1)
 
 
-def _field(lines: Column, key: str) -> Column:
-    """Values of ``key: value`` lines (trimmed), in order."""
-    pat = rf"^\s*{key}\s*:(.*)$"
-    return F.transform(F.filter(lines, lambda l: l.rlike(pat)),
-                       lambda l: F.trim(F.regexp_extract(l, pat, 1)))
+def _latest(key: str) -> Column:
+    """Value of the last ``key:`` line of the group (NULL when there is none)."""
+    hit = F.col("key") == key
+    return F.max_by(F.when(hit, F.col("val")), F.when(hit, F.col("gpos")))
 
 
-def _last(arr: Column) -> Column:
-    return F.get(arr, F.size(arr) - 1)
+def _ordered(keys: tuple[str, ...], with_key: bool = False) -> Column:
+    """The group's ``keys`` lines in file order, as structs (gpos, [key,] val)."""
+    fields = [F.col("gpos")] + ([F.col("key")] if with_key else []) + [F.col("val")]
+    return F.array_sort(F.collect_list(F.when(F.col("key").isin(*keys), F.struct(*fields))))
 
 
-def _doc_groups(lines: Column, opener: str) -> Column:
-    """Split a block's lines into per-document line groups starting at ``opener:``."""
-    pat = rf"^\s*{opener}\s*:"
-    idx = F.sequence(F.lit(0), F.size(lines) - 1)
-    starts = F.filter(idx, lambda i: F.get(lines, i).rlike(pat))
-    ends = F.concat(F.slice(starts, 2, 1 << 30), F.array(F.size(lines)))
-    return F.transform(F.arrays_zip(starts.alias("s"), ends.alias("e")),
-                       lambda z: F.slice(lines, z["s"] + 1, z["e"] - z["s"]))
+def _documents(lines: DataFrame, aggs: list[Column]) -> DataFrame:
+    """One row per document (lines from its opening line to the next), with
+    ``doc_pos`` = 0-based position of the document inside its query."""
+    from ordo.operators.ranking import group_rank
+    docs = lines.filter(F.col("d_id").isNotNull()).groupBy("q_id", "query", "d_id").agg(*aggs)
+    docs = group_rank(docs, ["q_id"], [F.col("d_id")], "_r")
+    return docs.withColumn("doc_pos", (F.col("_r") - 1).cast("int")).drop("_r")
 
 
 def read_signal(spark: SparkSession, path: str) -> DataFrame:
     """Signal file -> candidates(query_id, query, doc_pos, url, title, headers,
-    body_hits, body_length, page_rank, anchors)."""
-    b = read_blocks(spark, path)
-    docs = b.select(F.col("block_id").alias("query_id"), F.col("head").alias("query"),
-                    F.posexplode(_doc_groups(F.col("lines"), "url")).alias("doc_pos", "d"))
-    d = F.col("d")
-    hits = F.transform(_field(d, "body_hits"), lambda v: F.struct(
-        F.substring_index(v, " ", 1).alias("t"),
-        F.transform(F.split(F.trim(F.regexp_replace(v, "^[^ ]* ", "")), " "),
+    body_hits, body_length, page_rank, anchors). Repeated body_hits lines of a
+    term append; a repeated anchor text keeps its last count; other repeated
+    keys keep the last value."""
+    from ordo.sources.lines import read_ordered_lines
+    L = read_ordered_lines(spark, path, "url")
+    docs = _documents(L, [
+        _latest("url").alias("url"), _latest("title").alias("title"),
+        _ordered(("header",)).alias("_h"), _ordered(("body_hits",)).alias("_b"),
+        _latest("body_length").cast("int").alias("body_length"),
+        _latest("pagerank").cast("int").alias("page_rank"),
+        _ordered(("anchor_text", "stanford_anchor_count"), with_key=True).alias("_a")])
+    hits = F.transform(F.col("_b"), lambda e: F.struct(
+        F.substring_index(e["val"], " ", 1).alias("t"),
+        F.transform(F.split(F.trim(F.regexp_replace(e["val"], "^[^ ]* ", "")), " "),
                     lambda p: p.cast("int")).alias("p")))
-    anchor_texts = _field(d, "anchor_text")
-    anchor_counts = _field(d, "stanford_anchor_count")
-    # anchor_text is followed by its count line; pair them by order
-    anchors = F.arrays_zip(anchor_texts.alias("t"), anchor_counts.alias("c"))
-    out = docs.select(
-        "query_id", "query", F.col("doc_pos").cast("int").alias("doc_pos"),
-        F.trim(F.regexp_extract(F.get(d, 0), r"^\s*url\s*:(.*)$", 1)).alias("url"),
-        _last(_field(d, "title")).alias("title"),
-        F.when(F.size(_field(d, "header")) > 0, _field(d, "header")).alias("headers"),
-        hits.alias("_hits"),
-        _last(_field(d, "body_length")).cast("int").alias("body_length"),
-        _last(_field(d, "pagerank")).cast("int").alias("page_rank"),
-        anchors.alias("_anchors"))
-    # repeated body_hits lines of one term append; repeated anchor text: last count wins
     merged_hits = F.map_from_entries(F.transform(
-        F.array_distinct(F.col("_hits.t")), lambda t: F.struct(
+        F.array_distinct(hits["t"]), lambda t: F.struct(
             t.alias("key"),
-            F.flatten(F.transform(F.filter(F.col("_hits"), lambda e: e["t"] == t), lambda e: e["p"]))
-            .alias("value"))))
+            F.flatten(F.transform(F.filter(hits, lambda e: e["t"] == t), lambda e: e["p"])).alias("value"))))
+    # each count line belongs to the anchor_text line just before it
+    pairs = F.transform(
+        F.filter(F.col("_a"), lambda e: e["key"] == "stanford_anchor_count"),
+        lambda c: F.struct(
+            _last(F.filter(F.col("_a"), lambda e: (e["key"] == "anchor_text") & (e["gpos"] < c["gpos"])))["val"]
+            .alias("t"), c["val"].cast("int").alias("c")))
+    pairs = F.filter(pairs, lambda x: x["t"].isNotNull())
     merged_anchors = F.map_from_entries(F.transform(
-        F.array_distinct(F.col("_anchors.t")), lambda t: F.struct(
-            t.alias("key"),
-            _last(F.filter(F.col("_anchors"), lambda e: e["t"] == t))["c"].cast("int").alias("value"))))
-    return (out.withColumn("body_hits", F.when(F.size("_hits") > 0, merged_hits))
-            .withColumn("anchors", F.when(F.size("_anchors") > 0, merged_anchors))
-            .select("query_id", "query", "doc_pos", "url", "title", "headers", "body_hits",
-                    "body_length", "page_rank", "anchors"))
+        F.array_distinct(pairs["t"]), lambda t: F.struct(
+            t.alias("key"), _last(F.filter(pairs, lambda e: e["t"] == t))["c"].alias("value"))))
+    has_anchor = F.exists(F.col("_a"), lambda e: e["key"] == "anchor_text")
+    return docs.select(
+        F.col("q_id").alias("query_id"), "query", "doc_pos", "url", "title",
+        F.when(F.size("_h") > 0, F.transform("_h", lambda e: e["val"])).alias("headers"),
+        F.when(F.size("_b") > 0, merged_hits).alias("body_hits"),
+        "body_length", "page_rank",
+        F.when(has_anchor, merged_anchors).alias("anchors"))
 
 
 def read_rels(spark: SparkSession, path: str, evaluation: bool = False) -> DataFrame:
-    """Judgements (query, url, rel), last duplicate url wins and a
-    repeated query replaces the earlier block. ``evaluation=True`` clips
-    negative grades to 0 (the evaluator's reading)."""
-    b = read_blocks(spark, path)
-    urls = _field(F.col("lines"), "url")
-    rows = b.select("block_id", F.col("head").alias("query"),
-                    F.posexplode(urls).alias("pos", "v"))
-    parts = jsplit(F.col("v"), " ")
-    rows = rows.select("block_id", "query", "pos", F.trim(F.get(parts, 0)).alias("url"),
-                       F.get(parts, 1).cast("double").alias("rel"))
+    """Judgements (query, url, rel). A repeated query block replaces
+    the earlier one, a repeated url keeps its last grade (both by aggregation,
+    map-side combined); ``evaluation=True`` clips negative grades to 0."""
+    from ordo.sources.lines import read_ordered_lines
+    L = read_ordered_lines(spark, path, "url")
+    latest = (L.filter(F.col("key") == "query").groupBy(F.col("val").alias("query"))
+              .agg(F.max("gpos").alias("_lq")))
+    parts = jsplit(F.col("val"), " ")
+    u = L.filter(F.col("key") == "url").select(
+        "q_id", "query", "gpos", F.trim(F.get(parts, 0)).alias("url"), F.get(parts, 1).cast("double").alias("rel"))
     if evaluation:
-        rows = rows.withColumn("rel", F.greatest(F.col("rel"), F.lit(0.0)))
-    # later block of the same query replaces the earlier; later url line wins
-    last_block = Window.partitionBy("query")
-    w = Window.partitionBy("query", "url").orderBy(F.col("pos").desc())
-    return (rows.withColumn("_lb", F.max("block_id").over(last_block))
-            .filter(F.col("block_id") == F.col("_lb"))
-            .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
-            .select("query", "url", "rel"))
+        u = u.withColumn("rel", F.greatest(F.col("rel"), F.lit(0.0)))
+    u = u.join(latest, "query").filter(F.col("q_id") == F.col("_lq"))
+    return u.groupBy("query", "url").agg(F.max_by("rel", "gpos").alias("rel"))
 
 
 def load_counters(cands: DataFrame) -> DataFrame:
@@ -141,26 +124,24 @@ def ranked_lines(ranked: DataFrame) -> DataFrame:
     return ranked.select("query_id", "rank", value.alias("value"))
 
 
-def _write_sorted_text(lines: DataFrame, path: str) -> None:
-    (lines.repartitionByRange("query_id", "rank").sortWithinPartitions("query_id", "rank")
-     .select("value").write.mode("overwrite").text(path))
+def _write_sorted_text(lines: DataFrame, path: str, num_files: int | None = None) -> None:
+    keys = ("query_id", "rank")
+    ranged = lines.repartitionByRange(num_files, *keys) if num_files else lines.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).select("value").write.mode("overwrite").text(path)
 
 
-def write_ranked(ranked: DataFrame, path: str) -> None:
+def write_ranked(ranked: DataFrame, path: str, num_files: int | None = None) -> None:
     """Write a ranked list (query blocks, results in rank order)."""
-    _write_sorted_text(ranked_lines(ranked), path)
+    _write_sorted_text(ranked_lines(ranked), path, num_files)
 
 
 def read_ranked(spark: SparkSession, path: str) -> DataFrame:
     """Ranked list -> (query_id, query, rank, url, title, debug)."""
-    b = read_blocks(spark, path)
-    docs = b.select(F.col("block_id").alias("query_id"), F.col("head").alias("query"),
-                    F.posexplode(_doc_groups(F.col("lines"), "url")).alias("i", "d"))
-    d = F.col("d")
-    return docs.select("query_id", "query", (F.col("i") + 1).cast("long").alias("rank"),
-                       F.trim(F.regexp_extract(F.get(d, 0), r"^\s*url\s*:(.*)$", 1)).alias("url"),
-                       _last(_field(d, "title")).alias("title"),
-                       _last(_field(d, "debug")).alias("debug"))
+    from ordo.sources.lines import read_ordered_lines
+    docs = _documents(read_ordered_lines(spark, path, "url"), [
+        _latest("url").alias("url"), _latest("title").alias("title"), _latest("debug").alias("debug")])
+    return docs.select(F.col("q_id").alias("query_id"), "query",
+                       (F.col("doc_pos") + 1).cast("long").alias("rank"), "url", "title", "debug")
 
 
 def report_lines(report: DataFrame) -> DataFrame:
@@ -174,38 +155,31 @@ def report_lines(report: DataFrame) -> DataFrame:
     return report.select("query_id", "rank", value.alias("value"))
 
 
-def write_report(report: DataFrame, path: str) -> None:
+def write_report(report: DataFrame, path: str, num_files: int | None = None) -> None:
     """Write an experiment report (needs query_id, rank, query, ndcg, url, rating, title, debug)."""
-    _write_sorted_text(report_lines(report), path)
+    _write_sorted_text(report_lines(report), path, num_files)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """Experiment report -> (query, ndcg, rank, url, rating, title, debug, _corrupt).
 
-    A block whose lines after ``ndcg:`` are not url/rating/title/debug groups
-    of four is kept with ``_corrupt = true`` instead of failing the job.
+    A query whose ``ndcg:`` line is missing, or with a result that is not
+    exactly url / rating / title / debug in that order, is kept with
+    ``_corrupt = true`` instead of failing the job.
     """
-    b = read_blocks(spark, path)
-    lines = F.filter(F.transform(F.col("lines"), lambda l: F.trim(l)), lambda l: l != "")
-    b = b.select(F.col("head").alias("query"), lines.alias("l"))
-    rest = F.slice(F.col("l"), 2, 1 << 30)
-    n = F.size(rest)
-    ok = ((F.get(F.col("l"), 0).startswith("ndcg:")) & (n % 4 == 0) &
-          F.forall(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (n == 0) | (
-              F.get(rest, i).startswith(
-                  F.element_at(F.array(F.lit("url:"), F.lit("rating:"), F.lit("title:"), F.lit("debug:")),
-                               (i % 4 + 1).cast("int"))))))
-    groups = F.transform(F.sequence(F.lit(0), F.greatest(n / 4 - 1, F.lit(-1)).cast("int")),
-                         lambda k: F.struct(
-                             (k + 1).cast("long").alias("rank"),
-                             F.get(rest, k * 4).alias("u"), F.get(rest, k * 4 + 1).alias("r"),
-                             F.get(rest, k * 4 + 2).alias("t"), F.get(rest, k * 4 + 3).alias("d")))
-    x = b.select("query",
-                 F.regexp_extract(F.get(F.col("l"), 0), r"^ndcg:\s*(.*)$", 1).cast("double").alias("ndcg"),
-                 (~ok).alias("_corrupt"),
-                 F.when(ok & (n > 0), groups).otherwise(F.array().cast(
-                     "array<struct<rank:bigint,u:string,r:string,t:string,d:string>>")).alias("g"))
-    return x.select("query", "ndcg", "_corrupt", F.explode_outer("g").alias("e")).select(
-        "query", "ndcg", F.col("e.rank").alias("rank"),
-        F.expr("substr(e.u, 6)").alias("url"), F.expr("substr(e.r, 9)").cast("double").alias("rating"),
-        F.expr("substr(e.t, 8)").alias("title"), F.expr("substr(e.d, 8)").alias("debug"), "_corrupt")
+    from ordo.sources.lines import read_ordered_lines
+    L = read_ordered_lines(spark, path, "url")
+    head = (L.filter(F.col("q_id").isNotNull() & F.col("d_id").isNull())
+            .groupBy("q_id", "query").agg(_latest("ndcg").cast("double").alias("ndcg"),
+                                          F.count_if(F.col("key") == "ndcg").alias("_n_ndcg")))
+    docs = _documents(L, [
+        _latest("url").alias("url"), _latest("rating").cast("double").alias("rating"),
+        _latest("title").alias("title"), _latest("debug").alias("debug"),
+        F.array_sort(F.collect_list(F.struct("gpos", "key")))["key"].alias("_keys")])
+    docs = docs.withColumn("_ok", F.col("_keys") == F.array(*[F.lit(k) for k in ("url", "rating", "title", "debug")]))
+    bad = docs.groupBy("q_id").agg(F.min(F.col("_ok").cast("int")).alias("_all_ok"))
+    q = head.join(bad, "q_id", "left").withColumn(
+        "_corrupt", (F.col("_n_ndcg") != 1) | (F.coalesce(F.col("_all_ok"), F.lit(1)) == 0))
+    out = q.join(docs.drop("query"), "q_id", "left")
+    return out.select("query", "ndcg", (F.col("doc_pos") + 1).cast("long").alias("rank"), "url", "rating",
+                      "title", "debug", "_corrupt")

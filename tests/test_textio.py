@@ -52,3 +52,19 @@ def test_counters(signal):
     from ordo.sources.textio import load_counters
     r = load_counters(signal).first()
     assert (r["n_queries"], r["n_documents"]) == (2, 3)
+
+
+def test_ranked_list_spanning_part_files(spark):
+    """A hot query written by several tasks (several part files) reads back whole and in order."""
+    from ordo.sources.textio import read_ranked, write_ranked
+    rows = [(1000, "hot query", r, f"http://h/{r}", f"t{r}", "Pagerank: 1") for r in range(1, 3001)]
+    rows += [(q, f"q{q}", r, f"http://x/{q}/{r}", "t", "Pagerank: 0") for q in range(1, 40) for r in range(1, 4)]
+    df = spark.createDataFrame(rows, "query_id long, query string, rank long, url string, title string, debug string")
+    out = tempfile.mkdtemp(prefix="ordo-parts-") + "/r"
+    write_ranked(df, out, num_files=4)
+    parts = [f for f in os.listdir(out) if f.startswith("part-") and os.path.getsize(os.path.join(out, f)) > 0]
+    assert len(parts) > 1
+    back = read_ranked(spark, out)
+    hot = [(r["rank"], r["url"]) for r in back.filter(F.col("query") == "hot query").orderBy("rank").collect()]
+    assert hot == [(r, f"http://h/{r}") for r in range(1, 3001)]
+    assert back.count() == len(rows)
