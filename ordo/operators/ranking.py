@@ -107,8 +107,14 @@ def _range_rank(df: DataFrame, group_cols: list[str], order: list[Column],
     schema = T.StructType(sliced.schema.fields + [
         T.StructField(rank_col, T.LongType()), T.StructField("_pos", T.LongType())])
     local = sliced.mapInPandas(_running_count(group_cols, rank_col), schema)
-    # One row per partition: its first group, its last group and how many
-    # rows of the last group it holds.
+    # The slice summary must describe the very slices being numbered. Spark's
+    # range partitioner seeds its sample with the RDD id, so two separately
+    # planned range exchanges can cut at different keys: the summary is taken
+    # from ``local`` itself (identical subtree -> one reused exchange), and
+    # when exchange reuse is switched off the slices are materialised first.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        from ordo.session import materialize
+        local = materialize(local)
     gs = [F.col(c) for c in group_cols]
     summary = (local.groupBy("_pid")
                .agg(F.min_by(F.struct(*gs), F.col("_pos")).alias("f"),

@@ -90,6 +90,10 @@ def read_ordered_lines(spark: SparkSession, path: str, doc_key: str = "url",
         T.StructField("gpos", T.LongType()), T.StructField("own_q", T.LongType()),
         T.StructField("own_qt", T.StringType()), T.StructField("own_d", T.LongType())])
     filled = sliced.mapInPandas(_fill(doc_key), schema)
+    # slice ends must come from these very slices (see ranking._range_rank)
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        from ordo.session import materialize
+        filled = materialize(filled)
     # state at the end of each slice: its last query line and the last
     # document line that follows that query line (or, with no query line in
     # the slice, the last document line of the slice)

@@ -78,3 +78,19 @@ def test_pair_wins_match_brute_force(spark, strategy):
     ranks = rank_pairwise(df, strategy=strategy).groupBy("query_id").agg(
         F.countDistinct("rank").alias("k"), F.count("*").alias("n")).collect()
     assert all(r["k"] == r["n"] for r in ranks)
+
+
+def test_range_rank_without_exchange_reuse(spark):
+    """The slice summary must see the same slices even when Spark may not reuse the exchange."""
+    from ordo.operators.ranking import group_rank
+    random.seed(9)
+    rows = [(0, random.random()) for _ in range(2000)] + [(g, random.random()) for g in range(1, 200)]
+    df = spark.createDataFrame(rows, "g long, s double")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        b = group_rank(df, ["g"], [F.col("s")], "r", strategy="range", num_partitions=12)
+        got = sorted((r["g"], r["s"], r["r"]) for r in b.collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    want = sorted((r["g"], r["s"], r["r"]) for r in group_rank(df, ["g"], [F.col("s")], "r", strategy="window").collect())
+    assert got == want
