@@ -1,4 +1,5 @@
-"""Column scaling over a feature matrix: A3 z-score, A9 mean imputation, A10 min-max.
+"""Column scaling over a feature matrix: A3 z-score, A9 mean imputation, A10 min-max
+and nominal-to-binary encoding.
 
 Each is one global aggregate (map-side partial aggregation, a handful of
 numbers back to the driver) followed by a projection with those numbers as
@@ -67,3 +68,19 @@ def minmax(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None)
         else:
             out = out.withColumn(c, (F.col(c) - F.lit(lo)) / F.lit(hi - lo))
     return out
+
+
+def nominal_to_binary(df: DataFrame, col: str, out_prefix: str | None = None) -> DataFrame:
+    """A10: one 0/1 column per category of a nominal column (``StringIndexer``
+    + ``OneHotEncoder`` without dropping a level). The category list is the
+    fitted indexer's label array — one entry per distinct value."""
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    from pyspark.ml.functions import vector_to_array
+    prefix = out_prefix or f"{col}_"
+    idx = StringIndexer(inputCol=col, outputCol="_idx", stringOrderType="alphabetAsc",
+                        handleInvalid="keep").fit(df)
+    enc = OneHotEncoder(inputCols=["_idx"], outputCols=["_oh"], dropLast=False).fit(idx.transform(df))
+    out = enc.transform(idx.transform(df)).withColumn("_arr", vector_to_array("_oh"))
+    for i, label in enumerate(idx.labels):
+        out = out.withColumn(f"{prefix}{label}", F.col("_arr")[i])
+    return out.drop("_idx", "_oh", "_arr")

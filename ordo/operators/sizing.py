@@ -34,18 +34,20 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Round-robin a scan over all cores when it has fewer input partitions
     than the default parallelism (few large row groups), before CPU-heavy
     per-row work such as tokenising. On a cluster reading many files the
-    input splits already outnumber the cores and this is a no-op."""
+    input splits already outnumber the cores and this is a no-op. The probe
+    plans the scan once per ``key`` (the table path); no file list is pulled
+    to the driver."""
     want = df.sparkSession.sparkContext.defaultParallelism
-    key = (tuple(df.inputFiles()), want)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
-    if _SPLITS[key] < want:
+    memo = (key, want)
+    if key is None or memo not in _SPLITS:
+        _SPLITS[memo] = df.rdd.getNumPartitions()
+    if _SPLITS[memo] < want:
         return df.repartition(want)
     return df
 
 
-_SPLITS: dict = {}   # input files -> number of scan partitions (planning probe, memoised)
+_SPLITS: dict = {}   # (table path, parallelism) -> number of scan partitions

@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
     """A text-bearing table pruned to ``cols`` and spread over all cores."""
-    return spread(table(spark, sf_dir, name).select(*cols))
+    return spread(table(spark, sf_dir, name).select(*cols), key=f"{sf_dir}/{name}")
 
 
 def _count_map(arr):

@@ -78,3 +78,10 @@ def test_weights_round_trip(spark):
     p = tempfile.mkdtemp(prefix="ordo-w-") + "/w"
     save_weights(spark, {"a": 1.5, "b": -2.0}, p)
     assert load_weights(spark, p) == {"a": 1.5, "b": -2.0}
+
+
+def test_nominal_to_binary(spark):
+    from ordo.operators.scale import nominal_to_binary
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b")], "id int, c string")
+    got = {r["id"]: (r["c_a"], r["c_b"]) for r in nominal_to_binary(df, "c").collect()}
+    assert got == {1: (0.0, 1.0), 2: (1.0, 0.0), 3: (0.0, 1.0)}
