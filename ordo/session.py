@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         cur = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not cur:
-        cur = tempfile.mkdtemp(prefix="ordo-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: lineage cuts and "
+                               "round-trip files must survive the loss of any executor")
+        cur = tempfile.mkdtemp(prefix="ordo-ckpt-")   # local mode only (tests, bench)
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)
     return cur
