@@ -513,6 +513,17 @@ def _v2_matrix(spark, sf_dir, with_rel=True):
 
 
 _FMR = _V2FM + ["""fmr AS (SELECT f.*, r.rel FROM fm f JOIN rels r ON f.query_id = r.query_id AND f.doc_pos = r.doc_pos)"""]
+# A9 before any learner: missing features (the NULL body tf of repeated words)
+# take the column mean, as the reference's learners see them.
+_FMI = _FMR + ["""fmi AS (SELECT query_id, doc_pos, rel, """ + ", ".join(
+    f"coalesce({c}, (SELECT avg({c}) FROM fmr)) AS {c}" for c in
+    ["url_w", "title_w", "body_w", "header_w", "anchor_w", "smallest_window", "is_pdf", "has_tilda"]) + " FROM fmr)"]
+
+
+def _v2_imputed(spark, sf_dir):
+    from ordo.operators.scale import impute_mean
+    from ordo.session import materialize
+    return materialize(impute_mean(_v2_matrix(spark, sf_dir), _FM_COLS))
 
 
 def _stats_sql(fn_pairs):
@@ -554,29 +565,29 @@ def q_minmax(spark, sf_dir):
 _F5 = ["url_w", "title_w", "body_w", "header_w", "anchor_w"]
 
 
-@register("train_pairs", O.with_ctes(_FMR, select=f"""
+@register("train_pairs", O.with_ctes(_FMI, select=f"""
 SELECT a.query_id, count(DISTINCT a.doc_pos) AS n_docs, count(*) FILTER (WHERE a.rel <> b.rel) AS n_pairs,
   {", ".join(r9(f"sum(CASE WHEN a.rel > b.rel THEN b.{c} - a.{c} ELSE 0 END)") + f" AS pos_diff_{c}" for c in _F5)}
-FROM fmr a JOIN fmr b ON a.query_id = b.query_id AND a.doc_pos <> b.doc_pos
+FROM fmi a JOIN fmi b ON a.query_id = b.query_id AND a.doc_pos <> b.doc_pos
 GROUP BY a.query_id"""))
 def q_train_pairs(spark, sf_dir):
     """J5 summary per query (pair count and positive-pair difference sums), no pair rows."""
     from ordo.operators.pairs import pair_stats
-    s = pair_stats(_v2_matrix(spark, sf_dir), _F5)
+    s = pair_stats(_v2_imputed(spark, sf_dir), _F5)
     return s.select("query_id", "n_docs", "n_pairs", *[rn(f"pos_diff_{c}").alias(f"pos_diff_{c}") for c in _F5])
 
 
 _G_TERMS = [(a, b) for i, a in enumerate(_F5) for b in _F5[i:]]
 
 
-@register("pair_gram", O.with_ctes(_FMR, select="SELECT count(*) AS n_pos, " + ", ".join(
+@register("pair_gram", O.with_ctes(_FMI, select="SELECT count(*) AS n_pos, " + ", ".join(
     [r9(f"sum(a.{c} - b.{c})") + f" AS d_{c}" for c in _F5] +
     [r9(f"sum((a.{x} - b.{x}) * (a.{y} - b.{y}))") + f" AS g_{x}__{y}" for x, y in _G_TERMS]) +
-    " FROM fmr a JOIN fmr b ON a.query_id = b.query_id AND a.rel > b.rel"))
+    " FROM fmi a JOIN fmi b ON a.query_id = b.query_id AND a.rel > b.rel"))
 def q_pair_gram(spark, sf_dir):
     """M3: sufficient statistics of the pairwise difference set from grade moments."""
     from ordo.operators.pairs import pair_gram
-    g = pair_gram(_v2_matrix(spark, sf_dir), _F5)
+    g = pair_gram(_v2_imputed(spark, sf_dir), _F5)
     return g.select(F.col("n_pos").cast("long").alias("n_pos"),
                     *[rn(c).alias(c) for c in g.columns if c != "n_pos"])
 
@@ -712,9 +723,10 @@ def q_regression_moments(spark, sf_dir):
     return m.select(F.col("n").cast("long").alias("n"), *[rn(c).alias(c) for c in m.columns if c != "n"])
 
 
-_STZ = _FMR + [_stats_sql([("avg", "m"), ("stddev_samp", "s")]), "stz AS (SELECT query_id, doc_pos, rel, " + ", ".join(
+_STZ = _FMI + [_stats_sql([("avg", "m"), ("stddev_samp", "s")]).replace("FROM fmr", "FROM fmi"),
+    "stz AS (SELECT query_id, doc_pos, rel, " + ", ".join(
     f"CASE WHEN s_{c} IS NULL OR s_{c} = 0 OR isnan(s_{c}) THEN {c} - m_{c} ELSE ({c} - m_{c}) / s_{c} END AS {c}"
-    for c in _FM_COLS) + " FROM fmr, st)",
+    for c in _FM_COLS) + " FROM fmi, st)",
     """sv AS (SELECT rel AS grade, CASE WHEN rel >= 1.5 THEN 1.0 ELSE -1.0 END AS coef,
   [avg(url_w), avg(title_w), avg(body_w), avg(header_w), avg(anchor_w)] AS vec FROM stz GROUP BY rel)""",
     """kx AS (SELECT z.query_id, z.doc_pos, [z.url_w, z.title_w, z.body_w, z.header_w, z.anchor_w] AS x, s.coef, s.vec FROM stz z, sv s)""",
@@ -730,7 +742,7 @@ def _support_vectors(spark, sf_dir):
     """Support-vector table derived from data: one centroid per grade of the
     standardised five-feature matrix, coef +1 for grades >= 1.5, else -1."""
     from ordo.operators.scale import standardize
-    fm = _v2_matrix(spark, sf_dir)
+    fm = _v2_imputed(spark, sf_dir)
     z = standardize(fm, _FM_COLS)
     sv = z.groupBy(F.col("rel").alias("grade")).agg(
         F.array(*[F.avg(c) for c in _F5]).alias("vec")).withColumn(
@@ -799,7 +811,7 @@ def q_fold_table(spark, sf_dir):
 def q_fit_linear_regression(spark, sf_dir):
     """M2: pointwise least squares on the V2 features; one row per coefficient."""
     from ordo.operators.models import fit_linear_regression
-    m = fit_linear_regression(_v2_matrix(spark, sf_dir), _F5, "rel")
+    m = fit_linear_regression(_v2_imputed(spark, sf_dir), _F5, "rel")
     rows = [(c, float(v)) for c, v in zip(_F5, m.coefficients)] + [("intercept", float(m.intercept))]
     return spark.createDataFrame(rows, "feature string, coef double")
 
@@ -809,7 +821,7 @@ def q_fit_pairwise_linear(spark, sf_dir):
     """M3 + M4: pairwise linear ranker from the pair moments of standardised features."""
     from ordo.operators.models import fit_pairwise
     from ordo.operators.scale import standardize
-    z = standardize(_v2_matrix(spark, sf_dir), _F5)
+    z = standardize(_v2_imputed(spark, sf_dir), _F5)
     w = fit_pairwise(z, _F5, "rel")
     return spark.createDataFrame(list(w.items()), "feature string, coef double")
 
@@ -865,7 +877,7 @@ def q_cross_validate(spark, sf_dir):
     from ordo.operators.matrix import linear_score, rank_pointwise
     from ordo.operators.metrics import judged_rows, ndcg_per_query
     from ordo.operators.models import fit_linear_regression, stratified_folds
-    fm = _v2_matrix(spark, sf_dir)
+    fm = _v2_imputed(spark, sf_dir)
     folds = stratified_folds(fm.select("query_id").distinct().withColumn("_one", F.lit(0)), "_one",
                              [F.col("query_id")], k=5).select("query_id", "fold")
     fm = fm.join(folds, "query_id").cache()
@@ -963,7 +975,7 @@ def q_model_roundtrip(spark, sf_dir):
     from ordo.session import ensure_checkpoint_dir
     from ordo.sources.models_io import load_svm, load_weights, save_svm, save_weights
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
-    w = fit_pairwise(standardize(_v2_matrix(spark, sf_dir), _F5), _F5, "rel")
+    w = fit_pairwise(standardize(_v2_imputed(spark, sf_dir), _F5), _F5, "rel")
     save_weights(spark, w, f"{base}/pairwise")
     _, sv = _support_vectors(spark, sf_dir)
     save_svm(sv, 0.0, f"{base}/svm")

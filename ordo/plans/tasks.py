@@ -46,9 +46,11 @@ def task1(train: DataFrame, train_rels: DataFrame, test: DataFrame, test_rels: D
     cols = feature_names(())
     fm_tr = materialize(feature_matrix(train, idf, extras=()).join(
         train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
-    model = fit_linear_regression(fm_tr, cols, "rel")
+    means = scale.fit_means(fm_tr, cols)                     # A9, fitted on training rows
+    fill = {c: (m if m is not None else 0.0) for c, m in means.items()}
+    model = fit_linear_regression(fm_tr.fillna(fill), cols, "rel")
     w = dict(zip(cols, map(float, model.coefficients)))
-    fm_te = materialize(feature_matrix(test, idf, extras=()))
+    fm_te = materialize(feature_matrix(test, idf, extras=())).fillna(fill)
     scored = fm_te.withColumn("score", linear_score(w) + F.lit(float(model.intercept)))
     ranked, per, mean = _evaluate(scored, test_rels)
     return RankResult(ranked, per, mean, {**w, "intercept": float(model.intercept)})
@@ -60,10 +62,9 @@ def _pairwise(train, train_rels, test, test_rels, idf, extras, kernel: bool, n_c
     fm_tr = materialize(feature_matrix(train, idf, extras=extras).join(
         train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
     fm_te = materialize(feature_matrix(test, idf, extras=extras))
-    if extras:
-        means = scale.fit_means(fm_tr, cols)
-        fill = {c: (m if m is not None else 0.0) for c, m in means.items()}
-        fm_tr, fm_te = fm_tr.fillna(fill), fm_te.fillna(fill)
+    means = scale.fit_means(fm_tr, cols)                     # A9, fitted on training rows
+    fill = {c: (m if m is not None else 0.0) for c, m in means.items()}
+    fm_tr, fm_te = fm_tr.fillna(fill), fm_te.fillna(fill)
     stats = scale.fit_standardizer(fm_tr, cols)
     z_tr, z_te = scale.apply_standardizer(fm_tr, stats), scale.apply_standardizer(fm_te, stats)
     use = cols

@@ -63,11 +63,11 @@ def page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_queries(docs: DataFrame) -> DataFrame:
-    """V2 queries: first two alphanumeric words of the lower-cased title."""
+    """V2 queries: the whole title as a query — its lower-cased alphanumeric
+    words in order, repeats kept."""
     words = alnum_tokens(F.col("title"))
     return (docs.filter(F.col("page_id") % QUERY_EVERY == 0)
-            .select(F.col("page_id").alias("query_id"),
-                    F.concat_ws(" ", F.slice(words, 1, 2)).alias("query"))
+            .select(F.col("page_id").alias("query_id"), F.concat_ws(" ", words).alias("query"))
             .filter(F.col("query") != ""))
 
 
