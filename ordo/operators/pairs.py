@@ -42,10 +42,9 @@ def grade_moments(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel",
 def _below(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Add cumulative sums over strictly lower grades of the same query."""
     w = Window.partitionBy("query_id").orderBy("grade").rowsBetween(Window.unboundedPreceding, -1)
-    out = df.withColumn("n_below", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    for c in cols:
-        out = out.withColumn(f"b_{c}", F.coalesce(F.sum(c).over(w), F.lit(0.0)))
-    return out
+    # one projection for all running sums (one Window operator, one analysis)
+    return df.select("*", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n_below"),
+                     *[F.coalesce(F.sum(c).over(w), F.lit(0.0)).alias(f"b_{c}") for c in cols])
 
 
 def pair_stats(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel") -> DataFrame:
