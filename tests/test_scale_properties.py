@@ -94,3 +94,20 @@ def test_range_rank_without_exchange_reuse(spark):
         spark.conf.set("spark.sql.exchange.reuse", "true")
     want = sorted((r["g"], r["s"], r["r"]) for r in group_rank(df, ["g"], [F.col("s")], "r", strategy="window").collect())
     assert got == want
+
+
+def test_histogram_ideal_dcg_with_small_chunks(spark, monkeypatch):
+    import ordo.operators.metrics as M
+    monkeypatch.setattr(M, "POSITION_CHUNK", 7)
+    random.seed(13)
+    rows = [(0, i, float(random.choice([0, 1, 1, 1, 2]))) for i in range(400)]      # large grade blocks
+    rows += [(q, i, float(random.randint(0, 3))) for q in range(1, 30) for i in range(random.randint(1, 9))]
+    df = spark.createDataFrame(rows, "query_id long, p long, rel double")
+    a = {r["query_id"]: (r["idcg"], r["ndcg"]) for r in
+         M.ndcg_per_query(df, ["query_id"], [F.col("p")], strategy="window").collect()}
+    b = {r["query_id"]: (r["idcg"], r["ndcg"]) for r in
+         M.ndcg_per_query(df, ["query_id"], [F.col("p")], strategy="range").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert b[k][0] == pytest.approx(a[k][0], rel=1e-12)
+        assert b[k][1] == pytest.approx(a[k][1], rel=1e-12)
