@@ -28,12 +28,13 @@ def compare_mean(ndcg_a: DataFrame, ndcg_b: DataFrame) -> DataFrame:
     return m.withColumn("color", sign_class(F.col("diff")))
 
 
-def compare_by_query(ndcg_a: DataFrame, ndcg_b: DataFrame) -> DataFrame:
+def compare_by_query(ndcg_a: DataFrame, ndcg_b: DataFrame, digits: int | None = None) -> DataFrame:
     """J7 + A6 + R5: per query NDCG of A and B, difference, colour, order
     position by (diff, query) as the report sorts them."""
     j = (ndcg_a.select("query_id", F.col("ndcg").alias("ndcg_a"))
          .join(ndcg_b.select("query_id", F.col("ndcg").alias("ndcg_b")), "query_id"))
-    j = j.withColumn("diff", F.col("ndcg_b") - F.col("ndcg_a"))
+    d = F.col("ndcg_b") - F.col("ndcg_a")
+    j = j.withColumn("diff", F.round(d, digits) if digits is not None else d)
     return j.withColumn("color", sign_class(F.col("diff")))
 
 

@@ -666,14 +666,15 @@ def q_compare_mean(spark, sf_dir):
 
 @register("compare_by_query", O.with_ctes(_CMP, select=f"""
 SELECT a.query_id, {O.r6('a.ndcg')} AS ndcg_a, {O.r6('b.ndcg')} AS ndcg_b, {O.r6('b.ndcg - a.ndcg')} AS diff,
-  CASE WHEN b.ndcg - a.ndcg > 0 THEN 'green' WHEN b.ndcg - a.ndcg = 0 THEN 'black' ELSE 'red' END AS color,
-  row_number() OVER (ORDER BY b.ndcg - a.ndcg, a.query_id) AS position
+  CASE WHEN round(b.ndcg - a.ndcg, 12) > 0 THEN 'green' WHEN round(b.ndcg - a.ndcg, 12) = 0 THEN 'black' ELSE 'red' END AS color,
+  row_number() OVER (ORDER BY round(b.ndcg - a.ndcg, 12), a.query_id) AS position
 FROM na a JOIN nb b ON a.query_id = b.query_id"""))
 def q_compare_by_query(spark, sf_dir):
     from ordo.operators.compare import compare_by_query
     from ordo.operators.ranking import group_rank
     _, _, na, nb = _experiments(spark, sf_dir)
-    j = compare_by_query(na, nb).withColumn("_all", F.lit(0))
+    # difference rounded to 12 places: summation order must not flip a tie
+    j = compare_by_query(na, nb, digits=12).withColumn("_all", F.lit(0))
     # R5 position over all queries: a global order; the range plan keeps it
     # off a single task when the query list is large.
     j = group_rank(j, ["_all"], [F.col("diff"), F.col("query_id")], "position")

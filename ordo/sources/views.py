@@ -4,7 +4,7 @@ Four views, each a lazy DataFrame:
 
 * V1 ``page_docs``     pages -> one document per page (title, h1 headers,
                         anchor-text counts, body tokens, page rank);
-* V2 ``page_ranking``  queries drawn from page titles, each with the ten
+* V2 ``page_ranking``  every page title as a query, each with the ten
                         neighbouring pages as candidates, synthetic grades;
 * V3 ``doc_retrieval`` benchmark items as queries over ``documents`` via an
                         inverted-index (postings) join, grades from ``labels``;
@@ -24,7 +24,6 @@ from ordo.functions.text import alnum_tokens
 from ordo.operators.sizing import broadcast_if_small, spread
 
 # Fixed view parameters.
-QUERY_EVERY = 5            # one query per page with page_id % 5 == 0
 WINDOW_BEFORE = 4          # candidates: page_id in [query_id - 4, query_id + 5]
 WINDOW_AFTER = 5
 QUERY_TERMS = 3            # V3: three terms per benchmark item
@@ -63,11 +62,10 @@ def page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_queries(docs: DataFrame) -> DataFrame:
-    """V2 queries: the whole title as a query — its lower-cased alphanumeric
-    words in order, repeats kept."""
+    """V2 queries: every page issues its whole title as a query — the
+    lower-cased alphanumeric words in order, repeats kept."""
     words = alnum_tokens(F.col("title"))
-    return (docs.filter(F.col("page_id") % QUERY_EVERY == 0)
-            .select(F.col("page_id").alias("query_id"), F.concat_ws(" ", words).alias("query"))
+    return (docs.select(F.col("page_id").alias("query_id"), F.concat_ws(" ", words).alias("query"))
             .filter(F.col("query") != ""))
 
 
