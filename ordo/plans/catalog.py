@@ -521,9 +521,10 @@ _FMI = _FMR + ["""fmi AS (SELECT query_id, doc_pos, rel, """ + ", ".join(
 
 
 def _v2_imputed(spark, sf_dir):
+    """The materialised V2 matrix with missing features replaced by column
+    means (literals): a projection, so nothing is written a second time."""
     from ordo.operators.scale import impute_mean
-    from ordo.session import materialize
-    return materialize(impute_mean(_v2_matrix(spark, sf_dir), _FM_COLS))
+    return impute_mean(_v2_matrix(spark, sf_dir), _FM_COLS)
 
 
 def _stats_sql(fn_pairs):
