@@ -985,3 +985,46 @@ def q_model_roundtrip(spark, sf_dir):
     sv2, rho = load_svm(spark, f"{base}/svm")
     return (spark.createDataFrame(sorted(back.items()), "feature string, coef double")
             .unionByName(sv2.select(F.lit("sv").alias("feature"), F.col("coef"))))
+
+
+def _ranked_file(spark, sf_dir):
+    """Write the V2 pointwise ranking as a ranked-list text file (S5) under the
+    checkpoint folder and return (path, candidates, rels)."""
+    import uuid
+    from ordo.operators.matrix import rank_pointwise
+    from ordo.session import ensure_checkpoint_dir
+    from ordo.sources.textio import write_ranked
+    c, rels = _v2(spark, sf_dir)
+    ranked = rank_pointwise(_scored(c, _page_idf(spark, sf_dir), V.page_query_table(spark, sf_dir)))
+    out = (ranked.join(c.select("query_id", "doc_pos", "query", "url", "title", "page_rank"), ["query_id", "doc_pos"])
+           .withColumn("debug", F.concat(F.lit("Pagerank: "), F.col("page_rank").cast("string"))))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranked/{uuid.uuid4().hex}"
+    write_ranked(out, path)
+    return path, c, rels
+
+
+@register("ranked_roundtrip")
+def q_ranked_roundtrip(spark, sf_dir):
+    """S5 -> S6: the V2 ranking written as text and read back (query, rank, url, title, debug)."""
+    from ordo.sources.textio import read_ranked
+    path, _, _ = _ranked_file(spark, sf_dir)
+    return read_ranked(spark, path).drop("query_id")
+
+
+@register("evaluate_ranked_file")
+def q_evaluate_ranked_file(spark, sf_dir):
+    """The evaluator on files: S5 -> S6 -> judgements joined on (query text, url)
+    -> NDCG per query; negative grades would be clipped to 0 (S2b)."""
+    from ordo.operators.metrics import ndcg_per_query
+    from ordo.sources.textio import read_ranked
+    path, _, rels = _ranked_file(spark, sf_dir)
+    ranked = read_ranked(spark, path)
+    # judgements keyed by query text as the evaluator keys them: of queries
+    # sharing a text the later block replaces the earlier (identity quirk Q11)
+    latest = rels.groupBy("query").agg(F.max("query_id").alias("_lq"))
+    by_text = (rels.join(latest, "query").filter(F.col("query_id") == F.col("_lq"))
+               .select("query", "url", F.greatest(F.col("rel"), F.lit(0.0)).alias("rel")))
+    judged = ranked.join(by_text, ["query", "url"])
+    per = ndcg_per_query(judged, ["query_id"], [F.col("rank")])
+    return per.join(ranked.select("query_id", "query").distinct(), "query_id").select(
+        "query", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"))
