@@ -428,7 +428,7 @@ def _scored(cands, idf, queries=None):
     check, the rank and the NDCG all read it instead of re-deriving features."""
     from ordo.operators.matrix import feature_matrix
     from ordo.session import materialize
-    fm = feature_matrix(cands, idf, queries=queries)
+    fm = feature_matrix(cands, idf, extras=(), queries=queries)   # the score reads the five only
     s = F.col("url_w") + F.col("title_w") + F.col("body_w") + F.col("header_w") + F.col("anchor_w")
     return materialize(fm.withColumn("score", F.round(s, 12)))
 
