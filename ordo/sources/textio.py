@@ -20,6 +20,13 @@ from pyspark.sql import functions as F
 
 from ordo.functions.text import jsplit
 
+# Line keys of the signal format, as they appear in the files.
+SIGNAL_KEYS = ("query", "url", "title", "header", "body_hits", "body_length", "pagerank",
+               "anchor_text", "stanford_anchor_count")
+ANCHOR_TEXT_KEY = SIGNAL_KEYS[7]
+ANCHOR_COUNT_KEY = SIGNAL_KEYS[8]
+
+
 def _last(arr: Column) -> Column:
     return F.get(arr, F.size(arr) - 1)
 
@@ -57,7 +64,7 @@ def read_signal(spark: SparkSession, path: str) -> DataFrame:
         _ordered(("header",)).alias("_h"), _ordered(("body_hits",)).alias("_b"),
         _latest("body_length").cast("int").alias("body_length"),
         _latest("pagerank").cast("int").alias("page_rank"),
-        _ordered(("anchor_text", "stanford_anchor_count"), with_key=True).alias("_a")])
+        _ordered((ANCHOR_TEXT_KEY, ANCHOR_COUNT_KEY), with_key=True).alias("_a")])
     hits = F.transform(F.col("_b"), lambda e: F.struct(
         F.substring_index(e["val"], " ", 1).alias("t"),
         F.transform(F.split(F.trim(F.regexp_replace(e["val"], "^[^ ]* ", "")), " "),
@@ -68,15 +75,15 @@ def read_signal(spark: SparkSession, path: str) -> DataFrame:
             F.flatten(F.transform(F.filter(hits, lambda e: e["t"] == t), lambda e: e["p"])).alias("value"))))
     # each count line belongs to the anchor_text line just before it
     pairs = F.transform(
-        F.filter(F.col("_a"), lambda e: e["key"] == "stanford_anchor_count"),
+        F.filter(F.col("_a"), lambda e: e["key"] == ANCHOR_COUNT_KEY),
         lambda c: F.struct(
-            _last(F.filter(F.col("_a"), lambda e: (e["key"] == "anchor_text") & (e["gpos"] < c["gpos"])))["val"]
+            _last(F.filter(F.col("_a"), lambda e: (e["key"] == ANCHOR_TEXT_KEY) & (e["gpos"] < c["gpos"])))["val"]
             .alias("t"), c["val"].cast("int").alias("c")))
     pairs = F.filter(pairs, lambda x: x["t"].isNotNull())
     merged_anchors = F.map_from_entries(F.transform(
         F.array_distinct(pairs["t"]), lambda t: F.struct(
             t.alias("key"), _last(F.filter(pairs, lambda e: e["t"] == t))["c"].alias("value"))))
-    has_anchor = F.exists(F.col("_a"), lambda e: e["key"] == "anchor_text")
+    has_anchor = F.exists(F.col("_a"), lambda e: e["key"] == ANCHOR_TEXT_KEY)
     return docs.select(
         F.col("q_id").alias("query_id"), "query", "doc_pos", "url", "title",
         F.when(F.size("_h") > 0, F.transform("_h", lambda e: e["val"])).alias("headers"),
