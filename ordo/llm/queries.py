@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordo.llm import secrets, sharding
+from ordo.llm import licenses, packing, secrets, sharding
 from ordo.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,16 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(documents(spark, sf_dir))
 
 
+@query
+def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), n_shards=24)
