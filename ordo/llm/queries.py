@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordo.llm import licenses, packing, quality, secrets, sharding
+from ordo.llm import licenses, neardup, packing, quality, secrets, sharding
 from ordo.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+@query
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(documents(spark, sf_dir), words_each=2)
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), n_shards=24)
