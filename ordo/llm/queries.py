@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordo.llm import licenses, mixing, neardup, packing, quality, secrets, sharding
+from ordo.llm import licenses, mixing, neardup, packing, quality, secrets, sharding, sketch, topk
 from ordo.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,6 +44,17 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+@query
+def op6_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op7_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(documents(spark, sf_dir))
+
+
 @query
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(documents(spark, sf_dir), words_each=2)
