@@ -168,18 +168,20 @@ def apply_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat:
     """The mixed corpus: every document as often as the mix takes it, with its own columns.
 
     Rows that share an id and a size share their copies in turn."""
-    numbered = mix(docs, weights, max_repeat, id_col, text_col, source_col).groupBy("doc_id", "source_key", "size").agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    numbered = materialize(mix(docs, weights, max_repeat, id_col, text_col, source_col).groupBy("doc_id", "source_key", "size").agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")))
     source = F.col(f"`{source_col}`").cast("string")
-    rows = docs.withColumns({
-        "_key": F.when(source.isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), source)),
-        "_size": n_words(F.col(f"`{text_col}`"))})
-    names = docs.columns
-    given = numbered.select(F.col("doc_id").alias("_id"), F.col("source_key").alias("_k"), F.col("size").alias("_sz"), "_copies", "_rows")
-    found = rows.join(given, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")) & (F.col("_size") == F.col("_sz")))
-    # Each of the rows that share an id takes the same whole part; the first takes the rest.
-    once = F.row_number().over(Window.partitionBy(id_col, "_key", "_size").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
-    each = F.expr("_copies div _rows") + F.when(once <= F.expr("_copies % _rows"), 1).otherwise(0)
+    keyed = docs.withColumns({"_key": F.when(source.isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), source)),
+                              "_size": n_words(F.col(f"`{text_col}`"))})
+    given = numbered.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("source_key").alias("_k"),
+                                                 F.col("size").alias("_sz"), "_copies", "_rows")
+    found = keyed.join(given, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
+                       & (F.col("_size") == F.col("_sz")))
+    each = F.col("_copies")
+    if not numbered.where("_rows > 1").isEmpty():
+        # Rows that share an id take the same whole part; the first of them take the rest.
+        at = F.row_number().over(Window.partitionBy("_id", "_k", "_sz").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
+        each = F.expr("_copies div _rows") + F.when(at <= F.expr("_copies % _rows"), 1).otherwise(0)
     return (found.withColumn("_each", each).where("_each > 0")
             .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_each"))))
-            .select(*[F.col(f"`{c}`") for c in names]))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ordo.llm import licenses, mixing, neardup, packing, quality, secrets, sharding, sketch, topk
+from ordo.llm import fixity, licenses, mixing, neardup, packing, quality, secrets, sharding, sketch, topk
 from ordo.llm.common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,30 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents(spark, sf_dir), n_shards=24)
+
+
+@query
+def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of an archive of all pages against a replica with planted faults."""
+    pages = table(spark, sf_dir, "pages")
+    return fixity.audit(fixity.records(pages), fixity.records(fixity.damaged_copy(pages)))
+
+
+_WARC = ("concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:record:', "
+         "page_id, '>', chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Length: ', "
+         "octet_length(encode(html)), chr(13), chr(10), chr(13), chr(10), html, chr(13), chr(10), chr(13), chr(10))")
+_LEAVES = """SELECT page_id, page_id // 1000 AS file_no, len, d,
+  coalesce(sum(len) OVER (PARTITION BY page_id // 1000 ORDER BY page_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+  FROM (SELECT page_id, octet_length(encode(r)) AS len, sha256(r) AS d FROM (SELECT page_id, {warc} AS r FROM {pages}))"""
+ORACLES["op10_warc_fixity"] = f"""
+WITH copy AS (
+  SELECT page_id, url, CASE WHEN page_id % 97 = 13 THEN concat('#', substr(html, 2))
+    WHEN page_id % 101 = 7 THEN substr(html, 1, length(html) // 2) ELSE html END AS html
+  FROM pages WHERE page_id % 211 <> 5
+  UNION ALL SELECT page_id + {fixity.EXTRA}, url, html FROM pages WHERE page_id % 307 = 3),
+a AS ({_LEAVES.format(warc=_WARC, pages="pages")}),
+b AS ({_LEAVES.format(warc=_WARC, pages="copy")})
+SELECT coalesce(a.page_id, b.page_id) AS number, coalesce(a.file_no, b.file_no)::BIGINT AS file_no,
+  coalesce(a.off, b.off)::BIGINT AS "offset", a.len::BIGINT AS length, a.d AS digest, b.len::BIGINT AS found_length, b.d AS found_digest,
+  CASE WHEN b.d IS NULL THEN 'missing' WHEN a.d IS NULL THEN 'extra' WHEN b.len < a.len THEN 'truncated' ELSE 'altered' END AS kind
+FROM a FULL JOIN b ON a.page_id = b.page_id WHERE a.d IS DISTINCT FROM b.d"""

@@ -179,6 +179,16 @@ def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> Dat
             .withColumn(text_col, F.when(F.size("_spans") > 0, merged).otherwise(col)).drop("_spans"))
 
 
+def redacted(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """Redact a document table; ``size_col``, where there is one, follows a changed text."""
+    out = redact(docs.withColumn("_was", F.col(f"`{text_col}`")), text_col)
+    if size_col in docs.columns:
+        kind = docs.schema[size_col].dataType
+        out = out.withColumn(size_col, F.when(F.col(f"`{text_col}`") != F.col("_was"), F.char_length(f"`{text_col}`").cast(kind))
+                             .otherwise(F.col(f"`{size_col}`")))
+    return out.drop("_was")
+
+
 def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: span counts by base kind, digest of the base spans, all spans."""
     found = scan(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")))
