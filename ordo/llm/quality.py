@@ -61,13 +61,13 @@ class Network:
 
 
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one byte array, each padded by zeros to whole hops, and their hop counts.
-    The padding is ``WIDTH`` bytes at least, so no filter sees two texts."""
+    """All texts in one byte array, each behind ``WIDTH`` zeros and filled up by zeros to whole
+    hops, and their hop counts. So no filter sees two texts."""
     hops = np.array([-(-(len(t) + WIDTH) // HOP) for t in texts], np.int64)
     buf = np.zeros(int(hops.sum()) * HOP + WIDTH, np.uint8)
     at = 0
     for t, h in zip(texts, hops):
-        buf[at:at + len(t)] = np.frombuffer(t, np.uint8)
+        buf[at + WIDTH:at + WIDTH + len(t)] = np.frombuffer(t, np.uint8)
         at += int(h) * HOP
     return buf, hops
 
