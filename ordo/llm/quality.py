@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 WIDTH, STRIDE, HOP = 8, 2, 128
 FILTERS, EMBED, HIDDEN = 24, 8, 16
 MAX_ROWS, MAX_WINDOW, EPOCHS, BATCH = 4000, 4096, 24, 64
+MIN_STEPS = 400
 THRESHOLD = 0.3
 SLICE_BYTES = 1 << 20
 
@@ -143,7 +144,7 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, max_window:
         net.constant = float((y.sum() + 1.0) / (len(y) + 2.0))
         return net
     r = np.random.default_rng(seed)
-    rounds = max(epochs, -(-600 * BATCH // len(y)) if len(y) < 600 else epochs)
+    rounds = max(epochs, -(-MIN_STEPS // -(-len(y) // BATCH)))       # a small sample is seen more often
     moment = [(np.zeros_like(w), np.zeros_like(w)) for w in net.weights()]
     t, total = 0, rounds * -(-len(y) // BATCH)
     for _ in range(rounds):
