@@ -21,6 +21,59 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row: an expression that stands inside
+    a lambda is evaluated for every element, a lambda variable is not."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _run_starts(sorted_keys: Column) -> Column:
+    """Indexes at which a sorted array takes a new value (``sorted_keys`` bound by ``let``)."""
+    return F.filter(F.sequence(F.lit(0), F.size(sorted_keys) - 1),
+                    lambda i: (i == 0) | (F.get(sorted_keys, i) != F.get(sorted_keys, i - 1)))
+
+
+def _runs(n: Column, starts: Column, take) -> Column:
+    """``take(start, length)`` of each run of an array of ``n`` elements."""
+    return F.transform(starts, lambda i, k: take(i, F.coalesce(F.get(starts, k + 1), n) - i))
+
+
+def count_map(arr: Column) -> Column:
+    """Array of strings -> map string -> occurrences, by one sort of the array."""
+    empty = F.create_map().cast("map<string,int>")
+
+    def counted(s: Column) -> Column:
+        return let(_run_starts(s), lambda st: F.map_from_arrays(
+            F.transform(st, lambda i: F.get(s, i)), _runs(F.size(s), st, lambda i, n: n)))
+    return F.when(F.size(arr) > 0, let(F.sort_array(arr), counted)).otherwise(empty)
+
+
+def grouped_values(pairs: Column) -> Column:
+    """array<struct<key, value>> -> map key -> array of its values in order, by one sort."""
+    def grouped(s: Column) -> Column:
+        return let(F.struct(s["key"].alias("k"), s["value"].alias("v")), lambda kv: let(
+            _run_starts(kv["k"]), lambda st: F.map_from_arrays(
+                F.transform(st, lambda i: F.get(kv["k"], i)),
+                _runs(F.size(kv["k"]), st, lambda i, n: F.slice(kv["v"], i + 1, n)))))
+    return let(F.sort_array(pairs), grouped)
+
+
+def positions_of(tokens: Column, words: Column) -> Column:
+    """map word -> its positions in ``tokens``, for the ``words`` that occur; NULL for none."""
+    def found(tw: Column) -> Column:
+        hits = F.filter(F.transform(tw["t"], lambda t, i: F.struct(t.alias("key"), i.alias("value"))),
+                        lambda x: F.array_contains(tw["w"], x["key"]))
+        return let(hits, lambda h: F.when(F.size(h) > 0, grouped_values(h)))
+    return let(F.struct(tokens.alias("t"), words.alias("w")), found)
+
+
+def word_shingles(tokens: Column, k: int) -> Column:
+    """Distinct 64-bit hashes of the runs of ``k`` words; none for a shorter text."""
+    return let(tokens, lambda t: F.when(F.size(t) >= k, F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(t) - k, F.lit(0))), lambda i: F.xxhash64(F.slice(t, i + 1, F.lit(k)))))
+    ).otherwise(F.array().cast("array<bigint>")))
+
+
 def jsplit(s, pattern: str) -> Column:
     """Split ``s`` on regex ``pattern`` the way ``java.lang.String.split`` does.
 

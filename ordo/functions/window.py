@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ordo.functions.text import jsplit
+from ordo.functions.text import grouped_values, jsplit, let
 
 # Fixed values of the boost curve.
 BOOST_FACTOR = 2.0
@@ -20,26 +20,44 @@ CUT_OFF = 9.0
 
 def lockstep_window(lists: Column) -> Column:
     """P20: lock-step smallest window over an array of position arrays."""
-    norm = F.transform(lists, lambda l: F.array_sort(F.array_distinct(l)))
-    maxlen = F.array_max(F.transform(norm, lambda l: F.size(l)))
+    def smallest(norm: Column) -> Column:
+        longest = F.array_max(F.transform(norm, lambda l: F.size(l)))
+        return F.array_min(F.transform(F.sequence(F.lit(0), longest - 1), lambda r: let(
+            F.transform(norm, lambda l: F.get(l, F.least(r, F.size(l) - 1))),
+            lambda at: F.array_max(at) - F.array_min(at) + 1)))
+    norm = F.transform(lists, lambda l: F.sort_array(F.array_distinct(l)))
+    return let(norm, lambda n: F.when(F.size(n) > 0, smallest(n)))
 
-    def at(r):
-        return F.transform(norm, lambda l: F.get(l, F.least(r, F.size(l) - 1)))
 
-    rounds = F.transform(F.sequence(F.lit(0), maxlen - 1),
-                         lambda r: F.array_max(at(r)) - F.array_min(at(r)) + 1)
-    return F.when(F.size(lists) > 0, F.array_min(rounds))
+def exact_window(lists: Column) -> Column:
+    """P20 with ``mode='exact'``: the smallest span that holds a position of every list.
 
+    All positions in order; each is the end of a span that starts at the least of the
+    lists' last positions so far."""
+    def swept(norm: Column) -> Column:
+        marks = F.sort_array(F.flatten(F.transform(norm, lambda l, k: F.transform(
+            l, lambda p: F.struct(p.alias("p"), k.alias("k"))))))
+        start = F.struct(F.transform(norm, lambda l: F.lit(None).cast("int")).alias("last"), F.lit(None).cast("int").alias("best"))
 
-def text_window(text: Column, words: Column) -> Column:
+        def step(acc: Column, m: Column) -> Column:
+            return let(F.transform(acc["last"], lambda x, k: F.when(k == m["k"], m["p"]).otherwise(x)), lambda last: F.struct(
+                last.alias("last"), F.when(F.exists(last, lambda x: x.isNull()), acc["best"]).otherwise(
+                    F.least(acc["best"], m["p"] - F.array_min(last) + 1)).alias("best")))
+        return F.aggregate(marks, start, step, lambda acc: acc["best"])
+    norm = F.transform(lists, lambda l: F.array_distinct(l).cast("array<int>"))
+    return let(norm, lambda n: F.when((F.size(n) > 0) & ~F.exists(n, lambda l: F.size(l) == 0), swept(n)))
+
+
+def text_window(text: Column, words: Column, mode: str = "lockstep") -> Column:
     """Window over *all* distinct ``\\W+`` tokens of ``text``, only when
     every query word is a (case-sensitive) substring of it; else NULL."""
-    toks = jsplit(text, r"\W+")
-    idx = F.sequence(F.lit(0), F.size(toks) - 1)
-    lists = F.transform(F.array_distinct(toks),
-                        lambda t: F.filter(idx, lambda i: F.get(toks, i) == t))
+    window = {"lockstep": lockstep_window, "exact": exact_window}[mode]
+
+    def over(tw: Column) -> Column:
+        pairs = F.transform(tw["t"], lambda t, i: F.struct(t.alias("key"), i.alias("value")))
+        return F.when(F.size(tw["t"]) > 0, window(F.map_values(grouped_values(pairs))))
     ok = F.forall(words, lambda w: F.instr(text, w) > 0)
-    return F.when(text.isNotNull() & ok, lockstep_window(lists))
+    return F.when(text.isNotNull() & ok, let(F.struct(jsplit(text, r"\W+").alias("t")), over))
 
 
 def boost(window: Column, distinct_words: Column) -> Column:

@@ -59,14 +59,14 @@ V2_RANKING = V1_DOCS + [
   SELECT query_id, query, UNNEST(generate_series(query_id - 4, query_id + 5)) AS doc_pos
   FROM q2 WHERE query <> '')""",
     """cands AS (
-  SELECT i.query_id, i.query, CAST(i.doc_pos AS INTEGER) AS doc_pos, d.url, d.title, d.headers,
+  SELECT i.query_id, i.query, i.doc_pos, d.url, d.title, d.headers,
          map_from_entries(list_filter(list_transform(list_distinct(string_split(i.query, ' ')),
              lambda w: {'key': w, 'value': list_filter(range(0, len(d.body)), lambda k: d.body[k + 1] = w)}),
              lambda e: len(e.value) > 0)) AS body_hits,
          CAST(len(d.body) AS INTEGER) AS body_length, d.page_rank, d.anchors
   FROM ids i JOIN docs d ON i.doc_pos = d.page_id)""",
     """rels AS (
-  SELECT i.query_id, i.query, CAST(i.doc_pos AS INTEGER) AS doc_pos, d.url,
+  SELECT i.query_id, i.query, i.doc_pos, d.url,
          CAST(((i.doc_pos * 3 + i.query_id * 7) % 7) * 0.5 AS DOUBLE) AS rel
   FROM ids i JOIN docs d ON i.doc_pos = d.page_id)""",
 ]
@@ -76,24 +76,27 @@ V3_RETRIEVAL = [
   SELECT doc_id, source, {alnum('text')} AS toks FROM documents)""",
     """dfs AS (
   SELECT token, count(*) AS df FROM (SELECT doc_id, UNNEST(list_distinct(toks)) AS token FROM dtok) GROUP BY token)""",
-    f"""bwords AS (
-  SELECT DISTINCT item_id AS query_id, UNNEST({alnum('text')}) AS term FROM benchmark)""",
-    """bterms AS (
-  SELECT query_id, term, row_number() OVER (PARTITION BY query_id ORDER BY df DESC, term) AS term_rank
-  FROM bwords JOIN dfs ON bwords.term = dfs.token
-  WHERE length(term) >= 4 AND df BETWEEN 2 AND 200
-  QUALIFY term_rank <= 3)""",
-    """q3 AS (
-  SELECT query_id, string_agg(term, ' ' ORDER BY term_rank) AS query FROM bterms GROUP BY query_id)""",
+    f"""btok AS (SELECT item_id AS query_id, {alnum('text')} AS toks FROM benchmark)""",
+    """q3 AS (SELECT query_id, array_to_string(toks, ' ') AS query FROM btok)""",
+    """dsh AS (
+  SELECT DISTINCT doc_id, array_to_string(toks[i:i + 7], ' ') AS sh
+  FROM (SELECT doc_id, toks, UNNEST(range(1, len(toks) - 6)) AS i FROM dtok WHERE len(toks) >= 8))""",
+    """bsh AS (
+  SELECT DISTINCT query_id, array_to_string(toks[i:i + 7], ' ') AS sh
+  FROM (SELECT query_id, toks, UNNEST(range(1, len(toks) - 6)) AS i FROM btok WHERE len(toks) >= 8))""",
+    """pairs3 AS (SELECT DISTINCT query_id, doc_id FROM dsh JOIN bsh USING (sh))""",
+    """bwords AS (SELECT DISTINCT query_id, UNNEST(toks) AS term FROM btok)""",
     """posts AS (
-  SELECT doc_id, UNNEST(toks) AS token, UNNEST(range(0, len(toks))) AS pos FROM dtok)""",
+  SELECT doc_id, UNNEST(toks) AS token, UNNEST(range(0, len(toks))) AS pos FROM dtok
+  WHERE doc_id IN (SELECT doc_id FROM pairs3))""",
     """hits AS (
   SELECT query_id, doc_id, map_from_entries(list({'key': term, 'value': positions})) AS body_hits
   FROM (SELECT t.query_id, p.doc_id, t.term, list_sort(list(p.pos)) AS positions
-        FROM posts p JOIN bterms t ON p.token = t.term GROUP BY t.query_id, p.doc_id, t.term)
+        FROM pairs3 x JOIN posts p ON x.doc_id = p.doc_id JOIN bwords t ON x.query_id = t.query_id AND p.token = t.term
+        GROUP BY t.query_id, p.doc_id, t.term)
   GROUP BY query_id, doc_id)""",
     """cands3 AS (
-  SELECT h.query_id, q.query, CAST(h.doc_id AS INTEGER) AS doc_pos,
+  SELECT h.query_id, q.query, h.doc_id AS doc_pos,
          'http://corpus/' || d.source || '/' || CAST(h.doc_id AS VARCHAR) AS url,
          '' AS title, CAST(NULL AS VARCHAR[]) AS headers, h.body_hits,
          CAST(len(d.toks) AS INTEGER) AS body_length, CAST(h.doc_id % 10 AS INTEGER) AS page_rank,
@@ -173,6 +176,7 @@ def feature_ctes(cands: str, idf: str) -> list[str]:
 
 
 FIELDS = ("url", "title", "body", "header", "anchor")
+# The scorers' weights, as in ``ordo.operators.scorers``.
 COSINE_W = {"url": 10.0, "title": 10.0, "header": 7.0, "anchor": 8.0, "body": 0.6}
 BM25_W = {"url": 1.1, "title": 0.7, "header": 0.5, "body": 0.5, "anchor": 0.8}
 BM25_B = {"url": 1.1, "title": 0.6, "header": 0.4, "body": 0.1, "anchor": 1.0}

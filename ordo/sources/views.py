@@ -6,8 +6,8 @@ Four views, each a lazy DataFrame:
                         anchor-text counts, body tokens, page rank);
 * V2 ``page_ranking``  every page title as a query, each with the ten
                         neighbouring pages as candidates, synthetic grades;
-* V3 ``doc_retrieval`` benchmark items as queries over ``documents`` via an
-                        inverted-index (postings) join, grades from ``labels``;
+* V3 ``doc_retrieval`` whole benchmark texts as queries over ``documents``; a candidate
+                        shares a passage with the item, grades from ``labels``;
 * V4 ``order_grades``  lineitem rows graded by quantity, grouped by order.
 
 The candidate schema is the same one the signal-file reader produces:
@@ -20,15 +20,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordo.functions.text import alnum_tokens
-from ordo.operators.sizing import broadcast_if_small, spread
+from ordo.functions.text import alnum_tokens, count_map, positions_of, word_shingles
+from ordo.operators.sizing import spread
 
 # Fixed view parameters.
 WINDOW_BEFORE = 4          # candidates: page_id in [query_id - 4, query_id + 5]
 WINDOW_AFTER = 5
-QUERY_TERMS = 3            # V3: three terms per benchmark item
-MIN_TERM_LEN = 4
-MIN_DF, MAX_DF = 2, 200    # V3: df range that makes a word a query term
+PASSAGE_WORDS = 8          # V3: a passage is a run of this many words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,13 +38,6 @@ def text_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) ->
     return spread(table(spark, sf_dir, name).select(*cols), key=f"{sf_dir}/{name}")
 
 
-def _count_map(arr):
-    """Array of strings -> map string -> occurrences (per-row, no shuffle)."""
-    return F.map_from_entries(F.transform(
-        F.array_distinct(arr),
-        lambda t: F.struct(t.alias("key"), F.size(F.filter(arr, lambda x: x == t)).alias("value"))))
-
-
 def page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: one row per page with the fields of a signal-file document."""
     html = F.col("html")
@@ -56,7 +47,7 @@ def page_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "url",
                     F.regexp_extract(html, r"(?is)<title>(.*?)</title>", 1).alias("title"),
                     F.regexp_extract_all(html, F.lit(r"(?is)<h1>(.*?)</h1>"), F.lit(1)).alias("headers"),
-                    _count_map(anchors).alias("anchors"),
+                    count_map(anchors).alias("anchors"),
                     body.alias("body"),
                     (F.col("page_id") % 10).cast("int").alias("page_rank")))
 
@@ -69,14 +60,6 @@ def page_queries(docs: DataFrame) -> DataFrame:
             .filter(F.col("query") != ""))
 
 
-def _hits_in_body(words, body):
-    """map word -> sorted positions of the word in ``body`` (only words present)."""
-    idx = F.sequence(F.lit(0), F.size(body) - 1)
-    entries = F.transform(F.array_distinct(words), lambda w: F.struct(
-        w.alias("key"), F.filter(idx, lambda i: F.get(body, i) == w).alias("value")))
-    return F.map_from_entries(F.filter(entries, lambda e: F.size(e["value"]) > 0))
-
-
 def page_ranking(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """V2: (candidates, rels) over pages.
 
@@ -90,31 +73,17 @@ def page_ranking(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
                                         F.col("query_id") + WINDOW_AFTER)).alias("doc_pos"))
     words = F.split(F.col("query"), " ")
     cands = (ids.join(docs, ids.doc_pos == docs.page_id)
-             .select("query_id", "query", F.col("doc_pos").cast("int").alias("doc_pos"), "url", "title",
-                     "headers", _hits_in_body(words, F.col("body")).alias("body_hits"),
+             .select("query_id", "query", "doc_pos", "url", "title",
+                     "headers", F.coalesce(positions_of(F.col("body"), words), F.create_map().cast("map<string,array<int>>"))
+                     .alias("body_hits"),
                      F.size("body").alias("body_length"), "page_rank", "anchors"))
     rels = (ids.join(docs.select("page_id", "url"), ids.doc_pos == docs.page_id)
-            .select("query_id", "query", F.col("doc_pos").cast("int").alias("doc_pos"), "url",
+            .select("query_id", "query", "doc_pos", "url",
                     (((F.col("doc_pos") * 3 + F.col("query_id") * 7) % 7) * 0.5)
                     .cast("double").alias("rel")))
     return cands, rels
 
 
-def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, source, body_length, pos, token) for every token of every document.
-
-    The document's length and source ride along each posting (same projection
-    as the tokeniser), so later steps need no second pass over the text.
-    """
-    # Length first, explode second: an expression listed beside a generator is
-    # evaluated after it, once per generated row, which would re-tokenise the
-    # document for every token.
-    return (text_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
-            .select("doc_id", "source", alnum_tokens(F.col("text")).alias("toks"))
-            .withColumn("body_length", F.size("toks"))
-            .select("doc_id", "source", "body_length", F.posexplode("toks").alias("pos", "token")))
-
-
 def doc_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(token, df): number of documents holding the token.
 
@@ -127,67 +96,49 @@ def doc_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy("token").agg(F.count(F.lit(1)).alias("df")))
 
 
-def benchmark_terms(spark: SparkSession, sf_dir: str, dfs: DataFrame | None = None) -> DataFrame:
-    """V3 query terms: (query_id, term, term_rank) — top three words per item by df."""
-    from pyspark.sql import Window
-    dfs = dfs if dfs is not None else doc_frequencies(spark, sf_dir)
-    words = (table(spark, sf_dir, "benchmark")
-             .select(F.col("item_id").alias("query_id"),
-                     F.explode(F.array_distinct(alnum_tokens(F.col("text")))).alias("term"))
-             .filter(F.length("term") >= MIN_TERM_LEN))
-    scored = words.join(dfs.filter(F.col("df").between(MIN_DF, MAX_DF)),
-                        words.term == dfs.token).drop("token")
-    w = Window.partitionBy("query_id").orderBy(F.col("df").desc(), F.col("term"))
-    return (scored.withColumn("term_rank", F.row_number().over(w))
-            .filter(F.col("term_rank") <= QUERY_TERMS)
-            .select("query_id", "term", "term_rank"))
-
-
 def page_query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2 (query_id, query) straight from the pages (no candidate join)."""
     return page_queries(page_docs(spark, sf_dir))
 
 
 def doc_query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V3 (query_id, query): the query terms of each benchmark item in rank order."""
-    terms = benchmark_terms(spark, sf_dir)
-    return (terms.groupBy("query_id")
-            .agg(F.array_sort(F.collect_list(F.struct("term_rank", "term"))).alias("t"))
-            .select("query_id", F.concat_ws(" ", F.col("t.term")).alias("query")))
+    """V3 (query_id, query): the whole benchmark text, its words in order, repeats kept."""
+    return (table(spark, sf_dir, "benchmark")
+            .select(F.col("item_id").alias("query_id"), F.concat_ws(" ", alnum_tokens(F.col("text"))).alias("query")))
+
+
+def passage_pairs(spark: SparkSession, sf_dir: str, k: int = PASSAGE_WORDS) -> DataFrame:
+    """(query_id, doc_id) that share a run of ``k`` words: an equi-join on shingle hashes.
+
+    One long per distinct shingle of a document is shuffled, never its text; a word that
+    stands in every document makes no pair, a shared passage does."""
+    items = table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.explode(word_shingles(alnum_tokens(F.col("text")), k)).alias("h"))
+    docs = text_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
+        "doc_id", F.explode(word_shingles(alnum_tokens(F.col("text")), k)).alias("h"))
+    return docs.join(items, "h").select("query_id", "doc_id").distinct()
 
 
 def doc_retrieval(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """V3: (candidates, rels) — documents holding any query term of a benchmark item."""
-    dfs = doc_frequencies(spark, sf_dir)
-    terms = benchmark_terms(spark, sf_dir, dfs)
-    queries = (terms.groupBy("query_id")
-               .agg(F.array_sort(F.collect_list(F.struct("term_rank", "term"))).alias("t"))
-               .select("query_id", F.concat_ws(" ", F.col("t.term")).alias("query")))
-    posts = doc_postings(spark, sf_dir)
-    # The term side holds at most three rows per benchmark item (proven bound
-    # from the benchmark row count); broadcast it only below the limit,
-    # otherwise the postings join stays a shuffled join.
-    bound = QUERY_TERMS * table(spark, sf_dir, "benchmark").count()
-    hits = (posts.join(broadcast_if_small(terms.select("query_id", "term"), bound),
-                       posts.token == F.col("term"))
-            # source and body_length depend on doc_id only: grouping keys, not aggregates
-            .groupBy("query_id", "doc_id", "source", "body_length", "term")
-            .agg(F.array_sort(F.collect_list("pos")).alias("positions"))
-            .groupBy("query_id", "doc_id", "source", "body_length")
-            .agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("body_hits")))
-    cands = (hits.join(queries, "query_id")
-             .select("query_id", "query", F.col("doc_id").cast("int").alias("doc_pos"),
+    """V3: (candidates, rels) — documents that share a passage with a benchmark item, with
+    the hits of all words of the item in the whole document."""
+    queries = doc_query_table(spark, sf_dir)
+    docs = text_table(spark, sf_dir, "documents", ["doc_id", "source", "text"])
+    rows = passage_pairs(spark, sf_dir).join(docs, "doc_id").join(queries, "query_id")
+    toks = rows.select("query_id", "query", "doc_id", "source", alnum_tokens(F.col("text")).alias("toks"))
+    cands = (toks.withColumn("body_hits", positions_of(F.col("toks"), F.split("query", " ")))
+             .select("query_id", "query", F.col("doc_id").alias("doc_pos"),
                      F.concat(F.lit("http://corpus/"), F.col("source"), F.lit("/"),
                               F.col("doc_id").cast("string")).alias("url"),
                      F.lit("").alias("title"),
                      F.lit(None).cast("array<string>").alias("headers"),
-                     "body_hits", "body_length",
+                     "body_hits", F.size("toks").alias("body_length"),
                      (F.col("doc_id") % 10).cast("int").alias("page_rank"),
                      F.lit(None).cast("map<string,int>").alias("anchors")))
     # A label grades the document for every query: judgements are keyed by
     # the document alone and never re-derive the candidate plan.
     rels = table(spark, sf_dir, "labels").select(
-        F.col("doc_id").cast("int").alias("doc_pos"), F.col("quality").cast("double").alias("rel"))
+        F.col("doc_id").alias("doc_pos"), F.col("quality").cast("double").alias("rel"))
     return cands, rels
 
 
