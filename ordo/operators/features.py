@@ -78,26 +78,33 @@ def with_tokens(cands: DataFrame) -> DataFrame:
             F.array().cast("array<struct<toks:array<string>,n:int>>"))})
 
 
+def bound_tokens(body) -> Column:
+    """``body(tok)`` with the row's token arrays bound once; ``tok(name)`` gives a column of
+    ``with_tokens``. Inside an ``aggregate`` lambda the arrays would be split again per word."""
+    names = ("_url_toks", "_title_toks", "_header_toks", "_anchor_entries")
+    return TX.let(F.struct(*names), lambda t: body(lambda name: t[name]))
+
+
 def _count(arr: Column, w: Column) -> Column:
     return F.size(F.filter(arr, lambda t: t == w))
 
 
-def raw_tf(field: str, w: Column, m: Column) -> Column:
+def raw_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
     """Term frequency of word ``w`` (occurring ``m`` times in the query) in ``field``.
 
     url/title/header: exact-match counts x m. anchor: sum over anchor texts of
     occurrences x anchor count, x m. body: ``t <- ln((t + hits) / n)`` applied
     m times from 0, n = number of distinct hit terms; 0 when the word has no hit.
-    Requires ``with_tokens`` columns.
+    Requires ``with_tokens`` columns, or ``tok`` from ``bound_tokens``.
     """
     if field == "url":
-        return (_count(F.col("_url_toks"), w) * m).cast("double")
+        return (_count(tok("_url_toks"), w) * m).cast("double")
     if field == "title":
-        return (_count(F.col("_title_toks"), w) * m).cast("double")
+        return (_count(tok("_title_toks"), w) * m).cast("double")
     if field == "header":
-        return (_count(F.col("_header_toks"), w) * m).cast("double")
+        return (_count(tok("_header_toks"), w) * m).cast("double")
     if field == "anchor":
-        per = F.aggregate(F.col("_anchor_entries"), F.lit(0).cast("long"),
+        per = F.aggregate(tok("_anchor_entries"), F.lit(0).cast("long"),
                           lambda acc, e: acc + _count(e["toks"], w) * e["n"])
         return (per * m).cast("double")
     if field == "body":
@@ -138,15 +145,22 @@ def feature_vector(cands: DataFrame, idf: DataFrame, smoothing: float = TX.BODY_
     i.e. sum over distinct words of m * tf_f / (len + 2500)^m * qv.
     """
     c = with_tokens(attach_query_terms(cands, idf, queries=queries))
+    return c.select("query_id", "doc_pos", *keep, five_features(smoothing).alias("_f")).select(
+        "query_id", "doc_pos", *keep, *[F.col(f"_f.{n}") for n in FEATURE_NAMES])
+
+
+def five_features(smoothing: float = TX.BODY_SMOOTHING_FEATURES) -> Column:
+    """struct<url_w..anchor_w> over ``qterms`` and the row's tokens."""
     norm = F.col("body_length").cast("double") + smoothing
-    def summand(f):
-        return lambda acc, e: acc + e["m"] * raw_tf(f, e["word"], e["m"]) / F.pow(norm, e["m"]) * e["qv"]
 
-    cols = [F.aggregate(F.col("qterms"), F.lit(0.0), summand(f)).alias(f"{f}_w") for f in FIELDS]
-    return c.select("query_id", "doc_pos", *keep, *cols)
+    def summand(f, tok):
+        return lambda acc, e: acc + e["m"] * raw_tf(f, e["word"], e["m"], tok) / F.pow(norm, e["m"]) * e["qv"]
+
+    return bound_tokens(lambda tok: F.struct(*[
+        F.aggregate(F.col("qterms"), F.lit(0.0), summand(f, tok)).alias(f"{f}_w") for f in FIELDS]))
 
 
 def vector_difference(a: DataFrame, b: DataFrame, cols, keys_a, keys_b) -> DataFrame:
-    """B - a per feature column for already-paired rows (helper for tests)."""
+    """B - a per feature column of paired rows."""
     return a.join(b, [a[x] == b[y] for x, y in zip(keys_a, keys_b)]).select(
         *[(b[c] - a[c]).alias(c) for c in cols])

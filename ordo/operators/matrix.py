@@ -15,22 +15,13 @@ from pyspark.sql import functions as F
 
 from ordo.functions import text as TX
 from ordo.operators import scorers as SC
-from ordo.operators.features import FEATURE_NAMES, FIELDS, raw_tf
+from ordo.operators.features import FEATURE_NAMES, five_features
 from ordo.operators.ranking import group_rank
 
 EXTRAS_ORDER = ("bm25", "smallest_window", "page_rank", "is_pdf", "has_tilda")
 DEFAULT_EXTRAS = ("smallest_window", "is_pdf", "has_tilda")
 
 
-def _feature_cols(smoothing: float = TX.BODY_SMOOTHING_FEATURES) -> list[Column]:
-    norm = F.col("body_length").cast("double") + smoothing
-
-    def summand(f):
-        return lambda acc, e: acc + e["m"] * raw_tf(f, e["word"], e["m"]) / F.pow(norm, e["m"]) * e["qv"]
-
-    return [F.aggregate(F.col("qterms"), F.lit(0.0), summand(f)).alias(f"{f}_w") for f in FIELDS]
-
-
 def feature_matrix(cands: DataFrame, idf: DataFrame, extras: Sequence[str] = DEFAULT_EXTRAS,
                    keep: Sequence[str] = (), queries: DataFrame | None = None) -> DataFrame:
     """P25: (query_id, doc_pos, keep..., url_w..anchor_w, extras...)."""
@@ -41,7 +32,7 @@ def feature_matrix(cands: DataFrame, idf: DataFrame, extras: Sequence[str] = DEF
         # window and field score once per row as columns; the boost refers to
         # the window four times and lambdas are not de-duplicated by the optimizer
         p = p.withColumns({"_win": SC.doc_window_col(), "_fs": SC.field_score_col()})
-    cols = _feature_cols()
+    cols = []
     extra_cols = {
         "bm25": lambda: SC.bm25_score_col(),
         "smallest_window": lambda: SC.boost_col(F.col("_win")) * F.col("_fs"),
@@ -52,7 +43,8 @@ def feature_matrix(cands: DataFrame, idf: DataFrame, extras: Sequence[str] = DEF
     for name in EXTRAS_ORDER:
         if name in extras:
             cols.append(extra_cols[name]().alias(name))
-    return p.select("query_id", "doc_pos", *keep, *cols)
+    return p.select("query_id", "doc_pos", *keep, five_features().alias("_f"), *cols).select(
+        "query_id", "doc_pos", *keep, *[F.col(f"_f.{n}") for n in FEATURE_NAMES], *[e for e in EXTRAS_ORDER if e in extras])
 
 
 def feature_names(extras: Sequence[str] = DEFAULT_EXTRAS) -> list[str]:
@@ -68,7 +60,7 @@ def linear_score(weights: dict[str, float]) -> Column:
     return out
 
 
-def rank_pointwise(scored: DataFrame, score_col: str = "score", strategy: str = "auto") -> DataFrame:
+def rank_pointwise(scored: DataFrame, score_col: str = "score", strategy: str = "window") -> DataFrame:
     """Rank 1..n per query by score desc (NULL last), ties by doc_pos."""
     return group_rank(scored, ["query_id"], [F.col(score_col).desc_nulls_last(), F.col("doc_pos")],
                       "rank", strategy)

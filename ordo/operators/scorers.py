@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ordo.functions import text as TX
 from ordo.functions import window as W
-from ordo.operators.features import FIELDS, attach_query_terms, raw_tf, with_tokens
+from ordo.operators.features import FIELDS, attach_query_terms, bound_tokens, raw_tf, with_tokens
 
 # Fixed weights of the scorers.
 COSINE_WEIGHTS = {"url": 10.0, "title": 10.0, "header": 7.0, "anchor": 8.0, "body": 0.6}
@@ -29,23 +29,23 @@ def scorer_idf(e) -> Column:
     return F.coalesce(e["idf"], F.lit(TX.UNSEEN_IDF_SCORERS))
 
 
-def cosine_tf(field: str, w: Column, m: Column) -> Column:
+def cosine_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
     """log10(1 + tf) / (body_length + 15000); NULL when 1 + tf <= 0."""
-    return F.log10(1 + raw_tf(field, w, m)) / (F.col("body_length").cast("double") + TX.BODY_SMOOTHING_COSINE)
+    return F.log10(1 + raw_tf(field, w, m, tok)) / (F.col("body_length").cast("double") + TX.BODY_SMOOTHING_COSINE)
 
 
-def _section_sum(e) -> Column:
+def _section_sum(e, tok) -> Column:
     out = None
     for f in FIELDS:
-        term = COSINE_WEIGHTS[f] * cosine_tf(f, e["word"], e["m"])
+        term = COSINE_WEIGHTS[f] * cosine_tf(f, e["word"], e["m"], tok)
         out = term if out is None else out + term
     return out
 
 
 def field_score_col() -> Column:
     """Sum over query words (with repeats) of tf_q * idf * sum_f w_f * ntf_f."""
-    return F.aggregate(F.col("qterms"), F.lit(0.0),
-                       lambda acc, e: acc + e["m"] * e["m"] * scorer_idf(e) * _section_sum(e))
+    return bound_tokens(lambda tok: F.aggregate(
+        F.col("qterms"), F.lit(0.0), lambda acc, e: acc + e["m"] * e["m"] * scorer_idf(e) * _section_sum(e, tok)))
 
 
 def prepare(cands: DataFrame, idf: DataFrame, queries: DataFrame | None = None) -> DataFrame:
@@ -92,12 +92,12 @@ def average_lengths(cands: DataFrame) -> DataFrame:
                    for f in FIELDS])
 
 
-def bm25_tf(field: str, w: Column, m: Column) -> Column:
+def bm25_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
     """Tf / (1 + b_f (len_f / avg_f - 1)); tf = 0 -> 0; denominator <= 0 -> NULL.
 
     Needs ``len_<f>`` and ``avg_<f>`` columns (``with_bm25_lengths``).
     """
-    tf = raw_tf(field, w, m)
+    tf = raw_tf(field, w, m, tok)
     den = 1 + BM25_B[field] * (F.try_divide(F.col(f"len_{field}"), F.col(f"avg_{field}")) - 1)
     return F.when(tf == 0, F.lit(0.0)).when(den > 0, tf / den)
 
@@ -115,13 +115,13 @@ def with_bm25_lengths(prepared: DataFrame) -> DataFrame:
 
 def bm25_score_col() -> Column:
     """Sum over words (with repeats) of W/(W + k1) * idf + 8 ln(page_rank + 9.5)."""
-    def term(e):
+    def term(e, tok):
         wsum = None
         for f in FIELDS:
-            t = BM25_WEIGHTS[f] * bm25_tf(f, e["word"], e["m"])
+            t = BM25_WEIGHTS[f] * bm25_tf(f, e["word"], e["m"], tok)
             wsum = t if wsum is None else wsum + t
         return e["m"] * (wsum / (wsum + BM25_K1)) * scorer_idf(e)
-    words = F.aggregate(F.col("qterms"), F.lit(0.0), lambda acc, e: acc + term(e))
+    words = bound_tokens(lambda tok: F.aggregate(F.col("qterms"), F.lit(0.0), lambda acc, e: acc + term(e, tok)))
     return words + PAGERANK_LAMBDA * F.ln(F.col("page_rank") + PAGERANK_LAMBDA_PRIME)
 
 
@@ -131,18 +131,21 @@ def query_word_array() -> Column:
     return TX.query_words(F.col("query"))
 
 
-def doc_window_col() -> Column:
+def doc_window_col(mode: str = "lockstep") -> Column:
     """Min over body (when #hit terms = #query words with repeats), url,
-    title, each header and each anchor text; NULL when there is none."""
-    words = query_word_array()
+    title, each header and each anchor text; NULL when there is none. ``mode`` as in P20."""
+    return TX.let(query_word_array(), lambda words: _doc_window(words, mode))
+
+
+def _doc_window(words: Column, mode: str) -> Column:
     body = F.when(F.col("body_hits").isNotNull() & (F.size(F.col("body_hits")) == F.size(words)),
-                  W.lockstep_window(F.map_values(F.col("body_hits"))))
+                  (W.lockstep_window if mode == "lockstep" else W.exact_window)(F.map_values(F.col("body_hits"))))
     heads = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
     anchor_texts = F.coalesce(F.map_keys(F.col("anchors")), F.array().cast("array<string>"))
     cands = F.concat(
-        F.array(body, W.text_window(F.col("url"), words), W.text_window(F.col("title"), words)),
-        F.transform(heads, lambda h: W.text_window(h, words)),
-        F.transform(anchor_texts, lambda t: W.text_window(t, words)))
+        F.array(body, W.text_window(F.col("url"), words, mode), W.text_window(F.col("title"), words, mode)),
+        F.transform(heads, lambda h: W.text_window(h, words, mode)),
+        F.transform(anchor_texts, lambda t: W.text_window(t, words, mode)))
     return F.array_min(F.filter(cands, lambda x: x.isNotNull()))
 
 
