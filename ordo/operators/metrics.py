@@ -28,28 +28,15 @@ def _disc_gain(rel: Column, pos: Column) -> Column:
 # Position sums of one grade block are evaluated in chunks of this many
 # positions, so a block holding millions of rows is spread over many rows.
 POSITION_CHUNK = 100_000
-# The histogram form of the ideal DCG windows over a query's grade levels;
-# beyond this many levels per query the ideal positions are ranked instead.
-MAX_GRADE_LEVELS = 10_000
 
 
 def with_positions(judged: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                   rel_col: str = "rel", strategy: str = "auto") -> DataFrame:
+                   rel_col: str = "rel", strategy: str = "window") -> DataFrame:
     """R3 + R4: list position by ``order`` and ideal position by grade."""
-    if strategy == "auto":
-        from ordo.operators.ranking import MAX_GROUP_ROWS, largest_group
-        strategy = "window" if largest_group(judged, group_cols) <= MAX_GROUP_ROWS else "range"
     out = group_rank(judged, group_cols, order, "pos", strategy)
     return group_rank(out, group_cols, [F.col(rel_col).desc()], "ideal_pos", strategy)
 
 
-def max_grade_levels(judged: DataFrame, group_cols: Sequence[str], rel_col: str = "rel") -> int:
-    """Most distinct grades in one list (two small aggregates, one number back)."""
-    h = judged.groupBy(*group_cols, rel_col).agg(F.count(F.lit(1)).alias("_c"))
-    row = h.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_lv")).agg(F.max("_lv").alias("m")).first()
-    return int(row["m"] or 0)
-
-
 def ideal_dcg(judged: DataFrame, group_cols: Sequence[str], rel_col: str = "rel") -> DataFrame:
     """Ideal DCG from the grade histogram, without ranking any row.
 
@@ -72,20 +59,16 @@ def ideal_dcg(judged: DataFrame, group_cols: Sequence[str], rel_col: str = "rel"
 
 
 def ndcg_per_query(judged: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                   rel_col: str = "rel", strategy: str = "auto") -> DataFrame:
+                   rel_col: str = "rel", strategy: str = "window") -> DataFrame:
     """A1: (group..., n, dcg, idcg, ndcg) over the judged rows of each list.
 
     Window plan: both positions from one shuffle (two sorts in place). Range
     (skew-safe) plan: the list position is ranked, the ideal DCG comes from
-    the grade histogram (``ideal_dcg``) when grade levels per list are
-    bounded, which saves a second range sort.
+    the grade histogram (``ideal_dcg``), which saves a second range sort.
     """
     group_cols = list(group_cols)
-    if strategy == "auto":
-        from ordo.operators.ranking import MAX_GROUP_ROWS, largest_group
-        strategy = "window" if largest_group(judged, group_cols) <= MAX_GROUP_ROWS else "range"
     rel = F.col(rel_col)
-    if strategy == "range" and max_grade_levels(judged, group_cols, rel_col) <= MAX_GRADE_LEVELS:
+    if strategy == "range":
         ranked = group_rank(judged, group_cols, order, "pos", strategy)
         dcg = ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"),
                                               F.sum(_disc_gain(rel, F.col("pos"))).alias("dcg"),

@@ -7,8 +7,8 @@
       (d = number of features, a literal bound) is solved on the driver.
 * M5  kernel ranker: seeded random Fourier features ``sqrt(2/D) cos(Wx + b)``
       approximate the RBF kernel; M4 then runs in that space.
-* M6  kernel decision function over a support-vector table whose size is
-      checked before it is shipped as literals (linear / poly / rbf / sigmoid).
+* M6  kernel decision function over a support-vector table of any size, in
+      blocks that rows meet by an equi-join (linear / poly / rbf / sigmoid).
 * M7  class from the decision value; M8 stratified folds; M9 Platt scaling by
       weighted ``LogisticRegression``; M10 hyper-parameters; A7 linear weights;
       A8 class counts.
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from ordo.operators.ranking import group_rank
 
-MAX_SUPPORT_VECTORS = 100_000
+# Support vectors of a block: an array column of this many stands in one row.
+BLOCK_VECTORS = 1000
 
 
 @dataclass(frozen=True)
@@ -41,15 +42,15 @@ class SvmParams:
 
     def checked(self, n_features: int) -> "SvmParams":
         if self.kernel not in ("linear", "poly", "rbf", "sigmoid"):
-            raise ValueError(f"unknown kernel type {self.kernel!r}")
+            raise ValueError(f"kernel must be linear, poly, rbf or sigmoid, got {self.kernel!r}")
         if self.C <= 0:
-            raise ValueError("C <= 0")
+            raise ValueError(f"C must be positive, got {self.C}")
         if self.gamma < 0:
-            raise ValueError("gamma < 0")
+            raise ValueError(f"gamma must not be negative, got {self.gamma}")
         if self.degree < 0:
-            raise ValueError("degree of polynomial kernel < 0")
+            raise ValueError(f"degree must not be negative, got {self.degree}")
         if self.eps <= 0:
-            raise ValueError("eps <= 0")
+            raise ValueError(f"eps must be positive, got {self.eps}")
         g = self.gamma if self.gamma > 0 else 1.0 / max(n_features, 1)
         return SvmParams(self.kernel, self.C, g, self.degree, self.coef0, self.eps, self.seed)
 
@@ -135,21 +136,36 @@ def decision_values(rows: DataFrame, x_col: str, sv: DataFrame, rho: float, p: S
                     kinds: Sequence[str] = ("linear", "poly", "rbf", "sigmoid")) -> DataFrame:
     """M6: sum_k coef_k K(x, sv_k) - rho for each row and kernel.
 
-    ``sv(coef double, vec array<double>)`` is counted first and shipped as a
-    literal array only under ``MAX_SUPPORT_VECTORS`` (a checked bound)."""
-    n = sv.count()
-    if n > MAX_SUPPORT_VECTORS:
-        raise ValueError(f"{n} support vectors exceed the broadcast bound {MAX_SUPPORT_VECTORS}")
-    svs = sv.select("coef", "vec").collect()
-    lit_sv = F.array(*[F.struct(F.lit(float(r["coef"])).alias("coef"),
-                                F.array(*[F.lit(float(v)) for v in r["vec"]]).alias("vec")) for r in svs])
+    ``sv(coef double, vec array<double>)`` may have any size. It is hashed into blocks,
+    each row is repeated for every block number, and an equi-join on that number brings
+    both together; partial sums per row are added up. The linear kernel needs no blocks:
+    its sum is the row times the weights (A7). ``rows`` keeps all its columns."""
+    from ordo.session import materialize
+    sv = materialize(sv.select("coef", "vec"))
+    out = rows
+    if "linear" in kinds:
+        w = [r["w"] for r in linear_weights(sv, 0.0).orderBy("j").collect()][:-1]     # one number per feature
+        terms = [F.lit(float(v)) * F.get(F.col(x_col), F.lit(j)) for j, v in enumerate(w)]
+        out = out.withColumn("dec_linear", sum(terms, F.lit(0.0)) - F.lit(rho))
+    rest = [k for k in kinds if k != "linear"]
+    if not rest:
+        return out
+    n_blocks = max(1, -(-sv.count() // BLOCK_VECTORS))
+    blocks = (sv.withColumn("_blk", F.pmod(F.xxhash64("vec", "coef"), F.lit(n_blocks)).cast("int"))
+              .groupBy("_blk").agg(F.collect_list(F.struct("coef", "vec")).alias("_svs")))
+
     def summand(kind):
         return lambda acc, s: acc + s["coef"] * _kernel(kind, p, F.col(x_col), s["vec"])
 
-    out = rows
-    for k in kinds:
-        out = out.withColumn(f"dec_{k}", F.aggregate(lit_sv, F.lit(0.0), summand(k)) - F.lit(rho))
-    return out
+    keyed = materialize(out.withColumn("_row", F.monotonically_increasing_id()))
+    met = (keyed.select("_row", x_col, F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_blk"))
+           .join(blocks, "_blk"))
+    sums = met.select("_row", *[F.aggregate("_svs", F.lit(0.0), summand(k)).alias(f"_p_{k}") for k in rest]).groupBy("_row").agg(
+        *[F.sum(f"_p_{k}").alias(f"_p_{k}") for k in rest])
+    done = keyed.join(sums, "_row", "left").drop("_row")
+    for k in rest:
+        done = done.withColumn(f"dec_{k}", F.coalesce(f"_p_{k}", F.lit(0.0)) - F.lit(rho)).drop(f"_p_{k}")
+    return done
 
 
 def predict_class(decision: Column, first_label=1, second_label=0) -> Column:
@@ -172,13 +188,13 @@ def class_counts(df: DataFrame, label: str, order: Sequence[Column]) -> DataFram
     first = df.select(label, F.struct(*order).alias("_o"))
     g = first.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min("_o").alias("_first"))
     g = g.withColumn("_all", F.lit(0))
-    return group_rank(g, ["_all"], [F.col("_first")], "first_seen").drop("_all", "_first")
+    return group_rank(g, ["_all"], [F.col("_first")], "first_seen", strategy="range").drop("_all", "_first")
 
 
 def stratified_folds(df: DataFrame, label: str, order: Sequence[Column], k: int = 5) -> DataFrame:
     """M8: fold = (position within its class - 1) mod k; classes are balanced
     across folds. A class holding most rows is numbered by the skew-safe plan."""
-    r = group_rank(df, [label], order, "_pos")
+    r = group_rank(df, [label], order, "_pos", strategy="range")
     return r.withColumn("fold", ((F.col("_pos") - 1) % k).cast("int")).drop("_pos")
 
 

@@ -88,7 +88,7 @@ def pair_gram(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel") -> DataF
     return per.agg(*[F.sum(c).alias(c) for c in per.columns])
 
 
-def pair_wins(scored: DataFrame, score_col: str = "score", strategy: str = "auto") -> DataFrame:
+def pair_wins(scored: DataFrame, score_col: str = "score", strategy: str = "window") -> DataFrame:
     """J6 + A11 for a linear model: wins(d) = documents of the query scored
     strictly lower than d (the comparator's positive outcomes).
 
@@ -104,7 +104,7 @@ def pair_wins(scored: DataFrame, score_col: str = "score", strategy: str = "auto
     return r.withColumn("wins", (F.col("_up") - F.col("_tie")).cast("long")).drop("_up", "_tie", "_score_key")
 
 
-def rank_pairwise(scored: DataFrame, score_col: str = "score", strategy: str = "auto") -> DataFrame:
+def rank_pairwise(scored: DataFrame, score_col: str = "score", strategy: str = "window") -> DataFrame:
     """R2: order by wins desc, then decision value desc, then doc_pos. A query
     with a single document keeps it at rank 1."""
     won = pair_wins(scored, score_col, strategy)

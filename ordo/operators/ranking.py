@@ -13,9 +13,9 @@
   with one row per partition (bounded by the partition count), which is
   broadcast. No group is ever held by a single task.
 
-``strategy='auto'`` measures the largest group with one aggregate over the
-key columns only (column pruning reads just those from parquet) and picks
-``window`` below ``max_group_rows``, else ``range``.
+The caller states the plan, since it knows its groups: ``window`` for bounded lists,
+``range`` for constant or low-cardinality keys and for lists without a bound. Neither
+looks at the data first, and both behave alike at every size.
 """
 
 from __future__ import annotations
@@ -30,25 +30,11 @@ from pyspark.sql import types as T
 
 from ordo.operators.sizing import broadcast_if_small
 
-# A task sorts and scans this many rows of one group comfortably (spills
-# beyond memory); above it the skew-safe range plan is used.
-MAX_GROUP_ROWS = 5_000_000
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Rows in the largest group (partial aggregation; one number to the driver)."""
-    row = df.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
-
-
 def group_rank(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-               rank_col: str = "rank", strategy: str = "auto",
-               max_group_rows: int = MAX_GROUP_ROWS,
+               rank_col: str = "rank", strategy: str = "window",
                num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row inside its group."""
     group_cols = list(group_cols)
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, group_cols) <= max_group_rows else "range"
     if strategy == "window":
         w = Window.partitionBy(*group_cols).orderBy(*order)
         return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
@@ -91,7 +77,7 @@ def _running_count(group_cols: list[str], rank_col: str):
             last_key = tuple(keys.iloc[-1])
             carry = int(local[-1])
             pdf[rank_col] = local.astype("int64")
-            pdf["_pos"] = (idx + pos).astype("int64")
+            pdf["_place"] = (idx + pos).astype("int64")
             pos += n
             yield pdf
     return run
@@ -105,7 +91,7 @@ def _range_rank(df: DataFrame, group_cols: list[str], order: list[Column],
     sliced = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(sliced.schema.fields + [
-        T.StructField(rank_col, T.LongType()), T.StructField("_pos", T.LongType())])
+        T.StructField(rank_col, T.LongType()), T.StructField("_place", T.LongType())])
     local = sliced.mapInPandas(_running_count(group_cols, rank_col), schema)
     # The slice summary must describe the very slices being numbered. Spark's
     # range partitioner seeds its sample with the RDD id, so two separately
@@ -115,26 +101,22 @@ def _range_rank(df: DataFrame, group_cols: list[str], order: list[Column],
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         from ordo.session import materialize
         local = materialize(local)
-    gs = [F.col(c) for c in group_cols]
+    gs = F.struct(*[F.col(c) for c in group_cols])
     summary = (local.groupBy("_pid")
-               .agg(F.min_by(F.struct(*gs), F.col("_pos")).alias("f"),
-                    F.max_by(F.struct(*gs, F.col(rank_col).alias("cnt")), F.col("_pos")).alias("l")))
-    a = summary.select(F.col("_pid").alias("a_pid"),
-                       *[F.col(f"f.{c}").alias(f"a_{c}") for c in group_cols])
-    b = summary.select(F.col("_pid").alias("b_pid"), F.col("l.cnt").alias("b_cnt"),
-                       *[F.col(f"l.{c}").alias(f"b_{c}") for c in group_cols])
-    cond = F.col("b_pid") < F.col("a_pid")
-    for c in group_cols:
-        cond = cond & F.col(f"b_{c}").eqNullSafe(F.col(f"a_{c}"))
-    # Earlier rows of the group a partition starts with: they all sit at the
-    # end of earlier partitions, so summing those partitions' last-group
-    # counts gives the carry. Both sides have one row per partition.
-    carries = (broadcast_if_small(a, bound_rows=n).join(broadcast_if_small(b, bound_rows=n), cond)
-               .groupBy("a_pid", *[f"a_{c}" for c in group_cols])
-               .agg(F.sum("b_cnt").alias("_carry")))
+               .agg(F.min_by(gs, F.col("_place")).alias("f"), F.max_by(gs, F.col("_place")).alias("l"),
+                    F.max_by(F.col(rank_col), F.col("_place")).alias("cnt")))
+    # Earlier rows of the group a partition starts with all sit at the end of
+    # earlier partitions: a running sum of those end counts by end group, as it
+    # stands at the partition before. The summary has one row per partition.
+    ended = F.sum("cnt").over(Window.partitionBy("l").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0))
+    before = Window.orderBy("_pid")
+    carries = (summary.withColumn("upto", ended)
+               .select("_pid", "f", F.lag("l").over(before).alias("pl"), F.lag("upto").over(before).alias("_carry"))
+               .where(F.col("pl").eqNullSafe(F.col("f")))
+               .select(F.col("_pid").alias("a_pid"), *[F.col(f"f.{c}").alias(f"a_{c}") for c in group_cols], "_carry"))
     cond2 = F.col("_pid") == F.col("a_pid")
     for c in group_cols:
         cond2 = cond2 & F.col(c).eqNullSafe(F.col(f"a_{c}"))
     out = local.join(broadcast_if_small(carries, bound_rows=n), cond2, "left")
     return (out.withColumn(rank_col, (F.col(rank_col) + F.coalesce(F.col("_carry"), F.lit(0))).cast("long"))
-            .drop("_pid", "_pos", "_carry", "a_pid", *[f"a_{c}" for c in group_cols]))
+            .drop("_pid", "_place", "_carry", "a_pid", *[f"a_{c}" for c in group_cols]))

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,11 +102,11 @@ def read_ordered_lines(spark: SparkSession, path: str, doc_key: str = "url",
         F.max(F.when(F.col("key") == "query", F.col("gpos"))).alias("lq"),
         F.max_by(F.col("own_qt"), F.when(F.col("key") == "query", F.col("gpos"))).alias("lqt"),
         F.max(F.when(F.col("key") == doc_key, F.col("gpos"))).alias("ld"))
-    a = ends.select(F.col("sl").alias("a_sl"))
-    b = ends.select(F.col("sl").alias("b_sl"), "lq", "lqt", "ld")
-    carry = (broadcast_if_small(a, n).join(broadcast_if_small(b, n), F.col("b_sl") < F.col("a_sl"))
-             .groupBy("a_sl").agg(F.max("lq").alias("cq"), F.max_by("lqt", "lq").alias("cqt"),
-                                  F.max("ld").alias("cd")))
+    # running maxima over the slices before; the table has one row per slice
+    earlier = Window.orderBy("sl").rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(F.col("sl").alias("a_sl"), F.max("lq").over(earlier).alias("cq"),
+                        F.max(F.when(F.col("lq").isNotNull(), F.struct("lq", "lqt"))).over(earlier)["lqt"].alias("cqt"),
+                        F.max("ld").over(earlier).alias("cd"))
     carry = carry.withColumn("cd", F.when(F.col("cd") > F.coalesce(F.col("cq"), F.lit(-1)), F.col("cd")))
     j = filled.join(broadcast_if_small(carry, n), slice_id == F.col("a_sl"), "left")
     before_header = F.col("own_q").isNull()

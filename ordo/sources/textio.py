@@ -18,13 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordo.functions.text import jsplit
+from ordo.functions.text import grouped_values, jsplit, let
 
 # Line keys of the signal format, as they appear in the files.
 SIGNAL_KEYS = ("query", "url", "title", "header", "body_hits", "body_length", "pagerank",
                "anchor_text", "stanford_anchor_count")
-ANCHOR_TEXT_KEY = SIGNAL_KEYS[7]
-ANCHOR_COUNT_KEY = SIGNAL_KEYS[8]
+ANCHOR_TEXT_KEY = "anchor_text"
+ANCHOR_COUNT_KEY = "stanford_anchor_count"
 
 
 def _last(arr: Column) -> Column:
@@ -48,8 +48,8 @@ def _documents(lines: DataFrame, aggs: list[Column]) -> DataFrame:
     ``doc_pos`` = 0-based position of the document inside its query."""
     from ordo.operators.ranking import group_rank
     docs = lines.filter(F.col("d_id").isNotNull()).groupBy("q_id", "query", "d_id").agg(*aggs)
-    docs = group_rank(docs, ["q_id"], [F.col("d_id")], "_r")
-    return docs.withColumn("doc_pos", (F.col("_r") - 1).cast("int")).drop("_r")
+    docs = group_rank(docs, ["q_id"], [F.col("d_id")], "_r", strategy="range")
+    return docs.withColumn("doc_pos", F.col("_r") - 1).drop("_r")
 
 
 def read_signal(spark: SparkSession, path: str) -> DataFrame:
@@ -65,24 +65,26 @@ def read_signal(spark: SparkSession, path: str) -> DataFrame:
         _latest("body_length").cast("int").alias("body_length"),
         _latest("pagerank").cast("int").alias("page_rank"),
         _ordered((ANCHOR_TEXT_KEY, ANCHOR_COUNT_KEY), with_key=True).alias("_a")])
+    # one sort by (term, line): a term's positions stand in line order
     hits = F.transform(F.col("_b"), lambda e: F.struct(
-        F.substring_index(e["val"], " ", 1).alias("t"),
-        F.transform(F.split(F.trim(F.regexp_replace(e["val"], "^[^ ]* ", "")), " "),
-                    lambda p: p.cast("int")).alias("p")))
-    merged_hits = F.map_from_entries(F.transform(
-        F.array_distinct(hits["t"]), lambda t: F.struct(
-            t.alias("key"),
-            F.flatten(F.transform(F.filter(hits, lambda e: e["t"] == t), lambda e: e["p"])).alias("value"))))
-    # each count line belongs to the anchor_text line just before it
-    pairs = F.transform(
-        F.filter(F.col("_a"), lambda e: e["key"] == ANCHOR_COUNT_KEY),
-        lambda c: F.struct(
-            _last(F.filter(F.col("_a"), lambda e: (e["key"] == ANCHOR_TEXT_KEY) & (e["gpos"] < c["gpos"])))["val"]
-            .alias("t"), c["val"].cast("int").alias("c")))
-    pairs = F.filter(pairs, lambda x: x["t"].isNotNull())
-    merged_anchors = F.map_from_entries(F.transform(
-        F.array_distinct(pairs["t"]), lambda t: F.struct(
-            t.alias("key"), _last(F.filter(pairs, lambda e: e["t"] == t))["c"].alias("value"))))
+        F.substring_index(e["val"], " ", 1).alias("key"),
+        F.struct(e["gpos"].alias("g"), F.transform(F.split(F.trim(F.regexp_replace(e["val"], "^[^ ]* ", "")), " "),
+                                                   lambda p: p.cast("int")).alias("p")).alias("value")))
+    merged_hits = F.transform_values(grouped_values(hits), lambda k, v: F.flatten(F.transform(v, lambda e: e["p"])))
+    # A count line belongs to the anchor_text line just before it in the same document:
+    # lines come in order, so that is the nearest line above that is not a count.
+    none = F.lit(None).cast("string")
+    texts = F.transform(F.col("_a"), lambda e: F.when(e["key"] == ANCHOR_TEXT_KEY, e["val"]))
+    filled = let(texts, lambda t: F.aggregate(t, F.struct(none.alias("last"), F.array().cast("array<string>").alias("all")),
+                                              lambda acc, x: let(F.coalesce(x, acc["last"]), lambda now: F.struct(
+                                                  now.alias("last"), F.concat(acc["all"], F.array(now)).alias("all"))),
+                                              lambda acc: acc["all"]))
+    pairs = F.filter(F.zip_with(F.col("_a"), filled, lambda e, t: F.when(
+        (e["key"] == ANCHOR_COUNT_KEY) & t.isNotNull(),
+        F.struct(t.alias("key"), F.struct(e["gpos"].alias("g"), e["val"].cast("int").alias("c")).alias("value")))),
+        lambda x: x.isNotNull())
+    merged_anchors = let(pairs, lambda p: F.when(F.size(p) == 0, F.create_map().cast("map<string,int>")).otherwise(
+        F.transform_values(grouped_values(p), lambda k, v: _last(v)["c"])))
     has_anchor = F.exists(F.col("_a"), lambda e: e["key"] == ANCHOR_TEXT_KEY)
     return docs.select(
         F.col("q_id").alias("query_id"), "query", "doc_pos", "url", "title",
@@ -115,6 +117,13 @@ def load_counters(cands: DataFrame) -> DataFrame:
                      F.count(F.lit(1)).alias("n_documents"))
 
 
+def _with_heads(rows: DataFrame) -> DataFrame:
+    """Mark each query's first row: the one with its least rank, whatever that is (the
+    first results may have been dropped). One aggregate, joined back by query."""
+    first = rows.groupBy("query_id").agg(F.min("rank").alias("_first"))
+    return rows.join(first, "query_id")
+
+
 def ranked_lines(ranked: DataFrame) -> DataFrame:
     """S5 text, one row per result: ``url``/``title``/``debug`` lines, the first
     result of a query prefixed by its ``query: w1 w2 `` line.
@@ -127,8 +136,8 @@ def ranked_lines(ranked: DataFrame) -> DataFrame:
     head = F.concat(F.lit("query: "), F.concat_ws("", F.transform(words, lambda w: F.concat(w, F.lit(" ")))))
     item = F.concat(F.lit("  url: "), F.col("url"), F.lit("\n    title: "), F.coalesce(F.col("title"), F.lit("null")),
                     F.lit("\n    debug: "), F.coalesce(F.col("debug"), F.lit("null")))
-    value = F.when(F.col("rank") == 1, F.concat(head, F.lit("\n"), item)).otherwise(item)
-    return ranked.select("query_id", "rank", value.alias("value"))
+    value = F.when(F.col("rank") == F.col("_first"), F.concat(head, F.lit("\n"), item)).otherwise(item)
+    return _with_heads(ranked).select("query_id", "rank", value.alias("value"))
 
 
 def _write_sorted_text(lines: DataFrame, path: str, num_files: int | None = None) -> None:
@@ -153,13 +162,28 @@ def read_ranked(spark: SparkSession, path: str) -> DataFrame:
 
 def report_lines(report: DataFrame) -> DataFrame:
     """S7 text per result: url/rating/title/debug; the first result of a query
-    is prefixed by its ``query:`` and ``ndcg:`` lines (same layout as S5)."""
+    is prefixed by its ``query:`` and ``ndcg:`` lines (same layout as S5). A row
+    without a url stands for a query that has no result to list: its head alone."""
     head = F.concat(F.lit("query: "), F.col("query"), F.lit("\nndcg: "), F.col("ndcg").cast("string"))
     item = F.concat(F.lit("  url: "), F.col("url"), F.lit("\n    rating: "), F.col("rating").cast("string"),
                     F.lit("\n    title: "), F.coalesce(F.col("title"), F.lit("null")),
                     F.lit("\n    debug: "), F.coalesce(F.col("debug"), F.lit("null")))
-    value = F.when(F.col("rank") == 1, F.concat(head, F.lit("\n"), item)).otherwise(item)
-    return report.select("query_id", "rank", value.alias("value"))
+    value = (F.when(F.col("url").isNull(), head)
+             .when(F.col("rank") == F.col("_first"), F.concat(head, F.lit("\n"), item)).otherwise(item))
+    return _with_heads(report).select("query_id", "rank", value.alias("value"))
+
+
+def judged_report(ranked: DataFrame, rels: DataFrame, per_query: DataFrame) -> DataFrame:
+    """Rows of a report (S7) from a ranked list, judgements (query, url, rel) and NDCGs.
+
+    Every ranked query stands in it, with NDCG 0 when none of its results is judged; of
+    the results the judged ones are listed, as the evaluator skips the others."""
+    queries = ranked.select("query_id", "query").distinct().join(per_query.select("query_id", "ndcg"), "query_id", "left")
+    queries = queries.withColumn("ndcg", F.coalesce("ndcg", F.lit(0.0)))
+    items = (ranked.join(rels.select("query", "url", F.col("rel").alias("rating")), ["query", "url"])
+             .select("query_id", "rank", "url", "rating", "title", "debug"))
+    out = queries.join(items, "query_id", "left")
+    return out.withColumn("rank", F.coalesce("rank", F.lit(0).cast("long")))
 
 
 def write_report(report: DataFrame, path: str, num_files: int | None = None) -> None:
