@@ -34,7 +34,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from ordo.plans.catalog import QUERIES
     from ordo.session import get_spark
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(cpus * 2, 8))
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(cpus * 2, 8), driver_memory="16g")
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm) and os.path.abspath(warm) != os.path.abspath(sf_dir):
         for name in HEADLINE:

@@ -6,9 +6,9 @@
   python -m ordo.cli ndcg     --ranked O --rel R [--report P]
       mean NDCG of a ranked list against judgements (negative grades -> 0),
       optionally writing the experiment report;
-  python -m ordo.cli compare  --a P1 --b P2
-      mean NDCG difference and the per-query differences of two reports
-      (raises when their query or url sets differ).
+  python -m ordo.cli compare  --a P1 --b P2 [--out D]
+      mean NDCG difference of two reports (raises when their query or url sets
+      differ); ``--out`` gets the whole per-query table, worst difference first.
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ def rank_files(spark: SparkSession, signal: str, rel: str, idf_path: str, test:
     train = read_signal(spark, signal)
     train_rels = _judged(train, read_rels(spark, rel))
     idf = load_idf(spark, idf_path, idf_format)
-    run = {1: tasks.task1, 2: tasks.task2, 3: tasks.task3}[task]
-    fit = run(train, train_rels, train, train_rels, idf)           # training NDCG, as the reference prints
+    tasks.check_judged(train, train_rels)
+    fitted = tasks.fit(task, train, train_rels, idf)
+    fit = tasks.apply(fitted, train, train_rels, idf)              # training NDCG, as the reference prints
     test_c = read_signal(spark, test)
-    res = run(train, train_rels, test_c, train_rels.filter(F.lit(False)), idf)  # test lists: no judgements
+    res = tasks.apply(fitted, test_c, None, idf)                   # test lists: no judgements
     ranked = res.ranked.join(test_c.select("query_id", "doc_pos", "query", "url", "title", "page_rank"),
                              ["query_id", "doc_pos"]).withColumn(
         "debug", F.concat(F.lit("Pagerank: "), F.col("page_rank").cast("string")))
@@ -47,30 +48,31 @@ def rank_files(spark: SparkSession, signal: str, rel: str, idf_path: str, test:
 
 def evaluate_files(spark: SparkSession, ranked_path: str, rel: str, report: str | None = None) -> dict:
     from ordo.operators.metrics import mean_ndcg, ndcg_per_query
-    from ordo.sources.textio import read_ranked, read_rels, write_report
+    from ordo.sources.textio import judged_report, read_ranked, read_rels, write_report
     ranked = read_ranked(spark, ranked_path)
     rels = read_rels(spark, rel, evaluation=True)
     judged = ranked.join(rels, ["query", "url"])                  # unjudged lines are skipped (F2)
     per = ndcg_per_query(judged, ["query_id"], [F.col("rank")])
     m = mean_ndcg(per, ranked_queries=ranked).first()
     if report:
-        rep = (judged.join(per.select("query_id", "ndcg"), "query_id")
-               .withColumnRenamed("rel", "rating"))
-        write_report(rep, report)
+        write_report(judged_report(ranked, rels, per), report)
     return {"n_queries": m["n_queries"], "mean_ndcg": m["mean_ndcg"]}
 
 
-def compare_files(spark: SparkSession, a: str, b: str) -> dict:
+def compare_files(spark: SparkSession, a: str, b: str, out: str | None = None) -> dict:
     from ordo.operators.compare import check_comparable, compare_by_query, compare_mean, order_by_diff
     from ordo.sources.textio import read_report
     ra, rb = read_report(spark, a), read_report(spark, b)
-    la = ra.select(F.col("query").alias("query_id"), "url")
-    lb = rb.select(F.col("query").alias("query_id"), "url")
+    la = ra.where("url is not null").select(F.col("query").alias("query_id"), "url")
+    lb = rb.where("url is not null").select(F.col("query").alias("query_id"), "url")
     check_comparable(la, lb)
     na = ra.select(F.col("query").alias("query_id"), "ndcg").distinct()
     nb = rb.select(F.col("query").alias("query_id"), "ndcg").distinct()
     m = compare_mean(na, nb).first()
-    worst = [r.asDict() for r in order_by_diff(compare_by_query(na, nb)).limit(10).collect()]
+    by_query = order_by_diff(compare_by_query(na, nb))
+    if out:
+        by_query.write.mode("overwrite").parquet(out)
+    worst = [r.asDict() for r in by_query.limit(10).collect()]     # a look at the table; --out has all of it
     return {"mean_a": m["mean_a"], "mean_b": m["mean_b"], "diff": m["diff"], "color": m["color"],
             "first_by_diff": worst}
 
@@ -91,6 +93,7 @@ def main(argv=None) -> None:
     c = sub.add_parser("compare")
     c.add_argument("--a", required=True)
     c.add_argument("--b", required=True)
+    c.add_argument("--out")
     args = ap.parse_args(argv)
     spark = get_spark()
     if args.cmd == "rank":
@@ -98,7 +101,7 @@ def main(argv=None) -> None:
     elif args.cmd == "ndcg":
         out = evaluate_files(spark, args.ranked, args.rel, args.report)
     else:
-        out = compare_files(spark, args.a, args.b)
+        out = compare_files(spark, args.a, args.b, args.out)
     print(json.dumps(out, default=str))
 
 

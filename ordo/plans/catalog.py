@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordo.operators.matrix import DEFAULT_EXTRAS
 from ordo.plans import oracle as O
 from ordo.sources import views as V
 
@@ -502,11 +503,11 @@ def q_unjudged_urls(spark, sf_dir):
 
 # ------------------------------------------------------------ scaling (V2 feature matrix)
 
-def _v2_matrix(spark, sf_dir, with_rel=True):
+def _v2_matrix(spark, sf_dir, with_rel=True, extras=DEFAULT_EXTRAS):
     from ordo.operators.matrix import feature_matrix
     c, rels = _v2(spark, sf_dir)
     from ordo.session import materialize
-    fm = feature_matrix(c, _page_idf(spark, sf_dir), queries=V.page_query_table(spark, sf_dir))
+    fm = feature_matrix(c, _page_idf(spark, sf_dir), extras=extras, queries=V.page_query_table(spark, sf_dir))
     if with_rel:
         fm = fm.join(rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"])
     return materialize(fm)
@@ -521,10 +522,11 @@ _FMI = _FMR + ["""fmi AS (SELECT query_id, doc_pos, rel, """ + ", ".join(
 
 
 def _v2_imputed(spark, sf_dir):
-    """The materialised V2 matrix with missing features replaced by column
-    means (literals): a projection, so nothing is written a second time."""
+    """The materialised five V2 features with missing values replaced by column
+    means (literals): a projection, so nothing is written a second time. What
+    reads it needs no extras, so none are computed."""
     from ordo.operators.scale import impute_mean
-    return impute_mean(_v2_matrix(spark, sf_dir), _FM_COLS)
+    return impute_mean(_v2_matrix(spark, sf_dir, extras=()), _F5)
 
 
 def _stats_sql(fn_pairs):
@@ -644,7 +646,8 @@ def _experiments(spark, sf_dir):
     c, rels = _v2(spark, sf_dir)
     idf = _page_idf(spark, sf_dir)
     ra = rank_pointwise(_scored(c, idf, V.page_query_table(spark, sf_dir)))
-    fs = _v2_prepared(spark, sf_dir).select("query_id", "doc_pos", F.round(field_score_col(), 12).alias("score"))
+    from ordo.session import materialize
+    fs = materialize(_v2_prepared(spark, sf_dir).select("query_id", "doc_pos", F.round(field_score_col(), 12).alias("score")))
     rb = rank_pointwise(fs)
     rsel = rels.select("query_id", "doc_pos", "url", "rel")
     la = ra.join(rsel, ["query_id", "doc_pos"]).select("query_id", "rank", "url", "rel")
@@ -678,7 +681,7 @@ def q_compare_by_query(spark, sf_dir):
     j = compare_by_query(na, nb, digits=12).withColumn("_all", F.lit(0))
     # R5 position over all queries: a global order; the range plan keeps it
     # off a single task when the query list is large.
-    j = group_rank(j, ["_all"], [F.col("diff"), F.col("query_id")], "position")
+    j = group_rank(j, ["_all"], [F.col("diff"), F.col("query_id")], "position", strategy="range")
     return j.select("query_id", r6("ndcg_a").alias("ndcg_a"), r6("ndcg_b").alias("ndcg_b"),
                     r6("diff").alias("diff"), "color", "position")
 
@@ -721,7 +724,7 @@ def q_url_set_diff(spark, sf_dir):
      [r9(f"sum({a} * {b})") + f" AS ss_{a}__{b}" for b in _F5[i:]]]) + " FROM fmr"))
 def q_regression_moments(spark, sf_dir):
     from ordo.operators.models import regression_moments
-    m = regression_moments(_v2_matrix(spark, sf_dir), _F5, "rel")
+    m = regression_moments(_v2_matrix(spark, sf_dir, extras=()), _F5, "rel")
     return m.select(F.col("n").cast("long").alias("n"), *[rn(c).alias(c) for c in m.columns if c != "n"])
 
 
@@ -745,7 +748,7 @@ def _support_vectors(spark, sf_dir):
     standardised five-feature matrix, coef +1 for grades >= 1.5, else -1."""
     from ordo.operators.scale import standardize
     fm = _v2_imputed(spark, sf_dir)
-    z = standardize(fm, _FM_COLS)
+    z = standardize(fm, _F5)
     sv = z.groupBy(F.col("rel").alias("grade")).agg(
         F.array(*[F.avg(c) for c in _F5]).alias("vec")).withColumn(
         "coef", F.when(F.col("grade") >= 1.5, 1.0).otherwise(-1.0))
@@ -899,23 +902,26 @@ def q_cross_validate(spark, sf_dir):
     return res
 
 
-@register("report_blocks")
+@register("report_blocks", O.with_ctes(_V2FM, select=f"""
+SELECT c.query, {O.r6('CASE WHEN nq.idcg = 0 THEN 1.0 ELSE nq.dcg / nq.idcg END')} AS ndcg, r.rank, c.url, j.rel AS rating,
+  trim(c.title) AS title, 'Pagerank: ' || c.page_rank AS debug, false AS _corrupt
+FROM rk r JOIN cands c USING (query_id, doc_pos) JOIN rels j USING (query_id, doc_pos) JOIN nq USING (query_id)"""))
 def q_report_blocks(spark, sf_dir):
-    """S7 -> S8: write task 1's experiment report as text and read it back."""
+    """S7 -> S8: the experiment report of the fixed linear score, written as text and read back."""
     import uuid
-    from ordo.plans.tasks import task1
+    from ordo.operators.matrix import rank_pointwise
     from ordo.session import ensure_checkpoint_dir
     from ordo.sources.textio import read_report, write_report
-    c, rels, _, _, idf = _split_tasks(spark, sf_dir)
-    res = task1(c, rels, c, rels, idf)
-    rep = (res.ranked.join(rels.select("query_id", "doc_pos", "query", "url", F.col("rel").alias("rating")),
-                           ["query_id", "doc_pos"])
-           .join(res.per_query.select("query_id", "ndcg"), "query_id")
+    c, rels = _v2(spark, sf_dir)
+    scored = _scored(c, _page_idf(spark, sf_dir), V.page_query_table(spark, sf_dir))
+    rep = (rank_pointwise(scored)
+           .join(rels.select("query_id", "doc_pos", "query", "url", F.col("rel").alias("rating")), ["query_id", "doc_pos"])
+           .join(_ndcg_of(scored, rels).select("query_id", "ndcg"), "query_id")
            .join(c.select("query_id", "doc_pos", "title", "page_rank"), ["query_id", "doc_pos"])
            .withColumn("debug", F.concat(F.lit("Pagerank: "), F.col("page_rank").cast("string"))))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reports/{uuid.uuid4().hex}"
     write_report(rep, path)
-    return read_report(spark, path)
+    return read_report(spark, path).withColumn("ndcg", r6("ndcg"))
 
 
 # ------------------------------------------------------------ word vectors (embeddings + documents)
@@ -925,7 +931,7 @@ def _embedding_vocab(spark, sf_dir):
     the k-th corpus term by document frequency (desc, then term)."""
     from ordo.operators.ranking import group_rank
     dfs = V.doc_frequencies(spark, sf_dir).withColumn("_all", F.lit(0))
-    voc = group_rank(dfs, ["_all"], [F.col("df").desc(), F.col("token")], "k").select(
+    voc = group_rank(dfs, ["_all"], [F.col("df").desc(), F.col("token")], "k", strategy="range").select(
         F.col("token").alias("word"), "k")
     e = V.table(spark, sf_dir, "embeddings").select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
@@ -1003,7 +1009,9 @@ def _ranked_file(spark, sf_dir):
     return path, c, rels
 
 
-@register("ranked_roundtrip")
+@register("ranked_roundtrip", O.with_ctes(_V2FM, select="""
+SELECT c.query, r.rank, c.url, trim(c.title) AS title, 'Pagerank: ' || c.page_rank AS debug
+FROM rk r JOIN cands c USING (query_id, doc_pos)"""))
 def q_ranked_roundtrip(spark, sf_dir):
     """S5 -> S6: the V2 ranking written as text and read back (query, rank, url, title, debug)."""
     from ordo.sources.textio import read_ranked
@@ -1011,10 +1019,21 @@ def q_ranked_roundtrip(spark, sf_dir):
     return read_ranked(spark, path).drop("query_id")
 
 
-@register("evaluate_ranked_file")
+@register("evaluate_ranked_file", O.with_ctes(_V2FM, """latest AS (SELECT query, max(query_id) AS lq FROM rels GROUP BY query)""",
+    """by_text AS (SELECT r.query, r.url, greatest(r.rel, 0.0) AS rel FROM rels r JOIN latest l ON r.query = l.query AND r.query_id = l.lq)""",
+    """jf AS (
+  SELECT r.query_id, b.rel, row_number() OVER (PARTITION BY r.query_id ORDER BY r.rank) AS pos,
+         row_number() OVER (PARTITION BY r.query_id ORDER BY b.rel DESC) AS ideal_pos
+  FROM rk r JOIN cands c USING (query_id, doc_pos) JOIN by_text b ON b.query = c.query AND b.url = c.url)""",
+    """nf AS (SELECT query_id, count(*) AS n, sum((pow(2, rel) - 1) / log2(pos + 1)) AS dcg,
+  sum((pow(2, rel) - 1) / log2(ideal_pos + 1)) AS idcg FROM jf GROUP BY query_id)""", select=f"""
+SELECT q.query, coalesce(n, 0) AS n, {O.r6('coalesce(dcg, 0.0)')} AS dcg, {O.r6('coalesce(idcg, 0.0)')} AS idcg,
+  {O.r6('coalesce(CASE WHEN idcg = 0 THEN 1.0 ELSE dcg / idcg END, 0.0)')} AS ndcg
+FROM (SELECT DISTINCT query_id, query FROM cands) q LEFT JOIN nf ON q.query_id = nf.query_id"""))
 def q_evaluate_ranked_file(spark, sf_dir):
     """The evaluator on files: S5 -> S6 -> judgements joined on (query text, url)
-    -> NDCG per query; negative grades would be clipped to 0 (S2b)."""
+    -> NDCG per query; negative grades would be clipped to 0 (S2b). A query whose
+    results have no judgement counts 0."""
     from ordo.operators.metrics import ndcg_per_query
     from ordo.sources.textio import read_ranked
     path, _, rels = _ranked_file(spark, sf_dir)
@@ -1026,5 +1045,7 @@ def q_evaluate_ranked_file(spark, sf_dir):
                .select("query", "url", F.greatest(F.col("rel"), F.lit(0.0)).alias("rel")))
     judged = ranked.join(by_text, ["query", "url"])
     per = ndcg_per_query(judged, ["query_id"], [F.col("rank")])
-    return per.join(ranked.select("query_id", "query").distinct(), "query_id").select(
-        "query", "n", r6("dcg").alias("dcg"), r6("idcg").alias("idcg"), r6("ndcg").alias("ndcg"))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return ranked.select("query_id", "query").distinct().join(per, "query_id", "left").select(
+        "query", F.coalesce("n", F.lit(0).cast("long")).alias("n"), r6(zero("dcg")).alias("dcg"), r6(zero("idcg")).alias("idcg"),
+        r6(zero("ndcg")).alias("ndcg"))

@@ -41,47 +41,71 @@ def _evaluate(scored: DataFrame, rels: DataFrame) -> tuple[DataFrame, DataFrame,
     return ranked, per, mean_ndcg(per, ranked_queries=ranked)
 
 
-def task1(train: DataFrame, train_rels: DataFrame, test: DataFrame, test_rels: DataFrame,
-          idf: DataFrame) -> RankResult:
-    cols = feature_names(())
-    fm_tr = materialize(feature_matrix(train, idf, extras=()).join(
-        train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
-    means = scale.fit_means(fm_tr, cols)                     # A9, fitted on training rows
-    fill = {c: (m if m is not None else 0.0) for c, m in means.items()}
-    model = fit_linear_regression(fm_tr.fillna(fill), cols, "rel")
-    w = dict(zip(cols, map(float, model.coefficients)))
-    fm_te = materialize(feature_matrix(test, idf, extras=())).fillna(fill)
-    scored = fm_te.withColumn("score", linear_score(w) + F.lit(float(model.intercept)))
-    ranked, per, mean = _evaluate(scored, test_rels)
-    return RankResult(ranked, per, mean, {**w, "intercept": float(model.intercept)})
-
-
-def _pairwise(train, train_rels, test, test_rels, idf, extras, kernel: bool, n_components: int = 16,
-              gamma: float = 0.125, seed: int = 1) -> RankResult:
+@dataclass
+class Fitted:
+    """A fitted task: what ``apply`` needs, all of it a few numbers per feature."""
+    extras: tuple
+    fill: dict               # A9 means of the training rows
+    stats: dict | None       # scaler of the training rows (pairwise tasks)
+    rff: tuple | None        # (components, gamma, seed) of the kernel map
+    weights: dict
+    intercept: float = 0.0
+
+
+def check_judged(train: DataFrame, rels: DataFrame) -> None:
+    """Every training row needs a judgement; raises with the first that has none."""
+    missing = train.join(rels.select("query_id", "doc_pos"), ["query_id", "doc_pos"], "left_anti").select("query_id", "doc_pos")
+    row = missing.first()
+    if row is not None:
+        raise ValueError(f"no judgement for training row query_id={row['query_id']}, doc_pos={row['doc_pos']}")
+
+
+def _features(fitted: Fitted, fm: DataFrame, keep: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    cols = feature_names(fitted.extras)
+    fm = fm.fillna(fitted.fill)
+    if fitted.stats is not None:
+        fm = scale.apply_standardizer(fm, fitted.stats)
+    if fitted.rff is None:
+        return fm, cols
+    n, gamma, seed = fitted.rff
+    return fm.select(*keep, *rff_columns(cols, n, gamma, seed)), [f"rff_{k}" for k in range(n)]
+
+
+def fit(task: int, train: DataFrame, train_rels: DataFrame, idf: DataFrame, kernel: bool = False, n_components: int = 16,
+        gamma: float = 0.125, seed: int = 1) -> Fitted:
+    """Task 1, 2 or 3 fitted on the training lists."""
+    extras = DEFAULT_EXTRAS if task == 3 else ()
     cols = feature_names(extras)
-    fm_tr = materialize(feature_matrix(train, idf, extras=extras).join(
+    fm = materialize(feature_matrix(train, idf, extras=extras).join(
         train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
-    fm_te = materialize(feature_matrix(test, idf, extras=extras))
-    means = scale.fit_means(fm_tr, cols)                     # A9, fitted on training rows
-    fill = {c: (m if m is not None else 0.0) for c, m in means.items()}
-    fm_tr, fm_te = fm_tr.fillna(fill), fm_te.fillna(fill)
-    stats = scale.fit_standardizer(fm_tr, cols)
-    z_tr, z_te = scale.apply_standardizer(fm_tr, stats), scale.apply_standardizer(fm_te, stats)
-    use = cols
-    if kernel:
-        rff = rff_columns(cols, n_components, gamma, seed)
-        z_tr = z_tr.select("query_id", "doc_pos", "rel", *rff)
-        z_te = z_te.select("query_id", "doc_pos", *rff)
-        use = [f"rff_{k}" for k in range(n_components)]
-    w = fit_pairwise(z_tr, use, "rel")
-    scored = z_te.withColumn("score", linear_score(w))
-    ranked, per, mean = _evaluate(scored, test_rels)
-    return RankResult(ranked, per, mean, w)
+    fill = {c: (m if m is not None else 0.0) for c, m in scale.fit_means(fm, cols).items()}     # A9
+    if task == 1:
+        model = fit_linear_regression(fm.fillna(fill), cols, "rel")
+        return Fitted(extras, fill, None, None, dict(zip(cols, map(float, model.coefficients))), float(model.intercept))
+    out = Fitted(extras, fill, scale.fit_standardizer(fm.fillna(fill), cols), (n_components, gamma, seed) if kernel else None, {})
+    z, use = _features(out, fm, ("query_id", "doc_pos", "rel"))
+    out.weights = fit_pairwise(z, use, "rel")
+    return out
+
+
+def apply(fitted: Fitted, test: DataFrame, test_rels: DataFrame | None, idf: DataFrame) -> RankResult:
+    """Rank the test lists; with judgements also NDCG."""
+    fm = materialize(feature_matrix(test, idf, extras=fitted.extras))
+    z, _ = _features(fitted, fm, ("query_id", "doc_pos"))
+    scored = z.withColumn("score", linear_score(fitted.weights) + F.lit(fitted.intercept))
+    rels = test_rels if test_rels is not None else test.select("query_id", "doc_pos", F.lit(None).cast("double").alias("rel")).where(F.lit(False))
+    ranked, per, mean = _evaluate(scored, rels)
+    return RankResult(ranked, per, mean, {**fitted.weights, "intercept": fitted.intercept} if fitted.stats is None else fitted.weights)
+
+
+def task1(train: DataFrame, train_rels: DataFrame, test: DataFrame, test_rels: DataFrame,
+          idf: DataFrame) -> RankResult:
+    return apply(fit(1, train, train_rels, idf), test, test_rels, idf)
 
 
 def task2(train, train_rels, test, test_rels, idf) -> RankResult:
-    return _pairwise(train, train_rels, test, test_rels, idf, extras=(), kernel=False)
+    return apply(fit(2, train, train_rels, idf), test, test_rels, idf)
 
 
 def task3(train, train_rels, test, test_rels, idf, kernel: bool = False) -> RankResult:
-    return _pairwise(train, train_rels, test, test_rels, idf, extras=DEFAULT_EXTRAS, kernel=kernel)
+    return apply(fit(3, train, train_rels, idf, kernel=kernel), test, test_rels, idf)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Configs that matter for every ordo plan. AQE coalesces the many small
@@ -23,22 +23,27 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "ordo") -> SparkSession:
+              app_name: str = "ordo", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with ordo's defaults.
 
-    On a cluster the master and the checkpoint folder come from the cluster
-    config; locally (tests, bench) a scratch checkpoint folder is created only
-    when ``spark.checkpoint.dir`` is unset.
+    Master, shuffle partitions and driver memory are set only when they are
+    passed; else they stay as spark-submit or the cluster config has them, and
+    so does every setting of ``DEFAULT_CONF`` that was given there. The
+    checkpoint folder comes from ``spark.checkpoint.dir``; a scratch folder is
+    made only in local mode and only when that is unset.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.appName(app_name)
-    if master or not SparkSession.getActiveSession():
-        builder = builder.master(master or f"local[{cpus}]")
-    for k, v in DEFAULT_CONF.items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions",
-                             str(shuffle_partitions or int(cpus)))
-    builder = builder.config("spark.driver.memory", "16g")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
+    given = dict(SparkConf().getAll())
+    if SparkSession.getActiveSession() is None:
+        for k, v in DEFAULT_CONF.items():
+            if k not in given:
+                builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

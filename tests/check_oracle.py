@@ -60,7 +60,7 @@ def main(argv):
     from ordo.session import get_spark
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
-    spark = get_spark()
+    spark = get_spark(master="local[8]", shuffle_partitions=8, driver_memory="8g")
     con = duck(sf_dir)
     fails = 0
     for n in names:
