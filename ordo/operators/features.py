@@ -161,6 +161,7 @@ def five_features(smoothing: float = TX.BODY_SMOOTHING_FEATURES) -> Column:
 
 
 def vector_difference(a: DataFrame, b: DataFrame, cols, keys_a, keys_b) -> DataFrame:
-    """B - a per feature column of paired rows."""
-    return a.join(b, [a[x] == b[y] for x, y in zip(keys_a, keys_b)]).select(
-        *[(b[c] - a[c]).alias(c) for c in cols])
+    """B - a per feature column of paired rows, with the keys of ``a``."""
+    right = b.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys_b)], *[F.col(c).alias(f"_b_{c}") for c in cols])
+    on = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys_a)]
+    return a.join(right, on).select(*keys_a, *[(F.col(f"_b_{c}") - F.col(c)).alias(c) for c in cols])

@@ -192,6 +192,19 @@ def q_has_tilda(spark, sf_dir):
     return _docs(spark, sf_dir).select("page_id", has_tilde("url").alias("has_tilda"))
 
 
+@register("url_predicates", O.with_ctes(O.V1_DOCS, select="""
+SELECT page_id, CAST(ends_with(lower(u), '.pdf') AS DOUBLE) AS is_pdf, CAST(contains(u, '~') AS DOUBLE) AS has_tilda
+FROM (SELECT page_id, CASE WHEN length(title) % 3 = 0 THEN url || '/A.PDF' WHEN length(title) % 3 = 1 THEN url || '/~joe/a.pdf?x'
+  ELSE url || '/~joe/a.Pdf' END AS u FROM docs)"""))
+def q_url_predicates(spark, sf_dir):
+    """P12 + P13 on urls that have both outcomes: each page's url with one of three endings."""
+    from ordo.functions.text import has_tilde, is_pdf
+    third = F.length("title") % 3
+    u = _docs(spark, sf_dir).select("page_id", F.concat("url", F.when(third == 0, "/A.PDF").when(third == 1, "/~joe/a.pdf?x")
+                                                        .otherwise("/~joe/a.Pdf")).alias("u"))
+    return u.select("page_id", is_pdf("u").alias("is_pdf"), has_tilde("u").alias("has_tilda"))
+
+
 @register("strip_scheme", O.with_ctes(O.V1_DOCS, select="""
 SELECT page_id, coalesce(string_split(url, '://')[2], url) AS host_path FROM docs"""))
 def q_strip_scheme(spark, sf_dir):
@@ -339,6 +352,19 @@ def q_bm25_score(spark, sf_dir):
     return p.select("query_id", "doc_pos", rn(bm25_score_col()).alias("bm25"))
 
 
+@register("feature_toggles", O.with_ctes(_BM, f"""bs AS (
+  SELECT query_id, doc_pos, {O.bm25_score_sql()} AS bm25 FROM tfl GROUP BY query_id, doc_pos)""", select=f"""
+SELECT c.query_id, c.doc_pos, {r9('bs.bm25')} AS bm25, CAST(c.page_rank AS DOUBLE) AS page_rank,
+  CAST(contains(c.url, '~') AS DOUBLE) AS has_tilda
+FROM cands c JOIN bs ON c.query_id = bs.query_id AND c.doc_pos = bs.doc_pos"""))
+def q_feature_toggles(spark, sf_dir):
+    """P25 with the extras that are off by default: bm25 and page_rank."""
+    from ordo.operators.matrix import feature_matrix
+    c, _ = _v2(spark, sf_dir)
+    fm = feature_matrix(c, _page_idf(spark, sf_dir), extras=("bm25", "page_rank", "has_tilda"), queries=V.page_query_table(spark, sf_dir))
+    return fm.select("query_id", "doc_pos", rn("bm25").alias("bm25"), "page_rank", "has_tilda")
+
+
 # ------------------------------------------------------------ windows (V2)
 
 _WORDS = O.words_sql()
@@ -364,6 +390,15 @@ def q_window_doc(spark, sf_dir):
     return c.select("query_id", "doc_pos", doc_window_col().cast("long").alias("window"))
 
 
+@register("window_doc_exact", O.with_ctes(O.V2_RANKING, select=f"""
+SELECT query_id, doc_pos, CAST({O.doc_window(_WORDS, O.exact)} AS BIGINT) AS window FROM cands"""))
+def q_window_doc_exact(spark, sf_dir):
+    """P20 with mode='exact': the smallest span instead of the lock-step one."""
+    from ordo.operators.scorers import doc_window_col
+    c, _ = _v2(spark, sf_dir)
+    return c.select("query_id", "doc_pos", doc_window_col("exact").cast("long").alias("window"))
+
+
 _K = f"len(list_distinct({_WORDS}))"
 
 
@@ -440,6 +475,18 @@ def _ndcg_of(ranked, rels, keys=("query_id", "doc_pos")):
     return ndcg_per_query(j, ["query_id"], [F.col("score").desc_nulls_last(), F.col("doc_pos")])
 
 
+@register("vector_difference", O.with_ctes(_V2FM, select="SELECT a.query_id, a.doc_pos, " + ", ".join(
+    f"{r9(f'b.{c}_w - a.{c}_w')} AS {c}_w" for c in O.FIELDS) +
+    " FROM fmx a JOIN fmx b ON a.query_id = b.query_id AND b.doc_pos = a.doc_pos + 1"))
+def q_vector_difference(spark, sf_dir):
+    """Each candidate's features against those of the next candidate of its query."""
+    from ordo.operators.features import FEATURE_NAMES, vector_difference
+    fm = _v2_matrix(spark, sf_dir, with_rel=False, extras=())
+    after = fm.withColumn("doc_pos", F.col("doc_pos") - 1)
+    d = vector_difference(fm, after, FEATURE_NAMES, ["query_id", "doc_pos"], ["query_id", "doc_pos"])
+    return d.select("query_id", "doc_pos", *[rn(n).alias(n) for n in FEATURE_NAMES])
+
+
 @register("feature_matrix", O.with_ctes(_V2FM, select="SELECT f.query_id, f.doc_pos, " + ", ".join(
     f"{r9('f.' + c)} AS {c}" for c in _FM_COLS) +
     " , r.rel FROM fm f JOIN rels r ON f.query_id = r.query_id AND f.doc_pos = r.doc_pos"))
@@ -696,23 +743,26 @@ def q_compare_by_rank(spark, sf_dir):
 
 
 @register("query_set_diff", O.with_ctes(_CMP, select="""
-SELECT query_id, 'a' AS side FROM (SELECT DISTINCT query_id FROM la EXCEPT SELECT DISTINCT query_id FROM lb)
+SELECT query_id, 'a' AS side FROM (SELECT DISTINCT query_id FROM la WHERE rel >= 3.0 AND rank <= 4
+  EXCEPT SELECT DISTINCT query_id FROM lb WHERE rel >= 3.0 AND rank <= 5)
 UNION ALL
-SELECT query_id, 'b' AS side FROM (SELECT DISTINCT query_id FROM lb EXCEPT SELECT DISTINCT query_id FROM la)"""))
+SELECT query_id, 'b' AS side FROM (SELECT DISTINCT query_id FROM lb WHERE rel >= 3.0 AND rank <= 5
+  EXCEPT SELECT DISTINCT query_id FROM la WHERE rel >= 3.0 AND rank <= 4)"""))
 def q_query_set_diff(spark, sf_dir):
+    """R7 on queries with a top grade in the first results: the experiments differ in them."""
     from ordo.operators.compare import query_set_diff
     la, lb, _, _ = _experiments(spark, sf_dir)
-    return query_set_diff(la, lb)
+    return query_set_diff(la.where("rel >= 3.0 and rank <= 4"), lb.where("rel >= 3.0 and rank <= 5"))
 
 
 @register("url_set_diff", O.with_ctes(_CMP, select="""
-SELECT query_id, url, 'a' AS side FROM (SELECT DISTINCT query_id, url FROM la EXCEPT SELECT DISTINCT query_id, url FROM lb)
+SELECT query_id, url, 'a' AS side FROM (SELECT DISTINCT query_id, url FROM la WHERE rank <= 5 EXCEPT SELECT DISTINCT query_id, url FROM lb WHERE rank <= 5)
 UNION ALL
-SELECT query_id, url, 'b' AS side FROM (SELECT DISTINCT query_id, url FROM lb EXCEPT SELECT DISTINCT query_id, url FROM la)"""))
+SELECT query_id, url, 'b' AS side FROM (SELECT DISTINCT query_id, url FROM lb WHERE rank <= 5 EXCEPT SELECT DISTINCT query_id, url FROM la WHERE rank <= 5)"""))
 def q_url_set_diff(spark, sf_dir):
     from ordo.operators.compare import url_set_diff
     la, lb, _, _ = _experiments(spark, sf_dir)
-    return url_set_diff(la, lb)
+    return url_set_diff(la.where("rank <= 5"), lb.where("rank <= 5"))      # R8 on the first five results
 
 
 # ------------------------------------------------------------ models (V2 / V4)

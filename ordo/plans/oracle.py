@@ -228,19 +228,26 @@ def lockstep(lists: str) -> str:
             f"lambda l: len(l)))), lambda r: list_max({at}) - list_min({at}) + 1)) END)")
 
 
-def text_window(text: str, words: str) -> str:
+def exact(lists: str) -> str:
+    """Smallest span with a position of every list: best over all starts."""
+    reach = f"list_transform({lists}, lambda l: list_min(list_filter(l, lambda x: x >= p)))"
+    return (f"list_min(list_filter(list_transform(flatten({lists}), lambda p: CASE WHEN list_bool_and(list_transform({lists}, "
+            f"lambda l: list_max(l) >= p)) THEN list_max({reach}) - p + 1 END), lambda x: x IS NOT NULL))")
+
+
+def text_window(text: str, words: str, win=lockstep) -> str:
     toks = jsplit(text, chr(92) + "W+")
     lists = f"list_transform(list_distinct({toks}), lambda tk: list_filter(range(0, len({toks})), lambda i: {toks}[i + 1] = tk))"
     return (f"(CASE WHEN {text} IS NOT NULL AND list_bool_and(list_transform({words}, lambda w: contains({text}, w))) "
-            f"THEN {lockstep(lists)} END)")
+            f"THEN {win(lists)} END)")
 
 
-def doc_window(words: str) -> str:
+def doc_window(words: str, win=lockstep) -> str:
     body = (f"(CASE WHEN body_hits IS NOT NULL AND cardinality(body_hits) = len({words}) "
-            f"THEN {lockstep('map_values(body_hits)')} END)")
-    return (f"list_min(list_filter(list_concat([{body}, {text_window('url', words)}, {text_window('title', words)}], "
-            f"coalesce(list_transform(headers, lambda hh: {text_window('hh', words)}), []), "
-            f"coalesce(list_transform(map_keys(anchors), lambda aa: {text_window('aa', words)}), [])), lambda x: x IS NOT NULL))")
+            f"THEN {win('map_values(body_hits)')} END)")
+    return (f"list_min(list_filter(list_concat([{body}, {text_window('url', words, win)}, {text_window('title', words, win)}], "
+            f"coalesce(list_transform(headers, lambda hh: {text_window('hh', words, win)}), []), "
+            f"coalesce(list_transform(map_keys(anchors), lambda aa: {text_window('aa', words, win)}), [])), lambda x: x IS NOT NULL))")
 
 
 def boost(win: str, k: str) -> str:
