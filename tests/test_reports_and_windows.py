@@ -89,3 +89,31 @@ def test_training_rows_need_judgements(spark):
     check_judged(rows, rows.withColumn("rel", F.lit(1.0)))
     with pytest.raises(ValueError, match="doc_pos=2"):
         check_judged(rows, rows.where("doc_pos = 1").withColumn("rel", F.lit(1.0)))
+
+
+@pytest.mark.parametrize("what", ["window", "anchors"])
+def test_text_work_grows_with_the_text(spark, what):
+    """Twice the tokens take about twice the time, not eight times."""
+    import time
+    from ordo.functions.text import count_map
+    from ordo.functions.window import text_window
+
+    def run(n):
+        text = " ".join(f"t{k}" for k in range(n))
+        df = spark.range(8).select(F.concat(F.lit(text), F.lit(" x"), F.col("id")).alias("t"))
+        c = text_window(F.col("t"), F.array(F.lit("t1"))) if what == "window" else F.size(count_map(F.split("t", " ")))
+        best = 1e9
+        for _ in range(3):
+            t0 = time.time()
+            df.select(F.sum(F.coalesce(c, F.lit(0)))).collect()
+            best = min(best, time.time() - t0)
+        return best
+    run(1000)
+    assert run(16_000) < 4 * run(8_000) + 0.5
+
+
+def test_tokens_are_not_split_inside_an_aggregate(spark, signal, idf):
+    from ordo.operators.features import feature_vector
+    plan = feature_vector(signal, idf)._jdf.queryExecution().optimizedPlan().toString()
+    inside = [p for p in plan.split("aggregate(")[1:] if "split(" in p.split("lambdafunction")[1][:400]]
+    assert not inside
