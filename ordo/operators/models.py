@@ -2,7 +2,7 @@
 
 * M2  pointwise linear regression: ``pyspark.ml`` normal-equation solver; its
       Gram matrix is also exposed as a one-row aggregate (``regression_moments``).
-* M4  pairwise linear ranker: ridge least squares on the pair-difference
+* M4  pairwise linear ranker: least-squares C-SVC on the pair-difference
       moments of ``pairs.pair_gram`` (exact, no pair rows); the d x d system
       (d = number of features, a literal bound) is solved on the driver.
 * M5  kernel ranker: seeded random Fourier features ``sqrt(2/D) cos(Wx + b)``
@@ -80,8 +80,10 @@ def fit_linear_regression(fm: DataFrame, cols: Sequence[str], label: str):
 
 # ---------------------------------------------------------------- M4 / M5
 
-def solve_pairwise(gram_row, cols: Sequence[str], reg: float = 1e-6) -> np.ndarray:
-    """M4: w = argmin sum_pairs (1 - w.d)^2 + reg |w|^2 from ``pair_gram``'s row."""
+def solve_pairwise(gram_row, cols: Sequence[str], C: float = 1.0) -> np.ndarray:
+    """M4: w = argmin |w|^2 / 2 + C / 2 * sum_pairs (1 - w.d)^2 from ``pair_gram``'s row.
+
+    The least-squares form of the C-SVC: (1/C + G) w = sum d, G the pair Gram matrix."""
     cols = list(cols)
     k = len(cols)
     G = np.zeros((k, k))
@@ -90,14 +92,13 @@ def solve_pairwise(gram_row, cols: Sequence[str], reg: float = 1e-6) -> np.ndarr
             v = gram_row[f"g_{a}__{cols[j]}"] or 0.0
             G[i, j] = G[j, i] = v
     d = np.array([gram_row[f"d_{c}"] or 0.0 for c in cols])
-    n = max(gram_row["n_pos"] or 0, 1)
-    return np.linalg.solve(G / n + reg * np.eye(k), d / n)
+    return np.linalg.solve(G + np.eye(k) / C, d)
 
 
-def fit_pairwise(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel", reg: float = 1e-6) -> dict[str, float]:
+def fit_pairwise(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel", C: float = 1.0) -> dict[str, float]:
     from ordo.operators.pairs import pair_gram
     row = pair_gram(fm, cols, rel_col).first()
-    w = solve_pairwise(row, cols, reg)
+    w = solve_pairwise(row, cols, C)
     return dict(zip(cols, map(float, w)))
 
 

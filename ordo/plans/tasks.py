@@ -72,7 +72,7 @@ def _features(fitted: Fitted, fm: DataFrame, keep: tuple[str, ...]) -> tuple[Dat
 
 
 def fit(task: int, train: DataFrame, train_rels: DataFrame, idf: DataFrame, kernel: bool = False, n_components: int = 16,
-        gamma: float = 0.125, seed: int = 1) -> Fitted:
+        gamma: float = 0.125, seed: int = 1, C: float = 1.0) -> Fitted:
     """Task 1, 2 or 3 fitted on the training lists."""
     extras = DEFAULT_EXTRAS if task == 3 else ()
     cols = feature_names(extras)
@@ -84,7 +84,7 @@ def fit(task: int, train: DataFrame, train_rels: DataFrame, idf: DataFrame, kern
         return Fitted(extras, fill, None, None, dict(zip(cols, map(float, model.coefficients))), float(model.intercept))
     out = Fitted(extras, fill, scale.fit_standardizer(fm.fillna(fill), cols), (n_components, gamma, seed) if kernel else None, {})
     z, use = _features(out, fm, ("query_id", "doc_pos", "rel"))
-    out.weights = fit_pairwise(z, use, "rel")
+    out.weights = fit_pairwise(z, use, "rel", C)
     return out
 
 

@@ -85,3 +85,17 @@ def test_nominal_to_binary(spark):
     df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b")], "id int, c string")
     got = {r["id"]: (r["c_a"], r["c_b"]) for r in nominal_to_binary(df, "c").collect()}
     assert got == {1: (0.0, 1.0), 2: (1.0, 0.0), 3: (0.0, 1.0)}
+
+
+def test_pairwise_weights_depend_on_c_and_solve_the_normal_equations(spark):
+    import numpy as np
+    from ordo.operators.models import fit_pairwise
+    rows = [(q, d, float(d % 3), 0.1 * d + 0.01 * q, (-1.0) ** d) for q in range(4) for d in range(5)]
+    fm = spark.createDataFrame(rows, "query_id long, doc_pos long, rel double, x double, y double")
+    pairs = np.array([[a[3] - b[3], a[4] - b[4]] for a in rows for b in rows if a[0] == b[0] and a[2] > b[2]])
+    found = []
+    for c in (0.01, 1.0):
+        w = np.array(list(fit_pairwise(fm, ["x", "y"], C=c).values()))
+        assert np.allclose(w - c * pairs.T @ (1 - pairs @ w), 0, atol=1e-9)
+        found.append(w)
+    assert not np.allclose(*found, rtol=0.05)
