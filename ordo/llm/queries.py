@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ordo.llm import fixity, licenses, mixing, neardup, packing, quality, secrets, sharding, sketch, topk
 from ordo.llm.common import documents, table
+from ordo.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,7 +64,8 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.place(documents(spark, sf_dir), n_shards=24)
+    maps = f"{ensure_checkpoint_dir(spark).rstrip('/')}/slot-maps/{uuid.uuid4().hex}"
+    return sharding.place(documents(spark, sf_dir), n_shards=24, map_path=maps)
 
 
 @query

@@ -121,15 +121,19 @@ def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_slo
 
 
 def place(df: DataFrame, n_shards: int = 24, slot_map: SlotMap | None = None, id_col: str = "doc_id",
-          text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+          text_col: str = "text", n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """Shard and position of each row: doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version.
 
     ``slot`` is the row's place in its shard, gapless from 0: rows are numbered inside
     their virtual slot (thousands of groups), and each virtual slot starts where the
-    one before it in the same shard ends."""
+    one before it in the same shard ends. With ``map_path`` the map in use is stored there
+    as its version, and placement reads it back."""
     rows = materialize(records(df, id_col, text_col, n_slots))
     size, count = slot_loads(rows, n_slots)
     slot_map = slot_map or SlotMap.build(size, n_shards)
+    if map_path:
+        slot_map.save(df.sparkSession, map_path)
+        slot_map = SlotMap.load(df.sparkSession, map_path, slot_map.version)
     start, filled = [0] * n_slots, [0] * slot_map.n_shards
     for k, shard in enumerate(slot_map.shard_of):
         start[k] = filled[shard]
