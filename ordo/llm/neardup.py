@@ -6,16 +6,18 @@
    reaches (optimal densification), so equal bins keep meaning equal sets.
 2. Equal sets are one class; its smallest id stands for it from here on.
 3. ``rows`` consecutive bins make a band. Classes with the same band value share a bucket.
-4. A bucket gives star edges: every member to the hub with the smallest id, so pairs grow
-   with members and not with their square. Each edge is confirmed on the full sets.
-5. Confirmed links make components. A bucket whose members are still in several components
-   may hide a link that no hub saw. It gets more hubs, eight times as many each round,
-   until all of its members have been hubs; only members of other components of fitting
-   size are compared, and no pair twice. So every pair that shares a bucket is settled
-   without listing all pairs of a bucket whose members are already joined.
-
-With 32 bands of 5 bins a pair of similarity 0.8 shares no bucket with probability
-(1 - 0.8^5)^32 = 3e-6.
+4. A bucket gives star edges: every member of fitting size to the bucket's hub, so pairs
+   grow with members and not with their square. The hub is the member that meets most
+   others over all buckets: of many edited copies of a text, the one nearest to all. Each
+   edge is confirmed on the full sets, and confirmed links make components.
+5. A bucket whose members are still in several components may hide a link that its hub did
+   not see. If it is small, all its members of different components are compared. A large
+   one gets its next hub, round after round, each compared with members of other
+   components only; rounds go on until two in a row have confirmed nothing new.
+
+With 32 bands of 5 bins a pair of similarity 0.8 shares 10 buckets on average, and none
+with probability (1 - 0.8^5)^32 = 3e-6. A shared bucket that is small settles the pair; so
+does a large one whose hubs are linked to both. The README has the measured recall.
 
 Edge cases: null, empty and blank texts have the empty set and are linked with nothing;
 a text of fewer words than a shingle is one shingle; repeated rows are linked like any
@@ -37,7 +39,8 @@ from ordo.llm.common import materialize
 from ordo.operators.sizing import broadcast_if_small
 
 BANDS, ROWS = 32, 5
-HUB_GROWTH = 8
+SMALL_BUCKET = 16        # members of a bucket that all meet one another
+DRY_ROUNDS = 2           # rounds without a new link that end the search
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,7 +57,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         found = xxhash.xxh64_intdigest(word)
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = found
         return found
@@ -113,18 +116,20 @@ def sketches(docs: DataFrame, words_each: int, bands: int, rows: int) -> DataFra
     """(doc_id, n_shingles, set_a, set_b, keys) of ``docs`` (doc_id, text); the set hash has two halves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, walks = WordHashes(), densified_walks(bands * rows)
-        for batch in batches:
-            n, a, b, keys = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set((text or "").encode(), words_each, memo)
-                digest = xxhash.xxh128_digest(s.tobytes())
-                n.append(len(s))
-                a.append(int.from_bytes(digest[:8], "little", signed=True))
-                b.append(int.from_bytes(digest[8:], "little", signed=True))
-                keys.append(band_keys(signature(s, bands * rows, walks), bands, rows) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_a", "set_b", "keys"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, 512):
+                batch = whole.slice(low, 512)
+                n, a, b, keys = [], [], [], []
+                for text in batch.column("text").to_pylist():
+                    s = shingle_set((text or "").encode(), words_each, memo)
+                    digest = xxhash.xxh128_digest(s.tobytes())
+                    n.append(len(s))
+                    a.append(int.from_bytes(digest[:8], "little", signed=True))
+                    b.append(int.from_bytes(digest[8:], "little", signed=True))
+                    keys.append(band_keys(signature(s, bands * rows, walks), bands, rows) if len(s) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                     pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_a", "set_b", "keys"])
 
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, keys array<bigint>")
 
@@ -158,8 +163,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sets: DataFrame | None, words_e
     if sets is not None:
         wanted = wanted.join(sets.select("doc_id"), "doc_id", "left_anti")
     wanted = materialize(wanted)
-    new = full_sets(rows_with(docs, wanted, "left_semi"), words_each)
-    sets = materialize(new if sets is None else sets.unionByName(new)) if not wanted.isEmpty() or sets is None else sets
+    if sets is None or not wanted.isEmpty():
+        new = materialize(full_sets(rows_with(docs, wanted, "left_semi"), words_each))
+        sets = new if sets is None else sets.unionByName(new)
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
             .withColumn("same", F.size(F.array_intersect("sa", "sb"))))
@@ -197,42 +203,55 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
                              .select("id", F.coalesce("to", "root").alias("root")))
 
 
-def settled(members: DataFrame, docs: DataFrame, words_each: int, percent: int) -> DataFrame | None:
-    """Components over the classes in ``members`` (bucket, id, n), all links in buckets seen."""
-    hub = members.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = materialize(members.join(hub, "bucket"))
-    sizes = members.select(F.col("id").alias("a"), F.col("n").alias("na")).distinct()
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)  # noqa: E731  sizes that can reach the similarity
-    star = (members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb"))
-            .distinct().join(sizes, "a").where(fits(F.col("na"), F.col("nb"))).select("a", "b"))
-    tried = materialize(star)
-    links, sets = confirmed(tried, docs, None, words_each, percent)
-    links = materialize(links)
-    roots = components(links)
-    hubs = 1
-    while True:
-        hubs *= HUB_GROWTH
-        held = (members.join(roots, "id", "left").select("bucket", "id", "n", "size", F.coalesce("root", "id").alias("root")))
-        # Hubs of the round before have met all members of a bucket that had no more members than hubs.
-        several = (held.where(F.col("size") > hubs // HUB_GROWTH).groupBy("bucket")
-                   .agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket"))
+def _compared(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each hub with the members of its bucket that stand in another
+    component and have a size that can reach the similarity."""
+    small, large = F.least("n", "hn"), F.greatest("n", "hn")
+    return (members.join(hubs, "bucket").where((F.col("id") != F.col("h")) & (F.col("root") != F.col("hr")) & (small * 100 >= large * percent))
+            .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")))
+
+
+def _as_hubs(members: DataFrame) -> DataFrame:
+    return members.select("bucket", F.col("id").alias("h"), F.col("n").alias("hn"), F.col("root").alias("hr"))
+
+
+def settled(members: DataFrame, docs: DataFrame, words_each: int, percent: int) -> DataFrame:
+    """Components (id, root) over the classes in ``members`` (bucket, id, n): steps 4 and 5."""
+    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = materialize(members.join(size, "bucket"))
+    near = members.groupBy("id").agg(F.sum(F.col("size") - 1).alias("near"))
+    members = materialize(members.join(near, "id").select("bucket", "id", "n", "size", F.struct("near", -F.col("id")).alias("weight")))
+    open_ = members.withColumn("root", F.col("id"))
+    roots = tried = hubs = sets = None
+    done, dry = 0, 0
+    while dry < DRY_ROUNDS:
+        free = open_ if hubs is None else open_.join(hubs, ["bucket", "id"], "left_anti")
+        hub = materialize(_as_hubs(free.groupBy("bucket").agg(F.max_by(F.struct("id", "n", "root"), "weight").alias("h"))
+                                   .select("bucket", "h.*")))
+        if hub.isEmpty():
+            break
+        pairs = _compared(open_, hub, percent)
+        if done == 1:
+            few = open_.where(F.col("size") <= SMALL_BUCKET)
+            pairs = pairs.unionByName(_compared(few, _as_hubs(few), percent))
+        pairs = pairs.distinct()
+        new = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        links, sets = confirmed(new, docs, sets, words_each, percent)
+        links = materialize(links)
+        found = not links.isEmpty()
+        if found or roots is None:
+            roots = components(links, roots)
+        done, dry = done + 1, 0 if found or not done else dry + 1
+        used = hub.select("bucket", F.col("h").alias("id"))
+        tried = new if tried is None else tried.unionByName(new)
+        hubs = used if hubs is None else hubs.unionByName(used)
+        # What is left: buckets over several components, of which the small ones are settled after the second round.
+        held = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        if done > 1:
+            held = held.where(F.col("size") > SMALL_BUCKET)
+        several = held.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("bucket")
         open_ = materialize(held.join(several, "bucket"))
-        if open_.isEmpty():
-            return roots
-        chosen = open_.where((F.col("size") <= hubs) | (F.pmod(F.xxhash64("id", "bucket"), F.greatest(
-            F.lit(1), F.floor(F.col("size") / hubs))) == 0)).select(
-            "bucket", F.col("id").alias("h"), F.col("n").alias("hn"), F.col("root").alias("hr"))
-        new = (chosen.join(open_, "bucket").where((F.col("root") != F.col("hr")) & fits(F.col("n"), F.col("hn")))
-               .select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct()
-               .join(tried, ["a", "b"], "left_anti"))
-        new = materialize(new)
-        if new.isEmpty():
-            continue
-        tried = materialize(tried.unionByName(new))
-        more, sets = confirmed(new, docs, sets, words_each, percent)
-        more = materialize(more)
-        if not more.isEmpty():
-            roots = components(more, roots)
+    return roots if roots is not None else members.select("id", F.col("id").alias("root")).distinct()
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, percent: int = 80,

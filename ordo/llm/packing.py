@@ -35,7 +35,7 @@ from ordo.llm.common import materialize
 MAX_LEN = 1024
 END_ID = 2
 BUCKET_ROWS = 20_000          # pieces of one length that a task ranks together
-MEMO_WORDS = 400_000          # words whose ids a worker keeps
+MEMO_WORDS = 200_000          # words whose ids a worker keeps
 FIT_STEPS = 300
 
 # The split of the byte-level BPE vocabulary, for texts of ASCII and Latin-1 letters.

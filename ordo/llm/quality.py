@@ -32,7 +32,7 @@ FILTERS, EMBED, HIDDEN = 24, 8, 16
 MAX_ROWS, MAX_WINDOW, EPOCHS, BATCH = 4000, 4096, 24, 64
 MIN_STEPS = 400
 THRESHOLD = 0.3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 17
 
 
 @dataclass
