@@ -71,7 +71,7 @@ def test_query_equals_brute_force(spark, sf, texts):
     assert {r["doc_id"]: r["component_id"] for r in QUERIES["op8_minhash_neardup"](spark, sf).collect()} == want
 
 
-@pytest.mark.parametrize("copies", [10])
+@pytest.mark.parametrize("copies", [10, 30])
 def test_one_bucket_with_a_stranger_and_a_chain(spark, copies):
     # The stranger is like nothing; each text of the chain is like its neighbours only.
     base = [f"w{k}" for k in range(40)]
@@ -86,8 +86,47 @@ def test_one_bucket_with_a_stranger_and_a_chain(spark, copies):
     want = brute_components(sets)
     got = {k: roots.get(k, k) for k in texts}
     assert len(set(want.values())) == 2 and got[0] == 0 and got[1] != 0
-    if copies <= neardup.SMALL_BUCKET:
-        assert got == want
+    assert got == want
+
+
+@pytest.mark.parametrize("others", [0, 60])
+def test_a_large_bucket_whose_hubs_link_to_nothing(spark, others):
+    # The hubs of the first rounds (smallest ids) are strangers to all; only two late members are alike.
+    texts = {k: " ".join(f"s{k}x{j}" for j in range(40)) for k in range(38)}
+    base = [f"w{j}" for j in range(40)]
+    texts[38], texts[39] = " ".join(base), " ".join([*base[:39], "edit"])
+    bucket = {k: 1 for k in texts}
+    # Unrelated groups of other buckets: chains that link round after round.
+    for g in range(others // 20):
+        w = [f"g{g}x{j}" for j in range(40)]
+        for k in range(20):
+            w = [*w[:k], f"g{g}n{k}", *w[k + 1:]]
+            texts[100 + 20 * g + k], bucket[100 + 20 * g + k] = " ".join(w), 2 + g
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    members = spark.createDataFrame([(b, k, 39) for k, b in bucket.items()], "bucket bigint, id bigint, n bigint")
+    roots = {r["id"]: r["root"] for r in neardup.settled(members, docs, 2, 80).collect()}
+    want = brute_components({k: shingles(t, 2) for k, t in texts.items()})
+    assert {k: roots.get(k, k) for k in texts} == want
+    assert want[39] == 38 and len({want[k] for k in range(40)}) == 39
+
+
+def test_prefix_pairs_hold_every_link(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SALT_ROWS", 3)
+    r = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+    texts = {}
+    for k in range(70):
+        w = base[:r.choice([45, 50, 60, 60])]
+        for at in r.sample(range(len(w)), r.choice([1, 2, 3, 4])):
+            w[at] = f"e{k}x{at}"
+        texts[k] = " ".join(w)
+    sets = {k: shingles(t, 2) for k, t in texts.items()}
+    links = {(a, b) for a in sets for b in sets if a < b and a % 5 != b % 5
+             and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    held = neardup.full_sets(docs, 2).selectExpr("doc_id as id", "doc_id % 5 as root", "shingles")
+    got = neardup.prefix_pairs(held, 80).collect()
+    assert links and links <= {(x["a"], x["b"]) for x in got} and len(got) < 70 * 69 / 2 * 0.8
 
 
 def test_a_center_joins_its_edited_copies(spark):
