@@ -8,6 +8,7 @@ character. With ``f(c) = c * log2(c)`` the window's entropy is
 holds integers (millionths of a bit), so the running sum has no rounding drift.
 A candidate's span runs from its first to its last window at or over the class's
 threshold. Allow-listed candidates, and those that overlap a base span, are dropped.
+Spans of two entropy kinds may overlap; the mask covers both.
 
 Edge cases: null text is empty text (no spans); repeated rows give repeated results;
 positions are code points, end exclusive; an empty table gives an empty table.
@@ -47,6 +48,12 @@ ENTROPY_CLASSES = (
     EntropyClass("entropy_b64", r"[A-Za-z0-9+_-]{20,}={0,2}",
                  "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+_-=", 3.6,
                  ("[0-9]", "[a-z]", "[A-Z]")),
+    # Base64 strings with slashes; plain paths are on the allow-list. The class before still sees each piece.
+    EntropyClass("entropy_b64_slash", r"[A-Za-z0-9+/_-]{20,}={0,2}",
+                 "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=", 3.6,
+                 ("/", "[0-9]", "[a-z]", "[A-Z]")),
+    EntropyClass("entropy_lower", r"(?<![A-Za-z0-9])[a-z0-9]{20,}(?![A-Za-z0-9])", "abcdefghijklmnopqrstuvwxyz0123456789", 3.6,
+                 ("[0-9]", "[a-z]")),
 )
 
 # Candidates that look random but are public or placeholders.
@@ -55,6 +62,7 @@ ALLOW_LIST = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)0123456789|abcdefghij",
     r"(?i)^(sha1|sha256|sha384|sha512|md5)[-_]",
+    r"^/?(?:[A-Z]?[a-z0-9_-]+|[A-Z0-9_-]+)(?:/(?:[A-Z]?[a-z0-9_-]+|[A-Z0-9_-]+))+/?$",    # words between slashes: a path
 )
 
 _SPANS = "array<struct<start:bigint,ord:int,end:bigint,kind:string>>"

@@ -72,6 +72,16 @@ def test_method_finds_random_strings_and_leaves_placeholders(spark):
     assert kinds[11] == "" and kinds[12] == ""
 
 
+def test_slashed_base64_and_lower_case_tokens_are_found(spark):
+    aws, low, deep = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYq8Zk2LmT0Va", "q7x0v2m9k4t8z1b6n3c5w8r2", "tR9zQ2mX7vB4nL8wK1cP5dF3"
+    texts = [f"aws_secret_access_key = {aws}", f"key: {low}", "see /usr/local/Lib/python3/site-packages/numpy here", f"example/{deep}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in secrets.digest(df).collect():
+        assert r["spans"] == listed(all_spans(texts[r["doc_id"]]))
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert got == {0: "aws_secret_access_key = [SECRET]", 1: "key: [SECRET]", 2: texts[2], 3: "example/[SECRET]"}
+
+
 def test_query_equals_brute_force(spark, docs, texts):
     for r in secrets.digest(docs).collect():
         assert r["spans"] == listed(all_spans(texts[r["doc_id"]]))
