@@ -56,10 +56,9 @@ def _running_count(group_cols: list[str], rank_col: str):
             keys = pdf[group_cols]
             changed = np.zeros(n, dtype=bool)
             for c in group_cols:
-                col = keys[c]
-                prev = col.shift(1)
-                same = (col == prev) | (col.isna() & prev.isna())
-                changed |= ~same.to_numpy()
+                # On arrays: a shifted column would turn to floats, which merge large neighbouring integers.
+                values, missing = keys[c].to_numpy(), keys[c].isna().to_numpy()
+                changed[1:] |= ~((values[1:] == values[:-1]).astype(bool) | (missing[1:] & missing[:-1]))
             if last_key is None:
                 changed[0] = True
             else:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark import SparkConf
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Configs that matter for every ordo plan. AQE coalesces the many small
 # post-shuffle partitions of per-query aggregates and splits skewed join
@@ -73,3 +74,41 @@ def materialize(df):
     never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+class Generations:
+    """Tables of a loop, as Parquet in a folder of their own under ``spark.checkpoint.dir``.
+
+    A checkpoint keeps the size estimate of the plan that it cut, so estimates multiply
+    from join to join; a table that is read back has its real size. ``drop`` removes a
+    table that nothing will read any more, so a loop of many rounds holds the disk of
+    the tables in use only."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read back."""
+        path = f"{self.base}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(back)] = (back, path)
+        return back
+
+    def drop(self, *tables: DataFrame | None) -> None:
+        """Remove tables that ``keep`` returned; others, and None, are passed over."""
+        for table in tables:
+            held = self._paths.pop(id(table), None)
+            if held is not None:
+                self._delete(held[1])
+
+    def close(self) -> None:
+        """Remove the folder with all its tables."""
+        self._paths.clear()
+        self._delete(self.base)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)

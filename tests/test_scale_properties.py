@@ -111,3 +111,11 @@ def test_histogram_ideal_dcg_with_small_chunks(spark, monkeypatch):
     for k in a:
         assert b[k][0] == pytest.approx(a[k][0], rel=1e-12)
         assert b[k][1] == pytest.approx(a[k][1], rel=1e-12)
+
+
+def test_range_rank_keeps_large_neighbouring_keys_apart(spark):
+    """Keys beyond 2^53 that differ by one are different groups."""
+    from ordo.operators.ranking import group_rank
+    rows = [(2 ** 57 + k // 3, k) for k in range(12)]
+    got = group_rank(spark.createDataFrame(rows, "g long, x long"), ["g"], [F.col("x").asc()], "rank", "range").collect()
+    assert sorted((r["x"], r["rank"]) for r in got) == [(k, k % 3 + 1) for k in range(12)]
