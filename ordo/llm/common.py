@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordo.session import materialize
 
-__all__ = ["documents", "let", "materialize", "prefix_sums", "table"]
+__all__ = ["byte_slices", "documents", "let", "materialize", "prefix_sums", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,3 +55,14 @@ def prefix_sums(values: Column, block: int = 256) -> Column:
         return let(parts, joined)
 
     return F.when(F.size(values) > 0, let(values, sums)).otherwise(empty)
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices whose ``column`` (string or binary) ends with the row that passes ``most`` bytes."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        upto, low = np.cumsum(sizes, dtype=np.int64), 0
+        while low < batch.num_rows:
+            high = min(batch.num_rows, int(np.searchsorted(upto, (upto[low - 1] if low else 0) + most)) + 1)
+            yield batch.slice(low, high - low)
+            low = high
