@@ -104,6 +104,11 @@ class Generations:
             if held is not None:
                 self._delete(held[1])
 
+    def keep_only(self, *tables: DataFrame) -> None:
+        """Remove all tables but these."""
+        mine = {id(t) for t in tables}
+        self.drop(*[t for t, _ in self._paths.values() if id(t) not in mine])
+
     def close(self) -> None:
         """Remove the folder with all its tables."""
         self._paths.clear()
