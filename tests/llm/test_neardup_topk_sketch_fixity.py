@@ -158,6 +158,24 @@ def test_equal_bins_mean_similar_sets():
     assert len(set(one.tolist())) == 1
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    x, y, z = (" ".join(f"{c}{k}" for k in range(50)) for c in "xyz")
+    near = x.replace("x49", "other")
+    rows = [(1, x, 0), (2, x, 1), (2, y, 2), (3, near, 3), (4, y, 4), (5, z, 5), (5, z, 6), (5, "", 7), (5, None, 8), (None, x, 9), (1, y + " tail", 10)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, root int")
+    got = {r["root"] for r in neardup.keep_one(df).collect()}
+    assert got in ({0, 10, 5, 7, 8, 9}, {0, 10, 6, 7, 8, 9})      # x, near: row 0; y and its near copies: row 10; z: one of two
+    of = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in neardup.groups(df).collect()}
+    assert of[(2, 46)] in (1, 2) and of[(3, 46)] == 1 and of[(4, 46)] == 1 and of[(1, 47)] == 1 and of[(5, 46)] == 5
+
+
+def test_keep_one_with_another_id_column_and_clashing_names(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    df = spark.createDataFrame([(7, "a", text, 1), (8, "b", text, 2), (9, "c", "else", 3)], "key bigint, doc_id string, body string, _rows int")
+    kept = neardup.keep_one(df, id_col="key", text_col="body")
+    assert kept.columns == df.columns and sorted(r["key"] for r in kept.collect()) == [7, 9]
+
+
 def test_components_of_long_chains(spark):
     links = [(k, k + 1) for k in range(300)] + [(1000, 1500), (1500, 1200)]
     got = {r["id"]: r["root"] for r in neardup.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
