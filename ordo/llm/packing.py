@@ -30,16 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordo.llm.common import materialize
+from ordo.llm.common import byte_slices, materialize
 
 MAX_LEN = 1024
 END_ID = 2
 BUCKET_ROWS = 20_000          # pieces of one length that a task ranks together
-MEMO_WORDS = 200_000          # words whose ids a worker keeps
+MEMO_WORDS = 50_000           # words whose ids a worker keeps
+BATCH_BYTES = 1 << 20         # text that a worker encodes at a time
 FIT_STEPS = 300
 
 # The split of the byte-level BPE vocabulary, for texts of ASCII and Latin-1 letters.
-# Any other text is encoded as a whole.
+# Any other text, and one that holds an added token's content, is encoded as a whole.
 _L, _S = "A-Za-zÀ-ÖØ-öø-ÿ", "\t-\r "
 _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[0-9]+| ?[^{_S}{_L}0-9]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 _OTHER = re.compile(rf"[^{_S}!-~{_L}]")
@@ -55,10 +56,11 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in plain]
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.whole = re.compile("|".join([_OTHER.pattern, *map(re.escape, added)]))     # texts that words alone don't tell
         self.letters = {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
 
     def __missing__(self, word: str) -> bytes:
@@ -72,7 +74,7 @@ class WordIds(dict):
         return found
 
     def encode(self, text: str) -> bytes:
-        if _OTHER.search(text):
+        if self.whole.search(text):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(self.__getitem__, _WORD.findall(text)))
@@ -92,27 +94,24 @@ def tokenise(df: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordIds(tokenizer_path)
-        for whole in batches:
-            for low in range(0, whole.num_rows, 256):
-                batch = whole.slice(low, 256)
-                row, out, ids = [], [], []
-                for k, text in enumerate(batch.column("text").to_pylist()):
-                    raw = memo.encode(text or "") + end
-                    for p, (start, length) in enumerate(cuts(len(raw) // 4, max_len)):
-                        part = raw[4 * start:4 * (start + length)]
-                        row.append(k)
-                        out.append((p, start, length, zlib.crc32(part)))
-                        if with_ids:
-                            ids.append(np.frombuffer(part, "<i4"))
-                cols = list(zip(*out)) if out else [[]] * 4
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                arrays = [batch.column("doc_id").take(pa.array(row, pa.int64())),
-                          *[pa.array(c, t) for c, t in zip(cols, kinds)]]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    arrays.append(pa.array(ids, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(arrays, names)
+        for batch in byte_slices(batches, "text", BATCH_BYTES):
+            row, out, ids = [], [], []
+            for k, text in enumerate(batch.column("text").to_pylist()):
+                raw = memo.encode(text or "") + end
+                for p, (start, length) in enumerate(cuts(len(raw) // 4, max_len)):
+                    part = raw[4 * start:4 * (start + length)]
+                    row.append(k)
+                    out.append((p, start, length, zlib.crc32(part)))
+                    if with_ids:
+                        ids.append(np.frombuffer(part, "<i4"))
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            arrays = [batch.column("doc_id").take(pa.array(row, pa.int64())),
+                      *[pa.array(c, t) for c, t in zip(zip(*out), kinds)]]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                arrays.append(pa.array(ids, pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(pieces, schema)

@@ -97,7 +97,6 @@ def test_tags(spark, odd, none):
 
 def check_pack(rows, texts, sample, max_len=1024):
     tok = Tokenizer.from_file(TOKENIZER)
-    tok.encode_special_tokens = True
     by, seqs = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
         by[r["doc_id"]].append(r)
@@ -162,10 +161,9 @@ def test_plan_places_every_piece_once(lengths):
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 40
 
 
-@pytest.mark.parametrize("text", ["I'll don't", "a b", "x\x1cy", "  two\n\n three \t", "½ ² ৩ 12", "<|endoftext|>", "日本語 größe ñ", "é", "a_b__c", "\x85z", "\x00"])
+@pytest.mark.parametrize("text", ["I'll don't", "a b", "x\x1cy", "  two\n\n three \t", "½ ² ৩ 12", "<|endoftext|>", "a <|endoftext|> b", "日本語 größe ñ", "é", "a_b__c", "\x85z", "\x00"])
 def test_word_memo_equals_the_tokenizer(text):
     tok = Tokenizer.from_file(TOKENIZER)
-    tok.encode_special_tokens = True
     want = np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert packing.WordIds(TOKENIZER).encode(text) == want
 
