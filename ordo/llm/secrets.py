@@ -11,12 +11,14 @@ threshold. Allow-listed candidates, and those that overlap a base span, are drop
 Spans of two entropy kinds may overlap; the mask covers both.
 
 Edge cases: null text is empty text (no spans); repeated rows give repeated results;
-positions are code points, end exclusive; an empty table gives an empty table.
+positions are code points, end exclusive; an empty table gives an empty table. A candidate
+may be as long as its text. Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,8 +64,9 @@ ALLOW_LIST = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)0123456789|abcdefghij",
     r"(?i)^(sha1|sha256|sha384|sha512|md5)[-_]",
-    r"^/?(?:[A-Z]?[a-z0-9_-]+|[A-Z0-9_-]+)(?:/(?:[A-Z]?[a-z0-9_-]+|[A-Z0-9_-]+))+/?$",    # words between slashes: a path
 )
+# A candidate is a path if all its pieces between slashes are words of one of these forms.
+PATH_WORDS = (r"^[A-Z]?[a-z0-9_-]+$", r"^[A-Z0-9_-]+$")
 
 _SPANS = "array<struct<start:bigint,ord:int,end:bigint,kind:string>>"
 
@@ -127,6 +130,14 @@ def _hot_range(candidate: Column, cls: EntropyClass) -> Column:
     return let(F.filter(codes, lambda c: c >= 0), scan)
 
 
+def _is_path(candidate: Column) -> Column:
+    """Two words or more between slashes. Pieces are matched one by one: a pattern of repeated
+    groups would take a stack frame for each."""
+    pieces = F.split(F.regexp_replace(candidate, "^/|/$", ""), "/")
+    word = lambda p: F.rlike(p, F.lit(PATH_WORDS[0])) | F.rlike(p, F.lit(PATH_WORDS[1]))
+    return let(pieces, lambda ps: (F.size(ps) > 1) & F.forall(ps, word))
+
+
 def _entropy_spans(text: Column, cls: EntropyClass, order: int, allow: tuple[str, ...]) -> Column:
     def keep(m: Column) -> Column:
         ok = F.lit(True)
@@ -134,7 +145,7 @@ def _entropy_spans(text: Column, cls: EntropyClass, order: int, allow: tuple[str
             ok = ok & F.rlike(m, F.lit(p))
         for p in allow:
             ok = ok & ~F.rlike(m, F.lit(p))
-        return ok
+        return ok & ~_is_path(m)
 
     def narrowed(span: Column) -> Column:
         cand = F.substring(text, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
@@ -172,9 +183,9 @@ def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> Dat
     """Replace every span that ``scan`` finds by ``mask``; overlapping spans become one mask.
 
     All other columns stay; a text without spans is returned as it was (null stays null)."""
-    col = F.col(f"`{text_col}`")
+    col, spans = F.col(f"`{text_col}`"), f"_spans_{uuid.uuid4().hex}"      # a name that no column of df has
     merged = F.aggregate(
-        F.col("_spans"),
+        F.col(spans),
         F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out")),
         lambda acc, x: F.when(x["end"] <= acc["at"], acc).otherwise(F.struct(
             x["end"].alias("at"),
@@ -183,18 +194,19 @@ def redact(df: DataFrame, text_col: str = "text", mask: str = "[SECRET]") -> Dat
                 .otherwise(F.array().cast("array<string>"))).alias("out"))),
         lambda acc: F.concat(F.array_join(acc["out"], ""),
                              F.substring(col, (acc["at"] + 1).cast("int"), F.char_length(col))))
-    return (scan(df, text_col, out_col="_spans")
-            .withColumn(text_col, F.when(F.size("_spans") > 0, merged).otherwise(col)).drop("_spans"))
+    return (scan(df, text_col, out_col=spans)
+            .withColumn(text_col, F.when(F.size(spans) > 0, merged).otherwise(col)).drop(spans))
 
 
 def redacted(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
     """Redact a document table; ``size_col``, where there is one, follows a changed text."""
-    out = redact(docs.withColumn("_was", F.col(f"`{text_col}`")), text_col)
+    was = f"_was_{uuid.uuid4().hex}"
+    out = redact(docs.withColumn(was, F.col(f"`{text_col}`")), text_col)
     if size_col in docs.columns:
         kind = docs.schema[size_col].dataType
-        out = out.withColumn(size_col, F.when(F.col(f"`{text_col}`") != F.col("_was"), F.char_length(f"`{text_col}`").cast(kind))
+        out = out.withColumn(size_col, F.when(F.col(f"`{text_col}`") != F.col(was), F.char_length(f"`{text_col}`").cast(kind))
                              .otherwise(F.col(f"`{size_col}`")))
-    return out.drop("_was")
+    return out.drop(was)
 
 
 def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,14 +9,20 @@ travels through the driver.
 
 Law of the placement: ``bytes`` (shard sizes near equal).
 
+A slot is the hash of id and text. Rows that are equal in both have no hash to tell them
+apart; they are dealt over all slots in turn, so that one record on a third of the rows
+loads no slot. So shards differ by one slot of distinct records at most, or by one record
+where that is larger.
+
 Edge cases: null text has no bytes (a record still takes ``OVERHEAD``); a null id
-hashes by its text; equal rows take neighbouring positions; an empty table gives an
-empty table and a map that deals slots out evenly.
+hashes by its text; an empty table gives an empty table and a map that deals slots out
+evenly.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ordo.llm.common import materialize
+from ordo.operators.sizing import broadcast_if_small
 
 N_SLOTS = 4096
+FEW_KEYS = 200_000             # repeated keys (16 bytes each) that may be broadcast
 OVERHEAD = 8
 
 
@@ -101,8 +109,18 @@ def by_slot(values: list[int] | tuple[int, ...], slot: Column) -> Column:
 
 
 def slot_of(id_col: Column, text: Column, n_slots: int = N_SLOTS) -> Column:
-    return F.pmod(F.when(id_col.isNotNull(), F.xxhash64(id_col)).otherwise(F.xxhash64(text)),
-                  F.lit(n_slots)).cast("int")
+    """The slot of a record that no other one equals."""
+    return F.pmod(F.xxhash64(id_col, text), F.lit(n_slots)).cast("int")
+
+
+def dealt(rows: DataFrame, n_slots: int) -> DataFrame:
+    """``rows`` (key, turn, vslot, ...) with the slots of records that repeat a key dealt by their ``turn``."""
+    several = materialize(rows.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("several")))
+    if several.isEmpty():
+        return rows
+    few = broadcast_if_small(several, bound_rows=several.count(), max_rows=FEW_KEYS)
+    return rows.join(few, "key", "left").withColumn("vslot", F.when(
+        F.col("several"), F.pmod(F.xxhash64("turn"), F.lit(n_slots)).cast("int")).otherwise(F.col("vslot"))).drop("several")
 
 
 def slot_loads(records: DataFrame, n_slots: int) -> tuple[list[int], list[int]]:
@@ -114,10 +132,11 @@ def slot_loads(records: DataFrame, n_slots: int) -> tuple[list[int], list[int]]:
 
 
 def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, vslot) of each row."""
+    """(doc_id, size, text_crc32, vslot, key, turn) of each row: ``key`` stands for id and text, ``turn`` tells equal rows apart."""
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     return df.select(key.alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("bigint").alias("size"),
-                     F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"), slot_of(key, text, n_slots).alias("vslot"))
+                     F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"), slot_of(key, text, n_slots).alias("vslot"),
+                     F.xxhash64(key, text).alias("key"), F.monotonically_increasing_id().alias("turn"))
 
 
 def place(df: DataFrame, n_shards: int = 24, slot_map: SlotMap | None = None, id_col: str = "doc_id",
@@ -128,7 +147,7 @@ def place(df: DataFrame, n_shards: int = 24, slot_map: SlotMap | None = None, id
     their virtual slot (thousands of groups), and each virtual slot starts where the
     one before it in the same shard ends. With ``map_path`` the map in use is stored there
     as its version, and placement reads it back."""
-    rows = materialize(records(df, id_col, text_col, n_slots))
+    rows = materialize(dealt(materialize(records(df, id_col, text_col, n_slots)), n_slots))
     size, count = slot_loads(rows, n_slots)
     slot_map = slot_map or SlotMap.build(size, n_shards)
     if map_path:
@@ -148,8 +167,14 @@ def place(df: DataFrame, n_shards: int = 24, slot_map: SlotMap | None = None, id
 
 def write_shards(df: DataFrame, slot_map: SlotMap, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write whole rows under ``path/shard=<n>/``. Rows go to tasks by virtual slot, so a
-    shard is written by many tasks."""
-    (df.withColumn("shard", by_slot(slot_map.shard_of, slot_of(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"),
-                                                               len(slot_map.shard_of))).cast("int"))
-     .repartition(slot_of(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), len(slot_map.shard_of)))
-     .write.mode("overwrite").partitionBy("shard").parquet(path))
+    shard is written by many tasks. Equal rows are dealt in turn, as ``place`` deals them; which of
+    them goes where may differ."""
+    n = len(slot_map.shard_of)
+    own = {c: f"_{c}_{uuid.uuid4().hex}" for c in ("key", "turn", "vslot")}      # names that no column of df has
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    several = df.groupBy(F.xxhash64(key, text).alias(own["key"])).count().where("count > 1").select(own["key"], F.lit(True).alias(own["turn"]))
+    few = broadcast_if_small(several, bound_rows=several.count(), max_rows=FEW_KEYS)
+    slot = F.when(F.col(own["turn"]), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")).otherwise(slot_of(key, text, n))
+    rows = df.withColumn(own["key"], F.xxhash64(key, text)).join(few, own["key"], "left").withColumn(own["vslot"], slot)
+    (rows.withColumn("shard", by_slot(slot_map.shard_of, F.col(own["vslot"])).cast("int")).repartition(own["vslot"])
+     .drop(*own.values()).write.mode("overwrite").partitionBy("shard").parquet(path))

@@ -27,12 +27,15 @@ def entropy_windows(cand, bits):
     return [i for i in range(len(cand) - w + 1) if sum(f(c) for c in collections.Counter(cand[i:i + w]).values()) <= most]
 
 
+PATH = r"^/?(?:[A-Z]?[a-z0-9_-]+|[A-Z0-9_-]+)(?:/(?:[A-Z]?[a-z0-9_-]+|[A-Z0-9_-]+))+/?$"    # the rule in one pattern
+
+
 def all_spans(text):
     base = base_spans(text)
     for k, c in enumerate(secrets.ENTROPY_CLASSES):
         for m in re.finditer(c.pattern, text):
             cand = m.group()
-            if not all(re.search(p, cand) for p in c.must) or any(re.search(p, cand) for p in secrets.ALLOW_LIST):
+            if not all(re.search(p, cand) for p in c.must) or any(re.search(p, cand) for p in (*secrets.ALLOW_LIST, PATH)):
                 continue
             hot = entropy_windows(cand, c.bits)
             if hot:
@@ -149,3 +152,31 @@ def test_shard_files_and_odd_rows(spark, odd, none, tmp_path):
     m = sharding.SlotMap.build([1] * sharding.N_SLOTS, 4)
     sharding.write_shards(odd.drop("shard"), m, str(tmp_path / "s"))
     assert spark.read.parquet(str(tmp_path / "s")).count() == odd.count()
+
+
+def test_long_paths_are_scanned_and_not_secret(spark):
+    """A path of 100,000 pieces takes no stack, and a random string between slashes is still found."""
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYq8Zk2LmT0Va"
+    texts = [(1, "ab/" * 100_000), (2, "/usr/Local/share/LIB/python3/site-packages/x"), (3, f"x {key} y"), (4, "a9B/" * 3000 + "Ab1CD2ef3GH4ij5KL6mn7")]
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    assert got[1] == "" and got[2] == "" and got[3].startswith("entropy_b64_slash:") and "entropy" in got[4]
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "token = abcdef123456", 20, "was", "spans")], "doc_id bigint, text string, n_chars int, _was string, _spans string")
+    out = secrets.redacted(df)
+    r = out.first()
+    assert out.columns == df.columns and (r["_was"], r["_spans"]) == ("was", "spans") and "abcdef" not in r["text"]
+
+
+@pytest.mark.parametrize("text", ["same words in every row", None])
+def test_one_id_on_a_third_of_the_rows_keeps_the_law(spark, text):
+    rows = [(k, "w" * (k % 300)) for k in range(2000)] + [(7, text or f"text {k}") for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sharding.place(df, n_shards=8).collect()
+    load, slots = {}, {}
+    for r in got:
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len(got) == 3000 and max(load.values()) - min(load.values()) <= 2 * max(r["size"] for r in got)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
