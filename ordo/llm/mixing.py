@@ -25,6 +25,7 @@ table; a source without words has target 0.
 from __future__ import annotations
 
 import math
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -151,8 +152,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat: int =
     whole = rounded(rates, max_repeat)
     # A sub-cell's copies are a difference of floors, so they add up to the cell's.
     upto = Window.partitionBy("source_key", "size").orderBy("sub").rowsBetween(Window.unboundedPreceding, 0)
+    part = "(cast(copies as decimal(19, 0)) * cast({} as decimal(19, 0))) div n"      # beyond 64 bits where a cell is large
     share = (sub_cells.withColumn("_upto", F.sum("m").over(upto)).join(whole, ["source_key", "size"])
-             .withColumn("_a", F.expr("(copies * _upto) div n")).withColumn("_b", F.expr("(copies * (_upto - m)) div n"))
+             .withColumn("_a", F.expr(part.format("_upto"))).withColumn("_b", F.expr(part.format("(_upto - m)")))
              .join(goals.select("source_key", "source_size", "target"), "source_key")
              .select("source_key", "size", "sub", "m", (F.col("_a") - F.col("_b")).alias("give"), "source_size", "target"))
     rank = F.row_number().over(Window.partitionBy("source_key", "size", "sub").orderBy(F.xxhash64("doc_id", "size"), "doc_id"))
@@ -171,17 +173,18 @@ def apply_mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeat:
     numbered = materialize(mix(docs, weights, max_repeat, id_col, text_col, source_col).groupBy("doc_id", "source_key", "size").agg(
         F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")))
     source = F.col(f"`{source_col}`").cast("string")
-    keyed = docs.withColumns({"_key": F.when(source.isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), source)),
-                              "_size": n_words(F.col(f"`{text_col}`"))})
-    given = numbered.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("source_key").alias("_k"),
-                                                 F.col("size").alias("_sz"), "_copies", "_rows")
-    found = keyed.join(given, F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
-                       & (F.col("_size") == F.col("_sz")))
-    each = F.col("_copies")
+    own = {c: f"_{c}_{uuid.uuid4().hex}" for c in ("key", "size", "id", "k", "sz", "copies", "rows", "each", "n")}   # names that no column of docs has
+    keyed = docs.withColumns({own["key"]: F.when(source.isNull(), F.lit("z")).otherwise(F.concat(F.lit("a"), source)),
+                              own["size"]: n_words(F.col(f"`{text_col}`"))})
+    given = numbered.where("_copies > 0").select(*[F.col(c).alias(own[k]) for c, k in (
+        ("doc_id", "id"), ("source_key", "k"), ("size", "sz"), ("_copies", "copies"), ("_rows", "rows"))])
+    found = keyed.join(given, F.col(f"`{id_col}`").eqNullSafe(F.col(own["id"])) & (F.col(own["key"]) == F.col(own["k"]))
+                       & (F.col(own["size"]) == F.col(own["sz"])))
+    each = F.col(own["copies"])
     if not numbered.where("_rows > 1").isEmpty():
         # Rows that share an id take the same whole part; the first of them take the rest.
-        at = F.row_number().over(Window.partitionBy("_id", "_k", "_sz").orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
-        each = F.expr("_copies div _rows") + F.when(at <= F.expr("_copies % _rows"), 1).otherwise(0)
-    return (found.withColumn("_each", each).where("_each > 0")
-            .withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_each"))))
+        at = F.row_number().over(Window.partitionBy(own["id"], own["k"], own["sz"]).orderBy(F.xxhash64(F.col(f"`{text_col}`"))))
+        each = F.expr(f"{own['copies']} div {own['rows']}") + F.when(at <= F.expr(f"{own['copies']} % {own['rows']}"), 1).otherwise(0)
+    return (found.withColumn(own["each"], each).where(F.col(own["each"]) > 0)
+            .withColumn(own["n"], F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(own["each"]))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -8,8 +8,9 @@ weight matrix; for scoring that product is one table (256 x filters) per byte pl
 so a text costs look-ups and additions only.
 
 The network is fitted on the driver on a bounded sample: at most ``max_rows`` labelled
-rows, those with the smallest hash of their id, a window of at most ``max_window``
-bytes of each per epoch. Scoring runs over every byte of every text. Only the text is
+rows, those with the smallest hash of their id (one text of a repeated id), a window of at
+most ``max_window`` bytes of each per epoch, out of ``SAMPLE_CHARS`` characters at a place given
+by the hash: what is collected is bounded by these. Scoring runs over every byte of every text. Only the text is
 an input; ids choose the held-out fifth, and labels the target.
 
 Edge cases: null and empty texts are a text of no bytes (one chunk of padding); with no
@@ -19,6 +20,7 @@ repeated id is the rounded mean of its labels; an empty table gives an empty tab
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +33,7 @@ WIDTH, STRIDE, HOP = 8, 2, 128
 FILTERS, EMBED, HIDDEN = 24, 8, 16
 MAX_ROWS, MAX_WINDOW, EPOCHS, BATCH = 4000, 4096, 24, 64
 MIN_STEPS = 400
+SAMPLE_CHARS = 16_384        # of a labelled text that may be learned from
 THRESHOLD = 0.3
 SLICE_BYTES = 1 << 17
 
@@ -178,8 +181,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
               .withColumn("_h", F.xxhash64("_id")))
     last = marked.select("_h").orderBy("_h").limit(max_rows).agg(F.max("_h")).first()[0]
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
-    return texts.join(marked.where(F.col("_h") <= (last if last is not None else 0)), "_id").select(
-        F.col("_id").alias("doc_id"), "text", "quality")
+    few = marked.where(F.col("_h") <= (last if last is not None else 0))
+    at = F.pmod(F.xxhash64("_h"), F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0)) + 1).cast("int")
+    part = F.substring("text", at + 1, F.lit(SAMPLE_CHARS))
+    return (texts.join(few, "_id").select("_id", "quality", part.alias("part"))
+            .groupBy("_id", "quality").agg(F.min("part").alias("text")).select(F.col("_id").alias("doc_id"), "text", "quality"))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text",
@@ -217,5 +223,5 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that the classifier doesn't reject, with their own columns."""
     net = train(docs, labels, id_col=id_col, text_col=text_col)
-    kept = docs.withColumn("_score", score(F.col(f"`{text_col}`"), net)).where(F.col("_score") >= THRESHOLD)
-    return kept.drop("_score")
+    found = f"_score_{uuid.uuid4().hex}"           # a name that no column of docs has
+    return docs.withColumn(found, score(F.col(f"`{text_col}`"), net)).where(F.col(found) >= THRESHOLD).drop(found)
