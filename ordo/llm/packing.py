@@ -35,7 +35,7 @@ from ordo.llm.common import byte_slices, materialize
 MAX_LEN = 1024
 END_ID = 2
 BUCKET_ROWS = 20_000          # pieces of one length that a task ranks together
-MEMO_WORDS = 50_000           # words whose ids a worker keeps
+MEMO_WORDS = 100_000          # words whose ids a worker keeps
 BATCH_BYTES = 1 << 20         # text that a worker encodes at a time
 FIT_STEPS = 300
 
@@ -59,8 +59,7 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in plain]
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
-        self.whole = re.compile("|".join([_OTHER.pattern, *map(re.escape, added)]))     # texts that words alone don't tell
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.letters = {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
 
     def __missing__(self, word: str) -> bytes:
@@ -74,7 +73,7 @@ class WordIds(dict):
         return found
 
     def encode(self, text: str) -> bytes:
-        if self.whole.search(text):
+        if _OTHER.search(text) or any(t in text for t in self.added):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(self.__getitem__, _WORD.findall(text)))
