@@ -2,16 +2,19 @@
 
 * M2  pointwise linear regression: ``pyspark.ml`` normal-equation solver; its
       Gram matrix is also exposed as a one-row aggregate (``regression_moments``).
-* M4  pairwise linear ranker: least-squares C-SVC on the pair-difference
-      moments of ``pairs.pair_gram`` (exact, no pair rows); the d x d system
-      (d = number of features, a literal bound) is solved on the driver.
+* M4  pairwise linear ranker, two losses: squares on the pair-difference
+      moments of ``pairs.pair_gram`` (exact, no pair rows; the d x d system is
+      solved on the driver), or the hinge of the C-SVC (``operators.hinge``).
 * M5  kernel ranker: seeded random Fourier features ``sqrt(2/D) cos(Wx + b)``
-      approximate the RBF kernel; M4 then runs in that space.
+      here, or the Nystroem map with an error bound (``operators.kernel_map``);
+      M4 then runs in that space.
 * M6  kernel decision function over a support-vector table of any size, in
       blocks that rows meet by an equi-join (linear / poly / rbf / sigmoid).
-* M7  class from the decision value; M8 stratified folds; M9 Platt scaling by
-      weighted ``LogisticRegression``; M10 hyper-parameters; A7 linear weights;
-      A8 class counts.
+* M7  class from the decision value (one-vs-one voting: ``operators.votes``); M8
+      stratified folds; M9 Platt scaling by weighted ``LogisticRegression`` on given
+      decision values (cross-fitted by Newton steps: ``operators.folds``); M10
+      hyper-parameters (grid: ``operators.folds``); A7 linear weights; A8 class counts
+      and class weights.
 """
 
 from __future__ import annotations
@@ -95,9 +98,16 @@ def solve_pairwise(gram_row, cols: Sequence[str], C: float = 1.0) -> np.ndarray:
     return np.linalg.solve(G + np.eye(k) / C, d)
 
 
-def fit_pairwise(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel", C: float = 1.0) -> dict[str, float]:
+def fit_pairwise(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel", C: float = 1.0, loss: str = "squares",
+                 eps: float = 1e-3, weight_col: str | None = None) -> dict[str, float]:
+    """M4 with ``loss`` "squares" or "hinge"; ``eps`` is the hinge solver's relative gap."""
+    if loss == "hinge":
+        from ordo.operators.hinge import fit_hinge
+        return fit_hinge(fm, cols, rel_col, C, eps, weight_col)
+    if loss != "squares":
+        raise ValueError(f"loss must be squares or hinge, got {loss!r}")
     from ordo.operators.pairs import pair_gram
-    row = pair_gram(fm, cols, rel_col).first()
+    row = pair_gram(fm, cols, rel_col, weight_col=weight_col).first()
     w = solve_pairwise(row, cols, C)
     return dict(zip(cols, map(float, w)))
 
@@ -192,6 +202,16 @@ def class_counts(df: DataFrame, label: str, order: Sequence[Column]) -> DataFram
     return group_rank(g, ["_all"], [F.col("_first")], "first_seen", strategy="range").drop("_all", "_first")
 
 
+def with_class_weights(df: DataFrame, label: str, weights: dict, out: str = "weight", default: float = 1.0) -> DataFrame:
+    """A row's weight by its class; a class that is not named has ``default``."""
+    w = F.lit(float(default))
+    for k, v in weights.items():
+        if v < 0:
+            raise ValueError(f"class weight of {k!r} must not be negative, got {v}")
+        w = F.when(F.col(label) == F.lit(k), F.lit(float(v))).otherwise(w)
+    return df.withColumn(out, w)
+
+
 def stratified_folds(df: DataFrame, label: str, order: Sequence[Column], k: int = 5) -> DataFrame:
     """M8: fold = (position within its class - 1) mod k; classes are balanced
     across folds. A class holding most rows is numbered by the skew-safe plan."""

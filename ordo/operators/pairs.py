@@ -29,14 +29,18 @@ from ordo.operators.ranking import group_rank
 
 
 def grade_moments(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel",
-                  second_order: bool = False) -> DataFrame:
-    """(query_id, grade, n, s_<c>..., [q_<a>_<b>...]) per query and grade level."""
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s_{c}") for c in cols]
+                  second_order: bool = False, by: Sequence[str] = (), weight_col: str | None = None) -> DataFrame:
+    """(query_id, grade, n, s_<c>..., [q_<a>_<b>...]) per query and grade level.
+
+    ``by`` are columns that are one value per query; a row of weight w counts as w rows."""
+    u = None if weight_col is None else F.col(weight_col).cast("double")
+    weighed = lambda x: x if u is None else u * x
+    aggs = [(F.count(F.lit(1)) if u is None else F.sum(u)).alias("n")] + [F.sum(weighed(F.col(c))).alias(f"s_{c}") for c in cols]
     if second_order:
         for i, a in enumerate(cols):
             for b in cols[i:]:
-                aggs.append(F.sum(F.col(a) * F.col(b)).alias(f"q_{a}__{b}"))
-    return fm.groupBy("query_id", F.col(rel_col).alias("grade")).agg(*aggs)
+                aggs.append(F.sum(weighed(F.col(a) * F.col(b))).alias(f"q_{a}__{b}"))
+    return fm.groupBy("query_id", *by, F.col(rel_col).alias("grade")).agg(*aggs)
 
 
 def _below(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -64,15 +68,17 @@ def pair_stats(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel") -> Data
         *[F.sum(f"pos_diff_{c}").alias(f"pos_diff_{c}") for c in cols])
 
 
-def pair_gram(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel") -> DataFrame:
-    """M3 sufficient statistics, one global row: ``n_pos`` pairs with rel(d1) > rel(d2),
-    ``d_<c>`` = sum of d = f(d1) - f(d2) and ``g_<a>__<b>`` = sum of d d' over them.
+def pair_gram(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel", by: Sequence[str] = (),
+              weight_col: str | None = None) -> DataFrame:
+    """M3 sufficient statistics, one global row (or one per value of ``by``): ``n_pos`` pairs with
+    rel(d1) > rel(d2), ``d_<c>`` = sum of d = f(d1) - f(d2) and ``g_<a>__<b>`` = sum of d d' over them.
+    With weights a pair counts as the product of its rows' weights, as copies of the rows would.
 
     A linear model trained on the balanced pair set {(d, +1), (-d, -1)} sees
     exactly twice these sums, so any least-squares pairwise fit needs nothing else.
     """
     cols = list(cols)
-    g = grade_moments(fm, cols, rel_col, second_order=True)
+    g = grade_moments(fm, cols, rel_col, second_order=True, by=by, weight_col=weight_col)
     q_cols = [f"q_{a}__{b}" for i, a in enumerate(cols) for b in cols[i:]]
     b = _below(g, [f"s_{c}" for c in cols] + q_cols)
     terms = [(F.col("n") * F.col("n_below")).alias("n_pos")]
@@ -84,8 +90,8 @@ def pair_gram(fm: DataFrame, cols: Sequence[str], rel_col: str = "rel") -> DataF
             terms.append((F.col("n_below") * F.col(q) + F.col("n") * F.col(f"b_{q}")
                           - F.col(f"s_{a}") * F.col(f"b_s_{bb}") - F.col(f"b_s_{a}") * F.col(f"s_{bb}"))
                          .alias(f"g_{a}__{bb}"))
-    per = b.select(*terms)
-    return per.agg(*[F.sum(c).alias(c) for c in per.columns])
+    per = b.select(*by, *terms)
+    return per.groupBy(*by).agg(*[F.sum(c).alias(c) for c in per.columns if c not in by])
 
 
 def pair_wins(scored: DataFrame, score_col: str = "score", strategy: str = "window") -> DataFrame:

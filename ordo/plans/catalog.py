@@ -862,52 +862,155 @@ def q_fold_table(spark, sf_dir):
 
 # ------------------------------------------------------------ fitted models and tasks (rows-only)
 
-@register("fit_linear_regression")
+# Least squares in SQL: covariances, solved by Gauss-Jordan steps.
+
+def _cov_sql(name: str, source: str, cols: list[str], keys: list[str]) -> str:
+    n = len(cols)
+    cells = [f"covar_pop({cols[i]}, {cols[j]}) AS a{i}_{j}" for i in range(n) for j in range(n)]
+    cells += [f"covar_pop({c}, rel) AS b{i}" for i, c in enumerate(cols)] + [f"avg({c}) AS mean{i}" for i, c in enumerate(cols)] + ["avg(rel) AS mean_y"]
+    return f"{name} AS MATERIALIZED (SELECT {', '.join([*keys, *cells])} FROM {source}{' GROUP BY ' + ', '.join(keys) if keys else ''})"
+
+
+def _pair_system_sql(name: str, source: str, cols: list[str], C: str, keys: list[str], extra: str = "") -> str:
+    """Systems (I / C + G) w = d over the pairs of ``source``."""
+    n = len(cols)
+    same = " AND ".join([*[f"a.{k} = b.{k}" for k in keys], "a.query_id = b.query_id", "a.rel > b.rel"])
+    cells = [f"sum((a.{cols[i]} - b.{cols[i]}) * (a.{cols[j]} - b.{cols[j]})){f' + 1.0 / {C}' if i == j else ''} AS a{i}_{j}" for i in range(n) for j in range(n)]
+    cells += [f"sum(a.{c} - b.{c}) AS b{i}" for i, c in enumerate(cols)]
+    grouped = [f"a.{k}" for k in keys] + ([extra] if extra else [])
+    return (f"{name} AS MATERIALIZED (SELECT {', '.join([*grouped, *cells])} FROM {source} a JOIN {source} b ON {same}"
+            f"{f', (SELECT unnest([0.01, 1.0, 100.0]) AS {extra})' if extra else ''}{' GROUP BY ' + ', '.join(grouped) if grouped else ''})")
+
+
+def _ndcg_sql(source: str, keys: list[str], name: str) -> list[str]:
+    by = ", ".join([*keys, "query_id"])
+    return [f"""{name}_p AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY score DESC NULLS LAST, doc_pos) AS pos,
+  row_number() OVER (PARTITION BY {by} ORDER BY rel DESC) AS ideal_pos FROM {source})""",
+            f"""{name} AS (SELECT {by}, count(*) AS n, CASE WHEN sum((pow(2, rel) - 1) / log2(ideal_pos + 1)) = 0 THEN 1.0
+  ELSE sum((pow(2, rel) - 1) / log2(pos + 1)) / sum((pow(2, rel) - 1) / log2(ideal_pos + 1)) END AS ndcg FROM {name}_p GROUP BY {by})"""]
+
+
+def _dot(cols: list[str], alias: str = "") -> str:
+    return " + ".join(f"w{i} * {alias}{c}" for i, c in enumerate(cols))
+
+
+# Title and header weights are equal on these pages; of all solutions the shortest gives each the
+# same coefficient, so the system is solved without the header and its coefficient halved.
+_F4 = ["url_w", "title_w", "body_w", "anchor_w"]
+_HALF = {"url_w": "w0", "title_w": "w1 / 2", "header_w": "w1 / 2", "body_w": "w2", "anchor_w": "w3"}
+_REG = _FMI + [_cov_sql("rsys", "fmi", _F4, [])] + O.solved("rw", "rsys", 4, [])
+
+
+@register("fit_linear_regression", O.with_ctes(_REG, select=" UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, {O.r6(_HALF[c])} AS coef FROM rw" for c in _F5]
+    + [f"SELECT 'intercept', {O.r6('mean_y - (' + ' + '.join(f'w{i} * mean{i}' for i in range(4)) + ')')} FROM rw, rsys"])))
 def q_fit_linear_regression(spark, sf_dir):
     """M2: pointwise least squares on the V2 features; one row per coefficient."""
-    from ordo.operators.models import fit_linear_regression
-    m = fit_linear_regression(_v2_imputed(spark, sf_dir), _F5, "rel")
-    rows = [(c, float(v)) for c, v in zip(_F5, m.coefficients)] + [("intercept", float(m.intercept))]
-    return spark.createDataFrame(rows, "feature string, coef double")
+    from ordo.operators.folds import fold_moments, regression
+    m = regression(fold_moments(_v2_matrix(spark, sf_dir, extras=()).withColumn("fold", F.lit(0)), _F5, "rel")[0])
+    rows = [(c, float(v)) for c, v in zip(_F5, m.weights)] + [("intercept", m.intercept)]
+    return spark.createDataFrame(rows, "feature string, coef double").withColumn("coef", r6("coef"))
+
 
+_PAIRW = _STZ + [_pair_system_sql("psys", "stz", _F5, "1.0", [])] + O.solved("pw", "psys", 5, [])
 
-@register("fit_pairwise_linear")
+
+@register("fit_pairwise_linear", O.with_ctes(_PAIRW, select=" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {O.r6(f'w{i}')} AS coef FROM pw" for i, c in enumerate(_F5))))
 def q_fit_pairwise_linear(spark, sf_dir):
     """M3 + M4: pairwise linear ranker from the pair moments of standardised features."""
     from ordo.operators.models import fit_pairwise
     from ordo.operators.scale import standardize
     z = standardize(_v2_imputed(spark, sf_dir), _F5)
     w = fit_pairwise(z, _F5, "rel")
-    return spark.createDataFrame(list(w.items()), "feature string, coef double")
+    return spark.createDataFrame(list(w.items()), "feature string, coef double").withColumn("coef", r6("coef"))
+
+
+_AT = (0.3, -0.2, 0.1, 0.25, -0.05)      # weights at which the hinge loss is evaluated: fixed values
+
+
+@register("hinge_loss", O.with_ctes(_STZ, [
+    "hs AS (SELECT *, " + " + ".join(f"{v} * {c}" for v, c in zip(_AT, _F5)) + " AS s FROM stz)",
+    "hp AS (SELECT a.rel AS rel, greatest(0.0, 1.0 - (a.s - b.s)) AS loss, a.s - b.s < 1.0 AS hit, " + ", ".join(
+        f"a.{c} - b.{c} AS d_{c}" for c in _F5) + " FROM hs a JOIN hs b ON a.query_id = b.query_id AND a.rel > b.rel)"],
+    select="SELECT " + ", ".join([f"{O.r6('sum(loss)')} AS loss"] + [f"{O.r6(f'sum(CASE WHEN hit THEN -d_{c} ELSE 0 END)')} AS g_{c}" for c in _F5]) + " FROM hp"))
+def q_hinge_loss(spark, sf_dir):
+    """M4: hinge loss and subgradient over all pairs at fixed weights, by sweeps over sorted lists (no pair is formed)."""
+    import numpy as np
+    from ordo.operators.hinge import pack
+    from ordo.operators.scale import standardize
+    found = pack(standardize(_v2_imputed(spark, sf_dir), _F5), _F5).at(np.array([_AT]))[0]
+    return spark.createDataFrame([tuple(map(float, found))], ", ".join(f"{c} double" for c in ["loss", *[f"g_{c}" for c in _F5]])).select(
+        *[r6(c).alias(c) for c in ["loss", *[f"g_{c}" for c in _F5]]])
+
+
+@register("fit_pairwise_hinge")
+def q_fit_pairwise_hinge(spark, sf_dir):
+    """M4: the hinge-loss C-SVC over all pairs; weights, and the certified objective and gap."""
+    from ordo.operators.hinge import pack, solve
+    from ordo.operators.scale import standardize
+    fit = solve(pack(standardize(_v2_imputed(spark, sf_dir), _F5), _F5), C=1.0, eps=1e-4)
+    rows = list(zip(_F5, map(float, fit.weights))) + [("objective", fit.objective), ("gap", fit.gap)]
+    return spark.createDataFrame(rows, "feature string, coef double")
+
+
+# A quarter of the lists is for testing, by a multiplicative hash of the query.
+_HASH, _RANGE = 2654435761, 1 << 32
 
 
 def _split_tasks(spark, sf_dir):
+    """Training lists, their judgements, test lists, their judgements, idf."""
     c, rels = _v2(spark, sf_dir)
-    return c, rels, c, rels, _page_idf(spark, sf_dir)
+    test = F.floor((F.col("query_id") * F.lit(_HASH)) % F.lit(_RANGE) / F.lit(_RANGE // 4)) == 0
+    return c.where(~test), rels.where(~test), c.where(test), rels.where(test), _page_idf(spark, sf_dir)
 
 
 def _task_out(res):
     return res.per_query.select("query_id", "n", r6("ndcg").alias("ndcg"))
 
 
-@register("rank_task1")
+def _task_sql(cols: list[str], pairs: bool) -> str:
+    test = f"(query_id * {_HASH} % {_RANGE}) // {_RANGE // 4} = 0"
+    ctes = [f"mt AS (SELECT {', '.join(f'avg({c}) AS m_{c}' for c in cols)} FROM fmr WHERE NOT {test})",
+            f"xt AS (SELECT query_id, doc_pos, rel, {test} AS test, {', '.join(f'coalesce({c}, m_{c}) AS {c}' for c in cols)} FROM fmr, mt)"]
+    if pairs:
+        st = ", ".join(f"avg({c}) AS u_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
+        z = ", ".join(f"CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN {c} - u_{c} ELSE ({c} - u_{c}) / s_{c} END AS {c}" for c in cols)
+        ctes += [f"stt AS (SELECT {st} FROM xt WHERE NOT test)", f"zt AS MATERIALIZED (SELECT query_id, doc_pos, rel, test, {z} FROM xt, stt)",
+                 "zr AS (SELECT * FROM zt WHERE NOT test)", _pair_system_sql("tsys", "zr", cols, "1.0", [])]
+    else:
+        cols = _F4
+        ctes += ["zt AS MATERIALIZED (SELECT * FROM xt)", "zr AS (SELECT * FROM zt WHERE NOT test)", _cov_sql("tsys", "zr", cols, [])]
+    ctes += O.solved("tw", "tsys", len(cols), [])
+    ctes.append(f"ts AS (SELECT query_id, doc_pos, rel, round({_dot(cols)}, 9) AS score FROM zt, tw WHERE test)")
+    return O.with_ctes(_FMR, ctes, _ndcg_sql("ts", [], "tn"), select=f"SELECT query_id, n, {O.r6('ndcg')} AS ndcg FROM tn")
+
+
+@register("rank_task1", _task_sql(_F5, False))
 def q_rank_task1(spark, sf_dir):
     from ordo.plans.tasks import task1
     return _task_out(task1(*_split_tasks(spark, sf_dir)))
 
 
-@register("rank_task2")
+@register("rank_task2", _task_sql(_F5, True))
 def q_rank_task2(spark, sf_dir):
     from ordo.plans.tasks import task2
     return _task_out(task2(*_split_tasks(spark, sf_dir)))
 
 
-@register("rank_task3")
+@register("rank_task3", _task_sql(_FM_COLS, True))
 def q_rank_task3(spark, sf_dir):
     from ordo.plans.tasks import task3
     return _task_out(task3(*_split_tasks(spark, sf_dir)))
 
 
+@register("rank_task2_hinge")
+def q_rank_task2_hinge(spark, sf_dir):
+    """M11 + M12 with the hinge loss: NDCG of the test lists."""
+    from ordo.plans.tasks import task2
+    return _task_out(task2(*_split_tasks(spark, sf_dir), loss="hinge"))
+
+
 @register("fit_rff_ranker")
 def q_fit_rff_ranker(spark, sf_dir):
     """M5: task 3 with the RBF kernel approximated by random Fourier features."""
@@ -915,41 +1018,104 @@ def q_fit_rff_ranker(spark, sf_dir):
     return _task_out(task3(*_split_tasks(spark, sf_dir), kernel=True))
 
 
-@register("platt")
-def q_platt(spark, sf_dir):
-    """M9: Platt sigmoid (A, B) on the RBF decision values of the grade-centroid SVs."""
-    from ordo.operators.models import SvmParams, decision_values, platt
-    z, sv = _support_vectors(spark, sf_dir)
-    d = decision_values(z, "x", sv, 0.0, SvmParams().checked(len(_F5)), kinds=("rbf",))
-    d = d.withColumn("y", F.when(F.col("rel") >= 1.5, 1).otherwise(0))
-    a, b = platt(d, "dec_rbf", "y")
-    return spark.createDataFrame([(a, b)], "A double, B double")
+@register("nystroem_ranker")
+def q_nystroem_ranker(spark, sf_dir):
+    """M5: hinge-loss ranker in the Nystroem space of the RBF kernel; NDCG of every list that was not trained on,
+    with the bound on the kernel error of all its rows."""
+    from ordo.operators import hinge, kernel_map
+    from ordo.operators.metrics import ndcg_per_query
+    from ordo.operators.scale import standardize
+    test = F.floor((F.col("query_id") * F.lit(_HASH)) % F.lit(_RANGE) / F.lit(_RANGE // 4)) == 0
+    from ordo.session import materialize
+    z = standardize(_v2_imputed(spark, sf_dir), _F5)
+    kernel = kernel_map.fit(z.where(~test), _F5, m=16)
+    mapped = materialize(kernel_map.mapped(z, _F5, kernel, ["query_id", "doc_pos", "rel"]))
+    fit = hinge.solve(hinge.pack(mapped.where(~test), "z"), C=1.0, eps=1e-2)
+    s = sum((F.lit(float(w)) * F.col("z")[k] for k, w in enumerate(fit.weights)), F.lit(0.0))
+    per = ndcg_per_query(mapped.where(test).withColumn("score", F.round(s, 9)), ["query_id"], [F.col("score").desc_nulls_last(), F.col("doc_pos")])
+    bound = kernel_map.errors(mapped).first()
+    return per.select("query_id", "n", r6("ndcg").alias("ndcg"), F.lit(bound["max_error"]).alias("max_kernel_error"))
+
+
+_CV = _FMR + [
+    "cvf AS (SELECT query_id, (row_number() OVER (ORDER BY query_id) - 1) % 5 AS fold FROM (SELECT DISTINCT query_id FROM fmr))",
+    "cvr AS MATERIALIZED (SELECT r.*, f.fold FROM fmr r JOIN cvf f USING (query_id))",
+    "cvm AS (SELECT f.fold AS f, " + ", ".join(f"avg({c}) AS m_{c}" for c in _F5) + " FROM (SELECT DISTINCT fold FROM cvf) f JOIN cvr r ON r.fold <> f.fold GROUP BY f.fold)",
+    "cvx AS MATERIALIZED (SELECT m.f, r.fold, query_id, doc_pos, rel, " + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _F5) + " FROM cvr r, cvm m)"]
+_CVR = _CV + [_cov_sql("cvs", "cvx WHERE fold <> f", _F4, ["f"])] + O.solved("cvw", "cvs", 4, ["f"]) + [
+    "cvd AS MATERIALIZED (SELECT f AS fold, query_id, doc_pos, rel, round(mean_y + " + " + ".join(f"w{i} * ({c} - mean{i})" for i, c in enumerate(_F4))
+    + ", 9) AS score FROM cvx JOIN cvw USING (f) JOIN (SELECT f, mean_y, " + ", ".join(f"mean{i}" for i in range(4)) + " FROM cvs) USING (f) WHERE cvx.fold = f)"]
+
+
+def _v2_folds(spark, sf_dir):
+    from ordo.operators.folds import query_folds
+    fm = _v2_matrix(spark, sf_dir, extras=())
+    return fm.join(query_folds(fm), "query_id")
 
 
-@register("cross_validate")
+@register("cross_validate", O.with_ctes(_CVR, _ndcg_sql("cvd", ["fold"], "cvn"), select=f"""
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_queries, {O.r6('avg(ndcg)')} AS mean_ndcg FROM cvn GROUP BY fold"""))
 def q_cross_validate(spark, sf_dir):
-    """M8 + M2: 5-fold cross-validation by query; mean held-out NDCG per fold."""
-    from ordo.operators.matrix import linear_score, rank_pointwise
-    from ordo.operators.metrics import judged_rows, ndcg_per_query
-    from ordo.operators.models import fit_linear_regression, stratified_folds
-    fm = _v2_imputed(spark, sf_dir)
-    folds = stratified_folds(fm.select("query_id").distinct().withColumn("_one", F.lit(0)), "_one",
-                             [F.col("query_id")], k=5).select("query_id", "fold")
-    fm = fm.join(folds, "query_id").cache()
-    out = []
-    _, rels = _v2(spark, sf_dir)
-    for k in range(5):
-        m = fit_linear_regression(fm.filter(F.col("fold") != k), _F5, "rel")
-        w = dict(zip(_F5, map(float, m.coefficients)))
-        scored = fm.filter(F.col("fold") == k).withColumn("score", linear_score(w))
-        per = ndcg_per_query(judged_rows(rank_pointwise(scored).drop("rel"), rels, ["query_id", "doc_pos"]),
-                             ["query_id"], [F.col("score").desc_nulls_last(), F.col("doc_pos")])
-        out.append(per.agg(F.lit(k).alias("fold"), F.count(F.lit(1)).alias("n_queries"),
-                           F.avg("ndcg").alias("mean_ndcg")))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
+    """M8 + M2: 5-fold cross-validation by query from fold moments; mean held-out NDCG per fold."""
+    from ordo.operators.folds import cross_validate
+    found = cross_validate(_v2_folds(spark, sf_dir), _F5, digits=9)
+    return found.select("fold", "n_queries", r6("mean_ndcg").alias("mean_ndcg"))
+
+
+_GRID = _CV + [
+    "gst AS (SELECT f, " + ", ".join(f"avg({c}) AS u_{c}, stddev_samp({c}) AS s_{c}" for c in _F5) + " FROM cvx WHERE fold <> f GROUP BY f)",
+    "gz AS MATERIALIZED (SELECT f, fold, query_id, doc_pos, rel, " + ", ".join(
+        f"({c} - u_{c}) / CASE WHEN s_{c} > 1e-12 THEN s_{c} ELSE 1.0 END AS {c}" for c in _F5) + " FROM cvx JOIN gst USING (f))",
+    "gt AS (SELECT * FROM gz WHERE fold <> f)", _pair_system_sql("gsys", "gt", _F5, "C", ["f"], "C")] + O.solved("gw", "gsys", 5, ["f", "C"]) + [
+    f"gd AS (SELECT C, fold, query_id, doc_pos, rel, round({_dot(_F5)}, 9) AS score FROM gz JOIN gw USING (f) WHERE fold = f)"]
+
+
+@register("grid_search", O.with_ctes(_GRID, _ndcg_sql("gd", ["C", "fold"], "gn"), select=f"""
+SELECT CAST(C AS DOUBLE) AS C, CAST(fold AS INTEGER) AS fold, count(*) AS n_queries, {O.r6('avg(ndcg)')} AS mean_ndcg FROM gn GROUP BY C, fold"""))
+def q_grid_search(spark, sf_dir):
+    """Held-out NDCG of the pairwise ranker by C and fold, all from the same fold moments."""
+    from ordo.operators.folds import cross_validate
+    found = cross_validate(_v2_folds(spark, sf_dir), _F5, Cs=(0.01, 1.0, 100.0), digits=9)
+    return found.select("C", "fold", "n_queries", r6("mean_ndcg").alias("mean_ndcg"))
+
+
+def _platt_sql(steps: int = 14) -> list[str]:
+    ctes = ["""pd AS MATERIALIZED (SELECT score - 1.5 AS f, CASE WHEN rel >= 1.5 THEN (up + 1.0) / (up + 2.0) ELSE 1.0 / (down + 2.0) END AS t, up, down
+  FROM cvd, (SELECT count(*) FILTER (WHERE rel >= 1.5) AS up, count(*) FILTER (WHERE rel < 1.5) AS down FROM cvd))""",
+            "n0 AS (SELECT 0.0::DOUBLE AS A, ln((any_value(down) + 1.0) / (any_value(up) + 1.0)) AS B FROM pd)"]
+    for k in range(steps):
+        ctes.append(f"""n{k + 1} AS MATERIALIZED (SELECT A - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS A, B - (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS B FROM (
+  SELECT any_value(A) AS A, any_value(B) AS B, sum((t - p) * f) AS ga, sum(t - p) AS gb, sum(p * (1 - p) * f * f) AS haa, sum(p * (1 - p) * f) AS hab, sum(p * (1 - p)) AS hbb
+  FROM (SELECT f, t, A, B, 1.0 / (1.0 + exp(A * f + B)) AS p FROM pd, n{k})))""")
+    return ctes
+
+
+@register("platt", O.with_ctes(_CVR, _platt_sql(), select=f"SELECT {O.r6('A')} AS A, {O.r6('B')} AS B FROM n14"))
+def q_platt(spark, sf_dir):
+    """M9: Platt sigmoid (A, B) of grade >= 1.5 on held-out decision values: each row is scored by the
+    regression of the folds that it is not in."""
+    from ordo.operators.folds import fold_moments, held_out_scores, platt, regression, without
+    fm = _v2_folds(spark, sf_dir)
+    moments = fold_moments(fm, _F5, "rel")
+    s = held_out_scores(fm, _F5, {f: regression(without(moments, f)) for f in moments})
+    dec = fm.select((F.round(s, 9) - 1.5).alias("dec"), F.when(F.col("rel") >= 1.5, 1).otherwise(0).alias("y"))
+    return spark.createDataFrame([platt(dec, "dec", "y")], "A double, B double").select(r6("A").alias("A"), r6("B").alias("B"))
+
+
+@register("ovo_votes", O.with_ctes(_STZ, [
+    "om AS (SELECT a.grade AS first, b.grade AS second, a.vec AS va, b.vec AS vb FROM sv a JOIN sv b ON a.grade < b.grade)",
+    """od AS (SELECT query_id, doc_pos, CASE WHEN round(2 * (list_dot_product(x, va) - list_dot_product(x, vb)) + list_dot_product(vb, vb) - list_dot_product(va, va), 9) > 0
+  THEN first ELSE second END AS won FROM (SELECT query_id, doc_pos, [url_w, title_w, body_w, header_w, anchor_w] AS x FROM stz), om)""",
+    "ov AS (SELECT query_id, doc_pos, won, count(*) AS votes FROM od GROUP BY ALL)"],
+    select="""SELECT query_id, doc_pos, CAST(predicted AS DOUBLE) AS predicted, CAST(votes AS INTEGER) AS votes FROM (
+  SELECT query_id, doc_pos, won AS predicted, votes, row_number() OVER (PARTITION BY query_id, doc_pos ORDER BY votes DESC, won) AS r FROM ov) WHERE r = 1"""))
+def q_ovo_votes(spark, sf_dir):
+    """M7: one-vs-one votes of the seven grades by nearest-centroid machines; the winner and its votes."""
+    from ordo.operators.scale import standardize
+    from ordo.operators.votes import centroids, class_moments, vote
+    z = standardize(_v2_imputed(spark, sf_dir), _F5)
+    out = vote(z, _F5, centroids(class_moments(z, _F5, "rel")), digits=9)
+    return out.select("query_id", "doc_pos", "predicted", F.array_max("votes").alias("votes"))
 
 
 @register("report_blocks", O.with_ctes(_V2FM, select=f"""
@@ -1023,7 +1189,8 @@ def q_load_counters(spark, sf_dir):
     return load_counters(c)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", O.with_ctes(_PAIRW, select=" UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, {O.r6(f'w{i}')} AS coef FROM pw" for i, c in enumerate(_F5)] + ["SELECT 'sv', CAST(coef AS DOUBLE) FROM sv"])))
 def q_model_roundtrip(spark, sf_dir):
     """Fit the pairwise ranker and the grade-centroid SVM, save both under
     the checkpoint folder, load them back and return the loaded weights."""
@@ -1039,7 +1206,7 @@ def q_model_roundtrip(spark, sf_dir):
     save_svm(sv, 0.0, f"{base}/svm")
     back = load_weights(spark, f"{base}/pairwise")
     sv2, rho = load_svm(spark, f"{base}/svm")
-    return (spark.createDataFrame(sorted(back.items()), "feature string, coef double")
+    return (spark.createDataFrame(sorted(back.items()), "feature string, coef double").withColumn("coef", r6("coef"))
             .unionByName(sv2.select(F.lit("sv").alias("feature"), F.col("coef"))))
 
 

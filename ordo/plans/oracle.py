@@ -9,6 +9,21 @@ out with ``jsplit`` below.
 from __future__ import annotations
 
 
+def solved(name: str, source: str, n: int, keys: list[str]) -> list[str]:
+    """CTEs that solve the systems in ``source`` (keys, a<i>_<j>, b<i>) by Gauss-Jordan steps; ``name`` has keys, w<i>."""
+    out, prior = [], source
+    for k in range(n):
+        cells = [f"a{k}_{j} / a{k}_{k} AS a{k}_{j}" for j in range(n)] + [f"b{k} / a{k}_{k} AS b{k}"]
+        for i in range(n):
+            if i != k:
+                cells += [f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" for j in range(n)]
+                cells.append(f"b{i} - a{i}_{k} * b{k} / a{k}_{k} AS b{i}")
+        out.append(f"{name}_{k} AS MATERIALIZED (SELECT {', '.join([*keys, *cells])} FROM {prior})")
+        prior = f"{name}_{k}"
+    out.append(f"{name} AS MATERIALIZED (SELECT {', '.join([*keys, *[f'b{i} AS w{i}' for i in range(n)]])} FROM {prior})")
+    return out
+
+
 def with_ctes(*parts: str, select: str) -> str:
     ctes = [p for part in parts for p in (part if isinstance(part, (list, tuple)) else [part])]
     seen, uniq = set(), []
