@@ -982,7 +982,8 @@ def _task_sql(cols: list[str], pairs: bool) -> str:
         cols = _F4
         ctes += ["zt AS MATERIALIZED (SELECT * FROM xt)", "zr AS (SELECT * FROM zt WHERE NOT test)", _cov_sql("tsys", "zr", cols, [])]
     ctes += O.solved("tw", "tsys", len(cols), [])
-    ctes.append(f"ts AS (SELECT query_id, doc_pos, rel, round({_dot(cols)}, 9) AS score FROM zt, tw WHERE test)")
+    scored = _dot(cols) if pairs else "mean_y + " + " + ".join(f"w{i} * ({c} - mean{i})" for i, c in enumerate(cols))
+    ctes.append(f"ts AS (SELECT query_id, doc_pos, rel, round({scored}, 9) AS score FROM zt, tw{'' if pairs else ', tsys'} WHERE test)")
     return O.with_ctes(_FMR, ctes, _ndcg_sql("ts", [], "tn"), select=f"SELECT query_id, n, {O.r6('ndcg')} AS ndcg FROM tn")
 
 
