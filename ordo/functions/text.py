@@ -80,12 +80,12 @@ def jsplit(s, pattern: str) -> Column:
     Trailing empty strings are dropped, inner and leading ones kept, and the
     empty string yields ``['']``. (Spark's ``split`` keeps trailing empties.)
     """
-    s = _col(s)
-    stripped = F.regexp_replace(s, f"(?:{pattern})+$", "")
-    return (F.when(s.isNull(), F.lit(None).cast("array<string>"))
-            .when(s == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, pattern)))
+    def cut(p: Column) -> Column:
+        whole = (F.size(p) == 1) | (F.get(p, F.size(p) - 1) != "")
+        last = F.array_max(F.transform(p, lambda x, i: F.when(x != "", i + 1)))
+        return F.when(whole, p).otherwise(F.slice(p, F.lit(1), F.coalesce(last, F.lit(0))))
+    # The pieces are cut, not the text: a pattern anchored at the end is tried from every separator of a run.
+    return let(F.split(_col(s), pattern), cut)
 
 
 def query_words(query) -> Column:

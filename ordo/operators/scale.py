@@ -84,3 +84,35 @@ def nominal_to_binary(df: DataFrame, col: str, out_prefix: str | None = None) ->
     for i, label in enumerate(idx.labels):
         out = out.withColumn(f"{prefix}{label}", F.col("_arr")[i])
     return out.drop("_idx", "_oh", "_arr")
+
+
+def nominal_dictionary(df: DataFrame, col: str) -> DataFrame:
+    """(value, idx): the distinct values of a column numbered from 0 in their order. A column
+    of any number of values is numbered by many tasks; nothing goes to the driver."""
+    from ordo.operators.ranking import group_rank
+    values = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.lit(0).alias("_all"))
+    ranked = group_rank(values, ["_all"], [F.col("value")], "_r", strategy="range")
+    return ranked.select("value", (F.col("_r") - 1).alias("idx"))
+
+
+def nominal_vectors(df: DataFrame, col: str, out_col: str, dictionary: DataFrame | None = None) -> DataFrame:
+    """A10: ``out_col``, a sparse 0/1 vector with one place per value of ``col``.
+
+    The plan has one join and one projection for any number of values. NULL, and a value that
+    the ``dictionary`` (of the training rows, say) doesn't have, give a vector of zeros. Values
+    that half the rows share are left to AQE's skew join: the dictionary has each value once."""
+    import uuid
+    from pyspark.ml.feature import OneHotEncoder
+    from ordo.session import materialize
+    tag = uuid.uuid4().hex
+    words = materialize(nominal_dictionary(df, col) if dictionary is None else dictionary)
+    if words.isEmpty():
+        raise ValueError(f"column {col!r} has no values to encode")
+    place = f"_i{tag}"
+    coded = df.join(words.select(F.col("value").alias(f"_v{tag}"), F.col("idx").alias(place)), F.col(col) == F.col(f"_v{tag}"), "left")
+    # An index past the last value is the encoder's invalid category, which dropLast makes all zeros.
+    size = words.agg(F.max("idx")).first()[0] + 1
+    coded = coded.withColumn(place, F.coalesce(F.col(place), F.lit(size)).cast("double"))
+    enc = OneHotEncoder(inputCols=[place], outputCols=[out_col], handleInvalid="keep", dropLast=True)
+    model = enc.fit(words.select(F.col("idx").cast("double").alias(place)))
+    return model.transform(coded).drop(place, f"_v{tag}")

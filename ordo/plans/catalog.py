@@ -1267,3 +1267,48 @@ def q_evaluate_ranked_file(spark, sf_dir):
     return ranked.select("query_id", "query").distinct().join(per, "query_id", "left").select(
         "query", F.coalesce("n", F.lit(0).cast("long")).alias("n"), r6(zero("dcg")).alias("dcg"), r6(zero("idcg")).alias("idcg"),
         r6(zero("ndcg")).alias("ndcg"))
+
+
+# ------------------------------------------------------------ malformed lines, nominal vectors, passages
+
+@register("malformed_lines", """
+WITH p AS (SELECT page_id, CAST(page_id AS VARCHAR) AS id FROM pages)
+SELECT 'bad number' AS reason, 'body_length: ' || id || ' words' AS value FROM p WHERE page_id % 3 = 1
+UNION ALL SELECT 'no key', 'line of page ' || id FROM p WHERE page_id % 5 = 2
+UNION ALL SELECT 'unknown key', 'colour: ' || id FROM p WHERE page_id % 7 = 3
+UNION ALL SELECT 'no document', 'title: before ' || id FROM p WHERE page_id % 11 = 4""")
+def q_malformed_lines(spark, sf_dir):
+    """The pages as a signal file with faults planted by page number; the malformed lines with their reasons."""
+    import uuid
+    from ordo.session import ensure_checkpoint_dir
+    from ordo.sources.quarantine import checked_lines
+    n = F.col("page_id")
+    own = n.cast("string")
+    line = lambda fault, *parts: F.when(fault, F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts]))
+    page = F.concat_ws("\n", F.concat(F.lit("query: page "), own), line(n % 11 == 4, "  title: before ", own),
+                       F.concat(F.lit("  url: http://pages/"), own), line(n % 5 == 2, "line of page ", own), line(n % 13 == 6, ""),
+                       line(n % 7 == 3, "    colour: ", own), line(n % 3 == 1, "    body_length: ", own, " words"),
+                       F.lit("    body_length: 10"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/signal/{uuid.uuid4().hex}"
+    V.table(spark, sf_dir, "pages").where(n.isNotNull()).select(page.alias("value")).write.text(path)
+    _, bad = checked_lines(spark, path, "signal")
+    return bad.select("reason", F.trim("value").alias("value"))
+
+
+@register("nominal_vectors", """
+WITH d AS (SELECT c_name AS value, row_number() OVER (ORDER BY c_name) - 1 AS idx, count(*) OVER () AS n
+           FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL))
+SELECT c_custkey, CASE WHEN idx IS NULL THEN '(' || (SELECT max(n) FROM d) || ',[],[])'
+                       ELSE '(' || n || ',[' || idx || '],[1.0])' END AS vec
+FROM customer LEFT JOIN d ON value = c_name""")
+def q_nominal_vectors(spark, sf_dir):
+    """A10: every customer's name, one value per row or so, as a sparse 0/1 vector."""
+    from ordo.operators.scale import nominal_vectors
+    coded = nominal_vectors(V.table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_name", "v")
+    return coded.select("c_custkey", F.col("v").cast("string").alias("vec"))
+
+
+@register("passage_candidates", O.with_ctes(O.V3_RETRIEVAL, select="SELECT query_id, doc_id FROM pairs3"))
+def q_passage_candidates(spark, sf_dir):
+    """J1 over V3: pairs that share a passage, through the Bloom filter and the salted join."""
+    return V.passage_pairs(spark, sf_dir)

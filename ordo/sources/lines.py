@@ -72,17 +72,20 @@ def _fill(doc_key: str):
 
 
 def read_ordered_lines(spark: SparkSession, path: str, doc_key: str = "url",
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, all_lines: bool = False) -> DataFrame:
+    """Lines with a key, tagged. With ``all_lines`` blank lines and lines without a key stay in
+    (their key is NULL), and each line also has its ``file`` and its text, ``value``."""
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     raw = spark.read.text(path).select(
         F.input_file_name().alias("_f"), F.input_file_block_start().alias("_s"),
         F.monotonically_increasing_id().alias("_m"), "value")
-    body = raw.filter(F.trim("value") != "")
-    kv = body.select("_f", "_s", "_m",
-                     F.lower(F.trim(F.substring_index("value", ":", 1))).alias("key"),
-                     F.trim(F.expr("substr(value, instr(value, ':') + 1)")).alias("val"),
-                     (F.instr("value", ":") > 0).alias("_has_colon"))
-    kv = kv.filter("_has_colon").drop("_has_colon")          # lines without a key are not data
+    has_key = F.instr("value", ":") > 0
+    kv = raw.select("_f", "_s", "_m",
+                    F.when(has_key, F.lower(F.trim(F.substring_index("value", ":", 1)))).alias("key"),
+                    F.trim(F.expr("substr(value, instr(value, ':') + 1)")).alias("val"),
+                    *(["value"] if all_lines else []))
+    if not all_lines:
+        kv = kv.filter(F.col("key").isNotNull())             # sources.quarantine reports the others
     order = ["_f", "_s", "_m"]
     sliced = (kv.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id()))
@@ -110,8 +113,9 @@ def read_ordered_lines(spark: SparkSession, path: str, doc_key: str = "url",
     carry = carry.withColumn("cd", F.when(F.col("cd") > F.coalesce(F.col("cq"), F.lit(-1)), F.col("cd")))
     j = filled.join(broadcast_if_small(carry, n), slice_id == F.col("a_sl"), "left")
     before_header = F.col("own_q").isNull()
+    source = [F.col("_f").alias("file"), F.col("value")] if all_lines else []
     return j.select(
-        "gpos", "key", "val",
+        "gpos", "key", "val", *source,
         F.coalesce("own_q", "cq").alias("q_id"),
         F.when(before_header, F.col("cqt")).otherwise(F.col("own_qt")).alias("query"),
         F.when(before_header, F.coalesce("own_d", "cd")).otherwise(F.col("own_d")).alias("d_id"))

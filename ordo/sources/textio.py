@@ -11,6 +11,9 @@ S1 signal file, S2 relevance file (training: last duplicate wins), S2b
 evaluation judgements (negative grades clipped to 0), S5 ranked-list writer,
 S6 ranked-list reader, S7 experiment-report writer, S8 experiment-report
 reader (malformed blocks flagged), S10 load counters.
+
+Every reader takes ``lines``: the good lines of ``quarantine.checked_lines``, for files that
+may hold malformed ones.
 """
 
 from __future__ import annotations
@@ -27,6 +30,11 @@ ANCHOR_TEXT_KEY = "anchor_text"
 ANCHOR_COUNT_KEY = "stanford_anchor_count"
 
 
+def _lines(spark: SparkSession, path: str, lines: DataFrame | None) -> DataFrame:
+    from ordo.sources.lines import read_ordered_lines
+    return read_ordered_lines(spark, path, "url") if lines is None else lines
+
+
 def _last(arr: Column) -> Column:
     return F.get(arr, F.size(arr) - 1)
 
@@ -52,13 +60,12 @@ def _documents(lines: DataFrame, aggs: list[Column]) -> DataFrame:
     return docs.withColumn("doc_pos", F.col("_r") - 1).drop("_r")
 
 
-def read_signal(spark: SparkSession, path: str) -> DataFrame:
+def read_signal(spark: SparkSession, path: str, lines: DataFrame | None = None) -> DataFrame:
     """Signal file -> candidates(query_id, query, doc_pos, url, title, headers,
     body_hits, body_length, page_rank, anchors). Repeated body_hits lines of a
     term append; a repeated anchor text keeps its last count; other repeated
     keys keep the last value."""
-    from ordo.sources.lines import read_ordered_lines
-    L = read_ordered_lines(spark, path, "url")
+    L = _lines(spark, path, lines)
     docs = _documents(L, [
         _latest("url").alias("url"), _latest("title").alias("title"),
         _ordered(("header",)).alias("_h"), _ordered(("body_hits",)).alias("_b"),
@@ -72,17 +79,15 @@ def read_signal(spark: SparkSession, path: str) -> DataFrame:
                                                    lambda p: p.cast("int")).alias("p")).alias("value")))
     merged_hits = F.transform_values(grouped_values(hits), lambda k, v: F.flatten(F.transform(v, lambda e: e["p"])))
     # A count line belongs to the anchor_text line just before it in the same document:
-    # lines come in order, so that is the nearest line above that is not a count.
-    none = F.lit(None).cast("string")
-    texts = F.transform(F.col("_a"), lambda e: F.when(e["key"] == ANCHOR_TEXT_KEY, e["val"]))
-    filled = let(texts, lambda t: F.aggregate(t, F.struct(none.alias("last"), F.array().cast("array<string>").alias("all")),
-                                              lambda acc, x: let(F.coalesce(x, acc["last"]), lambda now: F.struct(
-                                                  now.alias("last"), F.concat(acc["all"], F.array(now)).alias("all"))),
-                                              lambda acc: acc["all"]))
-    pairs = F.filter(F.zip_with(F.col("_a"), filled, lambda e, t: F.when(
-        (e["key"] == ANCHOR_COUNT_KEY) & t.isNotNull(),
-        F.struct(t.alias("key"), F.struct(e["gpos"].alias("g"), e["val"].cast("int").alias("c")).alias("value")))),
-        lambda x: x.isNotNull())
+    # the lines from one text to the next are its counts.
+    def counted(a: Column) -> Column:
+        def of_text(i: Column, upto: Column) -> Column:
+            return let(F.get(a, i)["val"], lambda t: F.transform(F.slice(a, i + 2, upto - i - 1), lambda e: F.struct(
+                t.alias("key"), F.struct(e["gpos"].alias("g"), e["val"].cast("int").alias("c")).alias("value"))))
+        texts = F.filter(F.transform(a, lambda e, i: F.when(e["key"] == ANCHOR_TEXT_KEY, i)), lambda i: i.isNotNull())
+        return let(texts, lambda at: F.flatten(F.transform(
+            at, lambda i, k: of_text(i, F.coalesce(F.get(at, k + 1), F.size(a))))))
+    pairs = let(F.col("_a"), counted)
     merged_anchors = let(pairs, lambda p: F.when(F.size(p) == 0, F.create_map().cast("map<string,int>")).otherwise(
         F.transform_values(grouped_values(p), lambda k, v: _last(v)["c"])))
     has_anchor = F.exists(F.col("_a"), lambda e: e["key"] == ANCHOR_TEXT_KEY)
@@ -94,12 +99,11 @@ def read_signal(spark: SparkSession, path: str) -> DataFrame:
         F.when(has_anchor, merged_anchors).alias("anchors"))
 
 
-def read_rels(spark: SparkSession, path: str, evaluation: bool = False) -> DataFrame:
+def read_rels(spark: SparkSession, path: str, evaluation: bool = False, lines: DataFrame | None = None) -> DataFrame:
     """Judgements (query, url, rel). A repeated query block replaces
     the earlier one, a repeated url keeps its last grade (both by aggregation,
     map-side combined); ``evaluation=True`` clips negative grades to 0."""
-    from ordo.sources.lines import read_ordered_lines
-    L = read_ordered_lines(spark, path, "url")
+    L = _lines(spark, path, lines)
     latest = (L.filter(F.col("key") == "query").groupBy(F.col("val").alias("query"))
               .agg(F.max("gpos").alias("_lq")))
     parts = jsplit(F.col("val"), " ")
@@ -151,10 +155,9 @@ def write_ranked(ranked: DataFrame, path: str, num_files: int | None = None) ->
     _write_sorted_text(ranked_lines(ranked), path, num_files)
 
 
-def read_ranked(spark: SparkSession, path: str) -> DataFrame:
+def read_ranked(spark: SparkSession, path: str, lines: DataFrame | None = None) -> DataFrame:
     """Ranked list -> (query_id, query, rank, url, title, debug)."""
-    from ordo.sources.lines import read_ordered_lines
-    docs = _documents(read_ordered_lines(spark, path, "url"), [
+    docs = _documents(_lines(spark, path, lines), [
         _latest("url").alias("url"), _latest("title").alias("title"), _latest("debug").alias("debug")])
     return docs.select(F.col("q_id").alias("query_id"), "query",
                        (F.col("doc_pos") + 1).cast("long").alias("rank"), "url", "title", "debug")
@@ -191,15 +194,14 @@ def write_report(report: DataFrame, path: str, num_files: int | None = None) ->
     _write_sorted_text(report_lines(report), path, num_files)
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, lines: DataFrame | None = None) -> DataFrame:
     """Experiment report -> (query, ndcg, rank, url, rating, title, debug, _corrupt).
 
     A query whose ``ndcg:`` line is missing, or with a result that is not
     exactly url / rating / title / debug in that order, is kept with
     ``_corrupt = true`` instead of failing the job.
     """
-    from ordo.sources.lines import read_ordered_lines
-    L = read_ordered_lines(spark, path, "url")
+    L = _lines(spark, path, lines)
     head = (L.filter(F.col("q_id").isNotNull() & F.col("d_id").isNull())
             .groupBy("q_id", "query").agg(_latest("ndcg").cast("double").alias("ndcg"),
                                           F.count_if(F.col("key") == "ndcg").alias("_n_ndcg")))

@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordo.functions.text import alnum_tokens, count_map, positions_of, word_shingles
+from ordo.operators import bloom
 from ordo.operators.sizing import spread
 
 # Fixed view parameters.
 WINDOW_BEFORE = 4          # candidates: page_id in [query_id - 4, query_id + 5]
 WINDOW_AFTER = 5
 PASSAGE_WORDS = 8          # V3: a passage is a run of this many words
+PASSAGE_SALTS = 8          # parts of a passage that very many documents share
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,13 +112,20 @@ def doc_query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def passage_pairs(spark: SparkSession, sf_dir: str, k: int = PASSAGE_WORDS) -> DataFrame:
     """(query_id, doc_id) that share a run of ``k`` words: an equi-join on shingle hashes.
 
-    One long per distinct shingle of a document is shuffled, never its text; a word that
-    stands in every document makes no pair, a shared passage does."""
-    items = table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"), F.explode(word_shingles(alnum_tokens(F.col("text")), k)).alias("h"))
+    A word that stands in every document makes no pair, a shared passage does. A Bloom filter of
+    the items' hashes is tested before the shuffle, so of the corpus only the hits and a few false
+    ones are shuffled, one long each; the join decides. The items' side meets them under a salt,
+    which spreads a passage that very many documents share."""
+    from ordo.session import materialize
+    items = materialize(table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.explode(word_shingles(alnum_tokens(F.col("text")), k)).alias("h")))
+    n_bits = bloom.bits_for(items.count())
+    held = bloom.build(items, "h", n_bits)
     docs = text_table(spark, sf_dir, "documents", ["doc_id", "text"]).select(
         "doc_id", F.explode(word_shingles(alnum_tokens(F.col("text")), k)).alias("h"))
-    return docs.join(items, "h").select("query_id", "doc_id").distinct()
+    docs = docs.where(bloom.might_hold(held, F.col("h"), n_bits)).withColumn("_s", F.pmod(F.xxhash64("doc_id"), F.lit(PASSAGE_SALTS)))
+    items = items.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(PASSAGE_SALTS - 1)).cast("array<bigint>")))
+    return docs.join(items, ["h", "_s"]).select("query_id", "doc_id").distinct()
 
 
 def doc_retrieval(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
