@@ -10,8 +10,11 @@ together: a lost or added record changes its own branch and no other.
 by level, with a join on the parents that differ. What it returns are the damaged
 records: altered, truncated, missing or extra.
 
+Below a number stand the nodes of its parts, cut by the start of the records' digests, so
+that a number which very many records share is never gathered in one place.
+
 Edge cases: null payloads are empty; null numbers stand under -1; records that repeat a
-number make one leaf, whatever their order; an empty archive has no nodes, and all
+number make one branch, whatever their order; an empty archive has no nodes, and all
 records of the other one are missing or extra.
 """
 
@@ -25,8 +28,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordo.llm.common import materialize
+from ordo.operators.ranking import group_rank
 
 BITS = 4                 # a node has 16 children at most
+PART_DIGITS = 3          # a number's records are cut by so many hex digits of their digest
+STRETCH = 1 << 16        # copies of one record that are written out together
 PER_FILE = 1000          # record numbers of one WARC file
 EXTRA = 1 << 24          # what a planted extra record adds to its number
 
@@ -48,7 +54,8 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 def write_archive(recs: DataFrame, path: str, per_file: int = PER_FILE) -> None:
     """WARC files under ``path/file_no=<n>/``, records in order of their numbers."""
     parts = recs.withColumn("file_no", F.floor(F.col("number") / per_file))
-    (parts.repartition("file_no").sortWithinPartitions("file_no", "number", "record")
+    order = ("file_no", "number", "_d")           # as ``leaves`` places them
+    (parts.withColumn("_d", F.sha2(F.col("record").cast("binary"), 256)).repartition("file_no").sortWithinPartitions(*order)
      .select("file_no", F.expr("substring(record, 1, char_length(record) - 1)").alias("value"))       # the writer ends it by \\n
      .write.mode("overwrite").partitionBy("file_no").option("lineSep", "\n").text(path))
 
@@ -79,11 +86,21 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaves(recs: DataFrame, per_file: int = PER_FILE) -> DataFrame:
-    """(number, file_no, offset, length, digest): offsets run inside each file."""
+    """(number, file_no, offset, length, digest, n, part): offsets run inside each file.
+
+    Records of a file lie by number, then digest; ``n`` equal ones are one row, with the offset of
+    the first. A number's records are told apart by the start of their digest, so the offsets of
+    a number that very many rows share (null ones, say) are summed by part, then inside each part."""
     cut = recs.select("number", F.octet_length("record").cast("bigint").alias("length"), F.sha2(F.col("record").cast("binary"), 256).alias("digest"))
-    before = Window.partitionBy("file_no").orderBy("number", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return cut.withColumn("file_no", F.floor(F.col("number") / per_file)).withColumn(
-        "offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("bigint"))).select("number", "file_no", "offset", "length", "digest")
+    same = materialize(cut.groupBy("number", "length", "digest").agg(F.count(F.lit(1)).alias("n"))
+                       .withColumn("file_no", F.floor(F.col("number") / per_file)).withColumn("part", F.substring("digest", 1, PART_DIGITS)))
+    size, zero = F.col("length") * F.col("n"), F.lit(0).cast("bigint")
+    in_file = Window.partitionBy("file_no").orderBy("number", "part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (same.groupBy("file_no", "number", "part").agg(F.sum(size).alias("_l"))
+              .select("number", "part", F.coalesce(F.sum("_l").over(in_file), zero).alias("_start")))
+    in_part = Window.partitionBy("number", "part").orderBy("digest").rowsBetween(Window.unboundedPreceding, -1)
+    placed = same.withColumn("_at", F.coalesce(F.sum(size).over(in_part), zero)).join(starts, ["number", "part"])
+    return placed.select("number", "file_no", (F.col("_start") + F.col("_at")).alias("offset"), "length", "digest", "n", "part")
 
 
 def _node(children: Column) -> Column:
@@ -93,17 +110,20 @@ def _node(children: Column) -> Column:
     return F.sha2(F.array_join(line, ","), 256)
 
 
-def tree(leaf_rows: DataFrame, low: int, high: int, bits: int = BITS) -> list[DataFrame]:
-    """Levels of (key, length, digest, n), from the leaves to one root; ``low`` to ``high`` are the numbers they may have."""
-    # Equal records of one number go together before they are gathered.
-    same = leaf_rows.groupBy(F.col("number").alias("key"), "length", "digest").agg(F.count(F.lit(1)).alias("n"))
-    levels = [materialize(_upper(same, F.col("key")))]
+def tree(leaf_rows: DataFrame, low: int, high: int, bits: int = BITS) -> tuple[DataFrame, list[DataFrame]]:
+    """The nodes of each number's parts (number, part, length, digest, n), and levels of (key, length,
+    digest, n) from the numbers to one root; ``low`` to ``high`` are the numbers they may have."""
+    leaf = F.struct(F.col("number").alias("key"), "length", "digest", "n")
+    parts = materialize(leaf_rows.groupBy("number", "part").agg(
+        F.collect_list(leaf).alias("c"), F.sum(F.col("length") * F.col("n")).alias("length"), F.sum("n").alias("n"))
+        .select("number", "part", "length", _node(F.col("c")).alias("digest"), "n"))
+    levels = [materialize(_upper(parts.withColumnRenamed("part", "key"), F.col("number")))]
     shift = 0
     while (high >> shift) != (low >> shift) and shift < 60:
         shift += bits
         levels.append(materialize(_upper(levels[-1], F.shiftright("key", bits))))
     levels.append(materialize(_upper(levels[-1], F.lit(0).cast("bigint"))))
-    return levels
+    return parts, levels
 
 
 def _upper(rows: DataFrame, key: Column) -> DataFrame:
@@ -112,33 +132,51 @@ def _upper(rows: DataFrame, key: Column) -> DataFrame:
         F.sum("n").alias("n")).select(F.col("_k").alias("key"), "length", _node(F.col("c")).alias("digest"), "n"))
 
 
+def _differing(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
+    pair = x.select(*keys, F.col("digest").alias("da")).join(y.select(*keys, F.col("digest").alias("db")), keys, "full")
+    return materialize(pair.where(~F.col("da").eqNullSafe(F.col("db"))).select(*keys))
+
+
+def _left_over(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """The records of ``rows`` beyond those that ``others`` holds under the same number and digest, one row each,
+    numbered inside each number. Very many copies of one record are written out in stretches."""
+    held = others.select("number", "digest", F.col("n").alias("_held"))
+    over = rows.join(held, ["number", "digest"], "left").withColumn("_held", F.coalesce("_held", F.lit(0))).where("n > _held")
+    cut = over.withColumn("_low", F.explode(F.sequence("_held", F.col("n") - 1, F.lit(STRETCH).cast("bigint"))))
+    each = cut.withColumn("_i", F.explode(F.sequence("_low", F.least(F.col("_low") + STRETCH, F.col("n")) - 1)))
+    single = each.select("number", "file_no", (F.col("offset") + F.col("_i") * F.col("length")).alias("offset"), "length", "digest")
+    return group_rank(single, ["number"], [F.col("digest"), F.col("offset")], "_r", strategy="range")
+
+
 def audit(stored: DataFrame, replica: DataFrame, per_file: int = PER_FILE, bits: int = BITS) -> DataFrame:
     """The damaged records of ``replica`` against ``stored``, both (number, record):
-    number, file_no, offset, length, digest, found_length, found_digest, kind."""
+    number, file_no, offset, length, digest, found_length, found_digest, kind.
+
+    Records that repeat a number are matched by digest first; what is left on both sides is
+    paired in the order of the digests."""
     a, b = materialize(leaves(stored, per_file)), materialize(leaves(replica, per_file))
     span = a.select("number").unionByName(b.select("number")).agg(F.min("number").alias("lo"), F.max("number").alias("hi")).first()
     lo, hi = span["lo"] or 0, span["hi"] or 0
-    ta, tb = tree(a, lo, hi, bits), tree(b, lo, hi, bits)
+    (pa_, ta), (pb, tb) = tree(a, lo, hi, bits), tree(b, lo, hi, bits)
     wrong = None                                       # keys that differ at the level above
     for level in range(len(ta) - 1, -1, -1):
         x, y = ta[level], tb[level]
         if wrong is not None:
             up = F.lit(0).cast("bigint") if level == len(ta) - 2 else F.shiftright("key", bits)
-            x, y = (t.withColumn("_up", up).join(wrong, "_up", "left_semi") for t in (x, y))
-        pair = x.select("key", F.col("digest").alias("da")).join(y.select("key", F.col("digest").alias("db")), "key", "full")
-        wrong = materialize(pair.where(~F.col("da").eqNullSafe(F.col("db"))).select(F.col("key").alias("_up")))
+            above = wrong.withColumnRenamed("key", "_up")
+            x, y = (t.withColumn("_up", up).join(above, "_up", "left_semi") for t in (x, y))
+        wrong = _differing(x, y, ["key"])
         if wrong.isEmpty():
             break
-    bad = wrong.withColumnRenamed("_up", "number")
-    mine = a.join(bad, "number", "left_semi")
-    other = b.join(bad, "number", "left_semi").select("number", F.col("file_no").alias("f2"), F.col("offset").alias("o2"),
-                                                     F.col("length").alias("found_length"), F.col("digest").alias("found_digest"))
-    # Records that repeat a number are told apart by their rank among its records.
-    rank = lambda d: F.row_number().over(Window.partitionBy("number").orderBy(d))
-    both = mine.withColumn("_r", rank("digest")).join(other.withColumn("_r", rank("found_digest")), ["number", "_r"], "full")
+    bad = wrong.withColumnRenamed("key", "number")
+    spot = _differing(pa_.join(bad, "number", "left_semi"), pb.join(bad, "number", "left_semi"), ["number", "part"])
+    mine, other = (t.join(spot, ["number", "part"], "left_semi") for t in (a, b))
+    lost = _left_over(mine, other)
+    found = _left_over(other, mine).select("number", "_r", F.col("file_no").alias("f2"), F.col("offset").alias("o2"),
+                                           F.col("length").alias("found_length"), F.col("digest").alias("found_digest"))
     kind = (F.when(F.col("found_digest").isNull(), "missing").when(F.col("digest").isNull(), "extra")
             .when(F.col("found_length") < F.col("length"), "truncated").otherwise("altered"))
-    return both.where(~F.col("digest").eqNullSafe(F.col("found_digest"))).select(
+    return lost.join(found, ["number", "_r"], "full").select(
         "number", F.coalesce("file_no", "f2").alias("file_no"), F.coalesce("offset", "o2").alias("offset"), "length", "digest",
         "found_length", "found_digest", kind.alias("kind"))
 

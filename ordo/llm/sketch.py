@@ -29,7 +29,7 @@ from ordo.operators.sizing import broadcast_if_small
 K = 128
 WORDS_EACH = 5
 BUCKET_DOCS = 256            # documents that stand between two heads, about
-MAX_BUCKETS = 1 << 20
+MAX_BUCKETS = 1 << 14       # ranges of ids: their cuts and heads are small tables
 _LOWEST = -(1 << 63)
 
 
@@ -98,36 +98,69 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(doc_id, text, next_text): the next text by descending id, the first behind the last;
     with ``mark`` also that function of both texts, computed once for each row.
 
-    Ids are cut into ranges; inside a range a window looks one row ahead. The row behind
-    a range's last one is the head of the next lower range that has rows; it joins the
-    range as a guest. Only the table of ranges (``MAX_BUCKETS`` rows at most) is ordered
-    as a whole. Null ids come last; rows that share an id stand by their text."""
+    Ids are cut into ranges of about equal numbers of rows, by approximate quantiles. An id
+    with more rows than two ranges is a range of its own, cut further by the hash of the text;
+    so are null ids, which come last. Rows that share an id stand by that hash, then by text;
+    only rows equal in both, whatever their number, stay together.
+
+    Inside a range a window looks one row ahead. The row behind a range's last one is the
+    head of the next range that has rows; it joins the range as a guest. Only the table of
+    ranges (some ``MAX_BUCKETS`` rows at most) is ordered as a whole."""
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    span = rows.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    buckets = max(1, min(MAX_BUCKETS, (span["n"] or 0) // BUCKET_DOCS))
-    lo = span["lo"] if span["lo"] is not None else 0
-    hi = span["hi"] if span["hi"] is not None else 0
-    width = min((1 << 63) - 1, max(1, -(-(hi - lo + 1) // buckets)))
-    lowest = abs(lo) // width * (1 if lo >= 0 else -1)          # ``div`` cuts towards zero
-    rows = rows.withColumn("_b", F.coalesce(F.expr(f"doc_id div {width}L") - F.lit(lowest), F.lit(-1).cast("bigint")))
-    # Equal ids (and null ids) stand by text, so a range's head is its largest id's least text.
-    heads = (rows.groupBy("_b").agg(F.max("doc_id").alias("head")))
-    ahead = Window.orderBy(F.col("_b").desc())
-    order = materialize(heads.withColumn("_guest_of", F.lag("_b").over(ahead)))
-    top = order.orderBy(F.col("_b").desc()).first()
-    last = order.agg(F.min("_b")).first()[0]
-    order = order.withColumn("_guest_of", F.coalesce("_guest_of", F.lit(last))).withColumn("_wraps", F.col("_b") == F.lit(top["_b"] if top else None))
-    guests = (rows.join(broadcast_if_small(order, bound_rows=buckets + 1).withColumnRenamed("_b", "_hb"),
-                        (F.col("_b") == F.col("_hb")) & F.col("doc_id").eqNullSafe(F.col("head")))
-              .groupBy("_guest_of").agg(F.min("text").alias("text"))
-              .select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.col("_guest_of").alias("_b"), F.lit(1).alias("_g")))
-    line = Window.partitionBy("_b").orderBy("_g", F.col("doc_id").desc_nulls_last(), "text")
+    cuts, parts, null_parts = _cuts(rows.select("doc_id"))
+    spread = F.shiftrightunsigned(F.xxhash64("text"), 33)                     # 0 to 2^31 - 1
+    rows = rows.withColumn("_b", F.when(F.col("doc_id").isNull(), -1).otherwise(_place(F.col("doc_id"), cuts)))
+    rows = rows.withColumn("_h", spread).withColumn("_parts", F.when(F.col("_b") < 0, null_parts).otherwise(F.get(_numbers(parts, "int"), F.col("_b"))))
+    rows = rows.withColumn("_s", F.shiftright(F.col("_h") * F.col("_parts"), 31)).drop("_parts")
+    keys = ["_b", "_s"]
+    heads = rows.groupBy(*keys).agg(F.max(F.struct("doc_id", (-F.col("_h")).alias("h"))).alias("head"))
+    in_line = Window.orderBy(F.col("_b").desc(), F.col("_s"))
+    order = materialize(heads.withColumn("_to", F.lag(F.struct(*keys)).over(in_line)))
+    last = order.orderBy("_b", F.col("_s").desc()).select(*keys).first()
+    wrap = F.struct(F.lit(last["_b"] if last else None).cast("int").alias("_b"), F.lit(last["_s"] if last else None).cast("bigint").alias("_s"))
+    order = order.select(F.col("_b").alias("_hb"), F.col("_s").alias("_hs"), F.col("head.doc_id").alias("_hid"), (-F.col("head.h")).alias("_hh"),
+                         F.coalesce("_to", wrap).alias("_to"))
+    same = ((F.col("_b") == F.col("_hb")) & (F.col("_s") == F.col("_hs")) & F.col("doc_id").eqNullSafe(F.col("_hid"))
+            & (F.col("_h") == F.col("_hh")))
+    guests = (rows.join(broadcast_if_small(order, bound_rows=sum(parts) + null_parts), same)
+              .groupBy("_to").agg(F.min("text").alias("text"))
+              .select(F.lit(None).cast("bigint").alias("doc_id"), "text", F.col("_to._b").alias("_b"), F.col("_to._s").alias("_s"),
+                      F.lit(0).cast("bigint").alias("_h"), F.lit(1).alias("_g")))
+    line = Window.partitionBy(*keys).orderBy("_g", F.col("doc_id").desc_nulls_last(), "_h", "text")
     lined = rows.withColumn("_g", F.lit(0)).unionByName(guests).withColumn("next_text", F.lead("text").over(line))
     if mark is not None:       # on the same rows in the same order: no further shuffle or sort
         lined = lined.withColumn("mark", mark(F.col("text"))).withColumn(
             "next_mark", F.coalesce(F.lead("mark").over(line), F.col("mark")))
-    return lined.where("_g = 0").withColumn("next_text", F.coalesce("next_text", "text")).drop("_g", "_b")
+    return lined.where("_g = 0").withColumn("next_text", F.coalesce("next_text", "text")).drop("_g", "_h", *keys)
+
+
+def _cuts(ids: DataFrame) -> tuple[list[int], list[int], int]:
+    """(cuts, parts, null_parts): range i holds the ids with i cuts at or below them and is cut into ``parts[i]``."""
+    n = ids.count()
+    buckets = max(1, min(MAX_BUCKETS, n // BUCKET_DOCS))
+    each = max(1, -(-n // buckets))
+    found = ids.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)] or [0.5], 4 * buckets).alias("q"),
+                    F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
+    # At most buckets / 2 ids have more rows than two ranges.
+    hot = {r["doc_id"]: -(-r["n"] // each) for r in ids.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+           .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * each).collect()}
+    cuts = sorted({*(found["q"] or ()), *hot, *(h + 1 for h in hot if h < (1 << 63) - 1)})
+    return cuts, [1, *(hot.get(c, 1) for c in cuts)], max(1, -(-found["nulls"] // each))
+
+
+def _numbers(values: Sequence[int], kind: str) -> Column:
+    """A constant array, written as one literal: thousands of literals would make a slow plan."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _place(value: Column, cuts: Sequence[int]) -> Column:
+    """How many of the rising ``cuts`` are at or below ``value``: binary search in whole numbers."""
+    if not cuts:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    return let(F.struct(_numbers(cuts, "bigint").alias("c"), value.alias("v")), lambda x: F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(x["c"], at + step - 1) <= x["v"], at + step).otherwise(at)))
 
 
 def edited(text: Column, following: Column) -> Column:
