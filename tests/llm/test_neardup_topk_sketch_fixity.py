@@ -231,6 +231,48 @@ def test_topk_ties_blocks_and_odd_vectors(spark, monkeypatch):
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def numpy_top(rows, queries, k):
+    ids, v = np.array([i for i, _ in rows]), np.floor(256 * np.array([e for _, e in rows]))
+    out = collections.defaultdict(list)
+    for qi in queries:
+        who = np.flatnonzero(ids != qi)
+        score = v[who] @ v[np.flatnonzero(ids == qi)[0]]
+        out[qi] = [(int(ids[who[j]]), int(score[j])) for j in np.lexsort((ids[who], -score))[:k]]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["even", "clustered", "hot"])
+def test_topk_reads_only_part_of_the_lists(spark, kind):
+    r = np.random.default_rng(7)
+    v = r.standard_normal((3000, 24)) / 5
+    if kind == "clustered":
+        v = (r.standard_normal((12, 24)) * 2)[r.integers(0, 12, 3000)] + v / 10
+    if kind == "hot":
+        v[r.random(3000) < 0.34] = v[0]
+    rows = [(int(i), [float(x) for x in e]) for i, e in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = collections.defaultdict(list)
+    for x in sorted(topk.search(df, df.where("vec_id % 50 = 0")).collect(), key=lambda x: x["rank"]):
+        got[x["query_id"]].append((x["vec_id"], x["score"]))
+    assert got == numpy_top(rows, range(0, 3000, 50), 5)
+    read = topk.entries_read(df, df.where("vec_id % 50 = 0")).first()
+    assert 0 < read["entries"] < (0.5 if kind == "clustered" else 0.95) * read["of"] and read["of"] == 60 * 3000 * 24
+
+
+def test_topk_reads_only_part_of_the_embeddings(spark):
+    df = table(spark, "/root/testdata/sf0.1", "embeddings")
+    read = topk.entries_read(df, df.where("vec_id % 50 = 0")).first()
+    assert 0 < read["entries"] < read["of"] == 40 * 2000 * 64
+
+
+def test_topk_repeated_ids_and_clashing_names(spark):
+    rows = [(0, [1.0, 0.0])] + [(7, [float(x), 1.0]) for x in range(40)] + [(8, [38.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    df = df.withColumn("row", F.lit("x")).withColumn("dim", F.lit(1)).withColumn("cell", F.lit(2)).withColumn("_v", F.lit(3))
+    got = [(r["vec_id"], r["score"]) for r in sorted(topk.search(df, df.where("vec_id = 0")).collect(), key=lambda r: r["rank"])]
+    assert got == [(7, 39 * 65536), (7, 38 * 65536), (8, 38 * 65536), (7, 37 * 65536), (7, 36 * 65536)]
+
+
 def test_bounds_hold_and_tighten():
     r = np.random.default_rng(3)
     c, q = np.floor(r.standard_normal((200, 8)) * 50), np.floor(r.standard_normal((6, 8)) * 50)
