@@ -14,8 +14,8 @@ Lists of large query components are read deeper than those of small ones: the fo
 quarters of the dimensions by size are read ``SPREAD`` of a list apart.
 
 A vector belongs to the nearest of at most ``PIVOTS`` sampled vectors. Blocks hold vectors
-of one such cell, so that close vectors give narrow lists. A query reads one block of its
-own cell first; the k-th score there is its bar in all others. Cells of any size are cut
+of one such cell, so that close vectors give narrow lists. A query first reads one block of
+its own cell, the one with its own part number; the k-th score there is its bar in all others. Cells of any size are cut
 into blocks by a number given to each row, so repeated ids and equal vectors spread.
 
 Seen values of a list are those on the near side of its frontier, so upper bounds of all
@@ -24,9 +24,10 @@ depth in use, and lower bounds are the same with unseen values replaced by the l
 end. This costs more arithmetic than the plain product; ``entries_read`` tells how much of
 the lists was read.
 
-Query blocks meet candidate blocks through an equi-join on the block number; queries grow
-with the data, so they are never broadcast. A candidate block is shipped once for every
-``QUERIES`` queries. Each pair of blocks gives at most k rows a query, none under its bar,
+Query blocks meet candidate blocks in a grid, through an equi-join on the query block and a
+strip of about ``STRIP`` candidate blocks, so that no task holds all candidates of a query
+block; queries grow with the data, so they are never broadcast. A candidate block is shipped
+once for every ``QUERIES`` queries, a query block once for every strip. Each pair of blocks gives at most k rows a query, none under its bar,
 and a bounded ranking per query merges them.
 
 Edge cases: vectors that are null, hold null or non-finite components, or have no id take
@@ -58,6 +59,8 @@ STAGES = (0.25, 0.5, 0.625, 0.75, 1.0)     # mean share of the lists that has be
 SPREAD = 0.25             # how much deeper and shallower the outer quarters are read
 FEW = 64                  # outsiders a query may resolve instead of reading on, or
 FEW_SHARE = 0.125         # this share of the block
+STRIP = 8                 # candidate blocks that meet one copy of a query block, about
+MOST_TASKS = 20000        # tasks of the join of blocks at most
 LOWEST = -(1 << 62)       # bar of a query that has none
 
 FOUND = "q_row bigint, query_id bigint, vec_id bigint, score bigint, entries bigint, of bigint"
@@ -170,11 +173,10 @@ def celled(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     return rows.mapInArrow(run, "vec_id bigint, dim int, v array<double>, row bigint, cell int")
 
 
-def cell_blocks(rows: DataFrame, per_block: int, name: str) -> DataFrame:
-    """Rows of a cell gathered into blocks of about ``per_block``: (dim, cell, <name>_part, ids, rows, values)."""
+def parted(rows: DataFrame, per_block: int) -> DataFrame:
+    """``rows`` with ``part``, which cuts each cell into parts of about ``per_block``."""
     parts = rows.groupBy("dim", "cell").agg(F.ceil(F.count(F.lit(1)) / per_block).alias("parts"))
-    return _gathered(rows.join(parts, ["dim", "cell"]).withColumn(f"{name}_part", F.pmod(F.xxhash64("row"), "parts")),
-                     ["dim", "cell", f"{name}_part"], name)
+    return rows.join(parts, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("row"), "parts")).drop("parts")
 
 
 def _gathered(rows: DataFrame, keys: list[str], name: str, *more: str) -> DataFrame:
@@ -190,8 +192,8 @@ def _reader(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
                 get = lambda name: batch.column(name)[at].values.to_numpy(zero_copy_only=False)
                 dim, c_ids, q_ids, q_rows, bar = batch.column("dim")[at].as_py(), get("c_ids"), get("q_ids"), get("q_rows"), get("q_bar")
                 qv, cv = get("q_v").reshape(len(q_ids), dim), get("c_v").reshape(len(c_ids), dim)
-                if "q_cell" in batch.schema.names and batch.column("c_part")[at].as_py() == 0:       # its own block was read first
-                    new = get("q_cell") != batch.column("cell")[at].as_py()
+                if "q_cell" in batch.schema.names:                    # a query's own block was read first
+                    new = (get("q_cell") != batch.column("cell")[at].as_py()) | (get("q_part") != batch.column("part")[at].as_py())
                     q_ids, q_rows, bar, qv = q_ids[new], q_rows[new], bar[new], qv[new]
                 lists = np.sort(cv, axis=0)
                 for low in range(0, len(q_ids), SLICE):
@@ -215,18 +217,21 @@ def _found(vectors: DataFrame, queries: DataFrame, k: int, id_col: str, vector_c
     """Rows of ``FOUND``: what the blocks gave each query, at most k rows of each block, and the counts of entries."""
     all_rows = integers(vectors, id_col, vector_col)
     centres = pivots(all_rows)
-    c = materialize(cell_blocks(celled(all_rows, centres), CANDIDATES, "c"))
-    q = materialize(celled(integers(queries, id_col, vector_col), centres))
+    key = ["dim", "cell", "part"]
+    c = materialize(_gathered(parted(celled(all_rows, centres), CANDIDATES), key, "c"))
+    q = materialize(parted(celled(integers(queries, id_col, vector_col), centres), QUERIES))
     no_bar = F.transform("q_ids", lambda _: F.lit(LOWEST).cast("bigint"))
-    own = c.where("c_part = 0").join(cell_blocks(q, QUERIES, "q"), ["dim", "cell"]).withColumn("q_bar", no_bar)
-    first = materialize(own.mapInArrow(_reader(k), FOUND))
+    first = materialize(c.join(_gathered(q, key, "q"), key).withColumn("q_bar", no_bar).mapInArrow(_reader(k), FOUND))
     bar = (first.where("q_row is not null").groupBy(F.col("q_row").alias("row"))
            .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bar")))
-    count = max(1, -(-q.count() // QUERIES))
+    count, strips = max(1, -(-q.count() // QUERIES)), max(1, -(-c.count() // STRIP))
+    tasks, meet = min(count * strips, MOST_TASKS), ["dim", "q", "strip"]
     asked = q.join(bar, "row", "left").withColumn("bar", F.coalesce("bar", F.lit(LOWEST).cast("bigint")))
-    q_blocks = _gathered(asked.withColumn("q", F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")), ["dim", "q"], "q", "bar", "cell")
-    pairs = c.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(q_blocks, ["dim", "q"])
-    return first.unionByName(pairs.mapInArrow(_reader(k), FOUND))
+    q_blocks = _gathered(asked.withColumn("q", F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")), ["dim", "q"], "q", "bar", "cell", "part")
+    q_side = q_blocks.withColumn("strip", F.explode(F.sequence(F.lit(0), F.lit(strips - 1)))).repartition(tasks, *meet)
+    c_side = (c.withColumn("strip", F.pmod(F.xxhash64(*key), F.lit(strips)).cast("int"))
+              .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).repartition(tasks, *meet))
+    return first.unionByName(c_side.join(q_side, meet).mapInArrow(_reader(k), FOUND))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
