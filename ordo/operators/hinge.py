@@ -192,7 +192,7 @@ def _model_minimum(slopes: np.ndarray, heights: np.ndarray, steps: int = 100) ->
     """w of min |w|^2 / 2 + max_k (slopes_k . w + heights_k), and a lower bound of that minimum.
 
     Primal-dual interior-point steps on (w, the maximum, one share per plane); each solves a system
-    of d + 1 unknowns. Any shares that add up to 1 give a bound, so the bound holds however far the steps came."""
+    of d unknowns, never singular. Any shares that add up to 1 give a bound, so the bound holds however far the steps came."""
     # In units of the highest plane: |v|^2 / 2 + max(slopes' v + heights'), w = sqrt(unit) v.
     unit = max(1.0, float(np.abs(heights).max()))
     slopes, heights = slopes / np.sqrt(unit), heights / unit
@@ -207,15 +207,22 @@ def _model_minimum(slopes: np.ndarray, heights: np.ndarray, steps: int = 100) ->
         off_t = slack - top + slopes @ w + heights
         off_s = 1.0 - share.sum()
         ratio = share / slack
+        # The step of the maximum is taken out: what is left is I + A'A with A the weighted slopes around their mean. By the
+        # singular values of A, as A'A would round the I away where many rows share a direction (two equal features).
+        if not (np.isfinite(ratio).all() and ratio.sum() > 0):
+            break
+        mean = slopes.T @ ratio / ratio.sum()
+        around = slopes - mean
+        _, size, axes = np.linalg.svd(np.sqrt(ratio)[:, None] * around, full_matrices=False)
 
         def move(target: np.ndarray) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
             push = (target - share * slack) / slack + ratio * off_t
-            side = slopes.T @ ratio
-            system = np.block([[np.eye(d) + slopes.T @ (ratio[:, None] * slopes), -side[:, None]], [-side[None], np.array([[ratio.sum()]])]])
-            right = np.append(-off_w - slopes.T @ push, push.sum() - off_s)
-            step = np.linalg.solve(system, right)
-            d_slack = step[d] - slopes @ step[:d] - off_t
-            return step[:d], step[d], d_slack, (target - share * slack - share * d_slack) / slack
+            right = -off_w - around.T @ push - off_s * mean
+            along = axes @ right
+            d_w = right + axes.T @ (along / (1.0 + size ** 2) - along)
+            d_top = (push.sum() - off_s) / ratio.sum() + mean @ d_w
+            d_slack = d_top - slopes @ d_w - off_t
+            return d_w, d_top, d_slack, (target - share * slack - share * d_slack) / slack
 
         def reach(v: np.ndarray, dv: np.ndarray) -> float:
             return float(min(1.0, (-v[dv < 0] / dv[dv < 0]).min(initial=1e9)))

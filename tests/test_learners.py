@@ -197,3 +197,33 @@ def test_a_saved_task_ranks_as_the_fitted_one(spark):
         tasks.save(spark, one, path)
         assert tasks.load(spark, path) == one
         json.loads(spark.read.text(path).first()[0])
+
+
+class _Local:
+    """The passes of ``hinge.Pairs`` over rows held here."""
+
+    def __init__(self, lists, x, grade):
+        self.lists, self.x, self.grade, self.n, self.dim = lists, x, grade, np.ones(len(x)), x.shape[1]
+
+    def at(self, points):
+        out = []
+        for w in points:
+            below, _, above = hinge.swept(self.lists, self.x @ w, self.grade, self.n).reshape(3, -1)
+            out.append(hinge._sums(self.x @ w, self.x, self.n, above, below))
+        return np.array(out)
+
+
+@pytest.mark.parametrize("C", [1.0, 100.0, 10_000.0])
+def test_hinge_with_two_equal_features_and_many_pairs(C):
+    """Equal columns under a loss that dwarfs |w|^2: the minimum is found, and both columns weigh the same."""
+    r = np.random.default_rng(5)
+    lists = np.repeat(np.arange(1300), 10)
+    x = np.where(r.random((13_000, 5)) < 0.9, 0.0, r.exponential(1.0, (13_000, 5)))
+    x[:, 3] = x[:, 1]
+    x = (x - x.mean(0)) / x.std(0, ddof=1)
+    grade = (np.tile(np.arange(10), 1300) * 3 + lists * 7) % 7
+    fit = hinge.solve(_Local(lists, x, grade), C, eps=1e-4)
+    assert fit.gap <= 1e-4 * fit.objective
+    assert fit.weights[3] == pytest.approx(fit.weights[1], abs=1e-5)
+    again = hinge.solve(_Local(lists, x[:, [0, 1, 2, 4]] * [1, 2 ** 0.5, 1, 1], grade), C, eps=1e-4)
+    assert fit.objective == pytest.approx(again.objective, rel=1e-4)
