@@ -2,8 +2,8 @@
 
 ``feature_matrix`` builds one row per candidate with the five tf-idf features
 plus the enabled extras, in the fixed order bm25, smallest_window,
-page_rank, is_pdf, has_tilda (default on: smallest_window, is_pdf,
-has_tilda). Everything is one projection over the prepared candidates.
+page_rank, is_pdf, has_tilda, field_score (default on: smallest_window,
+is_pdf, has_tilda). Everything is one projection over the prepared candidates.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from ordo.operators import scorers as SC
 from ordo.operators.features import FEATURE_NAMES, five_features
 from ordo.operators.ranking import group_rank
 
-EXTRAS_ORDER = ("bm25", "smallest_window", "page_rank", "is_pdf", "has_tilda")
+EXTRAS_ORDER = ("bm25", "smallest_window", "page_rank", "is_pdf", "has_tilda", "field_score")
 DEFAULT_EXTRAS = ("smallest_window", "is_pdf", "has_tilda")
 
 
@@ -32,6 +32,8 @@ def feature_matrix(cands: DataFrame, idf: DataFrame, extras: Sequence[str] = DEF
         # window and field score once per row as columns; the boost refers to
         # the window four times and lambdas are not de-duplicated by the optimizer
         p = p.withColumns({"_win": SC.doc_window_col(), "_fs": SC.field_score_col()})
+    elif "field_score" in extras:
+        p = p.withColumn("_fs", SC.field_score_col())
     cols = []
     extra_cols = {
         "bm25": lambda: SC.bm25_score_col(),
@@ -39,6 +41,7 @@ def feature_matrix(cands: DataFrame, idf: DataFrame, extras: Sequence[str] = DEF
         "page_rank": lambda: F.col("page_rank").cast("double"),
         "is_pdf": lambda: TX.is_pdf(F.col("url")),
         "has_tilda": lambda: TX.has_tilde(F.col("url")),
+        "field_score": lambda: F.col("_fs"),
     }
     for name in EXTRAS_ORDER:
         if name in extras:

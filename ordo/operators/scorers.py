@@ -102,11 +102,13 @@ def bm25_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
     return F.when(tf == 0, F.lit(0.0)).when(den > 0, tf / den)
 
 
-def with_bm25_lengths(prepared: DataFrame) -> DataFrame:
-    """Attach per-document lengths and the corpus averages."""
+def with_bm25_lengths(prepared: DataFrame, cands: DataFrame | None = None) -> DataFrame:
+    """Attach per-document lengths and the corpus averages.
+
+    ``cands`` are the same candidates, for the averages, where they cost less than ``prepared``."""
     # The averages are one global aggregate row; its five numbers come back to
     # the driver and enter the plan as literals (a scalar, not a join).
-    avg = average_lengths(prepared).first()
+    avg = average_lengths(prepared if cands is None else cands).first()
     out = prepared
     for f in FIELDS:
         out = out.withColumn(f"avg_{f}", F.lit(avg[f"avg_{f}"]).cast("double"))

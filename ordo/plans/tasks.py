@@ -74,11 +74,13 @@ def _features(fitted: Fitted, fm: DataFrame, keep: tuple[str, ...]) -> tuple[Dat
 
 
 def fit(task: int, train: DataFrame, train_rels: DataFrame, idf: DataFrame, kernel: bool = False, n_components: int = 16,
-        gamma: float = 0.125, seed: int = 1, C: float = 1.0, loss: str = "squares", eps: float = 1e-3) -> Fitted:
-    """Task 1, 2 or 3 fitted on the training lists; ``loss`` of the pairwise tasks is "squares" or "hinge"."""
+        gamma: float = 0.125, seed: int = 1, C: float = 1.0, loss: str = "squares", eps: float = 1e-3, queries: DataFrame | None = None) -> Fitted:
+    """Task 1, 2 or 3 fitted on the training lists; ``loss`` of the pairwise tasks is "squares" or "hinge".
+
+    ``queries`` (query_id, query) saves a second pass over the lists for their queries."""
     extras = DEFAULT_EXTRAS if task == 3 else ()
     cols = feature_names(extras)
-    fm = materialize(feature_matrix(train, idf, extras=extras).join(
+    fm = materialize(feature_matrix(train, idf, extras=extras, queries=queries).join(
         train_rels.select("query_id", "doc_pos", "rel"), ["query_id", "doc_pos"]))
     fill = {c: (m if m is not None else 0.0) for c, m in scale.fit_means(fm, cols).items()}     # A9
     if task == 1:
@@ -93,9 +95,9 @@ def fit(task: int, train: DataFrame, train_rels: DataFrame, idf: DataFrame, kern
     return out
 
 
-def apply(fitted: Fitted, test: DataFrame, test_rels: DataFrame | None, idf: DataFrame) -> RankResult:
+def apply(fitted: Fitted, test: DataFrame, test_rels: DataFrame | None, idf: DataFrame, queries: DataFrame | None = None) -> RankResult:
     """Rank the test lists; with judgements also NDCG."""
-    fm = materialize(feature_matrix(test, idf, extras=fitted.extras))
+    fm = materialize(feature_matrix(test, idf, extras=fitted.extras, queries=queries))
     z, _ = _features(fitted, fm, ("query_id", "doc_pos"))
     # Rounded, so that equal features tie whatever the order of the additions was.
     scored = z.withColumn("score", F.round(linear_score(fitted.weights) + F.lit(fitted.intercept), 9))
@@ -105,16 +107,16 @@ def apply(fitted: Fitted, test: DataFrame, test_rels: DataFrame | None, idf: Dat
 
 
 def task1(train: DataFrame, train_rels: DataFrame, test: DataFrame, test_rels: DataFrame,
-          idf: DataFrame) -> RankResult:
-    return apply(fit(1, train, train_rels, idf), test, test_rels, idf)
+          idf: DataFrame, queries: DataFrame | None = None) -> RankResult:
+    return apply(fit(1, train, train_rels, idf, queries=queries), test, test_rels, idf, queries)
 
 
-def task2(train, train_rels, test, test_rels, idf, loss: str = "squares") -> RankResult:
-    return apply(fit(2, train, train_rels, idf, loss=loss), test, test_rels, idf)
+def task2(train, train_rels, test, test_rels, idf, loss: str = "squares", queries=None) -> RankResult:
+    return apply(fit(2, train, train_rels, idf, loss=loss, queries=queries), test, test_rels, idf, queries)
 
 
-def task3(train, train_rels, test, test_rels, idf, kernel: bool = False, loss: str = "squares") -> RankResult:
-    return apply(fit(3, train, train_rels, idf, kernel=kernel, loss=loss), test, test_rels, idf)
+def task3(train, train_rels, test, test_rels, idf, kernel: bool = False, loss: str = "squares", queries=None) -> RankResult:
+    return apply(fit(3, train, train_rels, idf, kernel=kernel, loss=loss, queries=queries), test, test_rels, idf, queries)
 
 
 def save(spark, fitted: Fitted, path: str) -> None:
