@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from ordo.llm.common import byte_slices
 from ordo.operators.sizing import broadcast_if_small
-from ordo.session import Generations
+from ordo.session import Generations, arrow_batch_bytes
 
 BANDS, ROWS = 32, 5
 YIELD = 10               # rounds of hubs go on while one in so many compared pairs is a link
@@ -180,7 +180,8 @@ class _Sets:
         wanted = self.gens.keep(wanted)
         if self.held is None or not wanted.isEmpty():
             new = full_sets(rows_with(self.docs, wanted, "left_semi", ["doc_id"]), self.words_each)
-            new = self.gens.keep(new.dropDuplicates(["doc_id"]) if self.repeated else new)
+            with arrow_batch_bytes(self.docs.sparkSession, BATCH_BYTES):
+                new = self.gens.keep(new.dropDuplicates(["doc_id"]) if self.repeated else new)
             self.held = new if self.held is None else self.held.unionByName(new)
         self.gens.drop(wanted)
         return self.held
@@ -360,7 +361,9 @@ def _told_apart(docs: DataFrame, seen: DataFrame, gens: Generations) -> tuple[Da
 def _grouped(docs: DataFrame, words_each: int, percent: int, bands: int, rows: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, root, component_id of every row of ``docs`` (doc_id, text); no root without an id or words."""
     gens = Generations(docs.sparkSession, "classes")
-    docs, seen, repeated = _told_apart(docs, gens.keep(sketches(docs, words_each, bands, rows)), gens)
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        seen = gens.keep(sketches(docs, words_each, bands, rows))
+    docs, seen, repeated = _told_apart(docs, seen, gens)
     some = seen.where("n_shingles > 0 and node is not null")
     classes = gens.keep(some.groupBy("set_a", "set_b").agg(
         F.min("node").alias("id"), F.min("doc_id").alias("least"), F.min("n_shingles").alias("n"), F.min_by("keys", "node").alias("keys")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +78,20 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def arrow_batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Inside, batches that go to Python workers end with the row that passes ``most`` bytes; for jobs that
+    run there. A vector of a whole default batch is grown by copies, in memory that an executor's
+    allocator doesn't give back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 class Generations:
     """Tables of a loop, as Parquet in a folder of their own under ``spark.checkpoint.dir``.
 
