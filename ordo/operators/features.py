@@ -52,18 +52,24 @@ def query_vector(terms: DataFrame, idf: DataFrame, sublinear: bool = True,
                     (tf * F.coalesce(F.col("idf"), F.lit(unseen))).alias("qv"))
 
 
+def query_term_arrays(queries: DataFrame, idf: DataFrame, sublinear: bool = True) -> DataFrame:
+    """(query_id, qterms): one row per query with its array<struct<word, m, idf, qv>>."""
+    return query_vector(query_terms(queries), idf, sublinear).groupBy("query_id").agg(
+        F.collect_list(F.struct("word", "m", "idf", "qv")).alias("qterms"))
+
+
 def attach_query_terms(cands: DataFrame, idf: DataFrame, sublinear: bool = True,
                        queries: DataFrame | None = None) -> DataFrame:
     """Candidates + ``qterms`` array<struct<word, m, idf, qv>> (one join on query_id).
 
     ``queries(query_id, query)`` should come from the source's own query list;
     deriving it from ``cands`` (the fallback) re-evaluates the candidate plan.
+    Candidates that carry ``qterms`` already (``page_ranking``) stay as they are.
     """
+    if "qterms" in cands.columns:
+        return cands
     q = queries if queries is not None else query_table(cands)
-    qv = query_vector(query_terms(q), idf, sublinear)
-    per_query = qv.groupBy("query_id").agg(
-        F.collect_list(F.struct("word", "m", "idf", "qv")).alias("qterms"))
-    return cands.join(per_query, "query_id")
+    return cands.join(query_term_arrays(q, idf, sublinear), "query_id")
 
 
 def with_tokens(cands: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ def bound_tokens(body) -> Column:
 
 
 def _count(arr: Column, w: Column) -> Column:
-    return F.size(F.filter(arr, lambda t: t == w))
+    return F.size(arr) - F.size(F.array_remove(arr, w))      # native; a lambda would be interpreted per token
 
 
 def raw_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:

@@ -68,12 +68,12 @@ def _length_cols() -> list[Column]:
         .alias("len_anchor")]
 
 
-def field_lengths(cands: DataFrame) -> DataFrame:
+def field_lengths(cands: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """P17 per document: raw field lengths and how many units each adds to the average."""
     heads = F.coalesce(F.col("headers"), F.array().cast("array<string>"))
     anchor_texts = F.coalesce(F.map_keys(F.col("anchors")), F.array().cast("array<string>"))
     return cands.select(
-        "query_id", "doc_pos", *_length_cols(),
+        "query_id", "doc_pos", *keep, *_length_cols(),
         F.lit(1).alias("n_body"),
         F.col("url").isNotNull().cast("int").alias("n_url"),
         F.col("title").isNotNull().cast("int").alias("n_title"),
@@ -85,10 +85,13 @@ def average_lengths(cands: DataFrame) -> DataFrame:
     """One row avg_<field> = sum of lengths / number of units.
 
     Body and url per document, title per titled document, header per header,
-    anchor per anchor text (as the reference counts them).
+    anchor per anchor text (as the reference counts them). A row with ``times``
+    stands for that many equal candidates.
     """
-    L = field_lengths(cands)
-    return L.agg(*[F.try_divide(F.sum(f"len_{f}"), F.sum(f"n_{f}").cast("double")).alias(f"avg_{f}")
+    if "times" not in cands.columns:
+        cands = cands.withColumn("times", F.lit(1))
+    L = field_lengths(cands, ("times",))
+    return L.agg(*[F.try_divide(F.sum(F.col(f"len_{f}") * F.col("times")), F.sum(F.col(f"n_{f}") * F.col("times")).cast("double")).alias(f"avg_{f}")
                    for f in FIELDS])
 
 
@@ -105,7 +108,7 @@ def bm25_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
 def with_bm25_lengths(prepared: DataFrame, cands: DataFrame | None = None) -> DataFrame:
     """Attach per-document lengths and the corpus averages.
 
-    ``cands`` are the same candidates, for the averages, where they cost less than ``prepared``."""
+    ``cands`` are the same candidates, or their pages with ``times``, for the averages, where they cost less than ``prepared``."""
     # The averages are one global aggregate row; its five numbers come back to
     # the driver and enter the plan as literals (a scalar, not a join).
     avg = average_lengths(prepared if cands is None else cands).first()
