@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordo.llm.common import byte_slices, materialize
+from ordo.session import arrow_batch_bytes
 
 MAX_LEN = 1024
 END_ID = 2
@@ -302,7 +303,8 @@ def place(pieces: DataFrame, the_plan: Plan, hist: np.ndarray, bucket_rows: int
 def pack(df: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: int = END_ID, id_col: str = "doc_id",
          text_col: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    pieces = materialize(tokenise(df, tokenizer_path, max_len, end_id, id_col, text_col))
+    with arrow_batch_bytes(df.sparkSession, BATCH_BYTES):
+        pieces = materialize(tokenise(df, tokenizer_path, max_len, end_id, id_col, text_col))
     hist = histogram(pieces, max_len)
     return place(pieces, plan(hist, max_len), hist, bucket_rows)
 

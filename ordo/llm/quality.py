@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordo.session import Generations, arrow_batch_bytes
+
 WIDTH, STRIDE, HOP = 8, 2, 128
 FILTERS, EMBED, HIDDEN = 24, 8, 16
 MAX_ROWS, MAX_WINDOW, EPOCHS, BATCH = 4000, 4096, 24, 64
@@ -36,6 +38,7 @@ MIN_STEPS = 400
 SAMPLE_CHARS = 16_384        # of a labelled text that may be learned from
 THRESHOLD = 0.3
 SLICE_BYTES = 1 << 17
+BATCH_BYTES = 1 << 20        # text that goes to a worker at a time
 
 
 @dataclass
@@ -221,7 +224,10 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that the classifier doesn't reject, with their own columns."""
+    """The documents that the classifier doesn't reject, with their own columns; written here, so that
+    texts go to the workers in small batches."""
     net = train(docs, labels, id_col=id_col, text_col=text_col)
     found = f"_score_{uuid.uuid4().hex}"           # a name that no column of docs has
-    return docs.withColumn(found, score(F.col(f"`{text_col}`"), net)).where(F.col(found) >= THRESHOLD).drop(found)
+    good = docs.withColumn(found, score(F.col(f"`{text_col}`"), net)).where(F.col(found) >= THRESHOLD).drop(found)
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        return Generations(docs.sparkSession, "good").keep(good)

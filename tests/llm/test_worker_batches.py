@@ -34,3 +34,19 @@ def test_neardup_tables_of_texts_are_written_with_small_batches(spark, monkeypat
     got = {(r.doc_id, r.component_id) for r in neardup.groups(docs).collect()}
     assert got == {(1, 1), (2, 1), (3, 3), (None, None)}
     assert len(seen) >= 2 and set(seen) == {str(neardup.BATCH_BYTES)}
+
+
+def test_quality_and_packing_run_with_small_batches(spark, monkeypatch, docs, sf):
+    import public_tokenizers
+
+    from ordo.llm import packing, quality
+    seen, keep, materialize = [], Generations.keep, packing.materialize
+    monkeypatch.setattr(Generations, "keep", lambda self, df: seen.append(("good", spark.conf.get(KEY, None))) or keep(self, df))
+    monkeypatch.setattr(packing, "materialize", lambda df: seen.append(("pieces", spark.conf.get(KEY, None))) or materialize(df))
+    before = spark.conf.get(KEY, None)
+    some = docs.where("doc_id < 60")
+    good = quality.keep_good(some, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert good.columns == docs.columns and 0 < good.count() <= some.count()
+    assert packing.pack(some, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id").distinct().count() == some.count()
+    assert ("good", str(quality.BATCH_BYTES)) in seen and ("pieces", str(packing.BATCH_BYTES)) in seen
+    assert spark.conf.get(KEY, None) == before
