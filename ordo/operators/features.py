@@ -23,6 +23,7 @@ from ordo.functions import text as TX
 
 FIELDS = ("url", "title", "body", "header", "anchor")
 FEATURE_NAMES = tuple(f"{f}_w" for f in FIELDS)
+TOKEN_COLUMNS = ("_url_toks", "_title_toks", "_header_toks", "_anchor_counts")
 
 
 def query_table(cands: DataFrame) -> DataFrame:
@@ -73,22 +74,31 @@ def attach_query_terms(cands: DataFrame, idf: DataFrame, sublinear: bool = True,
 
 
 def with_tokens(cands: DataFrame) -> DataFrame:
-    """Materialise the field token arrays once per candidate row."""
+    """Materialise the field token arrays once per candidate row. Candidates that carry them
+    already (``page_ranking``) stay as they are."""
+    if all(c in cands.columns for c in TOKEN_COLUMNS):
+        return cands
     return cands.withColumns({
         "_url_toks": TX.url_tokens(F.col("url")),
         "_title_toks": TX.title_tokens(F.col("title")),
         "_header_toks": TX.header_tokens(F.col("headers")),
-        "_anchor_entries": F.coalesce(
-            F.transform(F.map_entries(F.col("anchors")), lambda kv: F.struct(
-                TX.jsplit(kv["key"], " ").alias("toks"), kv["value"].alias("n"))),
-            F.array().cast("array<struct<toks:array<string>,n:int>>"))})
+        "_anchor_counts": _anchor_counts(F.col("anchors"))})
+
+
+def _anchor_counts(anchors: Column) -> Column:
+    """map token -> sum of the counts of its anchor texts, by one sort; NULL when a count is missing."""
+    pairs = F.flatten(F.transform(F.map_entries(anchors), lambda kv: F.transform(TX.jsplit(kv["key"], " "), lambda t: F.struct(
+        t.alias("key"), kv["value"].cast("long").alias("value")))))
+    empty = F.create_map().cast("map<string,bigint>")
+    summed = TX.let(pairs, lambda p: F.when(F.size(p) > 0, F.transform_values(
+        TX.grouped_values(p), lambda _, v: F.aggregate(v, F.lit(0).cast("long"), lambda a, n: a + n))).otherwise(empty))
+    return F.when(~F.exists(F.map_values(anchors), lambda n: n.isNull()), summed).when(anchors.isNull(), empty)
 
 
 def bound_tokens(body) -> Column:
     """``body(tok)`` with the row's token arrays bound once; ``tok(name)`` gives a column of
     ``with_tokens``. Inside an ``aggregate`` lambda the arrays would be split again per word."""
-    names = ("_url_toks", "_title_toks", "_header_toks", "_anchor_entries")
-    return TX.let(F.struct(*names), lambda t: body(lambda name: t[name]))
+    return TX.let(F.struct(*TOKEN_COLUMNS), lambda t: body(lambda name: t[name]))
 
 
 def _count(arr: Column, w: Column) -> Column:
@@ -110,9 +120,8 @@ def raw_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
     if field == "header":
         return (_count(tok("_header_toks"), w) * m).cast("double")
     if field == "anchor":
-        per = F.aggregate(tok("_anchor_entries"), F.lit(0).cast("long"),
-                          lambda acc, e: acc + _count(e["toks"], w) * e["n"])
-        return (per * m).cast("double")
+        counts = tok("_anchor_counts")
+        return (F.when(counts.isNotNull(), F.coalesce(counts[w], F.lit(0).cast("long"))) * m).cast("double")
     if field == "body":
         hits = F.size(F.col("body_hits")[w])
         n = F.size(F.col("body_hits"))

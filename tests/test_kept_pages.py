@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ordo.operators.features import attach_query_terms, query_term_arrays, raw_tf, with_tokens
+from ordo.functions.text import jsplit
+from ordo.operators.features import TOKEN_COLUMNS, attach_query_terms, query_term_arrays, raw_tf, with_tokens
 from ordo.operators.scorers import average_lengths
 from ordo.plans import catalog
 from ordo.sources import views as V
@@ -60,3 +61,20 @@ def test_html_is_read_once(spark, tmp_path, monkeypatch):
     sf, reads, real = pages(spark, tmp_path), [], V._docs_of
     monkeypatch.setattr(V, "_docs_of", lambda *a: reads.append(1) or real(*a))
     assert catalog._v2_weighed(spark, sf)[0].count() > 0 and len(reads) == 1
+
+
+def test_fields_are_split_once_a_page(spark, tmp_path):
+    sf = pages(spark, tmp_path)
+    got = catalog._v2_weighed(spark, sf)[0]
+    assert rows(got) == rows(with_tokens(got.drop(*TOKEN_COLUMNS))) and with_tokens(got) is got
+
+
+def test_anchor_counts_of_odd_rows(spark):
+    old = lambda w, m: (F.aggregate(F.coalesce(F.map_entries("anchors"), F.array().cast("array<struct<key:string,value:int>>")),
+                                    F.lit(0).cast("long"), lambda a, e: a + F.size(F.filter(jsplit(e["key"], " "), lambda t: t == w)) * e["value"]) * m)
+    anchors = [{"a b a": 2, "a": 3, "": 4, " a  b ": 1}, {}, None, {"a": None, "b": 1}, {"B a": 1, "b": 1}]
+    df = with_tokens(spark.createDataFrame([(None, None, None, a) for a in anchors], "url string, title string, headers array<string>, anchors map<string,int>"))
+    for word in ("a", "b", "", "z"):
+        got = [r[0] for r in df.select(raw_tf("anchor", F.lit(word), F.lit(2))).collect()]
+        assert got == [r[0] for r in df.select(old(F.lit(word), F.lit(2)).cast("double")).collect()]
+        assert got[1:4] == [0.0, 0.0, None]
