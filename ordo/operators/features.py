@@ -33,12 +33,9 @@ def query_table(cands: DataFrame) -> DataFrame:
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, word, m) — distinct query words with their multiplicity."""
-    words = TX.query_words(F.col("query"))
-    return queries.select(
-        "query_id",
-        F.explode(F.transform(F.array_distinct(words), lambda w: F.struct(
-            w.alias("word"), F.size(F.filter(words, lambda x: x == w)).alias("m")))).alias("t")
-    ).select("query_id", "t.word", "t.m")
+    counted = TX.let(TX.query_words(F.col("query")), lambda words: F.transform(F.array_distinct(words), lambda w: F.struct(
+        w.alias("word"), _count(words, w).alias("m"))))
+    return queries.select("query_id", F.explode(counted).alias("t")).select("query_id", "t.word", "t.m")
 
 
 def query_vector(terms: DataFrame, idf: DataFrame, sublinear: bool = True,
@@ -127,6 +124,7 @@ def raw_tf(field: str, w: Column, m: Column, tok=F.col) -> Column:
         n = F.size(F.col("body_hits"))
         fold = F.aggregate(F.sequence(F.lit(1), m), F.lit(0.0),
                            lambda t, _: F.ln((t + hits) / n))
+        fold = F.when(m == 1, F.ln((F.lit(0.0) + hits) / n)).otherwise(fold)     # without a lambda for most words
         return F.when(F.col("body_hits")[w].isNotNull(), fold).otherwise(F.lit(0.0))
     raise ValueError(field)
 
@@ -165,14 +163,24 @@ def feature_vector(cands: DataFrame, idf: DataFrame, smoothing: float = TX.BODY_
 
 
 def five_features(smoothing: float = TX.BODY_SMOOTHING_FEATURES) -> Column:
-    """struct<url_w..anchor_w> over ``qterms`` and the row's tokens."""
-    norm = F.col("body_length").cast("double") + smoothing
-
-    def summand(f, tok):
-        return lambda acc, e: acc + e["m"] * raw_tf(f, e["word"], e["m"], tok) / F.pow(norm, e["m"]) * e["qv"]
+    """struct<url_w..anchor_w> over ``qterms`` and the row's tokens.
 
-    return bound_tokens(lambda tok: F.struct(*[
-        F.aggregate(F.col("qterms"), F.lit(0.0), summand(f, tok)).alias(f"{f}_w") for f in FIELDS]))
+    A word that a field doesn't hold adds 0, so only the words that it holds are summed where that is sure:
+    a field that isn't NULL, a norm above 0 and finite query weights. A field without any of the words is 0
+    by a test outside the lambdas, which are interpreted."""
+    norm = F.col("body_length").cast("double") + smoothing
+    weights, inf = F.col("qterms.qv"), F.lit(float("inf"))
+    finite = (norm > 0) & (F.array_max(weights) < inf) & (F.array_min(weights) > -inf)
+
+    def summed(f):
+        held = F.map_keys("body_hits") if f == "body" else F.map_keys("_anchor_counts") if f == "anchor" else F.col(f"_{f}_toks")
+        sure = finite & held.isNotNull()
+        terms = F.when(sure, F.filter("qterms", lambda e: F.array_contains(held, e["word"]))).otherwise(F.col("qterms"))
+        whole = bound_tokens(lambda tok: F.aggregate(
+            terms, F.lit(0.0), lambda acc, e: acc + e["m"] * raw_tf(f, e["word"], e["m"], tok) / F.pow(norm, e["m"]) * e["qv"]))
+        return F.when(sure & ~F.arrays_overlap("qterms.word", held), F.lit(0.0)).otherwise(whole)
+
+    return F.struct(*[summed(f).alias(f"{f}_w") for f in FIELDS])
 
 
 def vector_difference(a: DataFrame, b: DataFrame, cols, keys_a, keys_b) -> DataFrame:
